@@ -152,6 +152,14 @@ def with_dominance(files: DataFrame) -> DataFrame:
     ).drop("_rank", "_most")
 
 
+def with_dominant_flag(bars: DataFrame, files: DataFrame) -> DataFrame:
+    """Bars with the dominance of their contract on their day."""
+    flags = files.groupBy("InstrumentID", "day").agg(F.max("isDominant").alias("isDominant"))
+    dated = bars.withColumn("day", times.calendar_day(F.col("TradingTime")))
+    joined = dated.join(flags, ["InstrumentID", "day"], "left").drop("day")
+    return joined.withColumn("isDominant", F.coalesce("isDominant", F.lit(False)))
+
+
 def instrument_stats(ticks: DataFrame) -> DataFrame:
     stats = ticks.groupBy("InstrumentID").agg(
         F.count(F.lit(1)).alias("tick_num"), F.max("HighestPrice").alias("highest_price")
