@@ -10,7 +10,7 @@ from tickloom.functions import ids, times
 from tickloom.operators import filters, quality
 from tickloom.operators.catalog import files_to_import
 from tickloom.schema import CATALOG, MAX_DATE, MIN_DATE, MIN_ROWS, RAW_TICK
-from tickloom.session import staged
+from tickloom.session import scratch
 from tickloom.sources import raw, stores
 
 
@@ -100,19 +100,19 @@ def import_files(
     listing = wanted_files(raw.list_files(spark, root, pattern), rules)
     todo = files_to_import(listing, files).select("path", "size")
     lines = raw.scan(spark, root, pattern, rules.bad_rows)
-    lines = staged(lines.join(todo.select("path"), "path", "left_semi"))
-    verdicts = judged(lines, rules)
-    stores.write_ticks(cleaned(lines, verdicts, rules), tick_folder, mode="append")
-    register(catalog_rows(ids.with_path_parts(todo), verdicts), catalog_folder)
+    with scratch(lines.join(todo.select("path"), "path", "left_semi")) as ticks:
+        verdicts = judged(ticks, rules)
+        with scratch(catalog_rows(ids.with_path_parts(todo), verdicts)) as rows:
+            stores.write_ticks(cleaned(ticks, verdicts, rules), tick_folder, mode="append")
+            register(rows, catalog_folder)
     return stores.read_or_empty(spark, catalog_folder, CATALOG)
 
 
 def register(rows: DataFrame, catalog_folder: str) -> None:
     """Add catalog rows, replacing those of the same path. The catalog is small
-    next to the ticks; its days are rewritten as a whole."""
-    spark = rows.sparkSession
-    fresh = staged(rows)
-    old = stores.read_or_empty(spark, catalog_folder, CATALOG)
-    touched = old.join(fresh.select("day").distinct(), "day", "left_semi")
-    kept = touched.join(fresh.select("path"), "path", "left_anti").select(*CATALOG.names)
-    stores.write_partitions(staged(kept.unionByName(fresh)), catalog_folder, ["day"], ["path"])
+    next to the ticks; the days it touches are rewritten as a whole."""
+    old = stores.read_or_empty(rows.sparkSession, catalog_folder, CATALOG)
+    touched = old.join(rows.select("day").distinct(), "day", "left_semi")
+    kept = touched.join(rows.select("path"), "path", "left_anti").select(*CATALOG.names)
+    with scratch(kept.unionByName(rows)) as merged:
+        stores.write_partitions(merged, catalog_folder, ["day"], ["path"])

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom.operators import bars, quality
 from tickloom.operators.projections import for_bars
 from tickloom.schema import LEVELS, OPEN_INTEREST_STD
-from tickloom.session import staged
+from tickloom.session import scratch
 from tickloom.sources import stores
 
 
@@ -28,8 +28,7 @@ def refresh_bars(
 ) -> None:
     """Compute all levels from one scan and replace the stored bars."""
     levels = [level for level in LEVELS if level not in ("1d", "2H")]
-    made = staged(
-        bars.bars_at_levels(bar_input(ticks, instruments), [*levels, "1d"], seq_bound=seq_bound)
-    )
-    stores.write_bars(made.filter("level <> '1d'"), bar_folder, instruments or [], levels)
-    stores.write_daily(made.filter("level = '1d'"), daily_folder)
+    made = bars.bars_at_levels(bar_input(ticks, instruments), [*levels, "1d"], seq_bound=seq_bound)
+    with scratch(made) as rows:
+        stores.write_bars(rows.filter("level <> '1d'"), bar_folder, instruments or [], levels)
+        stores.write_daily(rows.filter("level = '1d'"), daily_folder)

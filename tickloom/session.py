@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,10 +44,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def delete_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder of any file system; false if there is none."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(files.exists(path) and files.delete(path, True))
+
+
+def _write_scratch(df: DataFrame) -> tuple[str, DataFrame]:
+    folder = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(folder)
+    return folder, df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it from there: every later
     use sees the same rows, reads only the columns it needs and does not depend
-    on executors that may be gone."""
-    folder = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    on executors that may be gone. The table stays as long as the folder."""
+    return _write_scratch(df)[1]
+
+
+@contextmanager
+def scratch(df: DataFrame) -> Iterator[DataFrame]:
+    """Like ``staged`` within a job that runs to its end here: the table goes
+    with the block."""
+    folder, rows = _write_scratch(df)
+    try:
+        yield rows
+    finally:
+        delete_folder(df.sparkSession, folder)

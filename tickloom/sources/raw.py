@@ -67,7 +67,9 @@ def shaped(lines: DataFrame, layout: T.StructType, bad_rows: str = "skip") -> Da
     if bad_rows not in ("skip", "fail_file"):
         raise ValueError(f"unknown bad_rows: {bad_rows}")
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    fields = F.length(_BAD) - F.length(F.replace(F.col(_BAD), F.lit(","), F.lit(""))) + 1
+    # The reader wants a data column used beside the bad line: the first stands in.
+    line = F.coalesce(_BAD, layout.names[0])
+    fields = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit(""))) + 1
     too_long = F.coalesce(fields > len(layout), F.lit(False))
     numbered = lines.withColumn("seq", F.col("_block") + row).withColumn("_long", too_long)
     t = F.col("UpdateTime").try_cast("timestamp_ntz")

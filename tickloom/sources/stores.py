@@ -10,6 +10,7 @@ from tickloom.operators.catalog import FILE_VIEWS
 from tickloom.operators.filters import filter_by
 from tickloom.operators.projections import catalog_days, for_load, without_level
 from tickloom.schema import BAR, STORED_CATEGORIES
+from tickloom.session import delete_folder
 
 TICK_PARTITIONS = ["MarketID", "category", "month"]
 BAR_PARTITIONS = ["level", "InstrumentID"]
@@ -46,9 +47,7 @@ def read_or_empty(spark: SparkSession, folder: str, schema: StructType) -> DataF
 def drop_partition(spark: SparkSession, folder: str, partition: dict[str, str]) -> bool:
     """Delete the folder of one partition; false if there is none."""
     parts = "/".join(f"{k}={v}" for k, v in partition.items())
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{parts}")
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(files.exists(path) and files.delete(path, True))
+    return delete_folder(spark, f"{folder}/{parts}")
 
 
 # --- ticks -------------------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.functions import ids
 from tickloom.plans import importing
 from tickloom.schema import RAW_TICK
-from tickloom.session import staged
+from tickloom.session import scratch
 from tickloom.sources import raw, stores
 
 
@@ -38,21 +38,22 @@ def import_arrivals(
     )
 
     def store(batch: DataFrame, number: int) -> None:
-        ticks = staged(raw.shaped(batch, RAW_TICK, rules.bad_rows))
-        ticks = importing.wanted_files(raw.with_file_columns(ticks), rules)
-        verdicts = importing.judged(ticks, rules)
-        files = ids.with_path_parts(ticks.select("path").distinct())
-        stores.write_partitions(
-            importing.cleaned(ticks, verdicts, rules).withColumn("import_batch", F.lit(number)),
-            tick_folder,
-            ["import_batch", *stores.TICK_PARTITIONS],
-            ["InstrumentID", "UpdateTime", "seq"],
-        )
-        stores.write_partitions(
-            importing.catalog_rows(files, verdicts).withColumn("import_batch", F.lit(number)),
-            catalog_folder,
-            ["import_batch"],
-        )
+        with scratch(raw.shaped(batch, RAW_TICK, rules.bad_rows)) as ticks:
+            files = ids.with_path_parts(ticks.select("path").distinct())
+            files = importing.wanted_files(files, rules)
+            wanted = ticks.join(files.select("path"), "path", "left_semi")
+            verdicts = importing.judged(wanted, rules)
+            for rows, folder, partitions, sort in (
+                (
+                    importing.cleaned(wanted, verdicts, rules),
+                    tick_folder,
+                    stores.TICK_PARTITIONS,
+                    ["InstrumentID", "UpdateTime", "seq"],
+                ),
+                (importing.catalog_rows(files, verdicts), catalog_folder, [], []),
+            ):
+                numbered = rows.withColumn("import_batch", F.lit(number))
+                stores.write_partitions(numbered, folder, ["import_batch", *partitions], sort)
 
     (
         lines.writeStream.foreachBatch(store)
