@@ -18,20 +18,20 @@ UNUSABLE = ["invalid_day", "too_small", "dup_time", "time_no_ms"]
 def slice_stats(
     ticks: DataFrame,
     keys: list[str],
-    base: Column,
     seq_bound: int | None = None,
     multiplier: float = MULTIPLIER,
 ) -> DataFrame:
-    """Statistics of the ticks of each group; a group lies within one day from
-    ``base``, the first microsecond of that day."""
+    """Time span and price statistics of the ticks of each group.
+
+    Minutes are summed up first: within one, time and position fit a single
+    order key, and few rows per group are left to merge."""
     price, volume = F.col("LastPrice"), F.col("LastVolume")
-    key = F.col("_order")
-    ordered = ticks.withColumns({"_at": times.micros(F.col("UpdateTime")), "_base": base})
-    return (
-        ordered.withColumn(
-            "_order", tick_order(F.col("_at"), F.col("seq"), F.col("_base"), times.DAY, seq_bound)
-        )
-        .groupBy(*keys)
+    key, minute = F.col("_order"), F.col("_minute")
+    at = times.micros(F.col("UpdateTime"))
+    minutes = (
+        ticks.withColumn("_minute", times.bin_start(at, times.MINUTE))
+        .withColumn("_order", tick_order(at, F.col("seq"), minute, times.MINUTE, seq_bound))
+        .groupBy(*keys, "_minute")
         .agg(
             F.count(F.lit(1)).alias("line_num"),
             F.count_if(volume >= 0).alias("zip_line_num"),
@@ -45,35 +45,27 @@ def slice_stats(
             F.count(price).alias("prices"),
             F.max_by("OpenInterest", key).alias("OpenInterest"),
             F.max_by("Turnover", key).alias("Turnover"),
-            F.coalesce(F.sum(price * volume * F.lit(float(multiplier))), F.lit(0.0)).alias("Turnover_calc"),
-            F.coalesce(F.sum(volume), F.lit(0.0)).alias("volume_sum"),
+            F.sum(price * volume * F.lit(float(multiplier))).alias("Turnover_calc"),
+            F.sum(volume).alias("volume_sum"),
         )
     )
-
-
-def _merged(stats: DataFrame, keys: list[str]) -> DataFrame:
-    """Statistics of whole groups from those of their days."""
-    first, last = F.col("start"), F.col("end")
-    return stats.groupBy(*keys).agg(
+    merged = minutes.groupBy(*keys).agg(
         F.sum("line_num").alias("line_num"),
         F.sum("zip_line_num").alias("zip_line_num"),
         F.min("start").alias("start"),
         F.max("end").alias("end"),
-        F.min_by("open", first).alias("open"),
-        F.max_by("close", last).alias("close"),
+        F.min_by("open", minute).alias("open"),
+        F.max_by("close", minute).alias("close"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
         F.sum("price_sum").alias("price_sum"),
         F.sum("prices").alias("prices"),
-        F.max_by("OpenInterest", last).alias("OpenInterest"),
-        F.max_by("Turnover", last).alias("Turnover"),
-        F.sum("Turnover_calc").alias("Turnover_calc"),
-        F.sum("volume_sum").alias("volume_sum"),
+        F.max_by("OpenInterest", minute).alias("OpenInterest"),
+        F.max_by("Turnover", minute).alias("Turnover"),
+        F.coalesce(F.sum("Turnover_calc"), F.lit(0.0)).alias("Turnover_calc"),
+        F.coalesce(F.sum("volume_sum"), F.lit(0.0)).alias("volume_sum"),
     )
-
-
-def _completed(stats: DataFrame) -> DataFrame:
-    return stats.withColumns(
+    return merged.withColumns(
         {
             "diff_sec": times.span_seconds(F.col("start"), F.col("end")),
             "mean": F.when(F.col("prices") > 0, F.col("price_sum") / F.col("prices")),
@@ -87,13 +79,8 @@ def file_stats(
     seq_bound: int | None = None,
     multiplier: float = MULTIPLIER,
 ) -> DataFrame:
-    """Time span and price statistics of each file. A file may hold several
-    days, so its days are summed up first."""
-    start = times.bin_start(times.micros(F.col("UpdateTime")), times.DAY)
-    days = slice_stats(
-        ticks.withColumn("_date", start), [*keys, "_date"], F.col("_date"), seq_bound, multiplier
-    )
-    return _completed(_merged(days, keys))
+    """Time span and price statistics of each file."""
+    return slice_stats(ticks, keys, seq_bound, multiplier)
 
 
 def session_stats(
@@ -105,22 +92,22 @@ def session_stats(
 ) -> DataFrame:
     """Statistics of each (file, trading day, session); ``ticks`` carry their
     session in ``time_type``. The file's own day is kept as ``file_day``."""
-    t = F.col("UpdateTime")
-    base = times.bin_start(times.micros(t) - times.SHIFT, times.DAY) + times.SHIFT
     own = [k for k in keys if k not in ("day", "month")]
-    labelled = ticks.withColumnRenamed("day", "file_day").drop("month").withColumns(
-        {"day": times.split_day(t), "_base": base}
-    )
-    stats = slice_stats(
-        labelled, [*own, "file_day", "day", "time_type"], F.col("_base"), seq_bound, multiplier
+    labelled = (
+        ticks.withColumnRenamed("day", "file_day")
+        .drop("month")
+        .withColumn("day", times.split_day(F.col("UpdateTime")))
     )
+    stats = slice_stats(labelled, [*own, "file_day", "day", "time_type"], seq_bound, multiplier)
     return (
-        _completed(stats)
-        .filter(F.col("line_num") >= min_rows)
+        stats.filter(F.col("line_num") >= min_rows)
         .withColumns(
-            {"year": F.date_format("start", "yyyy"), "month": F.date_format("start", "yyyyMM")}
+            {
+                "zip_line_num": F.col("line_num"),
+                "year": F.date_format("start", "yyyy"),
+                "month": F.date_format("start", "yyyyMM"),
+            }
         )
-        .withColumn("zip_line_num", F.col("line_num"))
         .drop("line_num")
     )
 
@@ -309,7 +296,7 @@ def claim(stocks: DataFrame, codes: DataFrame) -> DataFrame:
 
 def retract_rows(rows: DataFrame, keys: DataFrame, on: list[str] = ["path"]) -> DataFrame:
     """Rows without those of the retracted keys."""
-    return rows.join(keys.select(*on).distinct(), on, "left_anti")
+    return rows.join(keys.select(*on), on, "left_anti")
 
 
 def mark_retracted(files: DataFrame, keys: DataFrame) -> DataFrame:

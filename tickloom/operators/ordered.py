@@ -64,14 +64,16 @@ def running(
     order: list[str],
     values: dict[str, tuple[str, Column]],
     max_group_rows: int = MAX_GROUP_ROWS,
+    extent: int | None = None,
 ) -> DataFrame:
     """Add a value over all rows of the group up to the current one.
 
     ``values`` maps a new column to ``(kind, expression)`` with kind ``max``,
     ``min``, ``sum``, ``last`` or ``first``; nulls are skipped. ``order`` must be
-    a total order within a group.
+    a total order within a group. ``extent`` gives the rows of the largest group
+    where they are known already.
     """
-    if group_extent(df, keys) <= max_group_rows:
+    if (group_extent(df, keys) if extent is None else extent) <= max_group_rows:
         upto = (
             Window.partitionBy(*keys)
             .orderBy(*order)

@@ -18,6 +18,7 @@ from tickloom.schema import (
     OPEN_INTEREST_STD,
     PRICE_STD,
 )
+from tickloom.session import staged
 
 FAILED = "row_failed"
 
@@ -170,26 +171,29 @@ def repair_open_interest(
     """Where the open interest of a contract spreads beyond the limit, values
     above twice the spread take the last value before them.
 
-    Only contracts beyond the limit enter the ordered pass."""
+    Only contracts beyond the limit enter the ordered pass; their list, one row
+    each, is written down first."""
     key = ["InstrumentID"]
     value = F.col("OpenInterest")
-    spread = ticks.groupBy(*key).agg(F.stddev_samp(value).alias("_std")).filter(F.col("_std") > std_limit)
+    spread = staged(
+        ticks.groupBy(*key)
+        .agg(F.stddev_samp(value).alias("_std"), F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_std") > std_limit)
+    )
+    extent = spread.agg(F.max("_rows")).first()[0]
+    if extent is None:
+        return ticks
     wild = ticks.join(spread, key)
     calm = ticks.join(spread, key, "left_anti")
     seen = F.when(value > 2 * F.col("_std"), F.lit(None)).otherwise(value)
-    mended = ordered.running(wild, key, [time, "seq"], {"_filled": ("last", seen)}, max_group_rows)
+    mended = ordered.running(
+        wild, key, [time, "seq"], {"_filled": ("last", seen)}, max_group_rows, extent
+    )
     return calm.unionByName(
         mended.withColumn("OpenInterest", F.col("_filled")).select(*ticks.columns)
     )
 
 
-def _long_form(ticks: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in columns]
-    )
-    return ticks.select(key, F.inline(pairs)).filter(F.col("value").isNotNull())
-
-
 def describe(
     ticks: DataFrame,
     columns: list[str],
@@ -198,20 +202,28 @@ def describe(
 ) -> DataFrame:
     """Count, mean, spread, extremes and exact quartiles per contract and column.
 
-    Quartiles come from counts of distinct values: their running totals locate
-    the two ranks each quartile lies between, and no group is ever gathered."""
+    Quartiles come from counts of distinct values, written down once: their
+    running totals locate the two ranks each quartile lies between, and no group
+    is ever gathered."""
     group = [key, "field"]
-    counted = (
-        _long_form(ticks, key, columns).groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n"))
-    )
+    pairs = [F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in columns]
+    long = ticks.select(key, F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
+    counted = staged(long.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n")))
     summed = ordered.running(counted, group, ["value"], {"upto": ("sum", F.col("n"))}, max_group_rows)
-    moments = _long_form(ticks, key, columns).groupBy(*group).agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    made = {
+        "count": F.count,
+        "mean": F.avg,
+        "std": F.stddev_samp,
+        "min": F.min,
+        "max": F.max,
+    }
+    wide = ticks.groupBy(key).agg(
+        *[f(F.col(c).cast("double")).alias(f"{c}.{n}") for c in columns for n, f in made.items()]
     )
+    rows = [
+        F.struct(F.lit(c).alias("field"), *[F.col(f"`{c}.{n}`").alias(n) for n in made]) for c in columns
+    ]
+    moments = wide.select(key, F.inline(F.array(*rows))).filter(F.col("count") > 0)
     ranked = summed.join(moments.select(*group, "count"), group)
 
     def at_rank(rank: Column) -> Column:

@@ -11,6 +11,7 @@ from tickloom.functions import ids, times
 from tickloom.operators import backtest, bars, catalog, filters, projections, quality, sampling, stats, userfuncs
 from tickloom.plans import klines, sessions
 from tickloom.schema import LEVELS
+from tickloom.session import staged
 from tickloom.sources import shared_tables as tables, stores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,13 +128,14 @@ def _rounded_bars(made: DataFrame) -> DataFrame:
 
 @query
 def load_kline(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded_bars(stores.load_bars(_bars(spark, sf, "1H"), PRODUCTS, "1H"))
+    stored = staged(_bars(spark, sf, "1H"))
+    return _rounded_bars(stores.load_bars(stored, PRODUCTS, "1H"))
 
 
 @query
 def load_1day_kline(spark: SparkSession, sf: str) -> DataFrame:
     daily = catalog.with_dominant_flag(bars.daily(_bars(spark, sf, "1d")), tables.catalog(spark, sf))
-    return _rounded_bars(stores.load_daily(daily, PRODUCTS))
+    return _rounded_bars(stores.load_daily(staged(daily), PRODUCTS))
 
 
 @query
@@ -210,7 +212,7 @@ for _name in ("wait_import", "df_valid", "valid", "main", "sub_main"):
 
 @query
 def split_views(spark: SparkSession, sf: str) -> DataFrame:
-    rows = split_rows(spark, sf)
+    rows = staged(split_rows(spark, sf))
     return stats.concat(
         [
             view(rows).select(F.lit(name).alias("view"), "path", "day", "time_type", "high")

@@ -9,24 +9,28 @@ from tickloom.operators import catalog, quality
 from tickloom.schema import MAX_REPEATS, MIN_ROWS
 
 
+def _rounded(ticks: DataFrame) -> DataFrame:
+    return ticks.withColumn("UpdateTime", times.half_second(F.col("UpdateTime")))
+
+
 def split_verdicts(ticks: DataFrame, max_repeats: int = MAX_REPEATS, keys: list[str] = ["path"]) -> DataFrame:
-    """The tag of each file that cannot be split: one part of a second only, too
-    many repeated instants, or, untagged by name, ticks outside the clock's
-    sessions."""
-    parts = quality.sub_second_verdict(ticks, keys).select(*keys, F.col("tag").alias("_ms"))
-    rounded = ticks.withColumn("UpdateTime", times.half_second(F.col("UpdateTime")))
-    repeats = quality.duplicate_verdict(rounded, keys, max_repeats).select(*keys, F.col("tag").alias("_dup"))
-    unknown = rounded.groupBy(*keys).agg(
-        F.max(times.session_by_clock(F.col("UpdateTime")) == times.UNKNOWN).alias("_unknown")
+    """The tag of each file that cannot be split: whole or half seconds only, too
+    many repeated instants, or ticks outside the clock's sessions. Copies of a
+    row do not count as repeats and must be gone already."""
+    t = F.col("UpdateTime")
+    instants = _rounded(ticks).groupBy(*keys, "UpdateTime").agg(F.count(F.lit(1)).alias("n"))
+    whole = times.sub_second(t) == 0
+    stats = instants.groupBy(*keys).agg(
+        (F.sum("n") - F.count(F.lit(1))).alias("dropped"),
+        (F.max(whole) & F.max(~whole)).alias("has_both"),
+        F.max(times.session_by_clock(t) == times.UNKNOWN).alias("unknown"),
     )
-    return (
-        parts.join(repeats, keys)
-        .join(unknown, keys)
-        .select(
-            *keys,
-            F.coalesce("_ms", "_dup", F.when(F.col("_unknown"), F.lit(times.UNKNOWN))).alias("tag"),
-        )
+    tag = (
+        F.when(~F.col("has_both"), F.lit("time_no_ms"))
+        .when(F.col("dropped") > max_repeats, F.lit("dup_time"))
+        .when(F.col("unknown"), F.lit(times.UNKNOWN))
     )
+    return stats.select(*keys, tag.alias("tag"))
 
 
 def labelled_ticks(
@@ -35,18 +39,20 @@ def labelled_ticks(
     max_repeats: int = MAX_REPEATS,
     keys: list[str] = ["path"],
 ) -> DataFrame:
-    """Ticks ready to split: copies removed, parts of a second rounded, instants
-    unique, sessions from the clock. ``strict`` leaves out the files that cannot
-    be split; otherwise only their ticks without a session."""
-    distinct = quality.dedupe_rows(ticks)
-    usable = distinct
+    """Ticks ready to split: parts of a second rounded, the first tick of each
+    instant, sessions from the clock. ``strict`` leaves out the files that cannot
+    be split; otherwise only their ticks without a session.
+
+    Keeping one tick an instant takes care of copies, which need removing only
+    to judge a file by its repeats."""
+    usable = ticks
     if strict:
-        verdicts = split_verdicts(distinct, max_repeats, keys)
-        usable = quality.passing(distinct, verdicts, keys)
-    rounded = usable.withColumn("UpdateTime", times.half_second(F.col("UpdateTime")))
-    once = quality.dedupe_time(rounded, keys)
-    labelled = once.withColumn("time_type", times.session_by_clock(F.col("UpdateTime")))
-    known, _ = quality.set_aside(labelled)
+        verdicts = split_verdicts(quality.dedupe_rows(ticks), max_repeats, keys)
+        usable = quality.passing(ticks, verdicts, keys)
+    once = quality.dedupe_time(_rounded(usable), keys)
+    known, _ = quality.set_aside(
+        once.withColumn("time_type", times.session_by_clock(F.col("UpdateTime")))
+    )
     return known
 
 
