@@ -244,7 +244,7 @@ def test_splitting_a_night(spark, tmp_path):
     ticks = file_of(spark, tmp_path, evening + after + morning + stray)
     labelled = sessions.labelled_ticks(ticks)
     files = catalog.file_stats(ticks).withColumns(
-        {"data_type": F.lit("tick"), "isDominant": F.lit(True), "is2ndDominant": F.lit(False),
+        {"isDominant": F.lit(True), "is2ndDominant": F.lit(False),
          "tags": F.array().cast("array<string>"), "doc_num": F.lit(0)}
     )
     rows = sessions.split_rows(labelled, files)
@@ -367,6 +367,17 @@ def test_bars_hash_their_groups(spark, timed):
     assert "SortAggregate" not in plan and plan.count("HashAggregate") >= 2
 
 
+@pytest.mark.parametrize("bound", [None, 10**4, 10**8, 10**10, 1 << 60])
+def test_file_stats_at_any_position_bound(spark, bound):
+    ticks = tables.ticks(spark, SF).withColumn("UpdateTime", F.lit("2024-01-01 10:00:00").cast("timestamp_ntz"))
+    whole = ticks.withColumn("path", F.lit("2024/4/AG/AG2401/2024/202401/20240101.spt"))
+    row = catalog.file_stats(whole, bound).first()
+    by_seq = [r.LastPrice for r in whole.orderBy("seq").collect()]
+    assert (row.open, row.close, row.line_num) == (by_seq[0], by_seq[-1], len(by_seq))
+    plan = catalog.file_stats(whole, bound)._jdf.queryExecution().executedPlan().toString()
+    assert ("SortAggregate" in plan) == (bound is None or bound > 10**11)
+
+
 def test_refreshing_bars(spark, tmp_path):
     ticks = tables.ticks(spark, SF)
     bar_folder, day_folder = str(tmp_path / "bars"), str(tmp_path / "days")

@@ -25,12 +25,16 @@ def _width(level: str) -> int:
     return LEVELS[level] * times.MINUTE
 
 
+def fits_one_key(width: int, seq_bound: int | None) -> bool:
+    return seq_bound is not None and width.bit_length() + seq_bound.bit_length() <= 62
+
+
 def tick_order(at: Column, seq: Column, base: Column, width: int, seq_bound: int | None) -> Column:
     """Order of ticks within a bin: microseconds into the bin, then position.
 
     Both fit one long while ``seq_bound``, an upper bound of the positions, is
     small enough for the bin width; a pair takes over beyond that."""
-    if seq_bound is not None and width.bit_length() + seq_bound.bit_length() <= 62:
+    if fits_one_key(width, seq_bound):
         return (at - base) * F.lit(1 << seq_bound.bit_length()) + seq
     return F.struct(at.alias("at"), seq.alias("seq"))
 

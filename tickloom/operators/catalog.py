@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions import ids, text, times
-from tickloom.operators.bars import tick_order
+from tickloom.operators.bars import fits_one_key, tick_order
 from tickloom.operators.filters import without_tags
 from tickloom.schema import DOMINANT_KIND, INDEX_KIND, MIN_ROWS, MULTIPLIER
 
-FILE = ["path", "MarketID", "category", "InstrumentID", "month", "day"]
+# Widths a group's first and last ticks may be found in before its parts merge.
+PARTS = (times.DAY, times.HOUR, times.MINUTE)
 
 # Tags that keep a file out of the valid and dominant views.
 UNUSABLE = ["invalid_day", "too_small", "dup_time", "time_no_ms"]
@@ -23,15 +24,16 @@ def slice_stats(
 ) -> DataFrame:
     """Time span and price statistics of the ticks of each group.
 
-    Minutes are summed up first: within one, time and position fit a single
-    order key, and few rows per group are left to merge."""
+    Groups are summed up by day first, or by hour or minute where positions grow
+    so large that they and the time fit a single order key only within those."""
     price, volume = F.col("LastPrice"), F.col("LastVolume")
-    key, minute = F.col("_order"), F.col("_minute")
+    key, start = F.col("_order"), F.col("_part")
     at = times.micros(F.col("UpdateTime"))
-    minutes = (
-        ticks.withColumn("_minute", times.bin_start(at, times.MINUTE))
-        .withColumn("_order", tick_order(at, F.col("seq"), minute, times.MINUTE, seq_bound))
-        .groupBy(*keys, "_minute")
+    width = next((w for w in PARTS if fits_one_key(w, seq_bound)), PARTS[-1])
+    parts = (
+        ticks.withColumn("_part", times.bin_start(at, width))
+        .withColumn("_order", tick_order(at, F.col("seq"), start, width, seq_bound))
+        .groupBy(*keys, "_part")
         .agg(
             F.count(F.lit(1)).alias("line_num"),
             F.count_if(volume >= 0).alias("zip_line_num"),
@@ -49,19 +51,19 @@ def slice_stats(
             F.sum(volume).alias("volume_sum"),
         )
     )
-    merged = minutes.groupBy(*keys).agg(
+    merged = parts.groupBy(*keys).agg(
         F.sum("line_num").alias("line_num"),
         F.sum("zip_line_num").alias("zip_line_num"),
         F.min("start").alias("start"),
         F.max("end").alias("end"),
-        F.min_by("open", minute).alias("open"),
-        F.max_by("close", minute).alias("close"),
+        F.min_by("open", start).alias("open"),
+        F.max_by("close", start).alias("close"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
         F.sum("price_sum").alias("price_sum"),
         F.sum("prices").alias("prices"),
-        F.max_by("OpenInterest", minute).alias("OpenInterest"),
-        F.max_by("Turnover", minute).alias("Turnover"),
+        F.max_by("OpenInterest", start).alias("OpenInterest"),
+        F.max_by("Turnover", start).alias("Turnover"),
         F.coalesce(F.sum("Turnover_calc"), F.lit(0.0)).alias("Turnover_calc"),
         F.coalesce(F.sum("volume_sum"), F.lit(0.0)).alias("volume_sum"),
     )
@@ -74,41 +76,34 @@ def slice_stats(
 
 
 def file_stats(
-    ticks: DataFrame,
-    keys: list[str] = FILE,
-    seq_bound: int | None = None,
-    multiplier: float = MULTIPLIER,
+    ticks: DataFrame, seq_bound: int | None = None, multiplier: float = MULTIPLIER
 ) -> DataFrame:
-    """Time span and price statistics of each file."""
-    return slice_stats(ticks, keys, seq_bound, multiplier)
+    """Time span and price statistics of each file, with its path columns."""
+    return ids.with_path_parts(slice_stats(ticks, ["path"], seq_bound, multiplier))
 
 
 def session_stats(
     ticks: DataFrame,
     min_rows: int = MIN_ROWS,
-    keys: list[str] = FILE,
     seq_bound: int | None = None,
     multiplier: float = MULTIPLIER,
 ) -> DataFrame:
     """Statistics of each (file, trading day, session); ``ticks`` carry their
     session in ``time_type``. The file's own day is kept as ``file_day``."""
-    own = [k for k in keys if k not in ("day", "month")]
-    labelled = (
-        ticks.withColumnRenamed("day", "file_day")
-        .drop("month")
-        .withColumn("day", times.split_day(F.col("UpdateTime")))
-    )
-    stats = slice_stats(labelled, [*own, "file_day", "day", "time_type"], seq_bound, multiplier)
+    labelled = ticks.withColumn("split_day", times.split_day(F.col("UpdateTime")))
+    stats = slice_stats(labelled, ["path", "split_day", "time_type"], seq_bound, multiplier)
+    named = ids.with_path_parts(stats.filter(F.col("line_num") >= min_rows))
     return (
-        stats.filter(F.col("line_num") >= min_rows)
-        .withColumns(
+        named.withColumns(
             {
                 "zip_line_num": F.col("line_num"),
+                "file_day": F.col("day"),
+                "day": F.col("split_day"),
                 "year": F.date_format("start", "yyyy"),
                 "month": F.date_format("start", "yyyyMM"),
             }
         )
-        .drop("line_num")
+        .drop("line_num", "split_day")
     )
 
 

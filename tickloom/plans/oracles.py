@@ -357,7 +357,10 @@ ORACLES: dict[str, str] = {
     "file_stats": _with(TICKS, FILE_STATS)
     + """SELECT * REPLACE (round(mean, 8) AS mean, round(Turnover, 4) AS Turnover,
       round(Turnover_calc, 4) AS Turnover_calc),
-      floor((epoch_us("end") - epoch_us("start")) / 1000000)::BIGINT AS diff_sec FROM stats""",
+      floor((epoch_us("end") - epoch_us("start")) / 1000000)::BIGINT AS diff_sec, substr(day, 1, 4) AS year,
+      right(InstrumentID, 4) AS subID,
+      CASE WHEN right(InstrumentID, 4) IN ('0000', '9999') THEN right(InstrumentID, 4) ELSE 'tick' END AS data_type
+    FROM stats""",
     "split_sessions": CAT_SPLITS
     + """SELECT path, InstrumentID, file_day, split_day AS day, time_type, strftime("start", '%Y') AS year,
       strftime("start", '%Y%m') AS month, zip_line_num, "start", "end",

@@ -237,7 +237,7 @@ def dominant_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def file_stats(spark: SparkSession, sf: str) -> DataFrame:
-    found = catalog.file_stats(tables.ticks(spark, sf), seq_bound=tables.seq_bound(spark, sf))
+    found = catalog.file_stats(tables.ticks(spark, sf), tables.seq_bound(spark, sf))
     return rounded(rounded(found, "Turnover", "Turnover_calc", digits=4), "mean")
 
 

@@ -61,7 +61,7 @@ def split_rows(
 ) -> DataFrame:
     """Session rows of labelled ticks with the flags of their file."""
     stats = catalog.session_stats(labelled, min_rows, seq_bound=seq_bound)
-    flags = files.select("path", "data_type", "isDominant", "is2ndDominant")
+    flags = files.select("path", "isDominant", "is2ndDominant")
     stored = F.concat_ws(
         "/",
         F.col("MarketID").cast("string"),
