@@ -10,6 +10,7 @@ from tickloom.operators import ordered
 from tickloom.operators.filters import in_session
 from tickloom.operators.projections import for_training
 from tickloom.schema import DOMINANT_KIND, MULTIPLIER
+from tickloom.session import listed
 
 # What the running extremes start from, and the share of the move
 # since entry by which a trailing stop widens.
@@ -82,7 +83,7 @@ def cut_before(df: DataFrame, keys: list[str], order: list[str], event: Column)
     """Rows of a group before its first row where ``event`` holds; the whole
     group if there is none."""
     at = F.struct(*order)
-    cuts = df.filter(event).groupBy(*keys).agg(F.min(at).alias("_cut"))
+    cuts = listed(df.filter(event).groupBy(*keys).agg(F.min(at).alias("_cut")))
     return (
         df.join(cuts, keys, "left")
         .filter(F.col("_cut").isNull() | (at < F.col("_cut")))

@@ -8,6 +8,7 @@ from tickloom.functions import ids, text, times
 from tickloom.operators.bars import fits_one_key, tick_order
 from tickloom.operators.filters import without_tags
 from tickloom.schema import DOMINANT_KIND, INDEX_KIND, MIN_ROWS, MULTIPLIER
+from tickloom.session import listed
 
 # Widths a group's first and last ticks may be found in before its parts merge.
 PARTS = (times.DAY, times.HOUR, times.MINUTE)
@@ -291,7 +292,7 @@ def claim(stocks: DataFrame, codes: DataFrame) -> DataFrame:
 
 def retract_rows(rows: DataFrame, keys: DataFrame, on: list[str] = ["path"]) -> DataFrame:
     """Rows without those of the retracted keys."""
-    return rows.join(keys.select(*on), on, "left_anti")
+    return rows.join(listed(keys.select(*on)), on, "left_anti")
 
 
 def mark_retracted(files: DataFrame, keys: DataFrame) -> DataFrame:

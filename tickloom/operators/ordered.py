@@ -1,10 +1,11 @@
 """Running values and row numbers over ordered groups of any size.
 
 A window over a group runs in one task. Groups up to ``MAX_GROUP_ROWS`` take
-that way. Once any group is larger, the rows are range-partitioned on group and
-order, so that a large group spreads over many partitions; each partition is
-scanned on its own and what the earlier partitions of the group amount to, one
-small row per group and partition, is joined in afterwards.
+that way. Once any group is larger, groups are cut into pieces along their
+order: by day, hour or minute where the order starts with a time and such pieces
+are small enough, else by range partitioning, which splits anything. Each piece
+is scanned on its own and what the earlier pieces of the group amount to, one
+small row per group and piece, is joined in.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickloom.functions import times
 from tickloom.session import staged
 
 MAX_GROUP_ROWS = 5_000_000
@@ -58,6 +60,20 @@ def _total(kind: str, value: Column, order: list[str]) -> Column:
     return _RUNNING[kind](value)
 
 
+def _cut(df: DataFrame, keys: list[str], order: list[str], max_rows: int) -> DataFrame:
+    """Number the pieces of every group in ``_piece``, growing along the order.
+
+    Pieces of time follow from the row alone. Range bounds come from a sample,
+    so the rows are written down with the piece they fell into."""
+    if df.schema[order[0]].dataType.typeName() in ("timestamp", "timestamp_ntz"):
+        for width in (times.DAY, times.HOUR, times.MINUTE):
+            pieces = df.withColumn("_piece", times.bin_start(times.micros(F.col(order[0])), width))
+            if group_extent(pieces, [*keys, "_piece"]) <= max_rows:
+                return pieces
+    ranged = df.repartitionByRange(*keys, *order)
+    return staged(ranged.withColumn("_piece", F.spark_partition_id()))
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -81,11 +97,8 @@ def running(
         )
         return df.withColumns({n: _RUNNING[k](v).over(upto) for n, (k, v) in values.items()})
 
-    pieces = staged(
-        df.withColumns({f"_in_{n}": v for n, (_, v) in values.items()})
-        .repartitionByRange(*keys, *order)
-        .withColumn("_piece", F.spark_partition_id())
-    )
+    inputs = df.withColumns({f"_in_{n}": v for n, (_, v) in values.items()})
+    pieces = _cut(inputs, keys, order, max_group_rows)
     upto = (
         Window.partitionBy("_piece", *keys)
         .orderBy(*order)
@@ -106,7 +119,7 @@ def running(
     same = reduce(
         lambda a, b: a & b,
         [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys],
-        F.col("_piece") == F.col("_p"),
+        F.col("_piece").eqNullSafe(F.col("_p")),
     )
     return local.join(before, same, "left").select(
         *df.columns,

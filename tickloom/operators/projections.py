@@ -13,6 +13,7 @@ from tickloom.schema import (
     DROPPED_FOR_TRAINING,
     DROPPED_ON_LOAD,
 )
+from tickloom.session import listed
 
 
 def for_kind(ticks: DataFrame, kind: str) -> DataFrame:
@@ -47,11 +48,10 @@ def for_bars(ticks: DataFrame, instruments: list[str] | None = None, min_rows: i
     """What a bar computation reads of the contracts, with the time bars are cut
     by. Contracts with fewer than ``min_rows`` ticks are left out."""
     own = ticks if instruments is None else ticks.filter(F.col("InstrumentID").isin(*instruments))
+    sizes = own.groupBy("InstrumentID").agg(F.count(F.lit(1)).alias("n"))
+    few = listed(sizes.filter(F.col("n") < min_rows).select("InstrumentID"))
     chosen = own.select("InstrumentID", "MarketID", *BAR_INPUT, "seq")
-    enough = (
-        own.groupBy("InstrumentID").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
-    )
-    return chosen.join(enough.select("InstrumentID"), "InstrumentID", "left_semi").withColumn(
+    return chosen.join(few, "InstrumentID", "left_anti").withColumn(
         "TradingTime", times.bar_time(F.col("UpdateTime"))
     )
 

@@ -18,7 +18,7 @@ from tickloom.schema import (
     OPEN_INTEREST_STD,
     PRICE_STD,
 )
-from tickloom.session import staged
+from tickloom.session import listed, staged
 
 FAILED = "row_failed"
 
@@ -82,8 +82,8 @@ def file_verdicts(
 
 def passing(ticks: DataFrame, verdicts: DataFrame, keys: list[str] = ["path"]) -> DataFrame:
     """Ticks of the files no rule rejected."""
-    good = verdicts.filter(F.col("tag").isNull()).select(*keys)
-    return ticks.join(good, keys, "left_semi")
+    rejected = listed(verdicts.filter(F.col("tag").isNotNull()).select(*keys))
+    return ticks.join(rejected, keys, "left_anti")
 
 
 def set_aside(ticks: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -175,7 +175,7 @@ def repair_open_interest(
     each, is written down first."""
     key = ["InstrumentID"]
     value = F.col("OpenInterest")
-    spread = staged(
+    spread = listed(
         ticks.groupBy(*key)
         .agg(F.stddev_samp(value).alias("_std"), F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_std") > std_limit)
@@ -206,8 +206,8 @@ def describe(
     running totals locate the two ranks each quartile lies between, and no group
     is ever gathered."""
     group = [key, "field"]
-    pairs = [F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in columns]
-    long = ticks.select(key, F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
+    numbers = ticks.select(key, *[F.col(c).cast("double").alias(c) for c in columns])
+    long = numbers.unpivot(key, columns, "field", "value").filter(F.col("value").isNotNull())
     counted = staged(long.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n")))
     summed = ordered.running(counted, group, ["value"], {"upto": ("sum", F.col("n"))}, max_group_rows)
     made = {
@@ -217,8 +217,8 @@ def describe(
         "min": F.min,
         "max": F.max,
     }
-    wide = ticks.groupBy(key).agg(
-        *[f(F.col(c).cast("double")).alias(f"{c}.{n}") for c in columns for n, f in made.items()]
+    wide = numbers.groupBy(key).agg(
+        *[f(c).alias(f"{c}.{n}") for c in columns for n, f in made.items()]
     )
     rows = [
         F.struct(F.lit(c).alias("field"), *[F.col(f"`{c}.{n}`").alias(n) for n in made]) for c in columns
@@ -247,8 +247,7 @@ def describe(
 def std_outliers(ticks: DataFrame, columns: list[str], limit: float = PRICE_STD, key: str = "InstrumentID") -> DataFrame:
     """Columns of a contract whose sample spread exceeds the limit."""
     spreads = ticks.groupBy(key).agg(*[F.stddev_samp(c).alias(c) for c in columns])
-    pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("std")) for c in columns])
-    return spreads.select(key, F.inline(pairs)).filter(F.col("std") > limit)
+    return spreads.unpivot(key, columns, "field", "std").filter(F.col("std") > limit)
 
 
 # --- row counts ----------------------------------------------------------------

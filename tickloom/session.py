@@ -64,6 +64,13 @@ def staged(df: DataFrame) -> DataFrame:
     return _write_scratch(df)[1]
 
 
+def listed(keys: DataFrame) -> DataFrame:
+    """A list of keys to join ticks with, written down first. The planner then
+    sees its true size and broadcasts a short list; taken straight from an
+    aggregate it would shuffle all ticks by a few, uneven keys."""
+    return staged(keys)
+
+
 @contextmanager
 def scratch(df: DataFrame) -> Iterator[DataFrame]:
     """Like ``staged`` within a job that runs to its end here: the table goes

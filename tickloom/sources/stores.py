@@ -10,7 +10,7 @@ from tickloom.operators.catalog import FILE_VIEWS
 from tickloom.operators.filters import filter_by
 from tickloom.operators.projections import catalog_days, for_load, without_level
 from tickloom.schema import BAR, STORED_CATEGORIES
-from tickloom.session import delete_folder
+from tickloom.session import delete_folder, listed
 
 TICK_PARTITIONS = ["MarketID", "category", "month"]
 BAR_PARTITIONS = ["level", "InstrumentID"]
@@ -75,7 +75,7 @@ def load_for_catalog(ticks: DataFrame, files: DataFrame, clean: bool = True, sor
     prunes the partitions that are read."""
     shared = [c for c in TICK_PARTITIONS if c in ticks.columns and c in files.columns]
     keys = [*shared, "InstrumentID", "day"]
-    loaded = ticks.join(files.select(*keys), keys, "left_semi")
+    loaded = ticks.join(listed(files.select(*keys)), keys, "left_semi")
     loaded = for_load(loaded) if clean else loaded
     return loaded.orderBy("UpdateTime", "seq") if sort else loaded
 
