@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests import ticks as made
 from tickloom.functions import ids, text, times
-from tickloom.operators import bars, catalog, filters, projections, quality, stats, userfuncs
+from tickloom.operators import backtest, bars, catalog, filters, projections, quality, stats, userfuncs
 from tickloom.plans import klines, sessions
 from tickloom.schema import LEVELS, RAW_TICK
 from tickloom.sources import raw, shared_tables as tables, stores
@@ -147,6 +147,78 @@ def test_unknown_category(spark):
 # --- projections ---------------------------------------------------------------
 
 
+def test_first_match(tagged):
+    assert filters.first_match(tagged, ["i"], tags="a").i == 2
+    assert filters.first_match(tagged, ["i"], tags="z") is None
+
+
+def test_retracting_stored_ticks(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    ticks = tables.ticks(spark, SF)
+    stores.write_ticks(ticks, folder)
+    doomed = ticks.filter("InstrumentID = 'CL2401' or category = 'ER'").select("path").distinct()
+    want = ticks.filter("InstrumentID <> 'CL2401' and category <> 'ER'")
+    stores.retract_ticks(spark, folder, ticks.schema, doomed)
+    left = stores.read_ticks(spark, folder, ticks.schema)
+    assert left.select(want.columns).exceptAll(want).count() == 0 and left.count() == want.count()
+    assert not list((tmp_path / "t").glob("MarketID=4/category=ER/*"))
+    files = tables.catalog(spark, SF)
+    marked = catalog.mark_retracted(files, doomed)
+    assert marked.filter("zip_path is null").join(doomed, "path").count() == doomed.count()
+
+
+def test_stocks(spark, tmp_path):
+    daily = stores.stock_daily(tables.stock_trades(spark, SF))
+    folder = str(tmp_path / "stocks")
+    stores.write_stocks(daily, folder)
+    one = stores.read_stock(spark, folder, "7.SZ")
+    assert one.count() == daily.filter("ts_code = '7.SZ'").count() > 0
+    stocks = tables.stock_basic(spark, SF)
+    codes = catalog.pending_symbols(stocks)
+    claimed = catalog.claim(stocks, codes)
+    assert catalog.pending_symbols(claimed).count() == 0
+    assert claimed.count() == stocks.count()
+
+
+def test_random_window(spark):
+    ticks = tables.ticks(spark, "/root/testdata/sf0.01").withColumn("time_type", times.session_by_hour(F.col("UpdateTime")))
+    window, pair, choice = backtest.random_window(ticks, "CL", seed=5)
+    again = backtest.random_window(ticks, "CL", seed=5)
+    assert (pair, choice) == again[1:] and pair[0] < pair[1]
+    got = window.collect()
+    labels = {"night": {"night"}, "am_pm": set(times.DAY_SESSIONS)}[choice]
+    assert got and {r.time_type for r in got} <= labels
+    second = ticks.filter((F.col("day") == pair[1]) & (F.col("time_type") != "night") & F.col("InstrumentID").isin("CL9999"))
+    stop = second.agg(F.min("UpdateTime")).first()[0]
+    assert all(r.UpdateTime < stop for r in got)
+    assert "mainID" not in window.columns and "InstrumentID" not in window.columns
+    with pytest.raises(ValueError):
+        backtest.random_window(ticks, "ZZ")
+
+
+def test_batch_load_is_ordered_and_empty_without_files(spark):
+    ticks, files = tables.ticks(spark, SF), tables.catalog(spark, SF)
+    loaded = stores.batch_load(ticks, files, "valid")
+    at = [(r.UpdateTime, r.seq) for r in loaded.collect()]
+    assert at == sorted(at) and at
+    assert "AvePrice" not in loaded.columns
+    assert stores.batch_load(ticks, files, "", InstrumentID="none").count() == 0
+
+
+def test_reports(spark):
+    files = tables.catalog(spark, SF)
+    line = catalog.report(files.filter("line_num = 1 and zip_line_num = 1").limit(1)).first().report
+    assert line.startswith("[") and "(150B), 1/1, tags=[too_small], time_len=" in line
+    rows = spark.createDataFrame(
+        [("p", "AG1906", "20190326", "fam", None, 5, [], 3600, None)],
+        "path string, InstrumentID string, day string, time_type string, zip_path string, "
+        "zip_line_num long, tags array<string>, diff_sec long, feature_num int",
+    )
+    assert catalog.split_report(rows).first().report == (
+        "[AG1906-20190326-fam]: file=None, 5, tags=[], time_len=3600s, f_num=None"
+    )
+
+
 def test_kind_projections(spark):
     raw_ticks = spark.createDataFrame([], RAW_TICK)
     assert len(projections.for_kind(raw_ticks, "tick").columns) == 42 - 24 - 2
@@ -393,6 +465,7 @@ def test_refreshing_bars(spark, tmp_path):
     left = stores.read_bars(spark, bar_folder)
     assert left.filter("InstrumentID = 'CL0000'").count() == 0
     assert left.filter("InstrumentID = 'CL2401'").count() > 0
+    assert spark.read.parquet(day_folder).filter("InstrumentID = 'CL0000'").count() == 0
     loaded = stores.load_bars(left, ["CL", "ER"], "1H")
     assert [r.TradingTime for r in loaded.collect()] == sorted(r.TradingTime for r in loaded.collect())
     with pytest.raises(LookupError):
@@ -423,6 +496,20 @@ def test_notes_given(spark):
     assert {r.note: r["count"] for r in stats.notes_count(df, ["a"]).collect()} == {"a": 1, "b": 1}
 
 
+def test_notes_refresh(spark):
+    df = spark.createDataFrame([(["a", "b"],), (["b"],), (["c"],)], "notes_key array<string>")
+    old = spark.createDataFrame([("a", 9), ("b", 9), ("c", 9)], "note string, count long")
+    assert sorted(stats.refreshed_notes(old, df, ["b"]).collect()) == [("a", 9), ("b", 2), ("c", 9)]
+    assert sorted(stats.refreshed_notes(old, df).collect()) == [("a", 1), ("b", 2), ("c", 1)]
+
+
+def test_one_dataset(spark):
+    sets = spark.createDataFrame([(1, 7), (2, 7), (3, 7)], "dataset int, count long")
+    rows = spark.createDataFrame([(1,), (2,), (2,)], "dataset int")
+    assert sorted(stats.dataset_counts(sets, rows, only=2).collect()) == [(1, 7), (2, 2), (3, 7)]
+    assert sorted(stats.dataset_counts(sets, rows).collect()) == [(1, 1), (2, 2), (3, 0)]
+
+
 def test_refresh_twice(spark):
     rows = tables.annotations(spark, SF)
     old = {name: stats.group_counts(rows, keys) for name, keys in (("src_stat", stats.SRC), ("cat_stat", stats.CAT), ("src_cat_stat", stats.SRC_CAT))}

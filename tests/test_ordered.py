@@ -92,6 +92,16 @@ def test_running_high_low_split_path(spark):
     assert rows(plain) == rows(split)
 
 
+def test_one_instant_is_split_too(spark):
+    """Pieces of time cannot split rows of a single instant; ranges can."""
+    now = F.lit("2024-01-01").cast("timestamp_ntz")
+    paths = tables.price_paths(spark, SF).withColumns({"trade_id": F.lit(1), "ts": now})
+    plain = backtest.running_high_low(paths, ["trade_id"], ["ts", "seq"])
+    split = backtest.running_high_low(paths, ["trade_id"], ["ts", "seq"], max_group_rows=50)
+    assert "staged-" in split._jdf.queryExecution().toString()
+    assert rows(plain) == rows(split)
+
+
 def test_open_interest_repair_split_path(spark):
     ticks = tables.ticks(spark, SF).withColumn("InstrumentID", F.lit("AG9999"))
     plain = quality.repair_open_interest(ticks)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions import ids, times
@@ -101,6 +101,11 @@ def filter_by(df: DataFrame, **wanted: Any) -> DataFrame:
     return df.filter(keyword_condition(df, **wanted))
 
 
+def first_match(df: DataFrame, order: list[str], **wanted: Any) -> Row | None:
+    """The first row, in the given order, that matches the keywords."""
+    return filter_by(df, **wanted).orderBy(*order).limit(1).first()
+
+
 def in_tradable_time(ticks: DataFrame, time: str = "UpdateTime") -> DataFrame:
     return ticks.filter(times.tradable(F.col(time)))
 

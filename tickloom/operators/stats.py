@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -77,6 +78,14 @@ def notes_count(df: DataFrame, notes: list[str] | None = None) -> DataFrame:
     return doc_statics(rows, {"notes_key": "note"}, unwind=["notes_key"], preserve_null=False)
 
 
+def refreshed_notes(old: DataFrame, df: DataFrame, notes: list[str] | None = None) -> DataFrame:
+    """Note counts computed anew, of all notes or of the given ones."""
+    new = notes_count(df, notes)
+    if not notes:
+        return new
+    return old.filter(~F.col("note").isin(*notes)).unionByName(new.filter(F.col("note").isin(*notes)))
+
+
 def name_counts(df: DataFrame, kind: str) -> DataFrame:
     """Rows per source or category that has a name."""
     if kind not in ("source", "category"):
@@ -85,15 +94,17 @@ def name_counts(df: DataFrame, kind: str) -> DataFrame:
     return named.groupBy(F.col(kind).alias("name")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def dataset_counts(datasets: DataFrame, rows: DataFrame, key: str = "dataset") -> DataFrame:
-    """Every dataset with its number of rows, zero where it has none."""
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        datasets.drop("count")
-        .join(counts, key, "left")
-        .withColumn("count", F.coalesce("_n", F.lit(0)))
-        .drop("_n")
-    )
+def dataset_counts(
+    datasets: DataFrame, rows: DataFrame, key: str = "dataset", only: Any = None
+) -> DataFrame:
+    """Every dataset with its number of rows, zero where it has none; with
+    ``only`` the others keep the count they have."""
+    chosen = F.lit(True) if only is None else F.col(key) == only
+    counts = rows.filter(chosen).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    new = F.coalesce("_n", F.lit(0).cast("long"))
+    kept = F.col("count") if "count" in datasets.columns else F.lit(None).cast("long")
+    joined = datasets.join(counts, key, "left")
+    return joined.withColumn("count", F.when(chosen, new).otherwise(kept)).drop("_n")
 
 
 def refreshed(old: DataFrame, new: DataFrame, **scope) -> DataFrame:

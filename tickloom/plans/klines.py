@@ -31,4 +31,4 @@ def refresh_bars(
     made = bars.bars_at_levels(bar_input(ticks, instruments), [*levels, "1d"], seq_bound=seq_bound)
     with scratch(made) as rows:
         stores.write_bars(rows.filter("level <> '1d'"), bar_folder, instruments or [], levels)
-        stores.write_daily(rows.filter("level = '1d'"), daily_folder)
+        stores.write_daily(rows.filter("level = '1d'"), daily_folder, instruments or [])

@@ -6,11 +6,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from tickloom.functions import ids
 from tickloom.operators.catalog import FILE_VIEWS
 from tickloom.operators.filters import filter_by
 from tickloom.operators.projections import catalog_days, for_load, without_level
 from tickloom.schema import BAR, STORED_CATEGORIES
-from tickloom.session import delete_folder, listed
+from tickloom.session import delete_folder, listed, scratch
 
 TICK_PARTITIONS = ["MarketID", "category", "month"]
 BAR_PARTITIONS = ["level", "InstrumentID"]
@@ -69,6 +70,19 @@ def read_ticks(spark: SparkSession, folder: str, schema: StructType, **wanted) -
     return filter_by(read_or_empty(spark, folder, schema), **wanted)
 
 
+def retract_ticks(spark: SparkSession, folder: str, schema: StructType, paths: DataFrame) -> None:
+    """Delete the stored ticks of some files. Only the partitions that hold them
+    are rewritten; those left with no ticks go last."""
+    keys = ids.with_path_parts(paths.select("path").distinct()).select("path", *TICK_PARTITIONS)
+    touched = listed(keys.select(*TICK_PARTITIONS).distinct())
+    stored = read_or_empty(spark, folder, schema).join(touched, TICK_PARTITIONS, "left_semi")
+    with scratch(stored.join(listed(keys.select("path")), "path", "left_anti")) as kept:
+        write_ticks(kept.select(*schema.names), folder)
+        left = kept.select(*TICK_PARTITIONS).distinct()
+        for partition in touched.join(left, TICK_PARTITIONS, "left_anti").collect():
+            drop_partition(spark, folder, partition.asDict())
+
+
 def load_for_catalog(ticks: DataFrame, files: DataFrame, clean: bool = True, sort: bool = True) -> DataFrame:
     """Ticks of the selected catalog rows with the day of their file, in time
     order. Partition columns both sides have join too, so that the selection
@@ -110,18 +124,27 @@ def category_ticks(
 def write_bars(bars: DataFrame, folder: str, instruments: list[str] = (), levels: list[str] = ()) -> None:
     """Replace the bars of each contract and level. The contracts and levels
     named lose their old bars even where there are no new ones."""
-    for level in levels:
-        for instrument in instruments:
-            drop_partition(bars.sparkSession, folder, {"level": level, "InstrumentID": instrument})
     write_partitions(bars, folder, BAR_PARTITIONS, ["TradingTime"])
+    if instruments and levels:
+        named = F.col("InstrumentID").isin(*instruments) & F.col("level").isin(*levels)
+        found = bars.filter(named).select("level", "InstrumentID").distinct().collect()
+        gone = {(le, i) for le in levels for i in instruments} - {tuple(r) for r in found}
+        for level, instrument in sorted(gone):
+            drop_partition(bars.sparkSession, folder, {"level": level, "InstrumentID": instrument})
 
 
 def read_bars(spark: SparkSession, folder: str) -> DataFrame:
     return read_or_empty(spark, folder, BAR)
 
 
-def write_daily(bars: DataFrame, folder: str) -> None:
+def write_daily(bars: DataFrame, folder: str, instruments: list[str] = ()) -> None:
+    """Replace the daily bars of each contract, also of those named without any."""
     write_partitions(without_level(bars), folder, ["InstrumentID"], ["TradingTime"])
+    if instruments:
+        named = bars.filter(F.col("InstrumentID").isin(*instruments))
+        found = {r.InstrumentID for r in named.select("InstrumentID").distinct().collect()}
+        for instrument in sorted(set(instruments) - found):
+            drop_partition(bars.sparkSession, folder, {"InstrumentID": instrument})
 
 
 def load_bars(bars: DataFrame, categories: list[str], level: str) -> DataFrame:
