@@ -130,7 +130,8 @@ def count_upsert(table: DataFrame, rows: DataFrame, kind: str, value: str) -> Da
     if kind not in ("source", "category") or not value:
         raise ValueError(f"cannot update {kind!r} with {value!r}")
     count = filter_by(rows, **{kind: value}).agg(F.count(F.lit(1)).alias("count"))
-    return upserted(table, count.withColumn("name", F.lit(value)), ["name"], ["count"])
+    others = table.filter(~F.col("name").eqNullSafe(F.lit(value)))
+    return others.unionByName(count.withColumn("name", F.lit(value)))
 
 
 def replace_by_key(old: DataFrame, new: DataFrame, scope: DataFrame) -> DataFrame:

@@ -480,6 +480,9 @@ ORACLES: dict[str, str] = {
     "count_upsert": CAT_NOTED
     + """SELECT source AS name, count(*) AS "count" FROM annotations
     WHERE source = 'src7' OR subcategory IS NOT NULL GROUP BY 1""",
+    "counts_upsert": CAT_NOTED
+    + f"""SELECT {SRC}, CASE WHEN count(subcategory) > 0 THEN count(subcategory) ELSE count(*) END AS "count"
+    FROM annotations GROUP BY {SRC}""",
     "related_refresh": _related(),
     "append_fake_stats": _made_up(),
     "running_high_low": """SELECT user_id AS trade_id, ts, event_id AS seq, value AS LastPrice,

@@ -109,8 +109,9 @@ def ticks_by_id(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def replace_by_key(spark: SparkSession, sf: str) -> DataFrame:
-    made = bars.bars_at_levels(projections.for_bars(tables.ticks(spark, sf)), ["1H", "1d"])
-    short = made.select("InstrumentID", "level", "TradingTime", "close")
+    ticks, bound = projections.for_bars(tables.ticks(spark, sf)), tables.seq_bound(spark, sf)
+    made = bars.bars_at_levels(ticks, ["1H", "1d"], seq_bound=bound)
+    short = staged(made.select("InstrumentID", "level", "TradingTime", "close"))
     stale = short.withColumn("close", F.lit(0.0))
     scope = stale.filter("level = '1H'").select("InstrumentID", "level")
     return stats.replace_by_key(stale, short.filter("level = '1H'"), scope)
@@ -521,6 +522,14 @@ def count_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return stats.count_upsert(old, rows, "source", "src7")
 
 
+@query
+def counts_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    rows = tables.annotations(spark, sf)
+    old = stats.group_counts(rows, stats.SRC)
+    judged = stats.group_counts(rows.filter("subcategory is not null"), stats.SRC)
+    return stats.upserted(old, judged, stats.SRC, ["count"])
+
+
 @query
 def related_refresh(spark: SparkSession, sf: str) -> DataFrame:
     rows = tables.annotations(spark, sf)
