@@ -157,6 +157,20 @@ def test_import_twice_changes_nothing(spark, root, tmp_path):
     assert stores.read_ticks(spark, ticks, CLEAN_TICK).count() == rows + 300
 
 
+def test_import_after_a_broken_run(spark, root, tmp_path):
+    """Ticks stored by a run that died before it registered them do not double."""
+    made.all_cases(root)
+    ticks, files = str(tmp_path / "ticks"), str(tmp_path / "files")
+    importing.import_files(spark, str(root), ticks, files)
+    rows = stores.read_ticks(spark, ticks, CLEAN_TICK).count()
+    importing.import_files(spark, str(root), ticks, str(tmp_path / "lost"))
+    assert stores.read_ticks(spark, ticks, CLEAN_TICK).count() == rows
+    found = importing.import_files(spark, str(root), ticks, files, force=True)
+    stored = stores.read_ticks(spark, ticks, CLEAN_TICK)
+    assert stored.count() == stored.select("path", "seq").distinct().count() == rows
+    assert found.count() == 8
+
+
 def test_import_rules(spark, root, tmp_path):
     made.write(root, made.every_half_second(220), "CU1906")
     made.write(root, made.every_half_second(220), "CU9999")

@@ -482,6 +482,8 @@ def test_statics_leave_out_empty_first_field(spark):
     assert stats.doc_statics(df, {"k": None}).collect() == [("a", 2)]
     assert stats.doc_statics(df, {"k": "name"}, sum_field="n").collect() == [("a", 3)]
     assert stats.doc_statics(df, {"n": None}, where={"k__ne": None}).count() == 3
+    with pytest.raises(ValueError):
+        stats.doc_statics(df, {"n": None}, unwind=["k"])
 
 
 def test_statics_sample(spark):
@@ -571,9 +573,15 @@ def test_row_function_hooks(spark, tmp_path):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
     try:
         seen = userfuncs.each_row(
-            df, lambda f: None, F.col("id") >= 500, lambda: mark(started), lambda: mark(batches)
+            df,
+            lambda f: mark(tmp_path / f"page{userfuncs.page_number()}"),
+            F.col("id") >= 500,
+            lambda: mark(tmp_path / "once"),
+            lambda: mark(started),
+            lambda: mark(batches),
         )
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert seen == 500
     assert len(started.read_text()) == 2 and len(batches.read_text()) >= 5
+    assert (tmp_path / "once").read_text() == "x" and (tmp_path / "page1").exists()

@@ -135,11 +135,11 @@ def with_dominance(files: DataFrame) -> DataFrame:
     ).drop("_rank", "_most")
 
 
-def with_dominant_flag(bars: DataFrame, files: DataFrame) -> DataFrame:
-    """Bars with the dominance of their contract on their day."""
+def with_dominant_flag(rows: DataFrame, files: DataFrame, day: Column) -> DataFrame:
+    """Ticks or bars with the dominance of their contract on their day."""
     flags = files.groupBy("InstrumentID", "day").agg(F.max("isDominant").alias("isDominant"))
-    dated = bars.withColumn("day", times.calendar_day(F.col("TradingTime")))
-    joined = dated.join(flags, ["InstrumentID", "day"], "left").drop("day")
+    flags = listed(flags.withColumnRenamed("day", "_day"))
+    joined = rows.withColumn("_day", day).join(flags, ["InstrumentID", "_day"], "left").drop("_day")
     return joined.withColumn("isDominant", F.coalesce("isDominant", F.lit(False)))
 
 

@@ -41,6 +41,8 @@ def doc_statics(
         *([F.col(sum_field).alias("_summed")] if sum_field else []),
     )
     for field in unwind or []:
+        if field not in names:
+            raise ValueError(f"{field} is unwound but not counted")
         split = F.explode_outer if preserve_null else F.explode
         rows = rows.withColumn(names[field], split(names[field]))
     total = F.coalesce(F.sum("_summed"), F.lit(0)) if sum_field else F.count(F.lit(1))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import StructType
 
@@ -13,6 +14,11 @@ from tickloom.operators.ordered import MAX_GROUP_ROWS, group_extent
 Frame = pd.DataFrame
 
 
+def page_number() -> int:
+    """Within a user function, the number of the task it runs in."""
+    return TaskContext.get().partitionId()
+
+
 def _same_rows(func: Callable[[Frame], Frame]) -> Callable[[Frame], Frame]:
     def run(frame: Frame) -> Frame:
         out = func(frame)
@@ -82,10 +88,14 @@ def each_row(
     df: DataFrame,
     func: Callable[[Frame], None],
     where: Column | None = None,
+    init: Callable[[], None] | None = None,
     init_task: Callable[[], None] | None = None,
     after_batch: Callable[[], None] | None = None,
 ) -> int:
-    """Run a function for its side effects; returns the rows it has seen."""
+    """Run a function for its side effects, after one call on the driver; returns
+    the rows it has seen. A task that is repeated repeats its side effects."""
+    if init is not None:
+        init()
 
     def seen(frame: Frame) -> Frame:
         func(frame)

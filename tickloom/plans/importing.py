@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.functions import ids, times
 from tickloom.operators import filters, quality
 from tickloom.operators.catalog import files_to_import
-from tickloom.schema import CATALOG, MAX_DATE, MIN_DATE, MIN_ROWS, RAW_TICK
-from tickloom.session import scratch
+from tickloom.schema import CATALOG, CLEAN_TICK, MAX_DATE, MIN_DATE, MIN_ROWS, RAW_TICK
+from tickloom.session import listed, scratch
 from tickloom.sources import raw, stores
 
 
@@ -92,17 +92,22 @@ def import_files(
     catalog_folder: str,
     pattern: str = raw.GLOB,
     rules: Rules = Rules(),
+    force: bool = False,
 ) -> DataFrame:
-    """Import the matching files that are not stored yet; returns the catalog.
+    """Import the matching files that are not stored yet, or with ``force`` all;
+    returns the catalog.
 
-    Narrow ``pattern`` to a year, market or product to narrow what is read."""
+    Narrow ``pattern`` to a year, market or product to narrow what is read. Ticks
+    are stored before their files are registered; what a broken run has stored
+    without registering is deleted by the next."""
     files = stores.read_or_empty(spark, catalog_folder, CATALOG)
     listing = wanted_files(raw.list_files(spark, root, pattern), rules)
-    todo = files_to_import(listing, files).select("path", "size")
+    todo = listed((listing if force else files_to_import(listing, files)).select("path", "size"))
     lines = raw.scan(spark, root, pattern, rules.bad_rows)
     with scratch(lines.join(todo.select("path"), "path", "left_semi")) as ticks:
         verdicts = judged(ticks, rules)
         with scratch(catalog_rows(ids.with_path_parts(todo), verdicts)) as rows:
+            stores.retract_ticks(spark, tick_folder, CLEAN_TICK, todo)
             stores.write_ticks(cleaned(ticks, verdicts, rules), tick_folder, mode="append")
             register(rows, catalog_folder)
     return stores.read_or_empty(spark, catalog_folder, CATALOG)

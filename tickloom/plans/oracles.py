@@ -293,6 +293,9 @@ ORACLES: dict[str, str] = {
       open, close, high, low, OpenInterest, round(Turnover, 4) AS Turnover, round(Turnover_calc, 4) AS Turnover_calc,
       volume_sum, diff_sec, round(mean, 8) AS mean, subID, year, size, isDominant, is2ndDominant FROM catalog""",
     "category_ticks": CAT_TICKS + "SELECT category, InstrumentID, UpdateTime, seq, LastPrice FROM ticks",
+    "dominant_ticks": CAT_CATALOG
+    + """SELECT t.category, t.InstrumentID, UpdateTime, seq, LastPrice
+    FROM ticks t JOIN catalog c ON c.path = t.path WHERE c.isDominant""",
     "ticks_by_id": CAT_TIMED
     + """SELECT InstrumentID, MarketID, LastPrice, LastVolume, UpdateTime, OpenInterest, round(Turnover, 4) AS Turnover,
       AvePrice, round(HighestPrice, 4) AS HighestPrice, round(LowestPrice, 4) AS LowestPrice, OpenPrice, seq,

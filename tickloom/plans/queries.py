@@ -101,6 +101,13 @@ def category_ticks(spark: SparkSession, sf: str) -> DataFrame:
     return own.select("category", "InstrumentID", "UpdateTime", "seq", "LastPrice")
 
 
+@query
+def dominant_ticks(spark: SparkSession, sf: str) -> DataFrame:
+    flagged = catalog.with_dominant_flag(tables.ticks(spark, sf), tables.catalog(spark, sf), F.col("day"))
+    own = stores.category_ticks(flagged, PRODUCTS, PRODUCTS, dominant=True)
+    return own.select("category", "InstrumentID", "UpdateTime", "seq", "LastPrice")
+
+
 @query
 def ticks_by_id(spark: SparkSession, sf: str) -> DataFrame:
     chosen = projections.for_bars(tables.ticks(spark, sf))
@@ -135,7 +142,11 @@ def load_kline(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def load_1day_kline(spark: SparkSession, sf: str) -> DataFrame:
-    daily = catalog.with_dominant_flag(bars.daily(_bars(spark, sf, "1d")), tables.catalog(spark, sf))
+    daily = catalog.with_dominant_flag(
+        bars.daily(_bars(spark, sf, "1d")),
+        tables.catalog(spark, sf),
+        times.calendar_day(F.col("TradingTime")),
+    )
     return _rounded_bars(stores.load_daily(staged(daily), PRODUCTS))
 
 

@@ -71,12 +71,17 @@ def read_ticks(spark: SparkSession, folder: str, schema: StructType, **wanted) -
 
 
 def retract_ticks(spark: SparkSession, folder: str, schema: StructType, paths: DataFrame) -> None:
-    """Delete the stored ticks of some files. Only the partitions that hold them
+    """Delete the stored ticks of some files. Only the partitions that hold any
     are rewritten; those left with no ticks go last."""
-    keys = ids.with_path_parts(paths.select("path").distinct()).select("path", *TICK_PARTITIONS)
-    touched = listed(keys.select(*TICK_PARTITIONS).distinct())
-    stored = read_or_empty(spark, folder, schema).join(touched, TICK_PARTITIONS, "left_semi")
-    with scratch(stored.join(listed(keys.select("path")), "path", "left_anti")) as kept:
+    files = ids.with_path_parts(paths.select("path").distinct()).select("path", *TICK_PARTITIONS)
+    near = listed(files)
+    stored = read_or_empty(spark, folder, schema)
+    keys = [*TICK_PARTITIONS, "path"]
+    touched = listed(stored.join(near, keys, "left_semi").select(*TICK_PARTITIONS).distinct())
+    if touched.isEmpty():
+        return
+    whole = stored.join(touched, TICK_PARTITIONS, "left_semi")
+    with scratch(whole.join(near, keys, "left_anti")) as kept:
         write_ticks(kept.select(*schema.names), folder)
         left = kept.select(*TICK_PARTITIONS).distinct()
         for partition in touched.join(left, TICK_PARTITIONS, "left_anti").collect():
