@@ -13,12 +13,15 @@ import time
 from pyspark.sql import functions as F
 
 from tickloom import session
+from tickloom.operators.quality import FAILED
 from tickloom.plans.queries import QUERIES
+from tickloom.schema import RAW_TICK
 from tickloom.sources import raw, shared_tables as tables, stores
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RAW_BYTES = 56_000_000
 NAMES = os.environ.get("BENCH_QUERIES", "").split() or list(QUERIES)
 
 
@@ -35,30 +38,36 @@ def consume(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def storage(spark, folder: str) -> dict[str, float]:
-    """Save and load of the same ticks, for the storage baseline."""
-    ticks = tables.ticks(spark, SF_DIR).persist()
-    ticks.count()
-    rows = {
-        "save_ticks": best(lambda: stores.write_ticks(ticks, f"{folder}/ticks")),
-        "load_ticks_store": best(lambda: consume(stores.read_ticks(spark, f"{folder}/ticks", ticks.schema))),
-    }
-    lines = ticks.select(
-        "InstrumentID", "MarketID", "LastPrice", "LastVolume",
-        *[F.lit(None).cast("string").alias(n) for n in ("hhmmss", "Reserved")],
-        F.date_format("UpdateTime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("UpdateTime"),
-        *[
-            (F.col(n) if n in ticks.columns else F.lit(None).cast("string")).alias(n)
-            for n in raw.RAW_TICK.names[7:]
-        ],
-    )
-    lines.write.mode("overwrite").csv(f"{folder}/raw/2024/4/AG/AG2401/2024/202401/20240101.spt")
-    spt = f"{folder}/raw"
-    rows["scan_raw"] = best(
-        lambda: consume(raw.scan(spark, spt, "*/*/*/*/*/*/*.spt/*.csv").drop(raw.FAILED))
-    )
-    ticks.unpersist()
-    return rows
+def megabytes(folder: str) -> float:
+    files = [os.path.join(at, f) for at, _, names in os.walk(folder) for f in names]
+    return round(sum(os.path.getsize(f) for f in files if not f.endswith(".crc")) / 1e6, 1)
+
+
+def storage(spark, folder: str) -> tuple[dict[str, float], dict[str, float]]:
+    """Scan, save and load of one raw tick file about as large as the file of the
+    storage baseline: the ticks of the table, repeated until they fill it."""
+    spt, store = f"{folder}/raw", f"{folder}/ticks"
+    ticks = tables.ticks(spark, SF_DIR)
+    columns = [
+        F.date_format("UpdateTime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("UpdateTime")
+        if name == "UpdateTime"
+        else (F.col(name) if name in ticks.columns else F.lit(None).cast("string")).alias(name)
+        for name in RAW_TICK.names
+    ]
+    copies = max(1, round(RAW_BYTES / 140 / max(1, ticks.count())))
+    repeated = ticks.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    repeated.select(*columns).write.mode("overwrite").csv(f"{spt}/2024/4/AG/AG2401/2024/202401/20240101.spt")
+
+    def scan():
+        return raw.with_file_columns(raw.scan(spark, spt, "*/*/*/*/*/*/*.spt/*.csv").drop(FAILED))
+
+    seconds = {"scan_raw": best(lambda: consume(scan()))}
+    scanned = scan().withColumn("month", F.lit("202401")).persist()
+    rows = scanned.count()
+    seconds["save_ticks"] = best(lambda: stores.write_ticks(scanned, store))
+    seconds["load_ticks_store"] = best(lambda: consume(stores.read_ticks(spark, store, scanned.schema)))
+    scanned.unpersist()
+    return seconds, {"rows": rows, "raw_mb": megabytes(spt), "store_mb": megabytes(store)}
 
 
 def main() -> None:
@@ -66,6 +75,7 @@ def main() -> None:
         f"local[{CPUS}]",
         "tickloom-bench",
         spark__sql__shuffle__partitions=CPUS,
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="2m",
         spark__driver__memory="20g",
         spark__ui__showConsoleProgress="false",
     )
@@ -73,7 +83,8 @@ def main() -> None:
     consume(QUERIES["kline_1h"](spark, SF_DIR))
     seconds = {name: best(lambda name=name: consume(QUERIES[name](spark, SF_DIR))) for name in NAMES}
     with tempfile.TemporaryDirectory(prefix="tickloom-bench-") as folder:
-        seconds |= storage(spark, folder)
+        stored_seconds, sizes = storage(spark, folder)
+        seconds |= stored_seconds
     print(
         json.dumps(
             {
@@ -81,6 +92,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 4),
                 "unit": "sec",
                 "queries": seconds,
+                "storage": sizes,
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
             }
         )

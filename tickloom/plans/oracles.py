@@ -378,9 +378,12 @@ ORACLES: dict[str, str] = {
     "kind_filter": CAT_TICKS
     + "SELECT seq, InstrumentID, MarketID, LastPrice FROM ticks WHERE subID NOT IN ('0000', '9999') AND MarketID <> 3",
     "filter_by": CAT_CATALOG
-    + """SELECT 'asked' AS part, path FROM catalog WHERE tags IS NOT NULL AND len(tags) = 0 AND zip_path IS NOT NULL
-      AND MarketID IN (4) AND data_type NOT IN ('0000') AND line_num IS NOT NULL
-    UNION ALL SELECT 'tagged', path FROM catalog WHERE list_contains(tags, 'dup_time') AND category <> 'VI'""",
+    + """SELECT * FROM (
+      SELECT path, tags IS NOT NULL AND len(tags) = 0 AND zip_path IS NOT NULL AND MarketID IN (4)
+          AND data_type NOT IN ('0000') AND line_num IS NOT NULL AS asked,
+        coalesce(list_contains(tags, 'dup_time'), false) AND category <> 'VI' AS tagged
+      FROM catalog)
+    WHERE asked OR tagged""",
     "in_time_range": CAT_TICKS
     + """, moved AS (SELECT *, strftime(UpdateTime - INTERVAL 3 HOUR, '%H:%M:%S') AS c FROM ticks)
     SELECT seq, UpdateTime, LastPrice FROM moved WHERE (c > '06:03:00' AND c < '08:28:00')

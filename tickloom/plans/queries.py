@@ -285,11 +285,11 @@ def kind_filter(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def filter_by(spark: SparkSession, sf: str) -> DataFrame:
     files = tables.catalog(spark, sf)
-    asked = filters.filter_by(
+    asked = filters.keyword_condition(
         files, tags=[], zip_path__ne=None, MarketID__in=[4], data_type__nin=["0000"], line_num__exists=True
     )
-    tagged = filters.filter_by(files, tags="dup_time", category__ne="VI")
-    return stats.concat([asked.select(F.lit("asked").alias("part"), "path"), tagged.select(F.lit("tagged").alias("part"), "path")])
+    tagged = filters.keyword_condition(files, tags="dup_time", category__ne="VI")
+    return files.select("path", asked.alias("asked"), tagged.alias("tagged")).filter("asked or tagged")
 
 
 @query
