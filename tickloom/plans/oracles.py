@@ -291,7 +291,7 @@ ORACLES: dict[str, str] = {
     "load_days": CAT_CATALOG
     + """SELECT path, MarketID, category, InstrumentID, month, day, line_num, zip_line_num, "start", "end",
       open, close, high, low, OpenInterest, round(Turnover, 4) AS Turnover, round(Turnover_calc, 4) AS Turnover_calc,
-      volume_sum, diff_sec, round(mean, 8) AS mean, subID, year, size, isDominant, is2ndDominant FROM catalog""",
+      volume_sum, diff_sec, round(mean, 10) AS mean, subID, year, size, isDominant, is2ndDominant FROM catalog""",
     "category_ticks": CAT_TICKS + "SELECT category, InstrumentID, UpdateTime, seq, LastPrice FROM ticks",
     "dominant_ticks": CAT_CATALOG
     + """SELECT t.category, t.InstrumentID, UpdateTime, seq, LastPrice
@@ -358,7 +358,7 @@ ORACLES: dict[str, str] = {
     "dominant_flags": CAT_CATALOG
     + "SELECT category, day, InstrumentID, OpenInterest, isDominant, is2ndDominant FROM catalog",
     "file_stats": _with(TICKS, FILE_STATS)
-    + """SELECT * REPLACE (round(mean, 8) AS mean, round(Turnover, 4) AS Turnover,
+    + """SELECT * REPLACE (round(mean, 10) AS mean, round(Turnover, 4) AS Turnover,
       round(Turnover_calc, 4) AS Turnover_calc),
       floor((epoch_us("end") - epoch_us("start")) / 1000000)::BIGINT AS diff_sec, substr(day, 1, 4) AS year,
       right(InstrumentID, 4) AS subID,
@@ -368,7 +368,7 @@ ORACLES: dict[str, str] = {
     + """SELECT path, InstrumentID, file_day, split_day AS day, time_type, strftime("start", '%Y') AS year,
       strftime("start", '%Y%m') AS month, zip_line_num, "start", "end",
       floor((epoch_us("end") - epoch_us("start")) / 1000000)::BIGINT AS diff_sec, open, close, high, low,
-      round(mean, 8) AS mean, OpenInterest, volume_sum FROM splits""",
+      round(mean, 10) AS mean, OpenInterest, volume_sum FROM splits""",
     "instrument_stats": CAT_TICKS
     + """SELECT InstrumentID, regexp_extract(InstrumentID, '^[A-Za-z]+') AS category, count(*) AS tick_num,
       round(max(HighestPrice), 6) AS highest_price FROM ticks GROUP BY 1""",
@@ -439,7 +439,7 @@ ORACLES: dict[str, str] = {
     + """, parts AS (SELECT path, epoch_us(UpdateTime) % 1000000 AS m FROM ticks
       UNION ALL SELECT 'whole/' || path, 0 FROM ticks)
     SELECT path, count(DISTINCT m) AS parts, list_sort(list(DISTINCT m)) <> [0, 500000] AS differs,
-      count(DISTINCT CASE WHEN m = 0 THEN 0 ELSE 500000 END) AS rounded_parts,
+      count(DISTINCT CASE WHEN m = 0 THEN 0 ELSE 500000 END)::INT AS rounded_parts,
       CASE WHEN count(DISTINCT CASE WHEN m = 0 THEN 0 ELSE 500000 END) < 2 THEN 'time_no_ms' END AS tag
     FROM parts GROUP BY 1""",
     "oi_repair": _with(TICKS, MENDED) + "SELECT InstrumentID, UpdateTime, seq, OpenInterest FROM mended",
@@ -514,7 +514,7 @@ ORACLES: dict[str, str] = {
     + """SELECT UpdateTime, seq, InstrumentID, i AS idx, i % 120 AS chunk_id FROM (
       SELECT *, row_number() OVER (ORDER BY UpdateTime, seq) - 1 AS i FROM ticks)""",
     "map_df": CAT_TICKS
-    + "SELECT path, seq, round(LastPrice - avg(LastPrice) OVER (PARTITION BY path), 8) AS off_mean FROM ticks",
+    + "SELECT path, seq, round(LastPrice - avg(LastPrice) OVER (PARTITION BY path), 10) AS off_mean FROM ticks",
     "map_rows": CAT_TICKS
     + "SELECT seq, round(LastPrice * LastVolume * 10, 4) AS value FROM ticks WHERE MarketID = 4",
     "map_groups": CAT_TICKS

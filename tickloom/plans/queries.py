@@ -33,7 +33,7 @@ def query(build: Query) -> Query:
     return build
 
 
-def rounded(df: DataFrame, *columns: str, digits: int = 8) -> DataFrame:
+def rounded(df: DataFrame, *columns: str, digits: int = 10) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
