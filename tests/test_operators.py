@@ -554,6 +554,14 @@ def test_functions_keep_their_rows(spark):
             mapped.collect()
 
 
+def test_whole_files(spark):
+    ticks = tables.ticks(spark, SF).select("path", "seq", "LastPrice")
+    off = userfuncs.map_files(ticks, lambda f: f.assign(LastPrice=f.LastPrice - f.LastPrice.mean()), ticks.schema)
+    means = off.groupBy("path").agg(F.sum("LastPrice").alias("s"), F.count("seq").alias("n"))
+    assert means.filter("abs(s) > 1e-9").count() == 0
+    assert means.agg(F.sum("n")).first()[0] == ticks.count()
+
+
 def test_whole_groups_are_bounded(spark):
     ticks = tables.ticks(spark, SF).select("InstrumentID", "LastPrice")
     with pytest.raises(ValueError, match="partial and merge"):

@@ -11,7 +11,7 @@ from tickloom.functions import ids, times
 from tickloom.operators import backtest, bars, catalog, filters, projections, quality, sampling, stats, userfuncs
 from tickloom.plans import klines, sessions
 from tickloom.schema import LEVELS
-from tickloom.session import staged
+from tickloom.session import listed, staged
 from tickloom.sources import shared_tables as tables, stores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -621,15 +621,29 @@ def strided_chunks(spark: SparkSession, sf: str) -> DataFrame:
 # --- user functions ------------------------------------------------------------
 
 
+def _file_partial(frame: pd.DataFrame) -> pd.DataFrame:
+    return frame.groupby("path", as_index=False).agg(
+        total=("LastPrice", "sum"), ticks=("LastPrice", "count")
+    )
+
+
+def _file_merge(frame: pd.DataFrame) -> pd.DataFrame:
+    return frame.groupby("path", as_index=False).agg(total=("total", "sum"), ticks=("ticks", "sum"))
+
+
 def _from_file_mean(frame: pd.DataFrame) -> pd.DataFrame:
-    off = frame.LastPrice - frame.LastPrice.mean()
+    off = frame.LastPrice - frame.total / frame.ticks
     return pd.DataFrame({"path": frame.path, "seq": frame.seq, "off_mean": off})
 
 
 @query
 def map_df(spark: SparkSession, sf: str) -> DataFrame:
     ticks = tables.ticks(spark, sf).select("path", "seq", "LastPrice")
-    mapped = userfuncs.map_files(ticks, _from_file_mean, "path string, seq long, off_mean double")
+    files = userfuncs.fold_groups(
+        ticks, ["path"], _file_partial, _file_merge, "path string, total double, ticks long"
+    )
+    with_files = ticks.join(listed(files), "path")
+    mapped = userfuncs.map_batches(with_files, _from_file_mean, "path string, seq long, off_mean double")
     return rounded(mapped, "off_mean")
 
 

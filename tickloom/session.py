@@ -44,23 +44,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def delete_folder(spark: SparkSession, folder: str) -> bool:
     """Delete a folder of any file system; false if there is none."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, path = _file_system(spark, folder)
     return bool(files.exists(path) and files.delete(path, True))
 
 
 def _write_scratch(df: DataFrame) -> tuple[str, DataFrame]:
-    folder = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(folder)
-    return folder, df.sparkSession.read.schema(df.schema).parquet(folder)
+    files, path = _file_system(spark, folder)
+    files.deleteOnExit(path)
+    return folder, spark.read.schema(df.schema).parquet(folder)
 
 
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it from there: every later
     use sees the same rows, reads only the columns it needs and does not depend
-    on executors that may be gone. The table stays as long as the folder."""
+    on executors that may be gone. The table goes when the application ends."""
     return _write_scratch(df)[1]
 
 
