@@ -621,27 +621,15 @@ def strided_chunks(spark: SparkSession, sf: str) -> DataFrame:
 # --- user functions ------------------------------------------------------------
 
 
-def _file_partial(frame: pd.DataFrame) -> pd.DataFrame:
-    return frame.groupby("path", as_index=False).agg(
-        total=("LastPrice", "sum"), ticks=("LastPrice", "count")
-    )
-
-
-def _file_merge(frame: pd.DataFrame) -> pd.DataFrame:
-    return frame.groupby("path", as_index=False).agg(total=("total", "sum"), ticks=("ticks", "sum"))
-
-
 def _from_file_mean(frame: pd.DataFrame) -> pd.DataFrame:
-    off = frame.LastPrice - frame.total / frame.ticks
+    off = frame.LastPrice - frame.file_mean
     return pd.DataFrame({"path": frame.path, "seq": frame.seq, "off_mean": off})
 
 
 @query
 def map_df(spark: SparkSession, sf: str) -> DataFrame:
     ticks = tables.ticks(spark, sf).select("path", "seq", "LastPrice")
-    files = userfuncs.fold_groups(
-        ticks, ["path"], _file_partial, _file_merge, "path string, total double, ticks long"
-    )
+    files = ticks.groupBy("path").agg(F.avg("LastPrice").alias("file_mean"))
     with_files = ticks.join(listed(files), "path")
     mapped = userfuncs.map_batches(with_files, _from_file_mean, "path string, seq long, off_mean double")
     return rounded(mapped, "off_mean")
