@@ -205,6 +205,24 @@ def test_batch_load_is_ordered_and_empty_without_files(spark):
     assert stores.batch_load(ticks, files, "", InstrumentID="none").count() == 0
 
 
+def test_batch_load_reads_the_partitions_it_needs(spark, tmp_path, monkeypatch):
+    ticks, files = tables.ticks(spark, SF), tables.catalog(spark, SF)
+    stores.write_ticks(ticks, str(tmp_path / "t"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    stored = stores.read_ticks(spark, str(tmp_path / "t"), ticks.schema)
+    loaded = stores.batch_load(stored, files, "", category="CL", sort=False)
+    assert loaded.count() == ticks.filter("category = 'CL'").count()
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert any(
+        "= CL)" in line.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+        for line in plan.splitlines()
+        if "PartitionFilters: [" in line
+    )
+    monkeypatch.setattr(stores, "MAX_NAMED_PARTITIONS", 0)
+    unnamed = stores.batch_load(stored, files, "", category="CL", sort=False)
+    assert unnamed.count() == loaded.count()
+
+
 def test_reports(spark):
     files = tables.catalog(spark, SF)
     line = catalog.report(files.filter("line_num = 1 and zip_line_num = 1").limit(1)).first().report

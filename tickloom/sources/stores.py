@@ -14,6 +14,9 @@ from tickloom.schema import BAR, STORED_CATEGORIES
 from tickloom.session import delete_folder, listed, scratch
 
 TICK_PARTITIONS = ["MarketID", "category", "month"]
+# Partitions are named one by one in a filter up to this many; beyond it a join
+# alone selects them.
+MAX_NAMED_PARTITIONS = 1000
 BAR_PARTITIONS = ["level", "InstrumentID"]
 
 
@@ -70,18 +73,32 @@ def read_ticks(spark: SparkSession, folder: str, schema: StructType, **wanted) -
     return filter_by(read_or_empty(spark, folder, schema), **wanted)
 
 
+def near(ticks: DataFrame, keys: DataFrame) -> DataFrame:
+    """Ticks in the partitions a list of keys names, so that a join with the list
+    reads no others."""
+    shared = [c for c in TICK_PARTITIONS if c in ticks.columns and c in keys.columns]
+    if not shared:
+        return ticks
+    named = keys.select(*shared).distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()
+    if len(named) > MAX_NAMED_PARTITIONS:
+        return ticks
+    for column in shared:
+        ticks = ticks.filter(F.col(column).isin(*{row[column] for row in named}))
+    return ticks
+
+
 def retract_ticks(spark: SparkSession, folder: str, schema: StructType, paths: DataFrame) -> None:
     """Delete the stored ticks of some files. Only the partitions that hold any
     are rewritten; those left with no ticks go last."""
     files = ids.with_path_parts(paths.select("path").distinct()).select("path", *TICK_PARTITIONS)
-    near = listed(files)
-    stored = read_or_empty(spark, folder, schema)
+    doomed = listed(files)
+    stored = near(read_or_empty(spark, folder, schema), doomed)
     keys = [*TICK_PARTITIONS, "path"]
-    touched = listed(stored.join(near, keys, "left_semi").select(*TICK_PARTITIONS).distinct())
+    touched = listed(stored.join(doomed, keys, "left_semi").select(*TICK_PARTITIONS).distinct())
     if touched.isEmpty():
         return
-    whole = stored.join(touched, TICK_PARTITIONS, "left_semi")
-    with scratch(whole.join(near, keys, "left_anti")) as kept:
+    whole = near(stored, touched).join(touched, TICK_PARTITIONS, "left_semi")
+    with scratch(whole.join(doomed, keys, "left_anti")) as kept:
         write_ticks(kept.select(*schema.names), folder)
         left = kept.select(*TICK_PARTITIONS).distinct()
         for partition in touched.join(left, TICK_PARTITIONS, "left_anti").collect():
@@ -90,11 +107,11 @@ def retract_ticks(spark: SparkSession, folder: str, schema: StructType, paths: D
 
 def load_for_catalog(ticks: DataFrame, files: DataFrame, clean: bool = True, sort: bool = True) -> DataFrame:
     """Ticks of the selected catalog rows with the day of their file, in time
-    order. Partition columns both sides have join too, so that the selection
-    prunes the partitions that are read."""
+    order. Only the partitions the selection names are read."""
     shared = [c for c in TICK_PARTITIONS if c in ticks.columns and c in files.columns]
     keys = [*shared, "InstrumentID", "day"]
-    loaded = ticks.join(listed(files.select(*keys)), keys, "left_semi")
+    chosen = listed(files.select(*keys))
+    loaded = near(ticks, chosen).join(chosen, keys, "left_semi")
     loaded = for_load(loaded) if clean else loaded
     return loaded.orderBy("UpdateTime", "seq") if sort else loaded
 
