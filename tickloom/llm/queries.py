@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import mixing, sharding
+from tickloom.llm import decontam, mixing, pii, sharding, topk
 from tickloom.sources.shared_tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.taken(pieces, lined).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op4_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.search(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op5_sharding(spark: SparkSession, sf: str) -> DataFrame:
     shards = sharding.shard(table(spark, sf, "documents"), keep=["doc_id"])
@@ -39,4 +44,83 @@ def op5_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find(table(spark, sf, "documents"), keep=["doc_id"])
+    plain = F.filter("pii", lambda s: s["plain"])
+    kinds = F.transform(plain, lambda s: s["kind"])
+    counts = [
+        F.size(F.filter(kinds, lambda k: k == F.lit(kind))).cast("long").alias(f"n_{kind}")  # noqa: B023
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.listed(plain), 256).alias("base_sha256"),
+        pii.listed(F.col("pii")).alias("spans"),
+    )
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    marked = decontam.mark(table(spark, sf, "documents"), table(spark, sf, "benchmark"), keep=["doc_id"])
+    return marked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 ORACLES: dict[str, str] = {}
+
+ORACLES["op4_topk"] = """
+WITH whole AS (
+    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLES["op9_decontamination"] = r"""
+WITH lowered AS (
+    SELECT doc_id AS id, true AS is_doc,
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents
+    UNION ALL
+    SELECT item_id, false, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark
+), worded AS (
+    SELECT id, is_doc, regexp_extract_all(coalesce(body, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered
+), items AS (
+    SELECT id AS item_id, w, least(13, len(w)) AS n FROM worded WHERE NOT is_doc AND len(w) > 0
+), needles AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS gram
+    FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM items)
+), docs AS (
+    SELECT id AS doc_id, w FROM worded WHERE is_doc
+), windows AS (
+    SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS gram
+    FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM needles))
+), hits AS (
+    SELECT doc_id, n, i, item_id FROM windows JOIN needles USING (n, gram)
+), hit_words AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, n, i FROM hits)) GROUP BY doc_id
+), hit_items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
