@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
@@ -29,12 +30,13 @@ SPAN = StructType(
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-# No identifier of digits can begin inside a run of digits: a match that fails at
-# the head of the run fails everywhere in it.
-IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
+# An address that fails at the head of a run of digits fails everywhere in the run,
+# so runs are passed as a whole.
+IP = re.compile(r"([0-9]++)(?:\.([0-9]++)\.([0-9]++)\.([0-9]++))?")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
+NOT_ASCII = re.compile(r"[^\x00-\x7F]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
 # Letters of other scripts that look like Latin ones.
@@ -77,6 +79,7 @@ HINT = re.compile(
     rf"|(?<!\w)plus[\x20\t]+(?:[0-9]|{_NUMBER})|(?<!\w)(?:{_NUMBER})(?:[\x20\t]+|-)(?:{_NUMBER})(?!\w)",
     re.IGNORECASE,
 )
+BOXED = re.compile(rf"{_OPEN}[\x20\t]*(?:{_AT}|{_DOT})[\x20\t]*{_SHUT}", re.IGNORECASE)
 NUMBER = re.compile(_NUMBER, re.IGNORECASE)
 BARE_AT = re.compile(r"\s(?:at|arroba)\s", re.IGNORECASE)
 # Endings that tell "x at y dot z" from running prose.
@@ -113,7 +116,7 @@ def numbers(text: str) -> Iterator[tuple[str, int, int]]:
     if not DIGIT.search(text):
         return
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.groups()):
+        if m[2] and all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.groups()):
             yield "ip", m.start(), m.end()
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 13:
@@ -133,7 +136,7 @@ def plain_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 @cache
-def lookalikes() -> tuple[re.Pattern, dict[str, str]]:
+def lookalikes() -> dict[str, str]:
     """Characters that stand for one ASCII character: the fixed ones, and by rule
     compatibility forms and digits of any script."""
     table = dict(LOOKALIKES)
@@ -144,7 +147,7 @@ def lookalikes() -> tuple[re.Pattern, dict[str, str]]:
             table.setdefault(char, form)
         elif (digit := unicodedata.digit(char, None)) is not None:
             table.setdefault(char, str(digit))
-    return re.compile(f"[{''.join(map(re.escape, sorted(table)))}]"), table
+    return table
 
 
 class Segment(NamedTuple):
@@ -191,8 +194,9 @@ class Rewritten:
 
 def _folds(text: str) -> Iterator[tuple[int, int, str]]:
     """Look-alikes one by one; a dash counts between digits only, where it joins."""
-    pattern, table = lookalikes()
-    for m in pattern.finditer(text):
+    table = lookalikes()
+    odd = set(NOT_ASCII.findall(text)) & table.keys()
+    for m in re.finditer(f"[{re.escape(''.join(sorted(odd)))}]", text) if odd else ():
         a, b = m.span()
         new = table[m[0]]
         if new != "-" or text[max(a - 1, 0) : a].isdigit() and text[b : b + 1].isdigit():
@@ -211,12 +215,13 @@ def _respelled(text: str) -> Iterator[tuple[int, int, str]]:
             yield m.start(), m.end(), "+" if m["plus"] else "@" if m["at"] else "."
 
 
-def disguised_spans(text: str) -> list[tuple[str, int, int, str]]:
+def disguised_spans(text: str, hinted: bool = True) -> list[tuple[str, int, int, str]]:
     """Identifiers of the normalised text that an edit is part of, with source
-    offsets and the normalised value."""
-    if text.isascii() and not HINT.search(text):
-        return []
+    offsets and the normalised value. ``hinted``: false if the text as it stands
+    is known to have no spelled disguise."""
     first = Rewritten(text, () if text.isascii() else _folds(text))
+    if not (hinted or first.edited):
+        return []
     second = Rewritten(first.text, _respelled(first.text) if HINT.search(first.text) else ())
     if not (first.edited or second.edited):
         return []
@@ -230,12 +235,43 @@ def disguised_spans(text: str) -> list[tuple[str, int, int, str]]:
     return out
 
 
-def spans(text: str) -> list[tuple[str, int, int, bool, str]]:
+def hints(texts: pa.Array) -> np.ndarray:
+    """For each text whether it may hold a spelled disguise: a word for a dot, a
+    boxed sign, a plus before a number or two spelled digits in a row."""
+    words = bytewords.words_of(texts, bytewords.LETTERS_DIGITS)
+    screen, exact = hint_words()
+    kind = np.zeros(len(words.hash) + 1, np.int8)
+    for at in np.flatnonzero(screen[words.hash >> np.uint64(44)]):
+        kind[at] = exact.get(int(words.hash[at]), 0)
+    digit, dot, plus = kind == 1, kind == 2, kind == 3
+    starts_digit = np.zeros(len(kind), bool)
+    data, _ = bytewords.text_buffers(texts)
+    starts_digit[:-1] = (data[words.start] >= 48) & (data[words.start] < 58)
+    found = dot[:-1] | digit[:-1] & digit[1:] | plus[:-1] & (digit | starts_digit)[1:]
+    out = np.zeros(len(texts), bool)
+    out[words.row[found]] = True
+    return out
+
+
+@cache
+def hint_words() -> tuple[np.ndarray, dict[int, int]]:
+    """By hash: 1 for spelled digits, 2 for words for a dot, 3 for plus; and a bit
+    for the head of every such hash."""
+    exact = {}
+    for kind, group in enumerate([SPELLED, ("dot", "punkt", "point", "punto"), ("plus",)], 1):
+        spellings = pa.array([form for w in group for form in (w, w.upper())])
+        exact |= {int(h): kind for h in bytewords.words_of(spellings, bytewords.LETTERS_DIGITS).hash}
+    screen = np.zeros(1 << 20, bool)
+    screen[[h >> 44 for h in exact]] = True
+    return screen, exact
+
+
+def spans(text: str, hinted: bool = True) -> list[tuple[str, int, int, bool, str]]:
     """All spans by kind and start. A disguised span within a plain one of its kind
     says nothing new and is left out."""
     plain = plain_spans(text)
     found = [(k, a, b, True, text[a:b]) for k, a, b in plain]
-    for kind, low, high, value in disguised_spans(text):
+    for kind, low, high, value in disguised_spans(text, hinted):
         if not any(k == kind and a <= low and high <= b for k, a, b in plain):
             found.append((kind, low, high, False, value))
     return sorted(found, key=lambda s: (KINDS.index(s[0]), s[1]))
@@ -264,8 +300,11 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = to_arrow_type(ArrayType(SPAN))
     names = SPAN.names
     for batch in bytewords.sliced(batches, "body"):
+        texts = batch.column("body")
+        bodies = [t or "" for t in texts.to_pylist()]
+        hinted = [h or bool(BOXED.search(t)) for h, t in zip(hints(texts), bodies, strict=True)]
         found = [
-            [dict(zip(names, s, strict=True)) for s in spans(text.as_py() or "")] for text in batch.column("body")
+            [dict(zip(names, s, strict=True)) for s in spans(t, h)] for t, h in zip(bodies, hinted, strict=True)
         ]
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, kind)], names=["row", "pii"])
 
