@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import decontam, mixing, pii, sharding, topk
+from tickloom.llm import decontam, jaccard, mixing, pii, sharding, topk
 from tickloom.sources.shared_tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op5_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op6_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.cluster(table(spark, sf, "documents"), keep=["doc_id"])
+
+
 @query
 def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     found = pii.find(table(spark, sf, "documents"), keep=["doc_id"])
@@ -124,3 +129,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
+
+ORACLES["op6_jaccard"] = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM worded WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), commons AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM commons JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * both >= 75 * (x.n + y.n - both)
+), reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
