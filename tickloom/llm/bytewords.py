@@ -98,7 +98,7 @@ def words_in(data: np.ndarray, bounds: np.ndarray, alphabet: Alphabet) -> Words:
         none = np.zeros(0, np.int64)
         return Words(none, none, none, np.zeros(0, np.uint64))
     start = np.concatenate(starts)
-    row = np.searchsorted(bounds, start, "right") - 1
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(np.searchsorted(start, bounds)))
     return Words(row, start, np.concatenate(ends), np.concatenate(hashes))
 
 
@@ -128,8 +128,8 @@ def _piece_words(data: np.ndarray, borders: np.ndarray, alphabet: Alphabet):
         return start, end, np.zeros(0, np.uint64)
     longest = int((end - start).max())
     first = int(start[0])
-    place = np.arange(first, len(data), dtype=np.int64)
-    place -= np.repeat(start, np.diff(np.append(start, len(data))))
+    place = np.arange(first, len(data), dtype=np.int32)
+    place -= np.repeat(start.astype(np.int32), np.diff(np.append(start, len(data))))
     np.minimum(place, longest, out=place)
     powers = np.full(longest + 1, _POWER)
     powers[0] = 1

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.llm import decontam, jaccard, mixing, pii, sharding, topk
+from tickloom.llm import decontam, jaccard, langid, mixing, pii, quality, sharding, topk, toxicity
 from tickloom.sources.shared_tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,12 +19,38 @@ def query(build: Query) -> Query:
     return build
 
 
+def fold(parts: int) -> Column:
+    """Which part of the rows, by the checksum of the id as text, a row is in."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def labelled(spark: SparkSession, sf: str, label: str) -> DataFrame:
+    """Texts of the rows that have the label."""
+    labels = table(spark, sf, "labels").select("doc_id", label)
+    return table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id")
+
+
 @query
 def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
     pieces, lined = mixing.mix(table(spark, sf, "documents"), keep=["doc_id"])
     return mixing.taken(pieces, lined).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
+    model = quality.fit(labelled(spark, sf, "quality"), fold(4) != 2, "quality")
+    scored = quality.score(table(spark, sf, "documents"), model, keep=["doc_id"])
+    return scored.select("doc_id", (fold(4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = langid.fitted(docs.select("doc_id", "text", "lang"), fold(4) != 2)
+    found = langid.identify(docs, model, keep=["doc_id"])
+    return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op4_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.search(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -79,6 +105,13 @@ def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    model = toxicity.fit(labelled(spark, sf, "toxic"), fold(5) != 0, "toxic")
+    scored = toxicity.score(table(spark, sf, "documents"), model, keep=["doc_id"])
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op4_topk"] = """
@@ -141,11 +174,11 @@ WITH RECURSIVE worded AS (
 ), sizes AS (
     SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), commons AS (
-    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both
     FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
 ), links AS (
     SELECT a, b FROM commons JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
-    WHERE 100 * both >= 75 * (x.n + y.n - both)
+    WHERE 100 * n_both >= 75 * (x.n + y.n - n_both)
 ), reach(doc_id, other) AS (
     SELECT doc_id, doc_id FROM documents
     UNION
