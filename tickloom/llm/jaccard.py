@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tickloom.llm import bytewords
 from tickloom.llm.bytewords import BETWEEN_BLANKS, scrambled
@@ -16,8 +16,12 @@ from tickloom.llm.placing import packed, unpacked
 from tickloom.session import staged
 
 SHINGLE = 5
+SHARE = 4
 PERCENT = 75
-FREQUENT = 64
+FREQUENT = 16
+CLASS_SHIFT = 16
+FLUSH_KEYS = 1 << 21
+BROADCAST_SETS = 1_000_000
 OUTPUTS = ["n_shingles", "component_id"]
 
 
@@ -72,7 +76,7 @@ class Prefixes:
     percent: int
 
     def common(self, n: np.ndarray) -> np.ndarray:
-        return np.maximum(1, prefix_length(n, self.percent) // 6)
+        return np.maximum(1, prefix_length(n, self.percent) // SHARE)
 
     def extended(self, n: np.ndarray) -> np.ndarray:
         return np.minimum(n, prefix_length(n, self.percent) + self.common(n) - 1)
@@ -82,23 +86,82 @@ class Prefixes:
         return self.common(-(-self.percent * n // 100))
 
 
-def _postings(prefixes: Prefixes):
-    """Token and set of every token of the extended prefixes."""
+def prefix_rows(batches: Iterator[pa.RecordBatch], prefixes: Prefixes):
+    """Token, set and size for every token of the extended prefixes, a slice of
+    texts at a time. Of copies of a set within a task only the first counts."""
+    seen: set[int] = set()
+    for batch in bytewords.sliced(batches, "body"):
+        row, value = shingle_sets(batch.column("body"))
+        sizes, prints = fingerprints(row, value, batch.num_rows)
+        fresh = np.zeros(batch.num_rows, bool)
+        for at, mark in enumerate(prints.tolist()):
+            if mark not in seen:
+                seen.add(mark)
+                fresh[at] = True
+        place = np.arange(len(row)) - np.concatenate(([0], np.cumsum(sizes)))[row]
+        kept = fresh[row] & (place < prefixes.extended(sizes)[row])
+        yield value[kept], prints[row[kept]], sizes[row[kept]]
 
+
+def _postings(prefixes: Prefixes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bytewords.sliced(batches, "body"):
-            row, value = shingle_sets(batch.column("body"))
-            sizes, prints = fingerprints(row, value, batch.num_rows)
-            place = np.arange(len(row)) - np.concatenate(([0], np.cumsum(sizes)))[row]
-            kept = place < prefixes.extended(sizes)[row]
+        for value, prints, sizes in prefix_rows(batches, prefixes):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(value[kept].view(np.int64)), pa.array(prints[row[kept]]), pa.array(sizes[row[kept]])],
-                names=["key", "set", "n"],
+                [pa.array(value.view(np.int64)), pa.array(prints), pa.array(sizes)], names=["key", "set", "n"]
             )
 
     return run
 
 
+def _class_counts(prefixes: Prefixes, bits: int):
+    """Token classes (the first 48 bits of a token) and how often a task has them,
+    packed by range of classes: sorted steps and counts, byte plane by byte plane."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for value, _, _ in prefix_rows(batches, prefixes):
+            held.append(value >> np.uint64(CLASS_SHIFT))
+            size += len(value)
+            if size >= FLUSH_KEYS:
+                yield packed_classes(np.concatenate(held), bits)
+                held, size = [], 0
+        if size:
+            yield packed_classes(np.concatenate(held), bits)
+
+    return run
+
+
+def packed_classes(classes: np.ndarray, bits: int) -> pa.RecordBatch:
+    found, counts = np.unique(classes, return_counts=True)
+    part = (found >> np.uint64(64 - CLASS_SHIFT - bits)).astype(np.int64)
+    cuts = np.searchsorted(part, np.arange((1 << bits) + 1))
+    parts = np.flatnonzero(np.diff(cuts))
+    blobs = []
+    for low, high in zip(cuts[parts], cuts[parts + 1], strict=True):
+        steps = np.diff(found[low:high], prepend=np.uint64(0))
+        blobs.append(planes(steps) + planes(counts[low:high].astype(np.uint64)))
+    return pa.RecordBatch.from_arrays([pa.array(parts), pa.array(blobs, pa.binary())], names=["part", "blob"])
+
+
+def planes(values: np.ndarray) -> bytes:
+    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unplanes(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(blob, np.uint8).reshape(2, 8, -1)
+    steps, counts = (np.ascontiguousarray(p.T).view(np.uint64).ravel() for p in both)
+    return np.cumsum(steps, dtype=np.uint64), counts
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """Classes of one range that occur more than once, with their counts."""
+    parts = [unplanes(blob.as_py()) for blob in table.column("blob")]
+    classes, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    counts = np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
+    often = counts > 1
+    return pa.table({"class": classes[often].view(np.int64), "count": counts[often]})
+
+
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in bytewords.sliced(batches, "body"):
         sizes, prints = fingerprints(*shingle_sets(batch.column("body")), batch.num_rows)
@@ -119,15 +182,26 @@ def _with_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def combinations(tokens: np.ndarray) -> np.ndarray:
+    """Keys of three tokens that follow each other in a whole set, and for small sets
+    of two."""
+    a, b = tokens[:-1] * np.uint64(0x9E3779B97F4A7C15), tokens[1:]
+    pairs = scrambled(a + b)
+    keys = []
+    if len(tokens) >= 9:
+        keys.append(scrambled(pairs[:-1] * np.uint64(0xD6E8FEB86659FD93) + tokens[2:]))
+    if len(tokens) <= 12:
+        keys.append(pairs)
+    return np.concatenate(keys)
+
+
 def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys of token pairs that follow each other in a whole set."""
     for batch in batches:
-        prints = batch.column("set").to_numpy()
-        for at, blob in enumerate(batch.column("tokens")):
-            tokens = np.frombuffer(blob.as_py(), np.uint64)
-            keys = scrambled(tokens[:-1] * np.uint64(0x9E3779B97F4A7C15) + tokens[1:])
+        keys = [combinations(np.frombuffer(t.as_py(), np.uint64)) for t in batch.column("tokens")]
+        sets = np.repeat(batch.column("set").to_numpy(), [len(k) for k in keys])
+        if keys:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), prints[at]))], names=["key", "set"]
+                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(sets)], names=["key", "set"]
             )
 
 
@@ -136,12 +210,23 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def candidate_sets(docs: DataFrame, prefixes: Prefixes) -> DataFrame:
     """Sets that can have a partner: ``set``, ``n`` and the ``shared`` tokens of the
-    extended prefix, those that other sets' prefixes hold too, each with its count."""
+    extended prefix, those whose class is counted more than once, with the count.
+
+    Counting goes first and moves a few bytes a token, summed by each task. Only
+    the shared classes meet the postings again, in a join that splits a class that
+    a large part of all sets hold."""
+    spark = docs.sparkSession
+    bits = min(20, (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
+    blobs = docs.mapInArrow(_class_counts(prefixes, bits), "part long, blob binary")
+    shared = blobs.groupBy("part").applyInArrow(_summed, "class long, count long").select("class", "count")
     rows = docs.mapInArrow(_postings(prefixes), "key long, set long, n long")
-    same = Window.partitionBy("key")
-    counted = rows.distinct().withColumn("count", F.count(F.lit(1)).over(same)).filter("count > 1")
+    classed = rows.withColumn("class", F.shiftrightunsigned("key", CLASS_SHIFT))
     token = F.struct("count", "key").alias("token")
-    gathered = counted.groupBy("set", "n").agg(F.array_sort(F.collect_list(token)).alias("shared"))
+    gathered = (
+        classed.join(shared.hint("shuffle_hash"), "class")
+        .groupBy("set", "n")
+        .agg(F.array_sort(F.collect_set(token)).alias("shared"))
+    )
     return gathered.filter(F.size("shared") >= _needed(prefixes.percent))
 
 
@@ -149,7 +234,7 @@ def _needed(percent: int):
     """``Prefixes.needed`` of column ``n``."""
     least = F.ceil(percent * F.col("n") / 100)
     length = least - F.ceil(percent * least / 100) + 1
-    return F.greatest(F.lit(1), F.floor(length / 6))
+    return F.greatest(F.lit(1), F.floor(length / SHARE))
 
 
 def index_keys(candidates: DataFrame, tokens: DataFrame, prefixes: Prefixes, frequent: int) -> DataFrame:
@@ -157,11 +242,14 @@ def index_keys(candidates: DataFrame, tokens: DataFrame, prefixes: Prefixes, fre
 
     A set must share ``needed`` tokens, so one of its first ``size - needed + 1``
     shared tokens, rarest first. If these are all rare, they are its keys. If not,
-    its keys are all its rare tokens and the combinations of two tokens that follow
-    each other in the whole set, in order of their hashes. Sets of a and b tokens
-    with t in common have t - 1 gaps between these, and (a - 1) + (b - 1) steps to
-    fill them with; t is at least 3/7 of a + b, so the gaps average less than three
-    steps and one of them is a single step in both sets: a combination both have."""
+    its keys are all its rare tokens and the combinations of three tokens that
+    follow each other in the whole set, in order of their hashes.
+
+    Sets of a and b tokens with t in common have t - 1 gaps between these, and
+    (a - 1) + (b - 1) steps to fill them with; t is at least 3/7 of a + b. At least
+    2/3 t - 1 gaps are then a single step in both sets, more than half of them from
+    t = 7 on, so two in a row: a combination of three that both have. Where sets of
+    less than nine tokens may take part, combinations of two do the same."""
     first = F.size("shared") - _needed(prefixes.percent) + 1
     rare = F.filter("shared", lambda t: t["count"] < frequent)
     enough = F.size(rare) >= first
@@ -212,9 +300,7 @@ def set_components(docs: DataFrame, described: DataFrame, percent: int, frequent
     candidates = staged(candidate_sets(docs.select("body"), prefixes))
     tokens = staged(_tokens_of(docs, described, candidates))
     keys = index_keys(candidates, tokens, prefixes, frequent).distinct()
-    same = Window.partitionBy("key")
-    met = staged(keys.withColumn("pivot", F.min("set").over(same)).withColumn("last", F.max("set").over(same))
-                 .filter("pivot <> last").drop("last"))
+    met = staged(_met(keys))
     stars = met.filter("set <> pivot").select(F.col("pivot").alias("a"), F.col("set").alias("b")).distinct()
     first = staged(linked(stars, tokens, percent))
     roots = components(first)
@@ -224,15 +310,24 @@ def set_components(docs: DataFrame, described: DataFrame, percent: int, frequent
     return components(joined)
 
 
+def _met(keys: DataFrame) -> DataFrame:
+    """Members of keys that more than one set has, with the least of these sets."""
+    ends = keys.groupBy("key").agg(F.min("set").alias("pivot"), F.max("set").alias("last"))
+    return keys.join(ends.filter("pivot < last").select("key", "pivot"), "key")
+
+
 def _tokens_of(docs: DataFrame, described: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Tokens of the candidate sets, each taken from one of its documents."""
-    chosen = (
+    """Tokens of the candidate sets, each taken from one of its documents. A list of
+    up to a million documents is broadcast to find their texts; a longer one meets
+    them in a shuffle."""
+    chosen = staged(
         described.join(candidates.select("set"), "set", "left_semi")
         .groupBy("set").agg(F.min(F.struct("id", "text_key")).alias("doc"))
         .select("doc.id", "doc.text_key")
     )
+    few = chosen.count() <= BROADCAST_SETS
     own = docs["id"].eqNullSafe(chosen["id"]) & (docs["text_key"] == chosen["text_key"])
-    texts = docs.join(chosen.hint("shuffle_hash"), own, "left_semi").select("body")
+    texts = docs.join(F.broadcast(chosen) if few else chosen.hint("shuffle_hash"), own, "left_semi").select("body")
     found = texts.mapInArrow(_with_tokens, "set long, n long, tokens binary")
     return found.dropDuplicates(["set"])
 
