@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.llm import decontam, jaccard, langid, mixing, pii, quality, sharding, topk, toxicity
+from tickloom.llm import decontam, jaccard, langid, mixing, pii, quality, sharding, tokens, topk, toxicity
+from tickloom.session import shared_folder
 from tickloom.sources.shared_tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +78,13 @@ def op6_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.cluster(table(spark, sf, "documents"), keep=["doc_id"])
 
 
+@query
+def op7_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    tokens.write(table(spark, sf, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.read(spark, folder)
+
+
 @query
 def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
     found = pii.find(table(spark, sf, "documents"), keep=["doc_id"])
