@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.llm import bytewords
@@ -20,7 +21,7 @@ SHARE = 4
 PERCENT = 75
 FREQUENT = 16
 CLASS_SHIFT = 16
-FLUSH_KEYS = 1 << 21
+PACKET_TOKENS = 1 << 21
 BROADCAST_SETS = 1_000_000
 OUTPUTS = ["n_shingles", "component_id"]
 
@@ -86,80 +87,129 @@ class Prefixes:
         return self.common(-(-self.percent * n // 100))
 
 
-def prefix_rows(batches: Iterator[pa.RecordBatch], prefixes: Prefixes):
-    """Token, set and size for every token of the extended prefixes, a slice of
-    texts at a time. Of copies of a set within a task only the first counts."""
-    seen: set[int] = set()
-    for batch in bytewords.sliced(batches, "body"):
-        row, value = shingle_sets(batch.column("body"))
-        sizes, prints = fingerprints(row, value, batch.num_rows)
-        fresh = np.zeros(batch.num_rows, bool)
-        for at, mark in enumerate(prints.tolist()):
-            if mark not in seen:
-                seen.add(mark)
-                fresh[at] = True
-        place = np.arange(len(row)) - np.concatenate(([0], np.cumsum(sizes)))[row]
-        kept = fresh[row] & (place < prefixes.extended(sizes)[row])
-        yield value[kept], prints[row[kept]], sizes[row[kept]]
-
-
-def _postings(prefixes: Prefixes):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for value, prints, sizes in prefix_rows(batches, prefixes):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(value.view(np.int64)), pa.array(prints), pa.array(sizes)], names=["key", "set", "n"]
-            )
-
-    return run
-
-
-def _class_counts(prefixes: Prefixes, bits: int):
-    """Token classes (the first 48 bits of a token) and how often a task has them,
-    packed by range of classes: sorted steps and counts, byte plane by byte plane."""
+def _sent_classes(bits: int):
+    """Token classes (the first 48 bits) of all sets, packed by range of classes:
+    sorted steps between classes and the place of each one's set in the packet.
+    The sets of a packet go along in a row of their own. Of copies of a set within
+    a task only the first is sent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for value, _, _ in prefix_rows(batches, prefixes):
-            held.append(value >> np.uint64(CLASS_SHIFT))
-            size += len(value)
-            if size >= FLUSH_KEYS:
-                yield packed_classes(np.concatenate(held), bits)
-                held, size = [], 0
+        packet = TaskContext.get().partitionId() << 24
+        seen: set[int] = set()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        prints, sizes, size = [], [], 0
+        for batch in bytewords.sliced(batches, "body"):
+            row, value = shingle_sets(batch.column("body"))
+            count, mark = fingerprints(row, value, batch.num_rows)
+            place = np.full(batch.num_rows, -1)
+            for at, (n, own) in enumerate(zip(count.tolist(), mark.tolist(), strict=True)):
+                if n > 1 and own not in seen:
+                    seen.add(own)
+                    place[at] = len(prints)
+                    prints.append(own)
+                    sizes.append(n)
+            kept = place[row] >= 0
+            held.append((value[kept] >> np.uint64(CLASS_SHIFT), place[row[kept]]))
+            size += int(kept.sum())
+            if size >= PACKET_TOKENS:
+                yield _packet(packet, held, prints, sizes, bits)
+                packet, held, prints, sizes, size = packet + 1, [], [], [], 0
         if size:
-            yield packed_classes(np.concatenate(held), bits)
+            yield _packet(packet, held, prints, sizes, bits)
 
     return run
 
 
-def packed_classes(classes: np.ndarray, bits: int) -> pa.RecordBatch:
-    found, counts = np.unique(classes, return_counts=True)
-    part = (found >> np.uint64(64 - CLASS_SHIFT - bits)).astype(np.int64)
+def _packet(packet: int, held, prints: list[int], sizes: list[int], bits: int) -> pa.RecordBatch:
+    classes, places = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.argsort(classes)
+    classes, places = classes[order], places[order]
+    part = (classes >> np.uint64(64 - CLASS_SHIFT - bits)).astype(np.int64)
     cuts = np.searchsorted(part, np.arange((1 << bits) + 1))
     parts = np.flatnonzero(np.diff(cuts))
-    blobs = []
+    blobs = [np.array([prints, sizes], np.int64).tobytes()]
     for low, high in zip(cuts[parts], cuts[parts + 1], strict=True):
-        steps = np.diff(found[low:high], prepend=np.uint64(0))
-        blobs.append(planes(steps) + planes(counts[low:high].astype(np.uint64)))
-    return pa.RecordBatch.from_arrays([pa.array(parts), pa.array(blobs, pa.binary())], names=["part", "blob"])
+        steps = np.diff(classes[low:high], prepend=np.uint64(0))
+        blobs.append(planes(steps) + planes(places[low:high].astype(np.uint64)))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.full(len(blobs), packet)),
+            pa.array(np.concatenate(([-1 - packet], parts))),
+            pa.array(blobs, pa.binary()),
+        ],
+        names=["packet", "part", "blob"],
+    )
 
 
 def planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte of equal weight, so that empty bytes lie together."""
     return values.view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def unplanes(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    both = np.frombuffer(blob, np.uint8).reshape(2, 8, -1)
-    steps, counts = (np.ascontiguousarray(p.T).view(np.uint64).ravel() for p in both)
-    return np.cumsum(steps, dtype=np.uint64), counts
+def unplanes(blob: bytes, number: int = 1) -> list[np.ndarray]:
+    whole = np.frombuffer(blob, np.uint8).reshape(number, 8, -1)
+    return [np.ascontiguousarray(p.T).view(np.uint64).ravel() for p in whole]
+
+
+def _shared_places(table: pa.Table) -> pa.Table:
+    """From one range of classes, for each packet the places of sets, once for every
+    token another set has too. Rows that list the sets pass as they are."""
+    if table.column("part")[0].as_py() < 0:
+        return table.select(["packet", "part", "blob"])
+    packets = table.column("packet").to_pylist()
+    both = [unplanes(blob.as_py(), 2) for blob in table.column("blob")]
+    classes = np.concatenate([np.cumsum(steps, dtype=np.uint64) for steps, _ in both])
+    order = np.argsort(classes)
+    ordered = classes[order]
+    same = np.zeros(len(classes) + 1, bool)
+    same[1:-1] = ordered[1:] == ordered[:-1]
+    shared = np.zeros(len(classes), bool)
+    shared[order] = same[1:] | same[:-1]
+    out, at = [], 0
+    for _, places in both:
+        out.append(places[shared[at : at + len(places)]].astype(np.uint32).tobytes())
+        at += len(places)
+    return pa.table(
+        {
+            "packet": pa.array(packets, pa.int64()),
+            "part": pa.array(np.zeros(len(out), np.int64)),
+            "blob": pa.array(out, pa.binary()),
+        }
+    )
+
 
+def _shared_counts(table: pa.Table) -> pa.Table:
+    """Sets of one packet with the number of their tokens that another set has."""
+    prints = sizes = None
+    places = []
+    for part, blob in zip(table.column("part").to_pylist(), table.column("blob").to_pylist(), strict=True):
+        if part < 0:
+            prints, sizes = np.frombuffer(blob, np.int64).reshape(2, -1)
+        else:
+            places.append(np.frombuffer(blob, np.uint32))
+    counts = np.bincount(np.concatenate([np.zeros(0, np.uint32), *places]), minlength=len(prints))
+    return pa.table({"set": prints, "n": sizes, "common": counts})
 
-def _summed(table: pa.Table) -> pa.Table:
-    """Classes of one range that occur more than once, with their counts."""
-    parts = [unplanes(blob.as_py()) for blob in table.column("blob")]
-    classes, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-    counts = np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
-    often = counts > 1
-    return pa.table({"class": classes[often].view(np.int64), "count": counts[often]})
+
+def _postings(prefixes: Prefixes):
+    """Token and set of every token of the extended prefixes of candidate sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("n").to_numpy()
+            kept = prefixes.extended(sizes)
+            values = [np.frombuffer(t.as_py(), np.int64)[:k] for t, k in zip(batch.column("tokens"), kept, strict=True)]
+            if values:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(values)),
+                        pa.array(np.repeat(batch.column("set").to_numpy(), kept)),
+                        pa.array(np.repeat(sizes, kept)),
+                    ],
+                    names=["key", "set", "n"],
+                )
+
+    return run
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,25 +258,29 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- join --------------------------------------------------------------------------
 
 
-def candidate_sets(docs: DataFrame, prefixes: Prefixes) -> DataFrame:
-    """Sets that can have a partner: ``set``, ``n`` and the ``shared`` tokens of the
-    extended prefix, those whose class is counted more than once, with the count.
+def candidate_sets(docs: DataFrame, percent: int) -> DataFrame:
+    """Fingerprints of the sets that can have a partner: of their tokens at least
+    ``percent`` of a hundred are in some other set as well.
 
-    Counting goes first and moves a few bytes a token, summed by each task. Only
-    the shared classes meet the postings again, in a join that splits a class that
-    a large part of all sets hold."""
-    spark = docs.sparkSession
-    bits = min(20, (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
-    blobs = docs.mapInArrow(_class_counts(prefixes, bits), "part long, blob binary")
-    shared = blobs.groupBy("part").applyInArrow(_summed, "class long, count long").select("class", "count")
-    rows = docs.mapInArrow(_postings(prefixes), "key long, set long, n long")
-    classed = rows.withColumn("class", F.shiftrightunsigned("key", CLASS_SHIFT))
+    Tokens are compared by range of classes, wherever their sets are: a few bytes a
+    token go out, and two bytes come back for a token that is shared. No range or
+    packet is larger than a task's share of the input."""
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = min(24, parts.bit_length())
+    row = "packet long, part long, blob binary"
+    sent = docs.mapInArrow(_sent_classes(bits), row)
+    back = sent.groupBy("part").applyInArrow(_shared_places, row)
+    counted = back.groupBy("packet").applyInArrow(_shared_counts, "set long, n long, common long")
+    return counted.filter(100 * F.col("common") >= percent * F.col("n")).select("set").distinct()
+
+
+def shared_tokens(tokens: DataFrame, prefixes: Prefixes) -> DataFrame:
+    """Candidate sets with the ``shared`` tokens of their extended prefixes, those that
+    other candidates' prefixes hold too, each with its count."""
+    rows = tokens.select("set", "n", "tokens").mapInArrow(_postings(prefixes), "key long, set long, n long")
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("count")).filter("count > 1")
     token = F.struct("count", "key").alias("token")
-    gathered = (
-        classed.join(shared.hint("shuffle_hash"), "class")
-        .groupBy("set", "n")
-        .agg(F.array_sort(F.collect_set(token)).alias("shared"))
-    )
+    gathered = rows.join(counts, "key").groupBy("set", "n").agg(F.array_sort(F.collect_list(token)).alias("shared"))
     return gathered.filter(F.size("shared") >= _needed(prefixes.percent))
 
 
@@ -297,8 +351,8 @@ def set_components(docs: DataFrame, described: DataFrame, percent: int, frequent
     hang together then. What is left are keys whose sets are still apart, and only
     pairs from different components of these are compared too."""
     prefixes = Prefixes(percent)
-    candidates = staged(candidate_sets(docs.select("body"), prefixes))
-    tokens = staged(_tokens_of(docs, described, candidates))
+    tokens = staged(_tokens_of(docs, described, candidate_sets(docs.select("body"), percent)))
+    candidates = staged(shared_tokens(tokens, prefixes))
     keys = index_keys(candidates, tokens, prefixes, frequent).distinct()
     met = staged(_met(keys))
     stars = met.filter("set <> pivot").select(F.col("pivot").alias("a"), F.col("set").alias("b")).distinct()
@@ -321,7 +375,7 @@ def _tokens_of(docs: DataFrame, described: DataFrame, candidates: DataFrame) ->
     up to a million documents is broadcast to find their texts; a longer one meets
     them in a shuffle."""
     chosen = staged(
-        described.join(candidates.select("set"), "set", "left_semi")
+        described.join(candidates, "set", "left_semi")
         .groupBy("set").agg(F.min(F.struct("id", "text_key")).alias("doc"))
         .select("doc.id", "doc.text_key")
     )
@@ -359,9 +413,9 @@ def cluster(
     it belongs to when documents link whose sets have a Jaccard similarity of at
     least ``percent``; the component is named by its smallest id.
 
-    Copies of a set count as one throughout. Prefixes leave sets without enough
-    shared tokens aside, which are most; see ``index_keys`` for the keys of the
-    others. No pair is lost: candidates are compared by all their tokens, of 64
+    Copies of a set count as one throughout. Sets without enough tokens that any
+    other set has are left aside, which are most; see ``index_keys`` for the keys of
+    the others. No pair is lost: candidates are compared by all their tokens, of 64
     bits each. Sets are told apart by 64-bit fingerprints (a false copy is to be
     expected from about four billion different sets on).
 
