@@ -183,22 +183,34 @@ def _labeller(sent):
 
 
 def sample(
-    docs: DataFrame, learn: Column, label: str, per_label: int, text: str = "text", limit: int = SAMPLE_BYTES
+    docs: DataFrame,
+    labels: DataFrame,
+    learn: Column,
+    label: str,
+    per_label: int,
+    text: str = "text",
+    id: str = "doc_id",
+    limit: int = SAMPLE_BYTES,
 ) -> list[tuple[str, object]]:
-    """Texts and labels to learn from: of each label the ``per_label`` rows whose
-    text has the smallest hash, among texts of at most ``limit`` bytes."""
-    body, known = F.col(f"`{text}`"), F.col(f"`{label}`")
-    usable = docs.filter(learn & body.isNotNull() & known.isNotNull() & (F.octet_length(body) <= limit))
-    keyed = usable.select(body.alias("body"), known.alias("known"), F.xxhash64(body).alias("draw"))
-    order = Window.partitionBy("known").orderBy("draw", "body")
-    drawn = keyed.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_label)
-    return [(r["body"], r["known"]) for r in sorted(drawn.collect(), key=lambda r: (r["draw"], r["body"]))]
+    """Texts and labels to learn from: of each label the ``per_label`` ids with the
+    smallest hashes, if there is a text of at most ``limit`` bytes for them. Ids are
+    chosen first, so that no texts move but those of the sample; of several texts of
+    an id the least is taken."""
+    known = F.col(f"`{label}`")
+    own = labels.filter(learn & known.isNotNull()).select(F.col(f"`{id}`").alias("id"), known.alias("known"))
+    order = Window.partitionBy("known").orderBy("draw", "id")
+    ranked = own.distinct().withColumn("draw", F.xxhash64("id")).withColumn("place", F.row_number().over(order))
+    chosen = ranked.filter(F.col("place") <= per_label).select("id", "known")
+    texts = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("body"))
+    found = texts.filter(F.octet_length("body") <= limit).join(F.broadcast(chosen), "id")
+    rows = found.groupBy("id", "known").agg(F.min("body").alias("body")).collect()
+    return [(r["body"], r["known"]) for r in sorted(rows, key=lambda r: (r["id"], r["known"]))]
 
 
 def fitted(docs: DataFrame, learn: Column, lang: str = "lang", text: str = "text", per_lang: int = SAMPLE) -> Model:
     """A model of the languages of the rows to learn from, at most ``per_lang``
     texts of each."""
-    rows = sample(docs, learn, lang, per_lang, text)
+    rows = sample(docs, docs, learn, lang, per_lang, text)
     langs = sorted({known for _, known in rows})
     number = {name: k for k, name in enumerate(langs)}
     if not rows:

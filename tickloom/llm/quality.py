@@ -213,13 +213,15 @@ def score_texts(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.clip(total, 0, 1), lines.counts
 
 
-def fit(docs: DataFrame, learn: Column, label: str, text: str = "text", per_label: int = SAMPLE) -> Model:
-    """A model from labelled rows: at most ``per_label`` texts of each label, which
+def fit(
+    docs: DataFrame, labels: DataFrame, learn: Column, label: str, text: str = "text", per_label: int = SAMPLE
+) -> Model:
+    """A model from labelled documents: at most ``per_label`` texts of each label, which
     weigh as the labels do among all of these rows. Without any, every text scores
     one half."""
-    rows = sample(docs, learn, label, per_label, text)
+    rows = sample(docs, labels, learn, label, per_label, text)
     known = F.col(f"`{label}`")
-    share = docs.filter(learn & known.isNotNull()).agg(F.avg(known.cast("double"))).first()[0]
+    share = labels.filter(learn & known.isNotNull()).agg(F.avg(known.cast("double"))).first()[0]
     texts, labels = [t for t, _ in rows], np.array([float(y) for _, y in rows])
     return train(texts, labels, share) if rows else untrained()
 

@@ -27,12 +27,6 @@ def fold(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
 
 
-def labelled(spark: SparkSession, sf: str, label: str) -> DataFrame:
-    """Texts of the rows that have the label."""
-    labels = table(spark, sf, "labels").select("doc_id", label)
-    return table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id")
-
-
 @query
 def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
     pieces, lined = mixing.mix(table(spark, sf, "documents"), keep=["doc_id"])
@@ -41,8 +35,9 @@ def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
-    model = quality.fit(labelled(spark, sf, "quality"), fold(4) != 2, "quality")
-    scored = quality.score(table(spark, sf, "documents"), model, keep=["doc_id"])
+    docs = table(spark, sf, "documents")
+    model = quality.fit(docs, table(spark, sf, "labels"), fold(4) != 2, "quality")
+    scored = quality.score(docs, model, keep=["doc_id"])
     return scored.select("doc_id", (fold(4) == 2).alias("held_out"), "score", "predicted")
 
 
@@ -117,8 +112,9 @@ def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
-    model = toxicity.fit(labelled(spark, sf, "toxic"), fold(5) != 0, "toxic")
-    scored = toxicity.score(table(spark, sf, "documents"), model, keep=["doc_id"])
+    docs = table(spark, sf, "documents")
+    model = toxicity.fit(docs, table(spark, sf, "labels"), fold(5) != 0, "toxic")
+    scored = toxicity.score(docs, model, keep=["doc_id"])
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
 
 

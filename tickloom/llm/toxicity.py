@@ -216,10 +216,12 @@ def score_texts(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return 1 / (1 + np.exp(-top)), np.bincount(text, minlength=len(texts))
 
 
-def fit(docs: DataFrame, learn: Column, label: str, text: str = "text", per_label: int = SAMPLE) -> Model:
-    """A model from labelled rows, at most ``per_label`` texts of each label. Without
+def fit(
+    docs: DataFrame, labels: DataFrame, learn: Column, label: str, text: str = "text", per_label: int = SAMPLE
+) -> Model:
+    """A model from labelled documents, at most ``per_label`` texts of each label. Without
     any, every text scores one half."""
-    rows = sample(docs, learn, label, per_label, text)
+    rows = sample(docs, labels, learn, label, per_label, text)
     texts, labels = [t for t, _ in rows], np.array([float(y) for _, y in rows])
     model = train(texts, labels)
     if not rows:
