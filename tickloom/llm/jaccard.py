@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm import bytewords
 from tickloom.llm.bytewords import BETWEEN_BLANKS, scrambled
@@ -23,6 +23,8 @@ FREQUENT = 16
 CLASS_SHIFT = 16
 PACKET_TOKENS = 1 << 21
 BROADCAST_SETS = 1_000_000
+KEY_NAMES = ["key", "set", "n", "common"]
+KEYS = "key long, set long, n long, common long"
 OUTPUTS = ["n_shingles", "component_id"]
 
 
@@ -205,8 +207,9 @@ def _postings(prefixes: Prefixes):
                         pa.array(np.concatenate(values)),
                         pa.array(np.repeat(batch.column("set").to_numpy(), kept)),
                         pa.array(np.repeat(sizes, kept)),
+                        pa.array(np.repeat(batch.column("common").to_numpy(), kept)),
                     ],
-                    names=["key", "set", "n"],
+                    names=KEY_NAMES,
                 )
 
     return run
@@ -248,10 +251,11 @@ def combinations(tokens: np.ndarray) -> np.ndarray:
 def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = [combinations(np.frombuffer(t.as_py(), np.uint64)) for t in batch.column("tokens")]
-        sets = np.repeat(batch.column("set").to_numpy(), [len(k) for k in keys])
         if keys:
+            times = [len(k) for k in keys]
+            rest = [pa.array(np.repeat(batch.column(c).to_numpy(), times)) for c in KEY_NAMES[1:]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(sets)], names=["key", "set"]
+                [pa.array(np.concatenate(keys).view(np.int64)), *rest], names=KEY_NAMES
             )
 
 
@@ -260,7 +264,7 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def candidate_sets(docs: DataFrame, percent: int) -> DataFrame:
     """Fingerprints of the sets that can have a partner: of their tokens at least
-    ``percent`` of a hundred are in some other set as well.
+    ``percent`` of a hundred are in some other set as well. ``common`` says how many.
 
     Tokens are compared by range of classes, wherever their sets are: a few bytes a
     token go out, and two bytes come back for a token that is shared. No range or
@@ -271,16 +275,17 @@ def candidate_sets(docs: DataFrame, percent: int) -> DataFrame:
     sent = docs.mapInArrow(_sent_classes(bits), row)
     back = sent.groupBy("part").applyInArrow(_shared_places, row)
     counted = back.groupBy("packet").applyInArrow(_shared_counts, "set long, n long, common long")
-    return counted.filter(100 * F.col("common") >= percent * F.col("n")).select("set").distinct()
+    return counted.filter(100 * F.col("common") >= percent * F.col("n")).select("set", "common").distinct()
 
 
 def shared_tokens(tokens: DataFrame, prefixes: Prefixes) -> DataFrame:
     """Candidate sets with the ``shared`` tokens of their extended prefixes, those that
     other candidates' prefixes hold too, each with its count."""
-    rows = tokens.select("set", "n", "tokens").mapInArrow(_postings(prefixes), "key long, set long, n long")
+    rows = tokens.mapInArrow(_postings(prefixes), KEYS)
     counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("count")).filter("count > 1")
     token = F.struct("count", "key").alias("token")
-    gathered = rows.join(counts, "key").groupBy("set", "n").agg(F.array_sort(F.collect_list(token)).alias("shared"))
+    met = rows.join(counts, "key").groupBy("set", "n", "common")
+    gathered = met.agg(F.array_sort(F.collect_list(token)).alias("shared"))
     return gathered.filter(F.size("shared") >= _needed(prefixes.percent))
 
 
@@ -292,7 +297,7 @@ def _needed(percent: int):
 
 
 def index_keys(candidates: DataFrame, tokens: DataFrame, prefixes: Prefixes, frequent: int) -> DataFrame:
-    """``key``, ``set``: sets that link meet in a key.
+    """``key``, ``set`` with its size and common tokens: sets that link meet in a key.
 
     A set must share ``needed`` tokens, so one of its first ``size - needed + 1``
     shared tokens, rarest first. If these are all rare, they are its keys. If not,
@@ -307,26 +312,24 @@ def index_keys(candidates: DataFrame, tokens: DataFrame, prefixes: Prefixes, fre
     first = F.size("shared") - _needed(prefixes.percent) + 1
     rare = F.filter("shared", lambda t: t["count"] < frequent)
     enough = F.size(rare) >= first
-    single = candidates.select("set", F.explode(F.when(enough, F.slice("shared", 1, first)).otherwise(rare)).alias("t"))
+    chosen = F.explode(F.when(enough, F.slice("shared", 1, first)).otherwise(rare)).alias("t")
+    single = candidates.select(*KEY_NAMES[1:], chosen).withColumn("key", F.col("t.key"))
     mostly_frequent = candidates.filter(~enough).select("set")
-    combined = tokens.join(mostly_frequent, "set", "left_semi").select("set", "tokens")
-    pairs = combined.mapInArrow(_combined, "key long, set long")
-    return single.select(F.col("t.key").alias("key"), "set").unionByName(pairs)
+    combined = tokens.join(mostly_frequent, "set", "left_semi").mapInArrow(_combined, KEYS)
+    return single.select(*KEY_NAMES).unionByName(combined)
+
+
+def possible(percent: int, n: Column, common: Column, other_n: Column, other_common: Column) -> Column:
+    """Whether two sets can link, by their sizes and by the tokens each has in common
+    with any set: they cannot share more than these."""
+    return (100 + percent) * F.least(common, other_common) >= percent * (n + other_n)
 
 
 def linked(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """The pairs of sets whose overlap is large enough, by comparing all tokens.
-    Pairs whose sizes are too far apart are left out before."""
-    sizes = tokens.select("set", "n")
-    near = (
-        pairs.join(sizes.select(F.col("set").alias("a"), F.col("n").alias("na")), "a")
-        .join(sizes.select(F.col("set").alias("b"), F.col("n").alias("nb")), "b")
-        .filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        .select("a", "b")
-    )
+    """The pairs of sets whose overlap is large enough, by comparing all tokens."""
     left = tokens.select(F.col("set").alias("a"), F.col("tokens").alias("ta"))
     right = tokens.select(F.col("set").alias("b"), F.col("tokens").alias("tb"))
-    return near.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(
         _verifier(percent), "a long, b long"
     )
 
@@ -351,23 +354,27 @@ def set_components(docs: DataFrame, described: DataFrame, percent: int, frequent
     hang together then. What is left are keys whose sets are still apart, and only
     pairs from different components of these are compared too."""
     prefixes = Prefixes(percent)
-    tokens = staged(_tokens_of(docs, described, candidate_sets(docs.select("body"), percent)))
+    found = staged(candidate_sets(docs.select("body"), percent))
+    tokens = staged(_tokens_of(docs, described, found))
     candidates = staged(shared_tokens(tokens, prefixes))
     keys = index_keys(candidates, tokens, prefixes, frequent).distinct()
     met = staged(_met(keys))
-    stars = met.filter("set <> pivot").select(F.col("pivot").alias("a"), F.col("set").alias("b")).distinct()
+    near = possible(percent, F.col("n"), F.col("common"), F.col("pivot.n"), F.col("pivot.common"))
+    stars = met.filter(near & (F.col("set") != F.col("pivot.set")))
+    stars = stars.select(F.col("pivot.set").alias("a"), F.col("set").alias("b")).distinct()
     first = staged(linked(stars, tokens, percent))
     roots = components(first)
     apart = staged(_apart(met, roots))
-    rest = linked(_crossed(apart), tokens, percent)
+    rest = linked(_crossed(apart, percent), tokens, percent)
     joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest)
     return components(joined)
 
 
 def _met(keys: DataFrame) -> DataFrame:
     """Members of keys that more than one set has, with the least of these sets."""
-    ends = keys.groupBy("key").agg(F.min("set").alias("pivot"), F.max("set").alias("last"))
-    return keys.join(ends.filter("pivot < last").select("key", "pivot"), "key")
+    least = F.min(F.struct("set", "n", "common")).alias("pivot")
+    ends = keys.groupBy("key").agg(least, F.max("set").alias("last"))
+    return keys.join(ends.filter("pivot.set < last").select("key", "pivot"), "key")
 
 
 def _tokens_of(docs: DataFrame, described: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -375,7 +382,7 @@ def _tokens_of(docs: DataFrame, described: DataFrame, candidates: DataFrame) ->
     up to a million documents is broadcast to find their texts; a longer one meets
     them in a shuffle."""
     chosen = staged(
-        described.join(candidates, "set", "left_semi")
+        described.join(candidates.select("set"), "set", "left_semi")
         .groupBy("set").agg(F.min(F.struct("id", "text_key")).alias("doc"))
         .select("doc.id", "doc.text_key")
     )
@@ -383,7 +390,7 @@ def _tokens_of(docs: DataFrame, described: DataFrame, candidates: DataFrame) ->
     own = docs["id"].eqNullSafe(chosen["id"]) & (docs["text_key"] == chosen["text_key"])
     texts = docs.join(F.broadcast(chosen) if few else chosen.hint("shuffle_hash"), own, "left_semi").select("body")
     found = texts.mapInArrow(_with_tokens, "set long, n long, tokens binary")
-    return found.dropDuplicates(["set"])
+    return found.dropDuplicates(["set"]).join(candidates, "set")
 
 
 def _apart(met: DataFrame, roots: DataFrame) -> DataFrame:
@@ -394,11 +401,14 @@ def _apart(met: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(split.select("key"), "key", "left_semi")
 
 
-def _crossed(apart: DataFrame) -> DataFrame:
-    """Pairs of a key from different components that have not been compared yet."""
-    x = apart.select("key", F.col("set").alias("a"), F.col("root").alias("ra"), "pivot").filter("a <> pivot")
-    y = apart.select("key", F.col("set").alias("b"), F.col("root").alias("rb"))
-    return x.join(y, "key").filter("ra <> rb AND a < b AND b <> pivot").select("a", "b").distinct()
+def _crossed(apart: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a key from different components that can link and have not been
+    compared yet."""
+    rest = apart.filter(F.col("set") != F.col("pivot.set")).select(*KEY_NAMES, "root")
+    x, y = (rest.select("key", *[F.col(c).alias(f"{c}_{side}") for c in rest.columns[1:]]) for side in "ab")
+    near = possible(percent, F.col("n_a"), F.col("common_a"), F.col("n_b"), F.col("common_b"))
+    pairs = x.join(y, "key").filter((F.col("root_a") != F.col("root_b")) & (F.col("set_a") < F.col("set_b")) & near)
+    return pairs.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct()
 
 
 def cluster(
