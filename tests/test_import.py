@@ -1,11 +1,12 @@
 """Raw files: scanning, verdicts, storing, registering, importing again."""
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests import ticks as made
+from tests.ticks import MORNING
 from tickloom.functions import ids
 from tickloom.operators import catalog, quality
 from tickloom.plans import importing
@@ -202,6 +203,48 @@ def test_arrivals(spark, root, tmp_path):
     made.write(root, made.every_half_second(250), "ZN1906", "20190327")
     import_arrivals(spark, str(root), *folders)
     assert spark.read.schema(CLEAN_TICK).parquet(folders[0]).count() == whole.count() + 250
+    sizes = spark.read.schema(CATALOG).parquet(folders[1])
+    assert sizes.filter("size > 0").count() == sizes.count() == len(paths) + 1
+    again = importing.import_files(spark, str(root), folders[0], folders[1])
+    assert again.count() == len(paths) + 1  # the batch import finds nothing left to do
+
+
+def test_stray_rows_are_kept_and_not_doubled(spark, root, tmp_path):
+    """Rows may name another market, none, or spell their contract otherwise."""
+    strays = [made.line(datetime(2019, 3, 26, 9, 30, 0, 500000), instrument="ag1906", market=m, seq=300) for m in (3, None)]
+    made.write(root, [*made.every_half_second(220), *strays])
+    made.write(root, made.every_half_second(230, instrument="cu1906"), "CU1906")
+    ticks, files = str(tmp_path / "ticks"), str(tmp_path / "files")
+    for force in (False, True):
+        found = importing.import_files(spark, str(root), ticks, files, force=force)
+        stored = stores.read_ticks(spark, ticks, CLEAN_TICK)
+        assert stores.batch_load(stored, found, view="").count() == stored.count() == 452
+
+
+def test_import_reads_only_new_files(spark, root, tmp_path, monkeypatch):
+    for i in range(5):
+        made.write(root, made.every_half_second(220), f"A{chr(65 + i)}1906")
+    ticks, files = str(tmp_path / "ticks"), str(tmp_path / "files")
+    importing.import_files(spark, str(root), ticks, files)
+    made.write(root, made.every_half_second(220), "ZN1906")
+    read = []
+    scan = raw.scan_files
+    monkeypatch.setattr(raw, "scan_files", lambda *a, **b: read.append(scan(*a, **b)) or read[-1])
+    importing.import_files(spark, str(root), ticks, files)
+    assert [len(r.inputFiles()) for r in read] == [1]
+
+
+def test_imported_files_have_statistics_and_a_dominant_contract(spark, root, tmp_path):
+    made.write(root, made.every_half_second(220), "AG1906")
+    ticks, files = str(tmp_path / "ticks"), str(tmp_path / "files")
+    importing.import_files(spark, str(root), ticks, files)
+    made.write(root, [made.line(MORNING, seq=0, OpenInterest=9_000_000, instrument="AG1912"), *made.every_half_second(220, OpenInterest=9_000_000, instrument="AG1912")], "AG1912")
+    found = importing.import_files(spark, str(root), ticks, files)
+    rows = {r.InstrumentID: r for r in found.collect()}
+    assert rows["AG1912"].isDominant and not rows["AG1906"].isDominant
+    assert rows["AG1906"].high == 106.0 and rows["AG1906"].volume_sum == 220
+    stored = stores.read_ticks(spark, ticks, CLEAN_TICK)
+    assert stores.batch_load(stored, found).count() == 221
 
 
 def test_missing_store_reads_empty(spark, tmp_path):

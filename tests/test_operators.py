@@ -124,7 +124,7 @@ def test_wash_bounds_are_exclusive(spark):
 
 
 def test_wash_reaches_the_scan(spark, tmp_path):
-    ticks = tables.ticks(spark, SF)
+    ticks = raw.with_file_columns(tables.ticks(spark, SF))
     stores.write_ticks(ticks, str(tmp_path / "t"))
     read = spark.read.parquet(str(tmp_path / "t"))
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
@@ -154,14 +154,14 @@ def test_first_match(tagged):
 
 def test_retracting_stored_ticks(spark, tmp_path):
     folder = str(tmp_path / "t")
-    ticks = tables.ticks(spark, SF)
+    ticks = raw.with_file_columns(tables.ticks(spark, SF))
     stores.write_ticks(ticks, folder)
     doomed = ticks.filter("InstrumentID = 'CL2401' or category = 'ER'").select("path").distinct()
     want = ticks.filter("InstrumentID <> 'CL2401' and category <> 'ER'")
     stores.retract_ticks(spark, folder, ticks.schema, doomed)
     left = stores.read_ticks(spark, folder, ticks.schema)
     assert left.select(want.columns).exceptAll(want).count() == 0 and left.count() == want.count()
-    assert not list((tmp_path / "t").glob("MarketID=4/category=ER/*"))
+    assert not list((tmp_path / "t").glob("market=4/category=ER/*"))
     files = tables.catalog(spark, SF)
     marked = catalog.mark_retracted(files, doomed)
     assert marked.filter("zip_path is null").join(doomed, "path").count() == doomed.count()
@@ -173,6 +173,15 @@ def test_stocks(spark, tmp_path):
     stores.write_stocks(daily, folder)
     one = stores.read_stock(spark, folder, "7.SZ")
     assert one.count() == daily.filter("ts_code = '7.SZ'").count() > 0
+    before = one.count()
+    stores.write_stocks(one.limit(1), folder)
+    assert stores.read_stock(spark, folder, "7.SZ").count() == 1
+    assert stores.read_stocks(spark, folder).count() == daily.count() - before + 1
+    fetched = spark.createDataFrame([("7.SZ", ["got_1dK"]), ("8.SZ", ["got_1dK"])], "ts_code string, tags array<string>")
+    left = stores.drop_stock(spark, folder, fetched, "7.SZ")
+    assert sorted(tuple(r) for r in left.collect()) == [("7.SZ", []), ("8.SZ", ["got_1dK"])]
+    assert stores.read_stock(spark, folder, "7.SZ").count() == 0 < stores.read_stock(spark, folder, "8.SZ").count()
+    assert stores.read_stock(spark, str(tmp_path / "none"), "7.SZ").count() == 0
     stocks = tables.stock_basic(spark, SF)
     codes = catalog.pending_symbols(stocks)
     claimed = catalog.claim(stocks, codes)
@@ -205,8 +214,8 @@ def test_batch_load_is_ordered_and_empty_without_files(spark):
     assert stores.batch_load(ticks, files, "", InstrumentID="none").count() == 0
 
 
-def test_batch_load_reads_the_partitions_it_needs(spark, tmp_path, monkeypatch):
-    ticks, files = tables.ticks(spark, SF), tables.catalog(spark, SF)
+def test_batch_load_reads_the_partitions_it_needs(spark, tmp_path):
+    ticks, files = raw.with_file_columns(tables.ticks(spark, SF)), tables.catalog(spark, SF)
     stores.write_ticks(ticks, str(tmp_path / "t"))
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     stored = stores.read_ticks(spark, str(tmp_path / "t"), ticks.schema)
@@ -218,15 +227,12 @@ def test_batch_load_reads_the_partitions_it_needs(spark, tmp_path, monkeypatch):
         for line in plan.splitlines()
         if "PartitionFilters: [" in line
     )
-    monkeypatch.setattr(stores, "MAX_NAMED_PARTITIONS", 0)
-    unnamed = stores.batch_load(stored, files, "", category="CL", sort=False)
-    assert unnamed.count() == loaded.count()
 
 
 def test_reports(spark):
     files = tables.catalog(spark, SF)
     line = catalog.report(files.filter("line_num = 1 and zip_line_num = 1").limit(1)).first().report
-    assert line.startswith("[") and "(150B), 1/1, tags=[too_small], time_len=" in line
+    assert line.startswith("[") and "(150B), 1/1, tags=['too_small'], time_len=" in line
     rows = spark.createDataFrame(
         [("p", "AG1906", "20190326", "fam", None, 5, [], 3600, None)],
         "path string, InstrumentID string, day string, time_type string, zip_path string, "
@@ -350,7 +356,11 @@ def test_splitting_a_night(spark, tmp_path):
     folder = str(tmp_path / "sessions")
     for _ in range(2):
         stores.write_sessions(labelled.withColumn("file_day", F.col("day")), folder)
-    assert spark.read.parquet(folder).count() == 959
+        other = labelled.withColumn("path", F.lit("2019/4/AB/AB1906/2019/201903/20190326.spt"))
+        stores.write_sessions(other.withColumn("file_day", F.col("day")), str(tmp_path / "both"))
+        stores.write_sessions(labelled.withColumn("file_day", F.col("day")), str(tmp_path / "both"))
+    assert spark.read.parquet(str(tmp_path / "both")).count() == 1520
+    assert spark.read.parquet(folder).count() == 760  # the slice of 199 is too small
 
 
 def test_unknown_clock_rejects_the_file(spark, tmp_path):
@@ -372,10 +382,10 @@ def test_features(spark):
 def test_feature_store(spark, tmp_path):
     folder = str(tmp_path / "features")
     df = spark.range(5)
-    stores.write_feature(df, folder, "a")
-    stores.write_feature(df, folder, "b")
-    stores.write_feature(df.limit(2), folder, "a")
-    assert spark.read.parquet(folder).groupBy("feature").count().orderBy("feature").collect() == [("a", 2), ("b", 5)]
+    stores.write_feature(df, folder, "a", ["id"])
+    stores.write_feature(df, folder, "b", ["id"])
+    stores.write_feature(spark.range(3, 7), folder, "a", ["id"])
+    assert spark.read.parquet(folder).groupBy("feature").count().orderBy("feature").collect() == [("a", 7), ("b", 5)]
     assert stores.drop_feature(spark, folder, "a") and not stores.drop_feature(spark, folder, "a")
     assert spark.read.parquet(folder).count() == 5
 
@@ -566,7 +576,7 @@ def test_functions_keep_their_rows(spark):
     assert doubled.agg(F.sum("LastPrice")).first()[0] == pytest.approx(2 * ticks.agg(F.sum("LastPrice")).first()[0])
     for mapped in (
         userfuncs.map_batches(ticks, lambda f: f.iloc[1:], ticks.schema),
-        userfuncs.map_files(ticks, lambda f: f.iloc[1:], ticks.schema),
+        userfuncs.map_files(ticks, userfuncs.whole(lambda f: f.iloc[1:]), ticks.schema),
     ):
         with pytest.raises(Exception, match="row count changed"):
             mapped.collect()
@@ -574,18 +584,53 @@ def test_functions_keep_their_rows(spark):
 
 def test_whole_files(spark):
     ticks = tables.ticks(spark, SF).select("path", "seq", "LastPrice")
-    off = userfuncs.map_files(ticks, lambda f: f.assign(LastPrice=f.LastPrice - f.LastPrice.mean()), ticks.schema)
+    centred = userfuncs.whole(lambda f: f.assign(LastPrice=f.LastPrice - f.LastPrice.mean()))
+    off = userfuncs.map_files(ticks, centred, ticks.schema)
     means = off.groupBy("path").agg(F.sum("LastPrice").alias("s"), F.count("seq").alias("n"))
     assert means.filter("abs(s) > 1e-9").count() == 0
     assert means.agg(F.sum("n")).first()[0] == ticks.count()
 
 
-def test_whole_groups_are_bounded(spark):
+def test_groups_pass_in_batches(spark):
     ticks = tables.ticks(spark, SF).select("InstrumentID", "LastPrice")
-    with pytest.raises(ValueError, match="partial and merge"):
-        userfuncs.map_groups(ticks, ["InstrumentID"], lambda f: f, ticks.schema, max_rows=3)
-    whole = userfuncs.map_groups(ticks, ["InstrumentID"], lambda f: f.nlargest(1, "LastPrice"), ticks.schema)
-    assert whole.count() == 30
+    largest = userfuncs.whole(lambda f: f.nlargest(1, "LastPrice"))
+    assert userfuncs.map_groups(ticks, ["InstrumentID"], largest, ticks.schema).count() == 30
+
+    def counted(frames):
+        sizes = [len(f) for f in frames]
+        yield pd.DataFrame({"batches": [len(sizes)], "n": [sum(sizes)]})
+
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        rows = userfuncs.map_groups(ticks, ["InstrumentID"], counted, "batches long, n long").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert sum(r.n for r in rows) == ticks.count() and max(r.batches for r in rows) > 1
+
+
+def test_folding_passes_on_what_it_holds(spark, monkeypatch):
+    monkeypatch.setattr(userfuncs, "HELD_ROWS", 2)
+    ticks = tables.ticks(spark, SF).select("InstrumentID", "LastPrice").withColumn("n", F.lit(1))
+    count = lambda f: f.groupby("InstrumentID", as_index=False).agg(n=("n", "sum"))
+    rows = userfuncs.fold_groups(ticks, ["InstrumentID"], count, count, "InstrumentID string, n long").collect()
+    assert len(rows) == 30 and sum(r.n for r in rows) == ticks.count()
+
+
+def test_in_lists_reach_the_scan(spark, tmp_path):
+    tables.ticks(spark, SF).select("InstrumentID", "seq").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    found = filters.filter_by(stored, InstrumentID__in=["CL2401", "CL2402"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "In(InstrumentID, [CL2401,CL2402])" in plan.split("PushedFilters")[1]
+    nested = tables.nested_documents(spark, SF)
+    assert filters.filter_by(nested, **{"meta.lang": "en"}).count() == nested.filter("meta.lang = 'en'").count() > 0
+
+
+def test_positions_beyond_their_bound_are_an_error(spark):
+    ticks = projections.for_bars(tables.ticks(spark, SF))
+    with pytest.raises(Exception, match="above the bound"):
+        bars.bars(ticks, "1H", seq_bound=10).collect()
 
 
 def test_row_function_hooks(spark, tmp_path):

@@ -36,4 +36,6 @@ def duration_text(seconds: Column) -> Column:
 
 
 def tags_text(tags: Column) -> Column:
-    return F.concat(F.lit("["), F.array_join(tags, ", "), F.lit("]"))
+    """Tags as a list of quoted names."""
+    quoted = F.transform(tags, lambda t: F.concat(F.lit("'"), t, F.lit("'")))
+    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.operators import ordered
 from tickloom.operators.filters import in_session
-from tickloom.operators.projections import for_training
+from tickloom.operators.projections import for_load, for_training
 from tickloom.schema import DOMINANT_KIND, MULTIPLIER
 from tickloom.session import listed
 
@@ -97,7 +97,7 @@ def two_day_window(ticks: DataFrame, first_day: str, second_day: str, keys: list
     series = ticks.filter(F.right("InstrumentID", F.lit(4)) == DOMINANT_KIND)
     both = series.filter(F.col("day").isin(first_day, second_day))
     starts = (F.col("day") == second_day) & (F.col("time_type") != "night")
-    return for_training(cut_before(both, keys, ["UpdateTime", "seq"], starts))
+    return for_training(for_load(cut_before(both, keys, ["UpdateTime", "seq"], starts)))
 
 
 def random_window(ticks: DataFrame, category: str, seed: int | None = None) -> tuple[DataFrame, list[str], str]:

@@ -35,7 +35,8 @@ def tick_order(at: Column, seq: Column, base: Column, width: int, seq_bound: int
     Both fit one long while ``seq_bound``, an upper bound of the positions, is
     small enough for the bin width; a pair takes over beyond that."""
     if fits_one_key(width, seq_bound):
-        return (at - base) * F.lit(1 << seq_bound.bit_length()) + seq
+        beyond = F.raise_error(F.lit(f"a tick's position is above the bound of {seq_bound}")).cast("long")
+        return (at - base) * F.lit(1 << seq_bound.bit_length()) + F.when(seq > seq_bound, beyond).otherwise(seq)
     return F.struct(at.alias("at"), seq.alias("seq"))
 
 

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions import ids, text, times
 from tickloom.operators.bars import fits_one_key, tick_order
-from tickloom.operators.filters import without_tags
-from tickloom.schema import DOMINANT_KIND, INDEX_KIND, MIN_ROWS, MULTIPLIER
+from tickloom.operators.filters import has_volume, in_dates, without_tags
+from tickloom.schema import DOMINANT_KIND, INDEX_KIND, MAX_DATE, MIN_DATE, MIN_ROWS, MULTIPLIER
 from tickloom.session import listed
 
 # Widths a group's first and last ticks may be found in before its parts merge.
@@ -22,8 +22,11 @@ def slice_stats(
     keys: list[str],
     seq_bound: int | None = None,
     multiplier: float = MULTIPLIER,
+    low: str = MIN_DATE,
+    high: str = MAX_DATE,
 ) -> DataFrame:
-    """Time span and price statistics of the ticks of each group.
+    """Time span and price statistics of the ticks of each group. Lines are counted
+    as they are, everything else is of the washed ones.
 
     Groups are summed up by day first, or by hour or minute where positions grow
     so large that they and the time fit a single order key only within those."""
@@ -31,13 +34,16 @@ def slice_stats(
     key, start = F.col("_order"), F.col("_part")
     at = times.micros(F.col("UpdateTime"))
     width = next((w for w in PARTS if fits_one_key(w, seq_bound)), PARTS[-1])
+    clean = in_dates(F.col("UpdateTime"), low, high) & has_volume(volume)
+    measured = ("LastPrice", "LastVolume", "OpenInterest", "Turnover", "UpdateTime")
+    washed = ticks.withColumns({c: F.when(clean, F.col(c)) for c in measured})
     parts = (
-        ticks.withColumn("_part", times.bin_start(at, width))
+        washed.withColumn("_part", times.bin_start(at, width))
         .withColumn("_order", tick_order(at, F.col("seq"), start, width, seq_bound))
         .groupBy(*keys, "_part")
         .agg(
             F.count(F.lit(1)).alias("line_num"),
-            F.count_if(volume >= 0).alias("zip_line_num"),
+            F.count("UpdateTime").alias("zip_line_num"),
             F.min("UpdateTime").alias("start"),
             F.max("UpdateTime").alias("end"),
             F.min_by(price, key).alias("open"),
@@ -296,18 +302,11 @@ def retract_rows(rows: DataFrame, keys: DataFrame, on: list[str] = ["path"]) ->
 
 
 def mark_retracted(files: DataFrame, keys: DataFrame) -> DataFrame:
-    """Catalog rows whose stored ticks were retracted, now without a store path."""
+    """Catalog rows whose stored ticks were retracted, now without a store path; the
+    count of what was stored stays."""
     gone = keys.select("path", F.lit(True).alias("_gone")).distinct()
-    return (
-        files.join(gone, "path", "left")
-        .withColumns(
-            {
-                "zip_path": F.when(F.col("_gone").isNull(), F.col("zip_path")),
-                "zip_line_num": F.when(F.col("_gone"), F.lit(0)).otherwise(F.col("zip_line_num")),
-            }
-        )
-        .drop("_gone")
-    )
+    marked = files.join(gone, "path", "left")
+    return marked.withColumn("zip_path", F.when(F.col("_gone").isNull(), F.col("zip_path"))).drop("_gone")
 
 
 # --- reports -----------------------------------------------------------------

@@ -52,12 +52,13 @@ def without_tags(tags: str, unwanted: list[str]) -> Column:
 
 
 def _any_of(column: Column, is_list: bool, values: list) -> Column:
+    """Null, which a filter takes for false, where the value is missing."""
     named = [v for v in values if v is not None]
     hit = F.lit(False)
     if named and is_list:
-        hit = F.coalesce(F.arrays_overlap(column, F.array(*[F.lit(v) for v in named])), F.lit(False))
+        hit = F.arrays_overlap(column, F.array(*[F.lit(v) for v in named]))
     elif named:
-        hit = F.coalesce(column.isin(*named), F.lit(False))
+        hit = column.isin(*named)
     return hit | column.isNull() if len(named) < len(values) else hit
 
 
@@ -82,7 +83,7 @@ def keyword_condition(df: DataFrame, **wanted: Any) -> Column:
         field, _, op = word.rpartition("__")
         if op not in ("in", "nin", "ne", "exists"):
             field, op = word, "eq"
-        column, field_type = F.col(field), df.schema[field].dataType
+        column, field_type = F.col(field), df.select(field).schema[0].dataType
         is_list = isinstance(field_type, T.ArrayType)
         if op == "eq":
             rule = _equals(column, field_type, value)
@@ -92,7 +93,7 @@ def keyword_condition(df: DataFrame, **wanted: Any) -> Column:
             rule = column.isNotNull() if value else column.isNull()
         else:
             rule = _any_of(column, is_list, list(value))
-            rule = ~rule if op == "nin" else rule
+            rule = ~F.coalesce(rule, F.lit(False)) if op == "nin" else rule
         condition = condition & rule
     return condition
 

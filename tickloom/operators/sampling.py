@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.operators.ordered import with_index
 
-# Up to this many rows a random sample is a top-n; above, it is numbered.
-SMALL_SAMPLE = 100_000
-
 
 def page(df: DataFrame, order: list[str], number: int, pages: int | None = None, size: int | None = None) -> DataFrame:
     """One page, counted from 0. Pages are cut by position, so the last is as
@@ -22,21 +17,25 @@ def page(df: DataFrame, order: list[str], number: int, pages: int | None = None,
     return rows.filter((idx >= number * size) & (idx < (number + 1) * size)).drop("idx")
 
 
-def random_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """Exactly ``n`` rows at random, or all if there are fewer.
-
-    Every row draws a number and the lowest ``n`` draws win. Draws too high to
-    win go at once, eight deviations clear of the last winner, so that about
-    ``n`` rows are ordered whatever the size of the table."""
-    total = df.count()
-    if n >= total:
-        return df
-    share = (n + 8 * math.sqrt(n) + 16) / total
-    drawn = df.withColumn("_draw", F.rand(seed)).filter(F.col("_draw") < share)
-    if n <= SMALL_SAMPLE:
-        return drawn.orderBy("_draw").limit(n).drop("_draw")
-    tied = drawn.withColumn("_tie", F.monotonically_increasing_id())
-    return with_index(tied, ["_draw", "_tie"]).filter(F.col("idx") < n).drop("_draw", "_tie", "idx")
+def random_rows(df: DataFrame, n: int, seed: int = 0, key: list[str] | None = None) -> DataFrame:
+    """Exactly ``n`` rows at random, or all if there are fewer; the same rows however
+    the table is partitioned.
+
+    A row draws the checksum of the seed and its ``key`` (default: all columns), and
+    the lowest ``n`` draws win; rows alike in their key are interchangeable. Draws
+    are counted by their first digits, which tells where the ``n``-th falls; only
+    the rows that begin like it have to be ordered."""
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in key or df.columns]
+    drawn = df.withColumn("_draw", F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)))
+    head = F.substring("_draw", 1, 4)
+    below = 0
+    for start, rows in drawn.groupBy(head.alias("head")).count().orderBy("head").collect():
+        if below + rows >= n:
+            first = drawn.filter(head < start)
+            last = drawn.filter(head == start).orderBy("_draw").limit(n - below)
+            return first.unionByName(last).drop("_draw")
+        below += rows
+    return df
 
 
 def systematic_sample(df: DataFrame, order: list[str], size: int, omit: bool = False) -> DataFrame:

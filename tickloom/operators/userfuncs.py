@@ -9,9 +9,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import StructType
 
-from tickloom.operators.ordered import MAX_GROUP_ROWS, group_extent
 
 Frame = pd.DataFrame
+HELD_ROWS = 100_000
 
 
 def page_number() -> int:
@@ -29,13 +29,13 @@ def _same_rows(func: Callable[[Frame], Frame]) -> Callable[[Frame], Frame]:
     return run
 
 
-def _require_bounded(df: DataFrame, keys: list[str], max_rows: int) -> None:
-    most = group_extent(df, keys)
-    if most > max_rows:
-        raise ValueError(
-            f"a group of {keys} holds {most} rows, more than {max_rows}: use finer keys, "
-            "a function over batches, or partial and merge functions"
-        )
+def whole(func: Callable[[Frame], Frame]) -> Callable[[Iterator[Frame]], Iterator[Frame]]:
+    """A function of all rows of a group at once as one of its batches."""
+
+    def run(frames: Iterator[Frame]) -> Iterator[Frame]:
+        yield func(pd.concat(frames, ignore_index=True))
+
+    return run
 
 
 def map_batches(df: DataFrame, func: Callable[[Frame], Frame], schema: StructType | str) -> DataFrame:
@@ -51,15 +51,30 @@ def map_batches(df: DataFrame, func: Callable[[Frame], Frame], schema: StructTyp
 
 def map_files(
     df: DataFrame,
-    func: Callable[[Frame], Frame],
+    func: Callable[[Iterator[Frame]], Iterator[Frame]],
     schema: StructType | str,
     keys: list[str] = ["path"],
-    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Run a function over each whole file; it keeps the row count. The size of
-    the largest file is checked before any of them is handed over."""
-    _require_bounded(df, keys, max_rows)
-    return df.groupBy(*keys).applyInPandas(_same_rows(func), schema)
+    """Run a function over the batches of each file; it keeps the row count. A file
+    of any size passes through batch by batch; ``whole`` makes such a function of one
+    that needs all rows at once."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = made = 0
+
+        def counted() -> Iterator[Frame]:
+            nonlocal seen
+            for frame in frames:
+                seen += len(frame)
+                yield frame
+
+        for out in func(counted()):
+            made += len(out)
+            yield out
+        if made != seen:
+            raise ValueError(f"row count changed from {seen} to {made}")
+
+    return df.groupBy(*keys).applyInPandas(run, schema)
 
 
 def map_rows(
@@ -108,13 +123,15 @@ def each_row(
 def map_groups(
     df: DataFrame,
     keys: list[str],
-    func: Callable[[Frame], Frame],
+    func: Callable[[Iterator[Frame]], Iterator[Frame]],
     schema: StructType | str,
-    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Run a function over each whole group, up to ``max_rows`` rows."""
-    _require_bounded(df, keys, max_rows)
-    return df.groupBy(*keys).applyInPandas(func, schema)
+    """Run a function over the batches of each group, of any size."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from func(frames)
+
+    return df.groupBy(*keys).applyInPandas(run, schema)
 
 
 def fold_groups(
@@ -126,13 +143,17 @@ def fold_groups(
 ) -> DataFrame:
     """Run a function over groups of any size. ``partial`` shrinks a batch to a
     row per group, ``merge`` shrinks such rows to a row per group; it is applied
-    within each task before the shuffle and once more after it."""
+    within each task before the shuffle and once more after it. A task passes on
+    what it holds whenever that grows beyond ``HELD_ROWS`` groups."""
 
     def shrink(frames: Iterator[Frame]) -> Iterator[Frame]:
         held: Frame | None = None
         for frame in frames:
             rows = partial(frame)
             held = rows if held is None else merge(pd.concat([held, rows], ignore_index=True))
+            if len(held) > HELD_ROWS:
+                yield held
+                held = None
         if held is not None:
             yield held
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.functions import ids, times
 from tickloom.operators import filters, quality
-from tickloom.operators.catalog import files_to_import
+from tickloom.operators.catalog import files_to_import, slice_stats, with_dominance
 from tickloom.schema import CATALOG, CLEAN_TICK, MAX_DATE, MIN_DATE, MIN_ROWS, RAW_TICK
 from tickloom.session import listed, scratch
 from tickloom.sources import raw, stores
@@ -49,9 +49,10 @@ def cleaned(ticks: DataFrame, verdicts: DataFrame, rules: Rules) -> DataFrame:
     return raw.with_file_columns(labelled).drop(quality.FAILED)
 
 
-def catalog_rows(files: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Catalog rows of listed files with their verdicts. The line count is kept
-    for rejected files too."""
+def catalog_rows(files: DataFrame, verdicts: DataFrame, stored_stats: DataFrame | None = None) -> DataFrame:
+    """Catalog rows of listed files with their verdicts and, where there are any, the
+    statistics of their stored ticks. The line count is kept for rejected files
+    too."""
     stored = F.concat_ws(
         "/",
         F.col("MarketID").cast("string"),
@@ -60,7 +61,11 @@ def catalog_rows(files: DataFrame, verdicts: DataFrame) -> DataFrame:
         "month",
         F.concat("InstrumentID", F.lit("_"), "day", F.lit(".parquet")),
     )
-    rows = files.join(verdicts, "path", "left").withColumns(
+    rows = files.join(verdicts, "path", "left")
+    if stored_stats is not None:
+        fresh = [c for c in stored_stats.columns if c == "path" or c not in rows.columns]
+        rows = rows.join(stored_stats.select(*fresh), "path", "left")
+    rows = rows.withColumns(
         {
             "tags": F.when(F.col("tag").isNull(), F.array().cast("array<string>")).otherwise(F.array("tag")),
             "zip_path": F.when(F.col("tag").isNull() & F.col("line_num").isNotNull(), stored),
@@ -102,22 +107,36 @@ def import_files(
     without registering is deleted by the next."""
     files = stores.read_or_empty(spark, catalog_folder, CATALOG)
     listing = wanted_files(raw.list_files(spark, root, pattern), rules)
-    todo = listed((listing if force else files_to_import(listing, files)).select("path", "size"))
-    lines = raw.scan(spark, root, pattern, rules.bad_rows)
-    with scratch(lines.join(todo.select("path"), "path", "left_semi")) as ticks:
-        verdicts = judged(ticks, rules)
-        with scratch(catalog_rows(ids.with_path_parts(todo), verdicts)) as rows:
-            stores.retract_ticks(spark, tick_folder, CLEAN_TICK, todo)
-            stores.write_ticks(cleaned(ticks, verdicts, rules), tick_folder, mode="append")
-            register(rows, catalog_folder)
+    todo = listed((listing if force else files_to_import(listing, files)).select("path", "size", "uri"))
+    # A scan names its files on the driver anyway; it is given those to import only.
+    named = [row.uri for row in todo.select("uri").toLocalIterator()]
+    if not named:
+        return files
+    store_files(spark, raw.scan_files(spark, named, rules.bad_rows), todo, tick_folder, catalog_folder, rules)
     return stores.read_or_empty(spark, catalog_folder, CATALOG)
 
 
+def store_files(
+    spark: SparkSession, lines: DataFrame, files: DataFrame, tick_folder: str, catalog_folder: str, rules: Rules
+) -> None:
+    """Judge, wash, store and register the ticks of some files (``path``, ``size``),
+    in place of what is stored of them."""
+    listed_ = ids.with_path_parts(files.select("path", "size"))
+    with scratch(lines) as ticks:
+        verdicts = judged(ticks, rules)
+        with scratch(cleaned(ticks, verdicts, rules)) as clean:
+            with scratch(catalog_rows(listed_, verdicts, slice_stats(clean, ["path"]))) as rows:
+                stores.retract_ticks(spark, tick_folder, CLEAN_TICK, files)
+                stores.write_ticks(clean, tick_folder, mode="append")
+                register(rows, catalog_folder)
+
+
 def register(rows: DataFrame, catalog_folder: str) -> None:
-    """Add catalog rows, replacing those of the same path. The catalog is small
-    next to the ticks; the days it touches are rewritten as a whole."""
+    """Add catalog rows, replacing those of the same path, and mark the dominant
+    contracts of the days touched anew. The catalog is small next to the ticks;
+    these days are rewritten as a whole."""
     old = stores.read_or_empty(rows.sparkSession, catalog_folder, CATALOG)
     touched = old.join(rows.select("day").distinct(), "day", "left_semi")
     kept = touched.join(rows.select("path"), "path", "left_anti").select(*CATALOG.names)
-    with scratch(kept.unionByName(rows)) as merged:
+    with scratch(with_dominance(kept.unionByName(rows)).select(*CATALOG.names)) as merged:
         stores.write_partitions(merged, catalog_folder, ["day"], ["path"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.operators import bars, quality
 from tickloom.operators.projections import for_bars
@@ -26,9 +26,17 @@ def refresh_bars(
     instruments: list[str] | None = None,
     seq_bound: int | None = None,
 ) -> None:
-    """Compute all levels from one scan and replace the stored bars."""
+    """Compute all levels from one scan and replace the stored bars. Without a bound
+    of the ticks' positions the largest is looked up first, which reads one column
+    and lets the bars be hashed instead of sorted. Without ``instruments`` bars of
+    contracts that have none any more go too."""
+    if seq_bound is None:
+        seq_bound = ticks.agg(F.max("seq")).first()[0] or 0
     levels = [level for level in LEVELS if level not in ("1d", "2H")]
     made = bars.bars_at_levels(bar_input(ticks, instruments), [*levels, "1d"], seq_bound=seq_bound)
     with scratch(made) as rows:
-        stores.write_bars(rows.filter("level <> '1d'"), bar_folder, instruments or [], levels)
-        stores.write_daily(rows.filter("level = '1d'"), daily_folder, instruments or [])
+        if instruments is None:
+            stored = stores.read_bars(spark, bar_folder).select("InstrumentID").distinct()
+            instruments = sorted(r.InstrumentID for r in stored.collect())
+        stores.write_bars(rows.filter("level <> '1d'"), bar_folder, instruments, levels)
+        stores.write_daily(rows.filter("level = '1d'"), daily_folder, instruments)

@@ -38,26 +38,29 @@ CLOCK_LABEL = """CASE WHEN UpdateTime::TIME BETWEEN TIME '09:00:00' AND TIME '10
     WHEN UpdateTime::TIME >= TIME '21:00:00' OR UpdateTime::TIME <= TIME '03:00:00' THEN 'night'
     ELSE 'unknow' END"""
 
+CLEAN = "LastVolume >= 0 AND UpdateTime > TIMESTAMP '2015-12-12' AND UpdateTime < TIMESTAMP '2025-12-12'"
+
 WASHED = f"""
-washed AS (SELECT * FROM ticks WHERE LastVolume >= 0
-  AND UpdateTime > TIMESTAMP '2015-12-12' AND UpdateTime < TIMESTAMP '2025-12-12'),
+washed AS (SELECT * FROM ticks WHERE {CLEAN}),
 labelled AS (SELECT *, {HOUR_LABEL} AS time_type FROM washed)
 """
 
-FILE_STATS = """
+FILE_STATS = f"""
+usable AS (SELECT *, coalesce({CLEAN}, false) AS ok FROM ticks),
 stats AS (
   SELECT path, MarketID, category, InstrumentID, month, day,
-    count(*) AS line_num, count(*) FILTER (LastVolume >= 0) AS zip_line_num,
-    min(UpdateTime) AS "start", max(UpdateTime) AS "end",
-    arg_min(LastPrice, (UpdateTime, seq)) AS open, arg_max(LastPrice, (UpdateTime, seq)) AS close,
-    max(LastPrice) AS high, min(LastPrice) AS low, avg(LastPrice) AS mean,
-    arg_max(OpenInterest, (UpdateTime, seq)) AS OpenInterest,
-    arg_max({'t': Turnover}, (UpdateTime, seq)).t AS Turnover,
-    sum(LastPrice * LastVolume * 10) AS Turnover_calc, sum(LastVolume) AS volume_sum
-  FROM ticks GROUP BY ALL),
+    count(*) AS line_num, count(*) FILTER (ok) AS zip_line_num,
+    min(UpdateTime) FILTER (ok) AS "start", max(UpdateTime) FILTER (ok) AS "end",
+    arg_min(LastPrice, (UpdateTime, seq)) FILTER (ok) AS open, arg_max(LastPrice, (UpdateTime, seq)) FILTER (ok) AS close,
+    max(LastPrice) FILTER (ok) AS high, min(LastPrice) FILTER (ok) AS low, avg(LastPrice) FILTER (ok) AS mean,
+    arg_max(OpenInterest, (UpdateTime, seq)) FILTER (ok) AS OpenInterest,
+    (arg_max({{'t': Turnover}}, (UpdateTime, seq)) FILTER (ok)).t AS Turnover,
+    coalesce(sum(LastPrice * LastVolume * 10) FILTER (ok), 0) AS Turnover_calc,
+    coalesce(sum(LastVolume) FILTER (ok), 0) AS volume_sum
+  FROM usable GROUP BY ALL),
 flagged AS (
-  SELECT *, subID NOT IN ('0000', '9999') AND row_number() OVER (
-      PARTITION BY category, day, subID IN ('0000', '9999') ORDER BY OpenInterest DESC, InstrumentID) = 1 AS isDominant,
+  SELECT *, subID NOT IN ('0000', '9999') AND OpenInterest IS NOT NULL AND row_number() OVER (
+      PARTITION BY category, day, subID IN ('0000', '9999') ORDER BY OpenInterest DESC NULLS LAST, InstrumentID) = 1 AS isDominant,
     max(OpenInterest) OVER (PARTITION BY category, day, subID IN ('0000', '9999')) AS most
   FROM (SELECT *, right(InstrumentID, 4) AS subID FROM stats))
 """
@@ -74,14 +77,14 @@ catalog AS (
       || month || '/' || InstrumentID || '_' || day || '.pkl' END AS zip_path,
     subID, CASE WHEN subID IN ('0000', '9999') THEN subID ELSE 'tick' END AS data_type,
     substr(day, 1, 4) AS year, line_num * 150 AS size, isDominant,
-    subID NOT IN ('0000', '9999') AND NOT isDominant AND OpenInterest > most / 2 AS is2ndDominant
+    coalesce(subID NOT IN ('0000', '9999') AND NOT isDominant AND OpenInterest > most / 2, false) AS is2ndDominant
   FROM flagged)
 """
 
 SPLITS = f"""
 snapped AS (
   SELECT * REPLACE (make_timestamp(epoch_us(UpdateTime) // 1000000 * 1000000
-    + CASE WHEN epoch_us(UpdateTime) % 1000000 <> 0 THEN 500000 ELSE 0 END) AS UpdateTime) FROM ticks),
+    + CASE WHEN epoch_us(UpdateTime) % 1000000 <> 0 THEN 500000 ELSE 0 END) AS UpdateTime) FROM ticks WHERE {CLEAN}),
 once AS (SELECT * FROM snapped QUALIFY row_number() OVER (PARTITION BY path, UpdateTime ORDER BY seq) = 1),
 sessions AS (SELECT *, {CLOCK_LABEL} AS time_type, strftime(UpdateTime - INTERVAL 200 MINUTE, '%Y%m%d') AS split_day FROM once),
 splits AS (
@@ -138,13 +141,6 @@ def _bars_select(level: str, source: str = "timed") -> str:
     AND AvePrice IS NOT NULL AND OpenInterest IS NOT NULL AND Turnover IS NOT NULL"""
 
 
-TIMED = """
-timed AS (
-  SELECT * EXCLUDE (category), regexp_extract(InstrumentID, '^[A-Za-z]+') AS category,
-    UpdateTime + INTERVAL 6 HOUR AS TradingTime
-  FROM ticks WHERE InstrumentID IN (SELECT InstrumentID FROM ticks GROUP BY 1 HAVING count(*) >= 2))
-"""
-
 MENDED = """
 spread AS (SELECT InstrumentID, stddev_samp(OpenInterest) AS s FROM ticks GROUP BY 1),
 seen AS (
@@ -173,7 +169,7 @@ CAT_TICKS = _with(TICKS)
 CAT_LABELLED = _with(TICKS, WASHED)
 CAT_CATALOG = _with(TICKS, FILE_STATS, CATALOG)
 CAT_SPLITS = _with(TICKS, FILE_STATS, CATALOG, SPLITS)
-CAT_TIMED = _with(TICKS, TIMED)
+CAT_TIMED = _with(TICKS, MENDED)
 CAT_NOTED = _with(ANNOTATIONS)
 
 
@@ -271,6 +267,22 @@ def _made_up() -> str:
     return CAT_NOTED + "\nUNION ALL\n".join(parts)
 
 
+STOCK_DAILY = """SELECT l_partkey::VARCHAR || '.SZ' AS ts_code, strftime(l_shipdate, '%Y%m%d') AS day,
+  arg_min(l_extendedprice, l_orderkey * 8 + l_linenumber) AS open, max(l_extendedprice) AS high,
+  min(l_extendedprice) AS low, arg_max(l_extendedprice, l_orderkey * 8 + l_linenumber) AS close,
+  sum(l_quantity) AS volume, count(*) AS trades
+FROM lineitem GROUP BY 1, 2"""
+
+GROUP_SUMS = """SELECT InstrumentID, count(LastPrice) AS ticks, sum(LastVolume) AS volume, max(LastPrice) AS highest
+    FROM ticks GROUP BY 1"""
+
+# Rows of the raw files: some spell their contract or name their market otherwise.
+ROW_ID = "CASE WHEN seq % 5 = 0 THEN lower(InstrumentID) ELSE InstrumentID END"
+ROW_MARKET = "CASE WHEN seq % 11 = 0 THEN 9 WHEN seq % 7 <> 0 THEN MarketID END"
+ARCHIVED = "'2024/' || MarketID::VARCHAR || '/' || category || '/' || InstrumentID || '/2024/202401/20240131.spt'"
+SCANNED = f"""SELECT {ROW_ID} AS InstrumentID, {ROW_MARKET} AS MarketID, UpdateTime, LastPrice, LastVolume,
+  OpenInterest, false AS row_failed FROM ticks"""
+
 ORACLES: dict[str, str] = {
     "path_parts": CAT_TICKS
     + """SELECT DISTINCT path, split_part(path, '/', 1) AS year, split_part(path, '/', 2)::INT AS MarketID,
@@ -292,10 +304,11 @@ ORACLES: dict[str, str] = {
     + """SELECT path, MarketID, category, InstrumentID, month, day, line_num, zip_line_num, "start", "end",
       open, close, high, low, OpenInterest, round(Turnover, 4) AS Turnover, round(Turnover_calc, 4) AS Turnover_calc,
       volume_sum, diff_sec, round(mean, 10) AS mean, subID, year, size, isDominant, is2ndDominant FROM catalog""",
-    "category_ticks": CAT_TICKS + "SELECT category, InstrumentID, UpdateTime, seq, LastPrice FROM ticks",
+    "category_ticks": CAT_TICKS
+    + "SELECT category, InstrumentID, UpdateTime, seq, LastPrice FROM ticks WHERE category IN ('CL', 'ER', 'PU')",
     "dominant_ticks": CAT_CATALOG
     + """SELECT t.category, t.InstrumentID, UpdateTime, seq, LastPrice
-    FROM ticks t JOIN catalog c ON c.path = t.path WHERE c.isDominant""",
+    FROM ticks t JOIN catalog c ON c.path = t.path WHERE c.isDominant AND t.category IN ('CL', 'ER', 'PU')""",
     "ticks_by_id": CAT_TIMED
     + """SELECT InstrumentID, MarketID, LastPrice, LastVolume, UpdateTime, OpenInterest, round(Turnover, 4) AS Turnover,
       AvePrice, round(HighestPrice, 4) AS HighestPrice, round(LowestPrice, 4) AS LowestPrice, OpenPrice, seq,
@@ -306,8 +319,8 @@ ORACLES: dict[str, str] = {
     + " UNION ALL "
     + _bars_select("1d")
     + ")",
-    "load_kline": CAT_TIMED + _bars_select("1H"),
-    "load_1day_kline": _with(TICKS, TIMED, FILE_STATS, CATALOG)
+    "load_kline": CAT_TIMED + _bars_select("1H") + " AND category IN ('CL', 'ER', 'PU')",
+    "load_1day_kline": _with(TICKS, MENDED, FILE_STATS, CATALOG)
     + "SELECT b.* EXCLUDE (level), c.isDominant FROM ("
     + _bars_select("1d")
     + """) b JOIN catalog c ON c.InstrumentID = b.InstrumentID AND c.day = strftime(b.TradingTime, '%Y%m%d')
@@ -319,12 +332,36 @@ ORACLES: dict[str, str] = {
       CASE WHEN time_type = 'night' THEN TIMESTAMP '2024-02-01 02:00:00' ELSE TIMESTAMP '2024-02-01 01:00:00' END
         AS feature_time
     FROM splits""",
-    "stock_daily": """SELECT l_partkey::VARCHAR || '.SZ' AS ts_code, strftime(l_shipdate, '%Y%m%d') AS day,
-      max(l_extendedprice) AS high, min(l_extendedprice) AS low, sum(l_quantity) AS volume, count(*) AS trades
-    FROM lineitem GROUP BY 1, 2""",
+    "stock_daily": STOCK_DAILY,
+    "stock_store": STOCK_DAILY,
+    "store_ticks": CAT_TICKS
+    + """SELECT path, seq, MarketID AS market, CASE WHEN seq % 101 <> 0 THEN InstrumentID END AS InstrumentID, LastPrice
+    FROM ticks WHERE MarketID = 3 OR seq % 101 <> 0""",
+    "session_store": CAT_SPLITS
+    + """SELECT s.path, day AS file_day, s.time_type, seq, LastPrice
+    FROM sessions s JOIN splits p ON p.path = s.path AND p.split_day = s.split_day AND p.time_type = s.time_type""",
+    "feature_store": CAT_SPLITS
+    + "SELECT 'highest' AS feature, path, split_day AS day, time_type, high AS value FROM splits",
+    "first_match": CAT_CATALOG
+    + """SELECT path, category, isDominant, line_num FROM catalog WHERE category = 'ER' AND isDominant
+    ORDER BY path LIMIT 1""",
+    "row_invariant": "SELECT count(*) AS n FROM events",
+    "scan_raw": CAT_TICKS + SCANNED,
+    "scan_legacy": CAT_TICKS + SCANNED,
+    "import_roundtrip": CAT_LABELLED
+    + f"""SELECT {ARCHIVED} AS path, {ROW_ID} AS InstrumentID, {ROW_MARKET} AS MarketID, UpdateTime, LastPrice,
+      LastVolume, time_type FROM labelled WHERE time_type <> 'unknow'""",
+    "imported_main": CAT_LABELLED
+    + f""", known AS (SELECT *, {ARCHIVED} AS file FROM labelled WHERE time_type <> 'unknow'),
+    last AS (SELECT file, category, subID, arg_max(OpenInterest, (UpdateTime, seq)) AS OpenInterest FROM known
+      WHERE subID NOT IN ('0000', '9999') GROUP BY ALL),
+    most AS (SELECT file FROM last QUALIFY row_number() OVER (PARTITION BY category ORDER BY OpenInterest DESC, subID) = 1)
+    SELECT file AS path, '20240131' AS day, UpdateTime, LastPrice, OpenInterest FROM known JOIN most USING (file)""",
+    "doc_sample": """SELECT doc_id, source, lang FROM documents ORDER BY md5('7|' || doc_id::VARCHAR) LIMIT 100""",
+    "fold_groups": CAT_TICKS + GROUP_SUMS,
     "retract": CAT_CATALOG
     + """SELECT c.path, CASE WHEN NOT gone THEN zip_path END AS zip_path,
-      CASE WHEN gone THEN 0 ELSE zip_line_num END AS zip_line_num, CASE WHEN NOT gone THEN n END AS ticks
+      zip_line_num, CASE WHEN NOT gone THEN n END AS ticks
     FROM (SELECT *, coalesce(list_contains(tags, 'dup_time'), false) AS gone FROM catalog) c
     JOIN (SELECT path, count(*) AS n FROM ticks GROUP BY 1) t ON t.path = c.path""",
     "tag_update": CAT_CATALOG
@@ -339,7 +376,8 @@ ORACLES: dict[str, str] = {
       || CASE WHEN size <= 1024 THEN size::VARCHAR || 'B'
            ELSE round_even(size / 1024.0, 1)::DECIMAL(18, 1)::VARCHAR || 'KB' END
       || '), ' || zip_line_num::VARCHAR || '/' || coalesce(line_num::VARCHAR, 'None')
-      || ', tags=[' || coalesce(array_to_string(tags, ', '), '') || '], time_len='
+      || ', tags=[' || coalesce(array_to_string(list_transform(tags, lambda t: chr(39) || t || chr(39)), ', '), '')
+      || '], time_len='
       || CASE WHEN diff_sec = 0 THEN '' WHEN diff_sec = 1 THEN '1000ms' ELSE diff_sec::VARCHAR || 's' END AS report
     FROM catalog""",
     "view_wait_import": CAT_CATALOG + f"SELECT {VIEW_COLUMNS} FROM catalog WHERE line_num IS NULL",
@@ -517,8 +555,6 @@ ORACLES: dict[str, str] = {
     + "SELECT path, seq, round(LastPrice - avg(LastPrice) OVER (PARTITION BY path), 10) AS off_mean FROM ticks",
     "map_rows": CAT_TICKS
     + "SELECT seq, round(LastPrice * LastVolume * 10, 4) AS value FROM ticks WHERE MarketID = 4",
-    "map_groups": CAT_TICKS
-    + """SELECT InstrumentID, count(LastPrice) AS ticks, sum(LastVolume) AS volume, max(LastPrice) AS highest
-    FROM ticks GROUP BY 1""",
+    "map_groups": CAT_TICKS + GROUP_SUMS,
 }
 ORACLES |= {f"kline_{level.lower()}": CAT_TIMED + _bars_select(level) for level in LEVELS}

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.functions import ids, times
 from tickloom.operators import backtest, bars, catalog, filters, projections, quality, sampling, stats, userfuncs
-from tickloom.plans import klines, sessions
-from tickloom.schema import LEVELS
-from tickloom.session import listed, staged
-from tickloom.sources import shared_tables as tables, stores
+from tickloom.plans import importing, klines, sessions
+from tickloom.schema import CLEAN_TICK, LEVELS, RAW_TICK, RAW_TICK_LEGACY
+from tickloom.session import move_only_file, shared_folder, staged
+from tickloom.sources import raw, shared_tables as tables, stores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,7 +26,7 @@ MIN_FILE_ROWS = 10
 MIN_SLICE_ROWS = 3
 MAX_HOURLY_REPEATS = 2
 PRICE_STD = 30
-PRODUCTS = ["CL", "ER", "PU", "SI", "VI"]
+SOME_PRODUCTS = ["CL", "ER", "PU"]
 STAT_COLUMNS = ["LastPrice", "LastVolume", "HighestPrice", "LowestPrice", "OpenPrice"]
 
 
@@ -33,6 +35,15 @@ def query(build: Query) -> Query:
     return build
 
 
+def products(spark: SparkSession, sf: str) -> list[str]:
+    """All products of the ticks."""
+    return sorted(r.category for r in tables.ticks(spark, sf).select("category").distinct().collect())
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 10) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
@@ -52,7 +63,7 @@ def hourly(spark: SparkSession, sf: str) -> DataFrame:
 
 def split_rows(spark: SparkSession, sf: str) -> DataFrame:
     return sessions.split_rows(
-        sessions.labelled_ticks(tables.ticks(spark, sf), strict=False),
+        sessions.labelled_ticks(filters.wash(tables.ticks(spark, sf)), strict=False),
         tables.catalog(spark, sf),
         MIN_SLICE_ROWS,
         tables.seq_bound(spark, sf),
@@ -97,26 +108,26 @@ def load_days(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def category_ticks(spark: SparkSession, sf: str) -> DataFrame:
-    own = stores.category_ticks(tables.ticks(spark, sf), PRODUCTS, PRODUCTS)
+    own = stores.category_ticks(tables.ticks(spark, sf), SOME_PRODUCTS, products(spark, sf))
     return own.select("category", "InstrumentID", "UpdateTime", "seq", "LastPrice")
 
 
 @query
 def dominant_ticks(spark: SparkSession, sf: str) -> DataFrame:
     flagged = catalog.with_dominant_flag(tables.ticks(spark, sf), tables.catalog(spark, sf), F.col("day"))
-    own = stores.category_ticks(flagged, PRODUCTS, PRODUCTS, dominant=True)
+    own = stores.category_ticks(flagged, SOME_PRODUCTS, products(spark, sf), dominant=True)
     return own.select("category", "InstrumentID", "UpdateTime", "seq", "LastPrice")
 
 
 @query
 def ticks_by_id(spark: SparkSession, sf: str) -> DataFrame:
-    chosen = projections.for_bars(tables.ticks(spark, sf))
+    chosen = klines.bar_input(tables.ticks(spark, sf))
     return rounded(chosen, "Turnover", "HighestPrice", "LowestPrice", digits=4)
 
 
 @query
 def replace_by_key(spark: SparkSession, sf: str) -> DataFrame:
-    ticks, bound = projections.for_bars(tables.ticks(spark, sf)), tables.seq_bound(spark, sf)
+    ticks, bound = klines.bar_input(tables.ticks(spark, sf)), tables.seq_bound(spark, sf)
     made = bars.bars_at_levels(ticks, ["1H", "1d"], seq_bound=bound)
     short = staged(made.select("InstrumentID", "level", "TradingTime", "close"))
     stale = short.withColumn("close", F.lit(0.0))
@@ -125,7 +136,7 @@ def replace_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _bars(spark: SparkSession, sf: str, level: str) -> DataFrame:
-    ticks = projections.for_bars(tables.ticks(spark, sf))
+    ticks = klines.bar_input(tables.ticks(spark, sf))
     return bars.bars(ticks, level, seq_bound=tables.seq_bound(spark, sf))
 
 
@@ -137,7 +148,7 @@ def _rounded_bars(made: DataFrame) -> DataFrame:
 @query
 def load_kline(spark: SparkSession, sf: str) -> DataFrame:
     stored = staged(_bars(spark, sf, "1H"))
-    return _rounded_bars(stores.load_bars(stored, PRODUCTS, "1H"))
+    return _rounded_bars(stores.load_bars(stored, SOME_PRODUCTS, "1H"))
 
 
 @query
@@ -147,7 +158,7 @@ def load_1day_kline(spark: SparkSession, sf: str) -> DataFrame:
         tables.catalog(spark, sf),
         times.calendar_day(F.col("TradingTime")),
     )
-    return _rounded_bars(stores.load_daily(staged(daily), PRODUCTS))
+    return _rounded_bars(stores.load_daily(staged(daily), products(spark, sf)))
 
 
 @query
@@ -170,12 +181,150 @@ def stock_daily(spark: SparkSession, sf: str) -> DataFrame:
     return stores.stock_daily(tables.stock_trades(spark, sf))
 
 
+@query
+def stock_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Stocks saved in turns, one of them twice; each save replaces its own only."""
+    daily, folder = staged(stores.stock_daily(tables.stock_trades(spark, sf))), scratch_folder(spark, "stocks")
+    odd = F.pmod(F.xxhash64("ts_code"), F.lit(2)) == 1
+    stores.write_stocks(daily.filter(odd).withColumn("close", F.lit(0.0)), folder)
+    stores.write_stocks(daily.filter(~odd), folder)
+    stores.write_stocks(daily.filter(odd), folder)
+    return stores.read_stocks(spark, folder).drop("bucket")
+
+
+@query
+def store_ticks(spark: SparkSession, sf: str) -> DataFrame:
+    """Ticks of one market stored, those of the others appended; rows without a
+    contract are set aside by the append."""
+    lost = F.col("seq") % 101 == 0
+    ticks = tables.ticks(spark, sf).select(
+        "path", "seq", "UpdateTime", "LastPrice", F.when(~lost, F.col("InstrumentID")).alias("InstrumentID")
+    )
+    ticks, folder = raw.with_file_columns(ticks), scratch_folder(spark, "ticks")
+    stores.write_ticks(ticks.filter("market = 3"), folder)
+    stores.append_ticks(ticks.filter("market <> 3"), folder, scratch_folder(spark, "rejected"))
+    return stores.read_ticks(spark, folder, ticks.schema).select("path", "seq", "market", "InstrumentID", "LastPrice")
+
+
+@query
+def session_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions saved market by market, one market twice."""
+    labelled = sessions.labelled_ticks(filters.wash(tables.ticks(spark, sf)), strict=False)
+    rows = staged(labelled.withColumn("file_day", F.col("day")))
+    folder = scratch_folder(spark, "sessions")
+    for market in (3, 4, 3):
+        stores.write_sessions(rows.filter(F.col("MarketID") == market), folder, MIN_SLICE_ROWS)
+    return spark.read.parquet(folder).select("path", "file_day", "time_type", "seq", "LastPrice")
+
+
+@query
+def feature_store(spark: SparkSession, sf: str) -> DataFrame:
+    """A feature saved slice by slice, some slices twice, and a second one dropped."""
+    rows = staged(split_rows(spark, sf).select("path", "day", "time_type", F.col("high").alias("value")))
+    folder = scratch_folder(spark, "features")
+    night = F.col("time_type") == "night"
+    stores.write_feature(rows.filter(night).withColumn("value", F.lit(0.0)), folder, "highest")
+    stores.write_feature(rows.filter(~night), folder, "highest")
+    stores.write_feature(rows, folder, "other")
+    stores.write_feature(rows.filter(night), folder, "highest")
+    stores.drop_feature(spark, folder, "other")
+    return spark.read.parquet(folder).select("feature", "path", "day", "time_type", "value")
+
+
+@query
+def first_match(spark: SparkSession, sf: str) -> DataFrame:
+    files = tables.catalog(spark, sf).select("path", "category", "isDominant", "line_num")
+    row = filters.first_match(files, ["path"], category="ER", isDominant=True)
+    return spark.createDataFrame([row] if row else [], files.schema)
+
+
+@query
+def row_invariant(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of both sides of a step that must keep them, counted while it is written."""
+    ticks = tables.ticks(spark, sf).select("seq", "UpdateTime")
+    rounded_, check = quality.counting(
+        ticks, lambda df: df.withColumn("UpdateTime", times.half_second(F.col("UpdateTime")))
+    )
+    rounded_.write.parquet(scratch_folder(spark, "counted"))
+    return spark.createDataFrame([(check(),)], "n long")
+
+
+def _csv_lines(spark: SparkSession, sf: str, layout) -> DataFrame:
+    """Ticks as the columns of a raw file. Some rows spell their contract in lower
+    case or name no market or another."""
+    seq = F.col("seq")
+    ticks = tables.ticks(spark, sf).withColumns(
+        {
+            "UpdateTime": F.date_format("UpdateTime", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+            "MarketID": F.when(seq % 11 == 0, F.lit(9)).when(seq % 7 != 0, F.col("MarketID")),
+            "row_id": F.when(seq % 5 == 0, F.lower("InstrumentID")).otherwise(F.col("InstrumentID")),
+        }
+    )
+    known = {c: F.col(c) for c in ticks.columns} | {"InstrumentID": F.col("row_id")}
+    return ticks.select(
+        *[known.get(n, F.lit(None)).cast("string").alias(n) for n in layout.names],
+        F.concat_ws("/", F.split_part("path", F.lit("/"), F.lit(2)), "category", "InstrumentID").alias("contract"),
+    )
+
+
+def _scanned(spark: SparkSession, sf: str, layout, scan) -> DataFrame:
+    folder = scratch_folder(spark, "raw")
+    lines = _csv_lines(spark, sf, layout).drop("contract")
+    lines.write.csv(f"{folder}/2024/4/AG/AG2401/2024/202401/20240131.spt")
+    return scan(spark, folder, "*/*/*/*/*/*/*.spt/*.csv").select(
+        "InstrumentID", "MarketID", "UpdateTime", "LastPrice", "LastVolume", "OpenInterest", "row_failed"
+    )
+
+
+@query
+def scan_raw(spark: SparkSession, sf: str) -> DataFrame:
+    return _scanned(spark, sf, RAW_TICK, raw.scan)
+
+
+@query
+def scan_legacy(spark: SparkSession, sf: str) -> DataFrame:
+    return _scanned(spark, sf, RAW_TICK_LEGACY, raw.scan_legacy)
+
+
+def _imported(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Ticks and catalog of an archive with one raw file per contract, imported once
+    and once more by force."""
+    root = scratch_folder(spark, "archive")
+    lines = _csv_lines(spark, sf, RAW_TICK)
+    text = lines.select("contract", F.to_csv(F.struct(*RAW_TICK.names), {"emptyValue": ""}).alias("value"))
+    text.repartition("contract").write.partitionBy("contract").text(f"{root}/written")
+    names = [r.contract for r in lines.select("contract").distinct().collect()]
+    for name in names:
+        move_only_file(
+            spark, f"{root}/written/contract={quote(name, safe='')}", f"{root}/raw/2024/{name}/2024/202401/20240131.spt"
+        )
+    rules = importing.Rules(min_rows=MIN_FILE_ROWS, keep_without_unknown=True)
+    for force in (False, True):
+        files = importing.import_files(spark, f"{root}/raw", f"{root}/ticks", f"{root}/files", rules=rules, force=force)
+    return stores.read_ticks(spark, f"{root}/ticks", CLEAN_TICK), files
+
+
+@query
+def import_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    loaded = stores.batch_load(*_imported(spark, sf), view="")
+    return loaded.select("path", "InstrumentID", "MarketID", "UpdateTime", "LastPrice", "LastVolume", "time_type")
+
+
+@query
+def imported_main(spark: SparkSession, sf: str) -> DataFrame:
+    loaded = stores.batch_load(*_imported(spark, sf))
+    return loaded.select("path", "day", "UpdateTime", "LastPrice", "OpenInterest")
+
+
 @query
 def retract(spark: SparkSession, sf: str) -> DataFrame:
     files = tables.catalog(spark, sf)
     doomed = files.filter(F.array_contains("tags", "dup_time"))
-    kept = catalog.retract_rows(tables.ticks(spark, sf), doomed)
-    left = kept.groupBy("path").agg(F.count(F.lit(1)).alias("ticks"))
+    folder = scratch_folder(spark, "retract")
+    ticks = raw.with_file_columns(tables.ticks(spark, sf).select("path", "InstrumentID", "UpdateTime", "seq"))
+    stores.write_ticks(ticks, folder)
+    stores.retract_ticks(spark, folder, ticks.schema, doomed)
+    left = stores.read_ticks(spark, folder, ticks.schema).groupBy("path").agg(F.count(F.lit(1)).alias("ticks"))
     marked = catalog.mark_retracted(files, doomed).select("path", "zip_path", "zip_line_num")
     return marked.join(left, "path", "left")
 
@@ -603,7 +752,7 @@ def page(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def doc_sample(spark: SparkSession, sf: str) -> DataFrame:
     docs = tables.table(spark, sf, "documents").select("doc_id", "source", "lang")
-    return sampling.random_rows(docs, 100, seed=7)
+    return sampling.random_rows(docs, 100, seed=7, key=["doc_id"])
 
 
 @query
@@ -622,16 +771,14 @@ def strided_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _from_file_mean(frame: pd.DataFrame) -> pd.DataFrame:
-    off = frame.LastPrice - frame.file_mean
+    off = frame.LastPrice - frame.LastPrice.mean()
     return pd.DataFrame({"path": frame.path, "seq": frame.seq, "off_mean": off})
 
 
 @query
 def map_df(spark: SparkSession, sf: str) -> DataFrame:
     ticks = tables.ticks(spark, sf).select("path", "seq", "LastPrice")
-    files = ticks.groupBy("path").agg(F.avg("LastPrice").alias("file_mean"))
-    with_files = ticks.join(listed(files), "path")
-    mapped = userfuncs.map_batches(with_files, _from_file_mean, "path string, seq long, off_mean double")
+    mapped = userfuncs.map_files(ticks, userfuncs.whole(_from_file_mean), "path string, seq long, off_mean double")
     return rounded(mapped, "off_mean")
 
 
@@ -646,6 +793,9 @@ def map_rows(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(mapped, "value", digits=4)
 
 
+GROUP_SUMS = "InstrumentID string, ticks long, volume double, highest double"
+
+
 def _group_partial(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.groupby("InstrumentID", as_index=False).agg(
         ticks=("LastPrice", "count"), volume=("LastVolume", "sum"), highest=("LastPrice", "max")
@@ -658,13 +808,19 @@ def _group_merge(frame: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+@query
+def fold_groups(spark: SparkSession, sf: str) -> DataFrame:
+    ticks = tables.ticks(spark, sf).select("InstrumentID", "LastPrice", "LastVolume")
+    return userfuncs.fold_groups(ticks, ["InstrumentID"], _group_partial, _group_merge, GROUP_SUMS)
+
+
+def _group_sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums of a group, batch by batch."""
+    parts = pd.concat([_group_partial(frame) for frame in frames], ignore_index=True)
+    yield _group_merge(parts)
+
+
 @query
 def map_groups(spark: SparkSession, sf: str) -> DataFrame:
     ticks = tables.ticks(spark, sf).select("InstrumentID", "LastPrice", "LastVolume")
-    return userfuncs.fold_groups(
-        ticks,
-        ["InstrumentID"],
-        _group_partial,
-        _group_merge,
-        "InstrumentID string, ticks long, volume double, highest double",
-    )
+    return userfuncs.map_groups(ticks, ["InstrumentID"], _group_sums, GROUP_SUMS)

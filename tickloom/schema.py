@@ -70,6 +70,7 @@ CLEAN_TICK = T.StructType(
 string time_type path
 long seq
 string day category month
+int market
 """))
 )
 
@@ -122,6 +123,12 @@ double Turnover Turnover_new
 long tick_num
 """)
 
+STOCK_BAR = layout("""
+string ts_code day
+double open high low close volume
+long trades
+""")
+
 # Products with their own tick table.
 STORED_CATEGORIES = "AG AL AU BU CU FU HC NI PB RB RU SN WR ZN".split()
 

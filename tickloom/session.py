@@ -55,6 +55,16 @@ def delete_folder(spark: SparkSession, folder: str) -> bool:
     return bool(files.exists(path) and files.delete(path, True))
 
 
+def move_only_file(spark: SparkSession, folder: str, target: str) -> None:
+    """Give the one data file of a written folder a name of its own."""
+    files, source = _file_system(spark, folder)
+    (found,) = [s.getPath() for s in files.listStatus(source) if s.getPath().getName().startswith("part-")]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    files.mkdirs(path.getParent())
+    if not files.rename(found, path):
+        raise OSError(f"{target} cannot be written")
+
+
 def _write_scratch(df: DataFrame) -> tuple[str, DataFrame]:
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"

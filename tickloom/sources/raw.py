@@ -26,9 +26,11 @@ def relative_path(uri: Column) -> Column:
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = GLOB) -> DataFrame:
-    """Files under ``root`` with their path columns and size."""
+    """Files under ``root`` with their path columns, size and address (``uri``)."""
     files = spark.read.format("binaryFile").load(f"{root}/{pattern}")
-    listed = files.select(relative_path(F.col("path")).alias("path"), F.col("length").alias("size"))
+    listed = files.select(
+        relative_path(F.col("path")).alias("path"), F.col("length").alias("size"), F.col("path").alias("uri")
+    )
     return ids.with_path_parts(listed)
 
 
@@ -93,9 +95,14 @@ def scan(
     layout: T.StructType = RAW_TICK,
 ) -> DataFrame:
     """Raw ticks of all matching files."""
-    lines = (
-        spark.read.schema(raw_schema(layout)).options(**csv_options()).csv(f"{root}/{pattern}")
-    )
+    return scan_files(spark, [f"{root}/{pattern}"], bad_rows, layout)
+
+
+def scan_files(
+    spark: SparkSession, files: list[str], bad_rows: str = "skip", layout: T.StructType = RAW_TICK
+) -> DataFrame:
+    """Raw ticks of the named files and of no others."""
+    lines = spark.read.schema(raw_schema(layout)).options(**csv_options()).csv(files)
     return shaped(with_origin(lines), layout, bad_rows)
 
 
@@ -108,10 +115,12 @@ def scan_legacy(spark: SparkSession, root: str, pattern: str = GLOB, bad_rows: s
 
 
 def with_file_columns(ticks: DataFrame) -> DataFrame:
-    """Product, month and day of the file a tick came from."""
+    """Market, product, month and day of the file a tick came from. What the row
+    itself says of its market and contract may differ and is left as it is."""
     parts = F.split(F.col("path"), "/")
     return ticks.withColumns(
         {
+            "market": F.element_at(parts, -6).try_cast("int"),
             "category": F.element_at(parts, -5),
             "month": F.element_at(parts, -2),
             "day": F.split_part(F.element_at(parts, -1), F.lit("."), F.lit(1)),

@@ -152,6 +152,7 @@ def stock_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("l_partkey").cast("string"), F.lit(".SZ")).alias("ts_code"),
         F.date_format("l_shipdate", "yyyyMMdd").alias("day"),
         F.col("l_extendedprice").alias("price"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
         F.col("l_quantity").alias("volume"),
     )
 

@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tickloom.functions import ids
-from tickloom.operators.catalog import FILE_VIEWS
+from tickloom.functions import ids, times
+from tickloom.operators.catalog import FILE_VIEWS, remove_tag
 from tickloom.operators.filters import filter_by
 from tickloom.operators.projections import catalog_days, for_load, without_level
-from tickloom.schema import BAR, STORED_CATEGORIES
+from tickloom.schema import BAR, MIN_ROWS, STOCK_BAR, STORED_CATEGORIES
 from tickloom.session import delete_folder, listed, scratch
 
-TICK_PARTITIONS = ["MarketID", "category", "month"]
-# Partitions are named one by one in a filter up to this many; beyond it a join
-# alone selects them.
-MAX_NAMED_PARTITIONS = 1000
+# Market, product and month of the file a tick came from; its row may say otherwise.
+TICK_PARTITIONS = ["market", "category", "month"]
+STOCK_BUCKETS = 64
 BAR_PARTITIONS = ["level", "InstrumentID"]
+FEATURE_KEYS = ["path", "day", "time_type"]
+_STORED_STOCK = StructType(STOCK_BAR.fields).add("bucket", "string")
 
 
 def write_partitions(
@@ -73,32 +74,35 @@ def read_ticks(spark: SparkSession, folder: str, schema: StructType, **wanted) -
     return filter_by(read_or_empty(spark, folder, schema), **wanted)
 
 
+def partitions_of(paths: DataFrame) -> DataFrame:
+    """Paths with the partition their ticks are stored in."""
+    parts = ids.with_path_parts(paths.select("path").distinct()).withColumn("market", F.col("MarketID"))
+    return parts.select("path", *TICK_PARTITIONS)
+
+
 def near(ticks: DataFrame, keys: DataFrame) -> DataFrame:
-    """Ticks in the partitions a list of keys names, so that a join with the list
-    reads no others."""
+    """Ticks in partitions whose markets, products and months a list of keys names,
+    so that a join with the list reads no others. There are as many values as
+    markets, products and months."""
     shared = [c for c in TICK_PARTITIONS if c in ticks.columns and c in keys.columns]
     if not shared:
         return ticks
-    named = keys.select(*shared).distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()
-    if len(named) > MAX_NAMED_PARTITIONS:
-        return ticks
+    named = keys.agg(*[F.collect_set(c).alias(c) for c in shared]).first()
     for column in shared:
-        ticks = ticks.filter(F.col(column).isin(*{row[column] for row in named}))
+        ticks = ticks.filter(F.col(column).isin(*named[column]))
     return ticks
 
 
 def retract_ticks(spark: SparkSession, folder: str, schema: StructType, paths: DataFrame) -> None:
     """Delete the stored ticks of some files. Only the partitions that hold any
     are rewritten; those left with no ticks go last."""
-    files = ids.with_path_parts(paths.select("path").distinct()).select("path", *TICK_PARTITIONS)
-    doomed = listed(files)
+    doomed = listed(partitions_of(paths))
     stored = near(read_or_empty(spark, folder, schema), doomed)
-    keys = [*TICK_PARTITIONS, "path"]
-    touched = listed(stored.join(doomed, keys, "left_semi").select(*TICK_PARTITIONS).distinct())
+    touched = listed(stored.join(doomed.select("path"), "path", "left_semi").select(*TICK_PARTITIONS).distinct())
     if touched.isEmpty():
         return
     whole = near(stored, touched).join(touched, TICK_PARTITIONS, "left_semi")
-    with scratch(whole.join(doomed, keys, "left_anti")) as kept:
+    with scratch(whole.join(doomed.select("path"), "path", "left_anti")) as kept:
         write_ticks(kept.select(*schema.names), folder)
         left = kept.select(*TICK_PARTITIONS).distinct()
         for partition in touched.join(left, TICK_PARTITIONS, "left_anti").collect():
@@ -106,12 +110,11 @@ def retract_ticks(spark: SparkSession, folder: str, schema: StructType, paths: D
 
 
 def load_for_catalog(ticks: DataFrame, files: DataFrame, clean: bool = True, sort: bool = True) -> DataFrame:
-    """Ticks of the selected catalog rows with the day of their file, in time
-    order. Only the partitions the selection names are read."""
-    shared = [c for c in TICK_PARTITIONS if c in ticks.columns and c in files.columns]
-    keys = [*shared, "InstrumentID", "day"]
-    chosen = listed(files.select(*keys))
-    loaded = near(ticks, chosen).join(chosen, keys, "left_semi")
+    """Ticks of the selected catalog rows, found by the path of their file, with the
+    day of the file, in time order. Only the partitions the selection names are
+    read."""
+    chosen = listed(partitions_of(files))
+    loaded = near(ticks, chosen).join(chosen.select("path"), "path", "left_semi")
     loaded = for_load(loaded) if clean else loaded
     return loaded.orderBy("UpdateTime", "seq") if sort else loaded
 
@@ -190,14 +193,34 @@ def load_daily(daily: DataFrame, categories: list[str], main: bool = True) -> Da
 # --- sessions, features, stocks ------------------------------------------------
 
 
-def write_sessions(ticks: DataFrame, folder: str) -> None:
-    """Labelled ticks by the day of their file. A file day is replaced as a
-    whole, so no session of an earlier run is left behind."""
-    write_partitions(ticks, folder, ["file_day"], ["InstrumentID", "day", "time_type", "UpdateTime", "seq"])
+def replace_rows(
+    rows: DataFrame, folder: str, partitions: list[str], keys: list[str], sort: list[str] = ()
+) -> None:
+    """Store rows in place of those with the same keys. Other rows of the partitions
+    they fall into are kept, other partitions are not touched."""
+    with scratch(rows) as new:
+        names = new.select(*keys).distinct()
+        old = read_or_empty(rows.sparkSession, folder, new.schema)
+        shared = old.join(new.select(*partitions).distinct(), partitions, "left_semi")
+        with scratch(shared.join(names, keys, "left_anti").unionByName(new)) as merged:
+            write_partitions(merged, folder, partitions, sort)
+
+
+def write_sessions(ticks: DataFrame, folder: str, min_rows: int = MIN_ROWS) -> None:
+    """Labelled ticks by the day of their file (``file_day``). What an earlier run
+    has stored of the same files goes, other files of the day stay. Slices of a
+    trading day and session below ``min_rows`` ticks are not stored."""
+    slices = ["path", "split_day", "time_type"]
+    labelled = ticks.withColumn("split_day", times.split_day(F.col("UpdateTime")))
+    sizes = labelled.groupBy(*slices).agg(F.count(F.lit(1)).alias("n"))
+    enough = listed(sizes.filter(F.col("n") >= min_rows).select(*slices))
+    kept = labelled.join(enough, slices, "left_semi").select(*labelled.columns)
+    replace_rows(kept, folder, ["file_day"], ["path"], ["InstrumentID", "split_day", "time_type", "UpdateTime", "seq"])
 
 
-def write_feature(rows: DataFrame, folder: str, name: str) -> None:
-    write_partitions(rows.withColumn("feature", F.lit(name)), folder, ["feature"])
+def write_feature(rows: DataFrame, folder: str, name: str, keys: list[str] = FEATURE_KEYS) -> None:
+    """Rows of a feature, in place of those of the same slices."""
+    replace_rows(rows.withColumn("feature", F.lit(name)), folder, ["feature"], ["feature", *keys])
 
 
 def drop_feature(spark: SparkSession, folder: str, name: str) -> bool:
@@ -205,21 +228,44 @@ def drop_feature(spark: SparkSession, folder: str, name: str) -> bool:
 
 
 def stock_daily(trades: DataFrame) -> DataFrame:
-    """Daily bars of stocks from priced trades."""
+    """Daily bars of stocks from priced trades in the order of ``seq``."""
+    price = F.col("price").cast("double")
     return trades.groupBy("ts_code", "day").agg(
-        F.max("price").alias("high"),
-        F.min("price").alias("low"),
-        F.sum("volume").alias("volume"),
+        F.min_by(price, "seq").alias("open"),
+        F.max(price).alias("high"),
+        F.min(price).alias("low"),
+        F.max_by(price, "seq").alias("close"),
+        F.sum("volume").cast("double").alias("volume"),
         F.count(F.lit(1)).alias("trades"),
     )
 
 
+def _bucket(code: Column) -> Column:
+    return F.pmod(F.xxhash64(code), F.lit(STOCK_BUCKETS)).cast("string")
+
+
 def write_stocks(daily: DataFrame, folder: str) -> None:
-    """Files sorted by stock rather than a folder each: there are too many."""
-    daily.repartitionByRange("ts_code", "day").sortWithinPartitions("ts_code", "day").write.mode(
-        "overwrite"
-    ).parquet(folder)
+    """Daily bars in place of those of the same stocks. Stocks share buckets: there
+    are too many for a folder each."""
+    rows = daily.select(*STOCK_BAR.names).withColumn("bucket", _bucket(F.col("ts_code")))
+    replace_rows(rows, folder, ["bucket"], ["bucket", "ts_code"], ["ts_code", "day"])
+
+
+def read_stocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored daily bars; none if nothing is stored."""
+    return read_or_empty(spark, folder, _STORED_STOCK)
 
 
 def read_stock(spark: SparkSession, folder: str, code: str) -> DataFrame:
-    return spark.read.parquet(folder).filter(F.col("ts_code") == code)
+    own = (F.col("bucket") == _bucket(F.lit(code))) & (F.col("ts_code") == code)
+    return read_stocks(spark, folder).filter(own).drop("bucket")
+
+
+def drop_stock(spark: SparkSession, folder: str, stocks: DataFrame, code: str) -> DataFrame:
+    """Delete a stock's bars; returns the list of stocks without its tag for them."""
+    left = read_stocks(spark, folder).filter(F.col("bucket") == _bucket(F.lit(code)))
+    partition = spark.range(1).select(_bucket(F.lit(code))).first()[0]
+    with scratch(left.filter(F.col("ts_code") != code)) as kept:
+        drop_partition(spark, folder, {"bucket": partition})
+        write_partitions(kept, folder, ["bucket"], ["ts_code", "day"])
+    return remove_tag(stocks, "got_1dK", F.col("ts_code") == code)

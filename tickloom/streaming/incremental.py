@@ -1,8 +1,9 @@
-"""Import of raw tick files as they arrive.
+"""Import of raw tick files as they arrive, into the store of the batch import.
 
 A file source remembers which files it has read, so each run picks up what is
-new and a run after a failure repeats the interrupted batch. What a batch stores
-lies in partitions of its own number and is overwritten when the batch repeats.
+new. A batch stores its files the way a batch import does: in place of what is
+stored of them, so a batch that is repeated after a failure doubles nothing, and
+files that are registered already are left out.
 """
 
 from __future__ import annotations
@@ -10,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.functions import ids
+from tickloom.operators.catalog import files_to_import
 from tickloom.plans import importing
-from tickloom.schema import RAW_TICK
-from tickloom.session import scratch
+from tickloom.schema import CATALOG, RAW_TICK
+from tickloom.session import listed
 from tickloom.sources import raw, stores
 
 
@@ -35,25 +37,15 @@ def import_arrivals(
         .options(**options)
         .csv(f"{root}/{pattern}")
         .select("*", "_metadata")
-    )
+    ).withColumn("_size", F.col("_metadata.file_size"))
 
     def store(batch: DataFrame, number: int) -> None:
-        with scratch(raw.shaped(batch, RAW_TICK, rules.bad_rows)) as ticks:
-            files = ids.with_path_parts(ticks.select("path").distinct())
-            files = importing.wanted_files(files, rules)
-            wanted = ticks.join(files.select("path"), "path", "left_semi")
-            verdicts = importing.judged(wanted, rules)
-            for rows, folder, partitions, sort in (
-                (
-                    importing.cleaned(wanted, verdicts, rules),
-                    tick_folder,
-                    stores.TICK_PARTITIONS,
-                    ["InstrumentID", "UpdateTime", "seq"],
-                ),
-                (importing.catalog_rows(files, verdicts), catalog_folder, [], []),
-            ):
-                numbered = rows.withColumn("import_batch", F.lit(number))
-                stores.write_partitions(numbered, folder, ["import_batch", *partitions], sort)
+        arrived = batch.groupBy("path").agg(F.max("_size").alias("size"))
+        known = stores.read_or_empty(spark, catalog_folder, CATALOG)
+        named = importing.wanted_files(ids.with_path_parts(arrived), rules)
+        files = listed(files_to_import(named, known).select("path", "size"))
+        ticks = raw.shaped(batch, RAW_TICK, rules.bad_rows).join(files.select("path"), "path", "left_semi")
+        importing.store_files(spark, ticks, files, tick_folder, catalog_folder, rules)
 
     (
         lines.writeStream.foreachBatch(store)
