@@ -9,7 +9,7 @@ from tests import ticks as made
 from tests.ticks import MORNING
 from tickloom.functions import ids
 from tickloom.operators import catalog, quality
-from tickloom.plans import importing
+from tickloom.plans import importing, sessions
 from tickloom.schema import CATALOG, CLEAN_TICK, RAW_TICK
 from tickloom.sources import raw, stores
 from tickloom.streaming.incremental import import_arrivals
@@ -264,3 +264,24 @@ def test_path_parts_of_short_path(spark):
     df = spark.createDataFrame([("2019/4/A/A1905/2019/201903/20190326.spt",)], "path string")
     row = ids.with_path_parts(df).first()
     assert (row.category, row.InstrumentID, row.subID, row.data_type) == ("A", "A1905", "1905", "tick")
+
+
+def test_split_job(spark, root, tmp_path):
+    made.write(root, made.every_half_second(220), "AG1906")
+    made.write(root, [*made.every_half_second(220), *made.every_half_second(150, volume=2)], "CU1906")
+    made.write(root, made.every_half_second(230), "AL1906")
+    ticks, files, slices, splits = (str(tmp_path / n) for n in ("ticks", "files", "slices", "splits"))
+    importing.import_files(spark, str(root), ticks, files)
+    stored = stores.read_ticks(spark, ticks, CLEAN_TICK)
+    for _ in range(2):
+        found = sessions.split_files(spark, stored, files, slices, splits)
+        assert sorted((r.InstrumentID, r.time_type, r.zip_line_num) for r in found.collect()) == [("AG1906", "fam", 220), ("AL1906", "fam", 230)]
+        assert spark.read.parquet(slices).count() == 450
+        tags = {r.InstrumentID: (r.tags, r.doc_num) for r in spark.read.schema(CATALOG).parquet(files).collect()}
+        assert tags == {"AG1906": (["splited"], 1), "AL1906": (["splited"], 1), "CU1906": (["dup_time"], 0)}
+    one = spark.read.schema(CATALOG).parquet(files).filter("InstrumentID = 'AG1906'")
+    sessions.retract_splits(spark, one, files, slices, splits)
+    assert [r.InstrumentID for r in sessions.read_splits(spark, splits).collect()] == ["AL1906"]
+    assert spark.read.parquet(slices).count() == 230
+    left = {r.InstrumentID: (r.tags, r.doc_num) for r in spark.read.schema(CATALOG).parquet(files).collect()}
+    assert left["AG1906"] == ([], 0) and left["AL1906"] == (["splited"], 1)

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.functions import times
 from tickloom.operators import catalog, quality
-from tickloom.schema import MAX_REPEATS, MIN_ROWS
+from tickloom.plans.importing import register
+from tickloom.schema import CATALOG, MAX_REPEATS, MIN_ROWS, SPLIT
+from tickloom.session import listed, scratch
+from tickloom.sources import stores
+
+STORED_SPLIT = StructType(SPLIT.fields).add("file_day", "string")
 
 
 def _rounded(ticks: DataFrame) -> DataFrame:
@@ -88,3 +95,63 @@ def mark_split(files: DataFrame, splits: DataFrame) -> DataFrame:
     return marked.transform(catalog.add_tag, "splited", F.col("_n").isNotNull()).withColumn(
         "doc_num", F.coalesce("_n", "doc_num")
     ).drop("_n")
+
+
+def read_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored split catalog; none if nothing is split."""
+    return stores.read_or_empty(spark, folder, STORED_SPLIT)
+
+
+def split_files(
+    spark: SparkSession,
+    ticks: DataFrame,
+    catalog_folder: str,
+    session_folder: str,
+    split_folder: str,
+    min_rows: int = MIN_ROWS,
+    max_repeats: int = MAX_REPEATS,
+) -> DataFrame:
+    """Split the files of stored ticks into sessions; returns the split catalog.
+
+    Sessions and their rows take the place of those of an earlier split. Files that
+    cannot be split get the tag that says why and lose their old sessions; the
+    others are tagged as split and count their sessions."""
+    files = stores.read_or_empty(spark, catalog_folder, CATALOG)
+    verdicts = listed(split_verdicts(quality.dedupe_rows(ticks), max_repeats))
+    own = files.join(verdicts.select("path"), "path", "left_semi")
+    labelled = labelled_ticks(ticks, True, max_repeats).withColumn("file_day", F.col("day"))
+    with scratch(labelled) as usable, scratch(own) as judged:
+        found = split_rows(usable, judged, min_rows).select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in STORED_SPLIT]
+        )
+        with scratch(found) as rows:
+            retract_splits(spark, judged, None, session_folder, split_folder)
+            stores.write_sessions(usable, session_folder, min_rows)
+            stores.replace_rows(rows, split_folder, ["file_day"], ["path"], ["path", "day", "time_type"])
+            marked = mark_split(judged.join(verdicts, "path"), rows)
+            for tag in ("time_no_ms", "dup_time"):
+                marked = catalog.add_tag(marked, tag, F.col("tag") == tag)
+            with scratch(marked.select(*CATALOG.names)) as fresh:
+                register(fresh, catalog_folder)
+    return read_splits(spark, split_folder)
+
+
+def retract_splits(
+    spark: SparkSession, files: DataFrame, catalog_folder: str | None, session_folder: str, split_folder: str
+) -> None:
+    """Delete the sessions of some catalog rows and their rows in the split catalog.
+    With a catalog folder the files also lose their mark and their count."""
+    doomed = listed(files.select("path").distinct())
+    for folder, schema in ((session_folder, None), (split_folder, STORED_SPLIT)):
+        try:
+            stored = stores.read_or_empty(spark, folder, schema) if schema else spark.read.parquet(folder)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        stores.drop_rows(stored, folder, ["file_day"], doomed, ["path"])
+    if catalog_folder is not None:
+        known = stores.read_or_empty(spark, catalog_folder, CATALOG).join(doomed, "path", "left_semi")
+        reset = catalog.remove_tag(known, "splited").withColumn("doc_num", F.lit(0))
+        with scratch(reset.select(*CATALOG.names)) as rows:
+            register(rows, catalog_folder)

@@ -94,18 +94,26 @@ def near(ticks: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def retract_ticks(spark: SparkSession, folder: str, schema: StructType, paths: DataFrame) -> None:
-    """Delete the stored ticks of some files. Only the partitions that hold any
-    are rewritten; those left with no ticks go last."""
+    """Delete the stored ticks of some files."""
     doomed = listed(partitions_of(paths))
     stored = near(read_or_empty(spark, folder, schema), doomed)
-    touched = listed(stored.join(doomed.select("path"), "path", "left_semi").select(*TICK_PARTITIONS).distinct())
+    drop_rows(stored, folder, TICK_PARTITIONS, doomed, ["path"], ["InstrumentID", "UpdateTime", "seq"])
+
+
+def drop_rows(
+    stored: DataFrame, folder: str, partitions: list[str], doomed: DataFrame, keys: list[str], sort: list[str] = ()
+) -> None:
+    """Delete the stored rows with some keys. Only the partitions that hold any are
+    rewritten; those left with no rows go last."""
+    spark = stored.sparkSession
+    touched = listed(stored.join(doomed.select(*keys), keys, "left_semi").select(*partitions).distinct())
     if touched.isEmpty():
         return
-    whole = near(stored, touched).join(touched, TICK_PARTITIONS, "left_semi")
-    with scratch(whole.join(doomed.select("path"), "path", "left_anti")) as kept:
-        write_ticks(kept.select(*schema.names), folder)
-        left = kept.select(*TICK_PARTITIONS).distinct()
-        for partition in touched.join(left, TICK_PARTITIONS, "left_anti").collect():
+    whole = near(stored, touched).join(touched, partitions, "left_semi")
+    with scratch(whole.join(doomed.select(*keys), keys, "left_anti")) as kept:
+        write_partitions(kept.select(*stored.columns), folder, partitions, sort)
+        left = kept.select(*partitions).distinct()
+        for partition in touched.join(left, partitions, "left_anti").collect():
             drop_partition(spark, folder, partition.asDict())
 
 
