@@ -8,7 +8,7 @@ from tickloom.llm import decontam, jaccard, langid, mixing, sharding
 from tickloom.session import staged
 from tickloom.sources.shared_tables import table
 
-MIN_SCORE = 0.5
+MIN_SCORE = 0.4
 
 # Models, running sums over hashes and minimax cuts are not SQL; the stages are
 # tested against brute force.
@@ -16,8 +16,8 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear: at least half of the label mass of their
-    letters is one language. The model learns from a bounded sample of the documents
+    """Documents whose language is clear: one language has at least two fifths of the
+    pooled probability of their letters. The model learns from a bounded sample of the documents
     whose language is known. Null, empty and letterless texts go."""
     model = langid.fitted(docs, F.lit(True))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
