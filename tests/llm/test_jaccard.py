@@ -115,3 +115,11 @@ def test_components_of_paths_stars_and_rings(spark):
     want = {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 130)} | {201: 200, 202: 200}
     assert got == want
     assert components.components(frame.limit(0)).count() == 0
+
+
+def test_linked_sets_share_as_many_combinations_as_counted_on():
+    draw = random.Random(6)
+    for _ in range(200):
+        a, b = linked_pair(draw, 13, 200)
+        both = set(jaccard.combinations(a)) & set(jaccard.combinations(b))
+        assert len(both) >= max(max(1, len(x) // 4 - 2) for x in (a, b) if len(x) > 12)

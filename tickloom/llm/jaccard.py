@@ -316,7 +316,26 @@ def index_keys(candidates: DataFrame, tokens: DataFrame, prefixes: Prefixes, fre
     single = candidates.select(*KEY_NAMES[1:], chosen).withColumn("key", F.col("t.key"))
     mostly_frequent = candidates.filter(~enough).select("set")
     combined = tokens.join(mostly_frequent, "set", "left_semi").mapInArrow(_combined, KEYS)
-    return single.select(*KEY_NAMES).unionByName(combined)
+    return single.select(*KEY_NAMES).unionByName(rarest_combinations(combined))
+
+
+def rarest_combinations(combined: DataFrame) -> DataFrame:
+    """Of the combinations of each set those it must meet a linked set in.
+
+    Counting on from ``index_keys``: with at least 2/3 t - 1 single steps among t - 1
+    gaps, at least t/3 - 2 times two of them follow each other, so linked sets of n
+    tokens or more than three quarters of that share n/4 - 2 combinations. One of
+    these is among the first of a set's shared ones, rarest first, when as many less
+    one are left out at the end. Combinations that many sets have for what they all
+    quote are left out this way. Sets small enough to have combinations of two keep
+    all."""
+    counts = combined.groupBy("key").agg(F.count(F.lit(1)).alias("count")).filter("count > 1")
+    own = combined.join(counts, "key").groupBy("set", "n", "common")
+    gathered = own.agg(F.array_sort(F.collect_list(F.struct("count", "key"))).alias("met"))
+    sure = F.when(F.col("n") > 12, F.greatest(F.lit(1), F.floor(F.col("n") / 4) - 2)).otherwise(1)
+    length = (F.size("met") - sure + 1).cast("int")
+    first = gathered.filter(length > 0).select(*KEY_NAMES[1:], F.explode(F.slice("met", F.lit(1), length)).alias("t"))
+    return first.withColumn("key", F.col("t.key")).select(*KEY_NAMES)
 
 
 def possible(percent: int, n: Column, common: Column, other_n: Column, other_common: Column) -> Column:
