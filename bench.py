@@ -62,7 +62,8 @@ def storage(spark, folder: str) -> tuple[dict[str, float], dict[str, float]]:
         return raw.with_file_columns(raw.scan(spark, spt, "*/*/*/*/*/*/*.spt/*.csv").drop(FAILED))
 
     seconds = {"scan_raw": best(lambda: consume(scan()))}
-    scanned = scan().withColumn("month", F.lit("202401")).persist()
+    # The file is a folder of parts, so its path says less than a raw file's does.
+    scanned = scan().withColumns({"month": F.lit("202401"), "market": F.lit(4)}).persist()
     rows = scanned.count()
     seconds["save_ticks"] = best(lambda: stores.write_ticks(scanned, store))
     seconds["load_ticks_store"] = best(lambda: consume(stores.read_ticks(spark, store, scanned.schema)))
