@@ -1,6 +1,8 @@
 import random
 import re
 
+import pyarrow as pa
+
 from tickloom.llm import pii
 from tests.llm.odd import ROWS, nothing, odd
 
@@ -70,6 +72,46 @@ def test_screen_passes_every_disguise():
     assert pii.hints(pa.array(texts)).tolist() == [True, True, True, True, True, True, False, False, False]
 
 
+def screened(text):
+    return pii.spans(text, bool(pii.hints(pa.array([text]))[0]))
+
+
+def test_screen_keeps_mixed_digits_and_quoted_words():
+    cases = {
+        "Call +49 151 two 345 six 78": ("phone", "+49 151 two 345 six 78", "+49 151 2 345 6 78"),
+        "pay 4111 one 111 1111 1111 now": ("card", "4111 one 111 1111 1111", "4111 1 111 1111 1111"),
+        "host 192.168.one.1 up": ("ip", "192.168.one.1", "192.168.1.1"),
+        "one.2.3.4": ("ip", "one.2.3.4", "1.2.3.4"),
+        "call „plus 49 151 2345678“": ("phone", "plus 49 151 2345678", "+49 151 2345678"),
+        "•plus four nine 151 2345678": ("phone", "plus four nine 151 2345678", "+49 151 2345678"),
+        "+49 151 fünf 345 67 8": ("phone", "+49 151 fünf 345 67 8", "+49 151 5 345 67 8"),
+        "fünf@x.com": ("email", "fünf@x.com", "5@x.com"),
+        "+49 151 SİX 345 67 8": ("phone", "+49 151 SİX 345 67 8", "+49 151 6 345 67 8"),
+        "x（at）y“ (dot) “a at b dot com": ("email", "a at b dot com", "a@b.com"),
+    }
+    for text, (kind, source, value) in cases.items():
+        found = screened(text)
+        assert (kind, source, False, value) in [(k, text[a:b], p, v) for k, a, b, p, v in found], text
+
+
+def test_screen_loses_nothing_the_transducer_finds():
+    draw = random.Random(11)
+    pieces = [
+        "one", "TWO", "fünf", "ZÉRO", "sİx", "un", "plus", "dot", "at", "[at]", "(.)", "point", "at", "a", "b7", "x@y.de",
+        "@", ".", ".", "-", "+", "(", ")", "_", "4111", "1111", "1", "49", "255", "„", "•", "’", "é", "１", "–", "о",
+        " ", " ", " ", " ", "\t", "\u00a0", "\n", ".com",
+    ]
+    texts = []
+    for _ in range(40_000):
+        some = draw.sample(pieces, 12) if draw.random() < 0.5 else ["1", "one", " ", ".", "-", "+", "49", "(", "151"]
+        texts.append("".join(draw.choice(some) for _ in range(draw.randint(1, 30))))
+    hinted = pii.hints(pa.array(texts))
+    for text, hint in zip(texts, hinted.tolist(), strict=True):
+        if not hint:
+            assert pii.spans(text, False) == pii.spans(text), text
+    assert 1000 < hinted.sum() < 39_000
+
+
 def test_odd_rows(spark):
     extra = [(20, "a@b.de and a@b.de", "en", "a"), (21, "x at y dot org" * 3 + " 10.0.0.1", "en", "a")]
     out = pii.find(odd(spark, ROWS + extra)).collect()

@@ -56,6 +56,7 @@ def _bytes_but(*ranges: tuple[int, int]) -> np.ndarray:
 # [^\x20\x09-\x0D]+ and, after A-Z became a-z, [^\x00-\x2F\x3A-\x60\x7B-\x7F]+
 BETWEEN_BLANKS = Alphabet(_bytes_but((0x20, 0x20), (0x09, 0x0D)))
 LETTERS_DIGITS = Alphabet(_bytes_but((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F)))
+ASCII_LETTERS_DIGITS = Alphabet(_bytes_but((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0xFF)))
 
 
 def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

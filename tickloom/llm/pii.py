@@ -73,14 +73,9 @@ EDIT = re.compile(
     rf"|(?<=\w)(?P<dot>{_BOXED_DOT}|{_SPACED_DOT})(?=\w)",
     re.IGNORECASE,
 )
-# What every text with one of these edits in an identifier must have.
-HINT = re.compile(
-    rf"{_OPEN}[\x20\t]*(?:{_AT}|{_DOT})[\x20\t]*{_SHUT}|\s(?:dot|punkt|point|punto)\s"
-    rf"|(?<!\w)plus[\x20\t]+(?:[0-9]|{_NUMBER})|(?<!\w)(?:{_NUMBER})(?:[\x20\t]+|-)(?:{_NUMBER})(?!\w)",
-    re.IGNORECASE,
-)
 BOXED = re.compile(rf"{_OPEN}[\x20\t]*(?:{_AT}|{_DOT})[\x20\t]*{_SHUT}", re.IGNORECASE)
 NUMBER = re.compile(_NUMBER, re.IGNORECASE)
+DOTTED_I = "\u0130"
 BARE_AT = re.compile(r"\s(?:at|arroba)\s", re.IGNORECASE)
 # Endings that tell "x at y dot z" from running prose.
 DOMAINS = frozenset(
@@ -210,19 +205,21 @@ def _respelled(text: str) -> Iterator[tuple[int, int, str]]:
             found = list(NUMBER.finditer(m[0]))
             for k, word in enumerate(found):
                 low = found[k - 1].end() if k else 0
-                yield start + low, start + word.end(), SPELLED[word[0].lower()]
+                # re takes a dotted capital I for an i, str.lower() does not
+                yield start + low, start + word.end(), SPELLED[word[0].replace(DOTTED_I, "i").lower()]
         else:
             yield m.start(), m.end(), "+" if m["plus"] else "@" if m["at"] else "."
 
 
 def disguised_spans(text: str, hinted: bool = True) -> list[tuple[str, int, int, str]]:
     """Identifiers of the normalised text that an edit is part of, with source
-    offsets and the normalised value. ``hinted``: false if the text as it stands
-    is known to have no spelled disguise."""
+    offsets and the normalised value. ``hinted``: false if the text is known to
+    have no spelled disguise (``hints``); it is not asked where look-alikes are
+    folded, since they may make any word part of an identifier."""
     first = Rewritten(text, () if text.isascii() else _folds(text))
     if not (hinted or first.edited):
         return []
-    second = Rewritten(first.text, _respelled(first.text) if HINT.search(first.text) else ())
+    second = Rewritten(first.text, _respelled(first.text))
     if not (first.edited or second.edited):
         return []
     out = []
@@ -236,31 +233,47 @@ def disguised_spans(text: str, hinted: bool = True) -> list[tuple[str, int, int,
 
 
 def hints(texts: pa.Array) -> np.ndarray:
-    """For each text whether it may hold a spelled disguise: a word for a dot, a
-    boxed sign, a plus before a number or two spelled digits in a row."""
-    words = bytewords.words_of(texts, bytewords.LETTERS_DIGITS)
+    """For each text whether it may hold an identifier with a spelled disguise; true
+    for every text in which ``EDIT`` would make one, look-alikes aside.
+
+    A word for a dot, a boxed sign, a plus before a number; or a spelled digit next to
+    a word that is one too, or that has a digit on that side. Addresses, cards and
+    phone numbers have at least one more digit beside a spelled one, with no letter
+    between them; in an email a single one replaces letters by a digit, and the email
+    stands there plainly. Only spelled digits that are not ASCII make emails longer,
+    so these count by themselves. Characters outside ASCII separate words here, as
+    quotes and bullets do; letters among them only make more words."""
+    words = bytewords.words_of(texts, bytewords.ASCII_LETTERS_DIGITS)
     screen, exact = hint_words()
-    kind = np.zeros(len(words.hash) + 1, np.int8)
+    kind = np.zeros(len(words.hash) + 2, np.int8)  # one more on both sides
     for at in np.flatnonzero(screen[words.hash >> np.uint64(44)]):
-        kind[at] = exact.get(int(words.hash[at]), 0)
-    digit, dot, plus = kind == 1, kind == 2, kind == 3
-    starts_digit = np.zeros(len(kind), bool)
+        kind[at + 1] = exact.get(int(words.hash[at]), 0)
+    digit, dot, plus, tail = kind == 1, kind == 2, kind == 3, kind == 4
     data, _ = bytewords.text_buffers(texts)
-    starts_digit[:-1] = (data[words.start] >= 48) & (data[words.start] < 58)
-    found = dot[:-1] | digit[:-1] & digit[1:] | plus[:-1] & (digit | starts_digit)[1:]
+    figure = (data >= 48) & (data < 58)
+    starts, ends = digit | tail, digit | tail
+    starts[1:-1] |= figure[words.start]
+    ends[1:-1] |= figure[words.end - 1]
+    found = dot[1:-1] | digit[1:-1] & (ends[:-2] | starts[2:]) | plus[1:-1] & starts[2:]
+    found |= tail[1:-1] & (data[words.start - 1] >= 128)
     out = np.zeros(len(texts), bool)
     out[words.row[found]] = True
+    for at, text in enumerate(texts.to_pylist()):
+        out[at] |= bool(text) and (DOTTED_I in text or bool(BOXED.search(text)))
     return out
 
 
 @cache
 def hint_words() -> tuple[np.ndarray, dict[int, int]]:
-    """By hash: 1 for spelled digits, 2 for words for a dot, 3 for plus; and a bit
-    for the head of every such hash."""
+    """By hash: 1 for spelled digits, 2 for words for a dot, 3 for plus, 4 for the ends
+    of spelled digits after a character outside ASCII; and a bit for the head of every
+    such hash."""
     exact = {}
-    for kind, group in enumerate([SPELLED, ("dot", "punkt", "point", "punto"), ("plus",)], 1):
-        spellings = pa.array([form for w in group for form in (w, w.upper())])
-        exact |= {int(h): kind for h in bytewords.words_of(spellings, bytewords.LETTERS_DIGITS).hash}
+    plain = [w for w in SPELLED if w.isascii()]
+    tails = [NOT_ASCII.split(w)[-1] for w in SPELLED if not w.isascii()]
+    for kind, group in enumerate([plain, ("dot", "punkt", "point", "punto"), ("plus",), tails], 1):
+        found = bytewords.words_of(pa.array(group), bytewords.ASCII_LETTERS_DIGITS)
+        exact |= {int(h): kind for h in found.hash}
     screen = np.zeros(1 << 20, bool)
     screen[[h >> 44 for h in exact]] = True
     return screen, exact
@@ -302,7 +315,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in bytewords.sliced(batches, "body"):
         texts = batch.column("body")
         bodies = [t or "" for t in texts.to_pylist()]
-        hinted = [h or bool(BOXED.search(t)) for h, t in zip(hints(texts), bodies, strict=True)]
+        hinted = hints(texts)
         found = [
             [dict(zip(names, s, strict=True)) for s in spans(t, h)] for t, h in zip(bodies, hinted, strict=True)
         ]
