@@ -65,6 +65,39 @@ def test_prose_is_left_alone():
         assert all(plain for _, _, _, plain, _ in pii.spans(text)), text
 
 
+def test_addresses_of_every_ending():
+    found = {
+        "mario at libero dot it": "mario@libero.it",
+        "write to anna at firma dot at for details": "anna@firma.at",
+        "jan at post dot be, please": "jan@post.be",
+        "ann at shop dot example dot online now": "ann@shop.example.online",
+        "ola at firma punkt no und": "ola@firma.no",
+        "raj at mail dot in has it": "raj@mail.in",
+        "li at host point sg or tw": "li@host.sg",
+        "bo at host dot xyz": "bo@host.xyz",
+        "joe at cafe point is": "joe@cafe.is",
+        "joe at cafe point us. More": "joe@cafe.us",
+        "eva at this [dot] is it": "eva@this.is",
+        "x at the dot com": "x@the.com",
+    }
+    for text, value in found.items():
+        assert value in [v for k, _, _, _, v in screened(text) if k == "email"], text
+    for text in (
+        "look at the dot in the middle", "stop at this point in time", "arrived at that point it rained",
+        "at some point we left", "done at one point to no end", "stare at a dot is boring", "water at boiling point is hot",
+        "look at each dot no more", "at every point top speed", "meet at noon dot whatever",
+    ):
+        assert not screened(text), text
+
+
+def test_country_codes_are_whole():
+    endings = pii.DOMAINS | pii.WORD_DOMAINS
+    assert not pii.DOMAINS & pii.WORD_DOMAINS
+    assert sum(len(e) == 2 for e in endings) >= 248
+    for ending in endings:
+        assert [s[4] for s in screened(f"jan at post dot {ending}")] == [f"jan@post.{ending}"], ending
+
+
 def test_screen_passes_every_disguise():
     import pyarrow as pa
 

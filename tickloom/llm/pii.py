@@ -77,11 +77,61 @@ BOXED = re.compile(rf"{_OPEN}[\x20\t]*(?:{_AT}|{_DOT})[\x20\t]*{_SHUT}", re.IGNO
 NUMBER = re.compile(_NUMBER, re.IGNORECASE)
 DOTTED_I = "\u0130"
 BARE_AT = re.compile(r"\s(?:at|arroba)\s", re.IGNORECASE)
-# Endings that tell "x at y dot z" from running prose.
+# Endings that tell "x at y dot z" from running prose: country codes and
+# general endings.
 DOMAINS = frozenset(
-    "com org net edu gov mil int info biz name pro dev app io ai co me tv uk de fr es eu nl pt pl se ch ca au nz jp cn "
-    "kr br mx ar cl ru ua cz dk fi gr hu ie il lt lv ro rs sk tr za test example invalid".split()
+    (
+        "com org net edu gov mil int info biz name pro dev app io ai co me tv uk de fr es eu nl pt pl se ch ca au nz jp "
+        "cn kr br mx ar cl ru ua cz dk fi gr hu ie il lt lv ro rs sk tr za test example invalid ac ae af ag al ao aq aw "
+        "ax az ba bb bd bf bg bh bi bj bm bn bo bs bt bv bw bz cc cd cf cg ci ck cm cr cu cv cw cx cy dj dm dz ec ee eg "
+        "er et fj fk fm fo ga gb gd ge gf gg gh gi gl gm gn gp gq gs gt gu gw gy hk hm hn hr ht id im iq ir je jm jo ke "
+        "kg kh ki km kn kp kw ky kz lb lc li lk lr ls lu ly mc md mg mh mk ml mm mn mo mp mq mt mu mv mw mz na nc ne nf "
+        "ng ni np nr nu om pe pf pg ph pk pn pr ps pw py qa rw sa sb sc sd sg si sj sl sm sn sr ss su sv sx sy sz tc td "
+        "tf tg th tj tk tl tm tn tt tw tz ug uy uz va vc ve vg vi vn vu wf ws ye yt zm zw xyz icu vip nyc ooo wiki mobi "
+        "arpa gmbh ltd llc"
+    ).split()
 )
+# Country codes that are words, and newer general endings, most of which
+# are words too. These count unless the text around has the shape of prose.
+WORD_DOMAINS = frozenset(
+    (
+        "ad am as at be by do in is it la ma mr ms my no pa pm re sh so st to us academy actor aero agency apartments "
+        "army art asia associates auction audio auto baby band bank bar bargains beauty beer berlin best bet bid bike "
+        "bingo bio black blog blue boutique bond build builders business buy buzz cab cafe cam camera camp capital car "
+        "cards care careers cars cash casino cat center cfd chat cheap church city claims cleaning click clinic clothing "
+        "cloud club coach codes coffee college cologne community company computer condos construction consulting "
+        "contractors cooking cool coop country coupons courses credit cruises dance date dating day deals degree delivery "
+        "democrat dental desi design diamonds digital direct directory discount doctor dog domains download earth eco "
+        "education email energy engineer engineering enterprises equipment esq estate events exchange expert express fail "
+        "faith family fan fans farm fashion film finance financial fish fishing fit fitness flights florist flowers foo "
+        "football forsale forum foundation fun fund furniture futbol fyi gallery game games garden gay gift gifts gives "
+        "glass global gold golf graphics gratis green gripe group guide guitars guru hair hamburg haus health healthcare "
+        "help hiphop hockey holdings holiday homes horse hospital host hosting hotel house how immo immobilien inc "
+        "industries ink institute insurance insure international investments jetzt jewelry jobs juegos kaufen kids kim "
+        "kitchen kiwi koeln land lat law lawyer lease legal lgbt life lighting limited limo link live living loan loans "
+        "lol london love ltda luxury maison makeup management market marketing markets mba media melbourne memorial men "
+        "menu miami moda moe mom money monster mortgage motorcycles mov movie museum music navy network new news ngo "
+        "ninja now observer ong online onl organic page paris partners parts party pet phd photo photography photos "
+        "pics pictures pink pizza place plumbing plus poker post press productions prof promo properties property "
+        "protection pub qpon quest racing realestate recipes red rehab reise reisen rent rentals repair report republican "
+        "rest restaurant review reviews rich rip rocks rodeo rugby run sale salon sarl sbs school schule science security "
+        "select services sex sexy shoes shop shopping show singles site ski skin soccer social software solar solutions "
+        "soy space sport spot storage store stream studio study style sucks supplies supply support surf surgery sydney "
+        "systems tattoo tax taxi team tech technology tel tennis theater tickets tienda tips tires tirol today tokyo "
+        "tools top tours town toys trade trading training travel tube university vacations vegas ventures vet viajes "
+        "video villas vin vision vodka vote voyage watch webcam website wedding wien win wine work works world wtf yachts "
+        "yoga zip zone xxx porn local onion bayern swiss scot wales eus gal bzh amsterdam brussels vlaanderen gent quebec "
+        "capetown boston"
+    ).split()
+)
+# Words that prose has before "dot" or "point", and no host consists of.
+POINTERS = frozenset(
+    "the a an this that these those each every any some one two both another other same which what whose my your his "
+    "her its our their no all such first second third next last either neither".split()
+)
+LABEL = re.compile(r"[^\W_][\w-]*")
+BARE_POINT = re.compile(r"\spoint\s", re.IGNORECASE)
+PROSE_AFTER = re.compile(r"[\x20\t\u00a0]+[^\W\d_]")
 
 
 def luhn(digits: str) -> bool:
@@ -226,12 +276,28 @@ def disguised_spans(text: str, hinted: bool = True) -> list[tuple[str, int, int,
     for kind, a, b in plain_spans(second.text):
         value = second.text[a:b]
         low, high = first.back(*second.back(a, b))
-        bare = kind == "email" and BARE_AT.search(text, low, high)
-        if text[low:high] != value and not (bare and value.rpartition(".")[2].lower() not in DOMAINS):
+        if text[low:high] != value and not (kind == "email" and _prose(text, low, high, value)):
             out.append((kind, low, high, value))
     return out
 
 
+def _prose(text: str, low: int, high: int, value: str) -> bool:
+    """Whether an email with a bare at rather is running prose: it has no known
+    ending, or one that is a word, two labels parted by a bare dot and either a host
+    like "the" or "this", or a bare "point" and more words after it on the line."""
+    at = BARE_AT.search(text, low, high)
+    ending = value.rpartition(".")[2].lower()
+    if not at or ending in DOMAINS:
+        return False
+    if ending not in WORD_DOMAINS:
+        return True
+    host = LABEL.match(text, at.end())
+    if value.rpartition("@")[2].count(".") > 1 or BOXED.search(text, at.end(), high) or not host:
+        return False
+    point = BARE_POINT.search(text, at.end(), high)
+    return host[0].lower() in POINTERS or bool(point and PROSE_AFTER.match(text, high))
+
+
 def hints(texts: pa.Array) -> np.ndarray:
     """For each text whether it may hold an identifier with a spelled disguise; true
     for every text in which ``EDIT`` would make one, look-alikes aside.
@@ -300,6 +366,12 @@ def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None) ->
     plus as the characters they stand for. What is found only after rewriting is
     mapped back and added.
 
+    Left out is "x at y dot z" with a bare at where z is no country code nor one of
+    the general endings in ``DOMAINS`` and ``WORD_DOMAINS``. Where z is among the
+    latter ("in", "it", "online") and the dot is bare too, it is left out if y is a
+    word such as "the" or "this" ("at this point in"), and with "point" for the dot
+    if words follow on the line. So is the ending "one", which is read as a digit.
+
     Null and empty texts have no identifiers; repeated rows stay; an empty table
     gives no rows. A column named ``pii`` is replaced."""
     rows = docs.select(packed(docs, keep).alias("row"), F.col(f"`{text}`").cast("string").alias("body"))
