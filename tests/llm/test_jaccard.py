@@ -4,6 +4,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tickloom.llm import components, jaccard
 from tests.llm.odd import ROWS, nothing, odd
@@ -68,6 +69,32 @@ def test_near_copies_and_passages(spark):
     assert found(docs, frequent=1000) == want
 
 
+def test_lower_similarities(spark):
+    draw = random.Random(5)
+    rows, sets = [], {}
+    for pair in range(300):  # two documents begin with the same words
+        both = [f"w{pair}x{k}" for k in range(draw.randint(14, 34))]
+        for side in "ab":
+            own = [f"{side}{pair}x{k}" for k in range(draw.randint(2, len(both)))]
+            rows.append((len(rows), " ".join(both + own), "en", "a"))
+            sets[len(sets)] = brute_set(rows[-1][1])
+    docs = odd(spark, rows)
+    for percent in (20, 50, 60):
+        want = []
+        for i in range(0, len(rows), 2):
+            both, either = len(sets[i] & sets[i + 1]), len(sets[i] | sets[i + 1])
+            other = i if 100 * both >= percent * either else i + 1
+            want += [(i, len(sets[i]), i), (i + 1, len(sets[i + 1]), other)]
+        assert 20 < sum(c < i for i, _, c in want) <= 300
+        assert found(docs, percent=percent, frequent=2) == sorted(want, key=str)
+
+
+def test_similarities_out_of_range(spark):
+    for percent in (0, 19, 101):
+        with pytest.raises(ValueError, match="percent"):
+            jaccard.cluster(odd(spark), percent=percent)
+
+
 def linked_pair(draw, low, high):
     n = draw.randint(low, high)
     a = set(draw.sample(range(1 << 40), n))

@@ -19,6 +19,8 @@ from tickloom.session import staged
 SHINGLE = 5
 SHARE = 4
 PERCENT = 75
+COMBINED_FROM = 75
+LEAST_PERCENT = 20
 FREQUENT = 16
 CLASS_SHIFT = 16
 PACKET_TOKENS = 1 << 21
@@ -308,8 +310,14 @@ def index_keys(candidates: DataFrame, tokens: DataFrame, prefixes: Prefixes, fre
     (a - 1) + (b - 1) steps to fill them with; t is at least 3/7 of a + b. At least
     2/3 t - 1 gaps are then a single step in both sets, more than half of them from
     t = 7 on, so two in a row: a combination of three that both have. Where sets of
-    less than nine tokens may take part, combinations of two do the same."""
+    less than nine tokens may take part, combinations of two do the same.
+
+    All this counts on ``percent`` of ``COMBINED_FROM`` at least. Below that the first
+    shared tokens are the keys, however frequent they are."""
     first = F.size("shared") - _needed(prefixes.percent) + 1
+    if prefixes.percent < COMBINED_FROM:
+        tokens_only = candidates.select(*KEY_NAMES[1:], F.explode(F.slice("shared", 1, first)).alias("t"))
+        return tokens_only.withColumn("key", F.col("t.key")).select(*KEY_NAMES)
     rare = F.filter("shared", lambda t: t["count"] < frequent)
     enough = F.size(rare) >= first
     chosen = F.explode(F.when(enough, F.slice("shared", 1, first)).otherwise(rare)).alias("t")
@@ -448,10 +456,16 @@ def cluster(
     bits each. Sets are told apart by 64-bit fingerprints (a false copy is to be
     expected from about four billion different sets on).
 
+    Extended prefixes need sets that link to share a fifth of their tokens, so a
+    ``percent`` below 20 is an error. Below 75 frequent tokens are keys themselves, which
+    takes more comparisons than the combinations used from 75 on.
+
     Null, empty and blank texts have size 0 and are a component each; with fewer
     than five words the whole text is the one shingle. Null ids are ignored in the
     choice of a name, so the component of rows with null ids only is null.
     Repeated rows belong together. An empty table gives no rows."""
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be from {LEAST_PERCENT} to 100, not {percent}")
     body = F.col(f"`{text}`").cast("string")
     rows = docs.select(
         packed(docs, keep).alias("row"),
