@@ -42,7 +42,7 @@ def test_matches_brute_force(spark):
 
 def test_ties_repeats_odd_vectors(spark):
     same = [0.5, -0.25, 0.125]
-    rows = [(i, same) for i in range(120)] + [(50, [1.0, 1.0, 1.0]), (7, same), (7, same), (None, same), (None, [9.0, 9, 9])]
+    rows = [(i, same) for i in range(120)] + [(50, [1.0, 1.0, 1.0]), (7, same), (7, same), (None, same), (None, [9.0, 9.0, 9.0])]
     rows += [(200, None), (201, [1.0, None, 2.0]), (202, [1.0, float("nan"), 2.0]), (203, [float("inf"), 0.0, 0.0])]
     rows += [(250, [1.0, 2.0]), (251, [3.0, 4.0]), (300, []), (301, [])]
     assert found(spark, rows) == brute(rows)

@@ -48,7 +48,7 @@ def norms_behind(columns: np.ndarray, dims: int) -> np.ndarray:
     dimensions, rounded up a little."""
     squares = np.square(columns)
     edges = range(0, columns.shape[0], dims)
-    parts = np.array([squares[e : e + dims].sum(0) for e in edges])
+    parts = np.array([squares[e : e + dims].sum(0) for e in edges]).reshape(-1, columns.shape[1])
     behind = np.cumsum(parts[::-1], 0)[::-1]
     return np.sqrt(np.vstack([behind, np.zeros((1, columns.shape[1]))])) * (1 + 1e-9)
 
@@ -133,7 +133,8 @@ def search(
 
     Ties go to the smaller id, a null id (never a query) comes last. Vectors that
     are null or hold null or non-finite components take no part; vectors of another
-    length than the query's are no candidates of it. A query's own rows, all those
+    length than the query's are no candidates of it; between vectors without
+    components every score is 0. A query's own rows, all those
     of its id, are left out; if an id has several vectors, the least is the query.
     Repeated rows count each. Scores must fit 64 bits. Fewer than ``k`` candidates
     give fewer rows; an empty table gives none."""
