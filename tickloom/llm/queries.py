@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.llm import decontam, jaccard, langid, mixing, pii, quality, sharding, tokens, topk, toxicity
+from tickloom.llm import centroids, decontam, jaccard, langid, mixing, pii, quality, sharding, tokens, topk, toxicity
 from tickloom.session import shared_folder
 from tickloom.sources.shared_tables import table
 
@@ -118,6 +118,11 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
 
 
+@query
+def op11_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf, "embeddings"), keep=["vec_id"])
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op4_topk"] = """
@@ -193,3 +198,36 @@ WITH RECURSIVE worded AS (
 SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
+
+# Each round: nearest centroid by squared distance, then means rounded down.
+_NEAREST = """near{n} AS (
+    SELECT vec_id, arg_min(cluster, (gap, cluster)) AS cluster, min(gap) AS distance FROM (
+        SELECT vec_id, cluster, sum((x - c) * (x - c)) AS gap FROM parts JOIN centre{n} USING (dim) GROUP BY ALL
+    ) GROUP BY vec_id
+)"""
+_MOVED = """sums{n} AS (
+    SELECT cluster, dim, CAST(sum(x) AS HUGEINT) AS s, count(*) AS n FROM parts JOIN near{n} USING (vec_id) GROUP BY ALL
+), centre{m} AS (
+    SELECT cluster, dim, CASE WHEN n IS NULL THEN c ELSE (s - ((s % n) + n) % n) // n END AS c
+    FROM centre{n} LEFT JOIN sums{n} USING (cluster, dim)
+)"""
+ORACLES["op11_centroids"] = f"""
+WITH whole AS (
+    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+    WHERE len(embedding) = {centroids.DIMS} AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), parts AS MATERIALIZED (
+    SELECT vec_id, unnest(range(1, {centroids.DIMS} + 1)) AS dim, unnest(v) AS x FROM whole
+), chosen AS (
+    SELECT vec_id, row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id)) - 1 AS cluster FROM whole
+), centre0 AS (
+    SELECT cluster, dim, CAST(x AS HUGEINT) AS c FROM parts JOIN chosen USING (vec_id) WHERE cluster < {centroids.CLUSTERS}
+), {", ".join(_NEAREST.format(n=n) + ", " + _MOVED.format(n=n, m=n + 1) for n in range(centroids.ROUNDS))},
+{_NEAREST.format(n=centroids.ROUNDS)}, digests AS (
+    SELECT cluster, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256
+    FROM centre{centroids.ROUNDS} GROUP BY cluster
+)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM near{centroids.ROUNDS} JOIN digests USING (cluster)
+"""
