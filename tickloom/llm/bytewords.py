@@ -35,14 +35,15 @@ def scrambled(x: np.ndarray) -> np.ndarray:
 
 
 class Alphabet:
-    """Which bytes make words, and the code of each; A-Z count as a-z."""
+    """Which bytes make words, and the code of each; with ``fold`` A-Z count as a-z."""
 
-    def __init__(self, word_bytes: np.ndarray) -> None:
+    def __init__(self, word_bytes: np.ndarray, fold: bool = True) -> None:
         self.word = word_bytes
-        fold = np.arange(256)
-        fold[65:91] += 32
-        self.fold = fold.astype(np.uint8)
-        codes = scrambled((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _STEP)[fold]
+        letter = np.arange(256)
+        if fold:
+            letter[65:91] += 32
+        self.fold = letter.astype(np.uint8)
+        codes = scrambled((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _STEP)[letter]
         self.code = np.where(word_bytes, codes, np.uint64(0))
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.llm import centroids, decontam, jaccard, langid, mixing, pii, quality, sharding, tokens, topk, toxicity
+from tickloom.llm import centroids, decontam, jaccard, langid, mixing, phrases, pii, quality, sharding, substrings, tokens, topk, toxicity
 from tickloom.session import shared_folder
 from tickloom.sources.shared_tables import table
 
@@ -123,6 +123,17 @@ def op11_centroids(spark: SparkSession, sf: str) -> DataFrame:
     return centroids.cluster(table(spark, sf, "embeddings"), keep=["vec_id"])
 
 
+@query
+def op12_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.mine(table(spark, sf, "documents"))
+
+
+@query
+def op13_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    left = substrings.remove(table(spark, sf, "documents"), keep=["doc_id"])
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op4_topk"] = """
@@ -231,3 +242,59 @@ SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS
        CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
 FROM near{centroids.ROUNDS} JOIN digests USING (cluster)
 """
+
+ORACLES["op13_substrings"] = r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, sha256(array_to_string(w[i : i + 19], ' ')) AS gram
+    FROM (SELECT *, unnest(range(1, len(w) - 18)) AS i FROM docs)
+), later AS (
+    SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) > 1
+), gone AS (
+    SELECT doc_id, list(DISTINCT p) AS places FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM later) GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs) ANTI JOIN
+         (SELECT doc_id, unnest(places) AS p FROM gone) USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES["op12_phrases"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), counts AS MATERIALIZED (
+    SELECT lang, size, w[i : i + size - 1] AS g, count(*) AS f
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+          FROM worded, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size)
+    GROUP BY ALL
+), totals AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, size, g, f AS a FROM counts WHERE size > 1 AND f >= 10
+), cuts AS (
+    SELECT c.lang, c.g, c.a, k, x.f AS l, y.f AS r,
+           (1000000 * CAST(c.a AS HUGEINT) * c.a) // (CAST(x.f AS HUGEINT) * y.f) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+    JOIN counts x ON x.lang = c.lang AND x.g = c.g[1 : k]
+    JOIN counts y ON y.lang = c.lang AND y.g = c.g[k + 1 :]
+), worst AS (
+    SELECT lang, g, a, arg_min(l, (score, k)) AS l, arg_min(r, (score, k)) AS r, min(score) AS score FROM cuts GROUP BY ALL
+), around AS (
+    SELECT lang, g, max(a) AS a
+    FROM (SELECT lang, g[p : p + 1] AS g, a FROM (SELECT *, unnest([1, 2]) AS p FROM candidates WHERE size = 3)) GROUP BY ALL
+), ranked AS (
+    SELECT w.lang, array_to_string(w.g, ' ') AS phrase, w.a, w.l, w.r, n, CAST(score AS BIGINT) AS score
+    FROM worst w JOIN totals USING (lang) LEFT JOIN around o ON o.lang = w.lang AND o.g = w.g
+    WHERE coalesce(100 * o.a < 50 * w.a, true)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM ranked QUALIFY rank <= 2000
+"""
