@@ -20,10 +20,11 @@ LEAST = 10
 FIRST = 2000
 COVERED_PERCENT = 50
 UNDETERMINED = "und"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 BLOCK_BYTES = 32 << 20
 TRIE_PHRASES = 500_000
 CHUNK = 1024
+BATCH_ROWS = 512
 KEYS = 1 << 21
 ID_BITS = 31
 
@@ -54,12 +55,12 @@ def _words(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     before[bounds[:-1][bounds[:-1] < len(data)]] = False
     start = np.flatnonzero(inside & ~before)
     letters = _LOWER[data[inside]]
-    offsets = np.append(np.cumsum(inside)[start] - 1, len(letters)).astype(np.int64)
+    offsets = np.append(np.cumsum(inside, dtype=np.int32)[start] - 1, len(letters)).astype(np.int64)
     words = pa.Array.from_buffers(
         pa.large_string(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(letters))]
     )
     row = np.searchsorted(bounds, start, "right") - 1
-    breaks = np.cumsum(_BREAKS[data])[start]
+    breaks = np.cumsum(_BREAKS[data], dtype=np.int32)[start]
     joined = np.zeros(len(start), bool)
     joined[1:] = (row[1:] == row[:-1]) & (breaks[1:] == breaks[:-1])
     return words, row, joined
@@ -134,6 +135,13 @@ def _chunks(numbers: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))], names=["numbers"])
 
 
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut to a few hundred chunks, since a chunk is long."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
 def _positions(batch: pa.RecordBatch, words: int, beyond: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All numbers of a batch, and the places where as many words in a row begin: those
     this row has to count, and up to ``beyond`` of the next one's. For each whether it
@@ -162,7 +170,7 @@ def _pair_sieve(least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:
+        for batch in _chunked(batches):
             numbers, start, _ = _positions(batch, 2)
             held.append((numbers[start].astype(np.int64) << ID_BITS) | numbers[start + 1])
             size += len(start)
@@ -211,7 +219,7 @@ def _walker(sent: Broadcast, shard: int, shards: int, least: int, more: bool):
         idx = np.frombuffer(rows, np.int64)
         counts = np.zeros(len(idx), np.int64)
         held, size = [], 0
-        for batch in batches:
+        for batch in _chunked(batches):
             numbers, start, counting = _positions(batch, words, 1)
             alive, entry = trie.walk(numbers, start)
             counts += np.bincount(entry[counting[alive]], minlength=len(idx))
@@ -265,7 +273,7 @@ def _frequent(seen: DataFrame, least: int) -> DataFrame:
 
 def _numbered(phrases: DataFrame) -> tuple[DataFrame, int]:
     """Phrases (``ids``) with their number and the shard of their trie."""
-    rows = with_index(phrases, ["ids"])
+    rows = staged(with_index(staged(phrases), ["ids"]))
     count = rows.count()
     shards = max(1, -(-count // TRIE_PHRASES))
     total = F.aggregate("ids", F.lit(0).cast("long"), lambda s, x: s + x)
