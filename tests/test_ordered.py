@@ -1,5 +1,7 @@
 """Large groups take the split path; its results equal the plain window's."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,8 +115,9 @@ def test_open_interest_repair_split_path(spark):
 def test_describe_split_path_and_pandas(spark):
     ticks = tables.ticks(spark, SF)
     plain = quality.describe(ticks, ["LastPrice", "Turnover"])
-    split = quality.describe(ticks, ["LastPrice", "Turnover"], max_group_rows=5)
-    assert rows(plain) == rows(split)
+    split = quality.describe(ticks.repartition(5), ["LastPrice", "Turnover"])
+    quartiles = ["InstrumentID", "field", "count", "min", "p25", "p50", "p75", "max"]
+    assert rows(plain.select(*quartiles)) == rows(split.select(*quartiles))
     frame = ticks.select("InstrumentID", "LastPrice", "Turnover").toPandas()
     for r in plain.collect():
         want = frame[frame.InstrumentID == r.InstrumentID][r.field].describe()
@@ -174,3 +177,86 @@ def test_random_rows_exact(spark, n):
         for p in (1, 4)
     ]
     assert found[0] == found[1] and len(set(found[0])) == min(n, 1000)
+
+
+# --- positions and ranks ------------------------------------------------------------
+
+
+@pytest.mark.parametrize("max_rows", [1, 40, 10_000])
+def test_pieces_number_rows_without_a_copy(spark, skewed, max_rows):
+    cut = ordered.pieces(skewed.repartition(7), ["at", "seq"], max_rows)
+    numbered = cut.numbered().orderBy("idx").collect()
+    assert cut.total == 3000 and [r.idx for r in numbered] == list(range(3000))
+    assert [(r["at"], r.seq) for r in numbered] == sorted((r["at"], r.seq) for r in numbered)
+    if max_rows > 1:
+        assert "staged" not in cut.rows._jdf.queryExecution().toString()
+
+
+def test_pieces_of_times_nulls_texts_and_nothing(spark):
+    n = F.col("id")
+    rows_ = spark.range(500).select(
+        F.when(n % 9 != 0, F.timestamp_micros(n * n * 1_000_003).cast("timestamp_ntz")).alias("t"),
+        F.when(n % 5 != 0, F.md5(n.cast("string"))).alias("s"),
+        (n * 2**53 - 2**62).alias("wide"),
+        n,
+    )
+    for order in (["t", "id"], ["s", "id"], ["wide"], ["id"]):
+        for max_rows in (30, 1000):
+            got = ordered.pieces(rows_, order, max_rows).numbered().orderBy("idx").select("id").collect()
+            assert got == rows_.orderBy(*order).select("id").collect()
+    assert ordered.pieces(rows_.limit(0), ["t", "id"]).numbered().count() == 0
+
+
+def test_only_touched_pieces_are_ordered(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "PIECE_ROWS", 50)
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("id"))
+    cut = ordered.pieces(df, ["id"], 50)
+    assert cut.sizes.count() == 20
+    for number in (0, 3, 9, 10):
+        got = sorted(r.id for r in sampling.page(df, ["id"], number, size=100).collect())
+        assert got == list(range(number * 100, min(1000, number * 100 + 100)))
+    for size in (1, 7, 99, 1000, 2000):
+        step = 1001 / size
+        want = [i for i in range(1000) if step <= 1 or math.floor(math.ceil(i / step) * step) == i]
+        assert len(sampling.systematic_sample(df, ["id"], size).collect()) == len(want)
+
+
+def test_lowest_of_each_group(spark, skewed):
+    drawn = skewed.withColumn("draw", F.xxhash64("seq"))
+    got = {(r.key, r.seq) for r in sampling.lowest(drawn.repartition(50), 5, ["draw"], ["key"]).collect()}
+    want = {}
+    for r in drawn.orderBy("draw").collect():
+        want.setdefault(r.key, []).append(r.seq)
+    assert got == {(k, s) for k, seqs in want.items() for s in seqs[:5]}
+
+
+def test_sample_beyond_what_tasks_hold(spark, monkeypatch):
+    small = rows(sampling.random_rows(spark.range(2000), 300, seed=5))
+    monkeypatch.setattr(sampling, "HELD", 10)
+    assert rows(sampling.random_rows(spark.range(2000), 300, seed=5)) == small
+
+
+@pytest.mark.parametrize("cells", [1, 3, 1024])
+def test_values_at_ranks_of_odd_columns(spark, monkeypatch, cells):
+    monkeypatch.setattr(quality, "CELLS", cells)
+    inf, nan = float("inf"), float("nan")
+    columns = {
+        "ties": [5.0] * 9 + [None, 1.0, 5.0],
+        "one": [None] * 11 + [3.5],
+        "wide": [-1.7e308, 1.7e308, 0.0, 5e-324, 1.0, -1.0, 2.0, 1e300, -1e300, 1e-300, None, 7.0],
+        "ends": [-inf, inf, 1.0, 2.0, 3.0, 4.0, inf, inf, 5.0, 6.0, -inf, 7.0],
+        "nans": [nan, 1.0, 2.0, nan, 4.0, 3.0, None, 0.0, -0.0, 9.0, 8.0, nan],
+        "none": [None] * 12,
+    }
+    data = [("a", *v) for v in zip(*columns.values(), strict=True)]
+    df = spark.createDataFrame(data, "InstrumentID string, " + ", ".join(f"{c} double" for c in columns))
+    long = df.unpivot("InstrumentID", list(columns), "field", "value").filter("value IS NOT NULL")
+    ends = long.groupBy("InstrumentID", "field").agg(F.count("value").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    wanted = ends.select("InstrumentID", "field", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("rank"), "low", "high")
+    found = quality.values_at(df, list(columns), "InstrumentID", wanted).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: r["rank"]):
+        got.setdefault(r.field, []).append(r.value)
+    for field, values in columns.items():
+        want = sorted((v for v in values if v is not None), key=lambda v: (v != v, v))
+        assert [str(v + 0.0) for v in got.get(field, [])] == [str(v + 0.0) for v in want]

@@ -10,14 +10,18 @@ small row per group and piece, is joined in.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions import times
-from tickloom.session import staged
+from tickloom.session import listed, staged
 
 MAX_GROUP_ROWS = 5_000_000
+PIECE_ROWS = 250_000
+# A piece may hold so many times the rows aimed at.
+MAX_SPREAD = 20
 
 
 def group_extent(df: DataFrame, keys: list[str]) -> int:
@@ -130,24 +134,71 @@ def running(
     )
 
 
-def with_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame:
-    """Add the position of a row, from 0, in the total order ``order``.
+@dataclass(frozen=True)
+class Pieces:
+    """Rows cut along their order into numbered pieces (``_piece``), with the rows of each
+    (``_n``) and of all before it (``_offset``)."""
+
+    rows: DataFrame
+    order: list[str]
+    sizes: DataFrame
+    total: int
+
+    def numbered(self, name: str = "idx", where: Column | None = None) -> DataFrame:
+        """Add the position of a row, from 0. ``where`` tells by ``_offset`` and ``_n``
+        which pieces are wanted; no others are ordered."""
+        wanted = self.sizes if where is None else self.sizes.filter(where)
+        within = Window.partitionBy("_piece").orderBy(*self.order)
+        position = F.col("_offset") + F.row_number().over(within) - 1
+        columns = [c for c in self.rows.columns if c != "_piece"]
+        return self.rows.join(wanted.select("_piece", "_offset"), "_piece").select(*columns, position.alias(name))
+
+
+def _number(df: DataFrame, column: str) -> Column | None:
+    """A time or whole number as a number in the same order."""
+    kind = df.schema[column].dataType.typeName()
+    if kind == "timestamp_ntz":
+        return times.micros(F.col(column))
+    return F.col(column).cast("long") if kind in ("byte", "short", "integer", "long") else None
+
+
+def pieces(df: DataFrame, order: list[str], max_rows: int = PIECE_ROWS) -> Pieces:
+    """Cut ``df`` along the total order ``order`` into pieces of at most about
+    ``max_rows``.
+
+    The first column of the order, a time or whole number, is cut into equal stretches,
+    as many as the rows ask for, and a count tells how many rows each has. The pieces
+    follow from the rows alone, so nothing is written but the counts. Where stretches
+    are too uneven, and for other types, a range partitioning cuts the rows; its bounds
+    come from a sample, so the rows are then written down once."""
+    value = _number(df, order[0])
+    if value is None:
+        return _ranged(df, order)
+    low, high, total = df.agg(F.min(value), F.max(value), F.count(F.lit(1))).first()
+    if not total or low is None:
+        return _sized(df.withColumn("_piece", F.lit(0).cast("long")), order)
+    # Nulls come first and make a piece of their own.
+    if high - low >= 1 << 62:
+        return _ranged(df, order)
+    width = max(1, -(-(high - low + 1) // -(-total // max_rows)))
+    piece = F.coalesce(F.call_function("div", value - F.lit(low), F.lit(width)), F.lit(-1)).cast("long")
+    found = _sized(df.withColumn("_piece", piece), order)
+    most = found.sizes.agg(F.max("_n")).first()[0]
+    return found if most <= MAX_SPREAD * max_rows else _ranged(df, order)
+
+
+def _sized(rows: DataFrame, order: list[str]) -> Pieces:
+    counts = staged(rows.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n")))
+    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = listed(counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))))
+    return Pieces(rows, order, sizes, sizes.agg(F.sum("_n")).first()[0] or 0)
+
+
+def _ranged(df: DataFrame, order: list[str]) -> Pieces:
+    rows = df.repartitionByRange(*order).withColumn("_piece", F.spark_partition_id().cast("long"))
+    return _sized(staged(rows), order)
 
-    The range partitioning is written once, since its bounds come from a sample
-    and the counts and the numbering must agree on them. The offsets joined back
-    hold one row per partition.
-    """
-    rows = staged(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_piece", F.spark_partition_id())
-        .withColumn("_at", F.monotonically_increasing_id())
-    )
-    sizes = rows.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_base"))
-    earlier = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_piece", "_base", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
-    )
-    return rows.join(F.broadcast(offsets), "_piece").select(
-        *df.columns, (F.col("_at") - F.col("_base") + F.col("_offset")).alias(name)
-    )
+
+def with_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame:
+    """Add the position of a row, from 0, in the total order ``order``."""
+    return pieces(df, order).numbered(name)

@@ -21,6 +21,8 @@ from tickloom.schema import (
 from tickloom.session import listed, staged
 
 FAILED = "row_failed"
+QUARTILES = (25, 50, 75)
+CELLS = 1024
 
 
 # --- washing and file verdicts -------------------------------------------------
@@ -194,22 +196,12 @@ def repair_open_interest(
     )
 
 
-def describe(
-    ticks: DataFrame,
-    columns: list[str],
-    key: str = "InstrumentID",
-    max_group_rows: int = ordered.MAX_GROUP_ROWS,
-) -> DataFrame:
+def describe(ticks: DataFrame, columns: list[str], key: str = "InstrumentID") -> DataFrame:
     """Count, mean, spread, extremes and exact quartiles per contract and column.
 
-    Quartiles come from counts of distinct values, written down once: their
-    running totals locate the two ranks each quartile lies between, and no group
-    is ever gathered."""
-    group = [key, "field"]
+    One aggregate gives all but the quartiles. These lie between two ranks each, and
+    ``values_at`` narrows down the value at every rank."""
     numbers = ticks.select(key, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = numbers.unpivot(key, columns, "field", "value").filter(F.col("value").isNotNull())
-    counted = staged(long.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n")))
-    summed = ordered.running(counted, group, ["value"], {"upto": ("sum", F.col("n"))}, max_group_rows)
     made = {
         "count": F.count,
         "mean": F.avg,
@@ -223,25 +215,71 @@ def describe(
     rows = [
         F.struct(F.lit(c).alias("field"), *[F.col(f"`{c}.{n}`").alias(n) for n in made]) for c in columns
     ]
-    moments = wide.select(key, F.inline(F.array(*rows))).filter(F.col("count") > 0)
-    ranked = summed.join(moments.select(*group, "count"), group)
-
-    def at_rank(rank: Column) -> Column:
-        inside = (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
-        return F.max(F.when(inside, F.col("value")))
-
-    quartiles = {}
-    for percent in (25, 50, 75):
-        at = (F.col("count") - 1) * F.lit(percent / 100)
-        quartiles[f"p{percent}"] = (at_rank(F.floor(at)), at_rank(F.ceil(at)), F.max(at - F.floor(at)))
-    parts = [
-        part.alias(f"_{name}{i}") for name, trio in quartiles.items() for i, part in enumerate(trio)
-    ]
-    located = ranked.groupBy(*group).agg(*parts)
-    for name in quartiles:
-        low, high, share = (F.col(f"_{name}{i}") for i in range(3))
-        located = located.withColumn(name, low + (high - low) * share)
-    return moments.join(located.select(*group, *quartiles), group)
+    moments = staged(wide.select(key, F.inline(F.array(*rows))).filter(F.col("count") > 0))
+    at = [(F.col("count") - 1) * F.lit(percent / 100) for percent in QUARTILES]
+    ranks = F.array_distinct(F.array(*[rank for a in at for rank in (F.floor(a), F.ceil(a))]))
+    wanted = moments.select(key, "field", F.explode(ranks).alias("rank"), F.col("min").alias("low"), F.col("max").alias("high"))
+    found = values_at(numbers, columns, key, wanted)
+    by_rank = F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("_at")
+    located = moments.join(found.groupBy(key, "field").agg(by_rank), [key, "field"])
+    for percent, a in zip(QUARTILES, at, strict=True):
+        low, high = (F.element_at("_at", rank) for rank in (F.floor(a), F.ceil(a)))
+        located = located.withColumn(f"p{percent}", low + (high - low) * (a - F.floor(a)))
+    return located.drop("_at")
+
+
+def values_at(numbers: DataFrame, columns: list[str], key: str, wanted: DataFrame) -> DataFrame:
+    """The values at some ranks, from 0, of the columns of each contract, nulls left out.
+
+    ``wanted`` has the contract, the ``field``, the ``rank`` and the extremes (``low``,
+    ``high``) of all values. Each round counts the values within the bounds of the ranks
+    still open, in equal cells and at both ends, all columns in one scan; a rank goes on
+    with the extremes of the cell it falls into until these are one value. Every round
+    leaves out the ends, so it comes to its end with any values, after two or three
+    rounds with most. Only counts of cells are shuffled or written."""
+    bounds = [key, "field", "low", "high"]
+    opened = wanted.withColumn("below", F.lit(0).cast("long"))
+    done = None
+    while True:
+        settled = F.col("low").eqNullSafe(F.col("high"))
+        now = staged(opened)
+        closed = now.filter(settled).select(key, "field", "rank", F.col("low").alias("value"))
+        done = closed if done is None else done.unionByName(closed)
+        opened = now.filter(~settled)
+        if opened.isEmpty():
+            return done
+        cells = staged(_cell_counts(numbers, columns, key, opened.select(*bounds).distinct()))
+        upto = Window.partitionBy(*bounds).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        counted = cells.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+        here = F.col("rank") - F.col("below") - F.col("before")
+        opened = (
+            opened.join(counted, bounds)
+            .filter((here >= 0) & (here < F.col("n")))
+            .select(
+                key, "field", "rank", F.col("least").alias("low"), F.col("most").alias("high"),
+                (F.col("below") + F.col("before")).alias("below"),
+            )
+        )
+
+
+def _cell_counts(numbers: DataFrame, columns: list[str], key: str, bounds: DataFrame) -> DataFrame:
+    """Rows and extremes of the cells between each pair of bounds: a cell for either end
+    and ``CELLS`` between. The bounds of a contract are one row of the list joined."""
+    field = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("field")).cast("int")
+    listed_ = bounds.select(key, F.struct(field.alias("at"), "field", "low", "high").alias("b"))
+    lists = listed(listed_.groupBy(key).agg(F.collect_list("b").alias("_bounds")))
+    every = F.array(*[F.col(c) for c in columns])
+    pairs = F.transform("_bounds", lambda b: F.struct(b.alias("b"), F.element_at(every, b["at"]).alias("value")))
+    inside = F.filter(pairs, lambda p: (p["value"] >= p["b"]["low"]) & (p["value"] <= p["b"]["high"]))
+    rows = numbers.join(lists, key).select(key, F.explode(inside).alias("p"))
+    value, low, high = F.col("p.value"), F.col("p.b.low"), F.col("p.b.high")
+    # Halves keep the difference of two large values finite.
+    share = F.try_divide(value / 2 - low / 2, high / 2 - low / 2) * CELLS
+    middle = F.when(share.isNull() | F.isnan(share), 1).otherwise(F.least(F.floor(share) + 1, F.lit(CELLS)))
+    cell = F.when(value == low, 0).when(value == high, CELLS + 1).otherwise(middle)
+    return rows.select(key, "p.b.field", "p.b.low", "p.b.high", cell.cast("int").alias("cell"), value.alias("value")).groupBy(
+        key, "field", "low", "high", "cell"
+    ).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
 
 
 def std_outliers(ticks: DataFrame, columns: list[str], limit: float = PRICE_STD, key: str = "InstrumentID") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickloom.functions import ids, times
 from tickloom.operators import filters, quality
 from tickloom.operators.catalog import files_to_import, slice_stats, with_dominance
-from tickloom.schema import CATALOG, CLEAN_TICK, MAX_DATE, MIN_DATE, MIN_ROWS, RAW_TICK
+from tickloom.schema import CATALOG, MAX_DATE, MIN_DATE, MIN_ROWS, RAW_TICK
 from tickloom.session import listed, scratch
 from tickloom.sources import raw, stores
 
@@ -126,17 +126,25 @@ def store_files(
         verdicts = judged(ticks, rules)
         with scratch(cleaned(ticks, verdicts, rules)) as clean:
             with scratch(catalog_rows(listed_, verdicts, slice_stats(clean, ["path"]))) as rows:
-                stores.retract_ticks(spark, tick_folder, CLEAN_TICK, files)
+                stores.retract_ticks(spark, tick_folder, stores.tick_schema(spark, tick_folder), files)
                 stores.write_ticks(clean, tick_folder, mode="append")
                 register(rows, catalog_folder)
 
 
-def register(rows: DataFrame, catalog_folder: str) -> None:
+def register(rows: DataFrame, catalog_folder: str, gone: DataFrame | None = None) -> None:
     """Add catalog rows, replacing those of the same path, and mark the dominant
-    contracts of the days touched anew. The catalog is small next to the ticks;
-    these days are rewritten as a whole."""
-    old = stores.read_or_empty(rows.sparkSession, catalog_folder, CATALOG)
-    touched = old.join(rows.select("day").distinct(), "day", "left_semi")
-    kept = touched.join(rows.select("path"), "path", "left_anti").select(*CATALOG.names)
-    with scratch(with_dominance(kept.unionByName(rows)).select(*CATALOG.names)) as merged:
+    contracts of the days touched anew. Rows of the paths in ``gone`` are taken out. The
+    catalog is small next to the ticks; these days are rewritten as a whole."""
+    spark = rows.sparkSession
+    old = stores.read_or_empty(spark, catalog_folder, CATALOG)
+    changed = rows.select("path", "day")
+    if gone is not None:
+        changed = changed.unionByName(old.join(gone.select("path"), "path", "left_semi").select("path", "day"))
+    changed = listed(changed)
+    days = changed.select("day").distinct()
+    kept = old.join(days, "day", "left_semi").join(changed.select("path"), "path", "left_anti")
+    with scratch(with_dominance(kept.select(*CATALOG.names).unionByName(rows)).select(*CATALOG.names)) as merged:
         stores.write_partitions(merged, catalog_folder, ["day"], ["path"])
+        if gone is not None:
+            for day in days.join(merged.select("day"), "day", "left_anti").collect():
+                stores.drop_partition(spark, catalog_folder, day.asDict())

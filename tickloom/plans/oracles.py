@@ -169,6 +169,7 @@ CAT_TICKS = _with(TICKS)
 CAT_LABELLED = _with(TICKS, WASHED)
 CAT_CATALOG = _with(TICKS, FILE_STATS, CATALOG)
 CAT_SPLITS = _with(TICKS, FILE_STATS, CATALOG, SPLITS)
+CAT_SPLITS_CATALOG = _with(TICKS, WASHED, FILE_STATS, CATALOG, SPLITS)
 CAT_TIMED = _with(TICKS, MENDED)
 CAT_NOTED = _with(ANNOTATIONS)
 
@@ -308,7 +309,7 @@ ORACLES: dict[str, str] = {
     + "SELECT category, InstrumentID, UpdateTime, seq, LastPrice FROM ticks WHERE category IN ('CL', 'ER', 'PU')",
     "dominant_ticks": CAT_CATALOG
     + """SELECT t.category, t.InstrumentID, UpdateTime, seq, LastPrice
-    FROM ticks t JOIN catalog c ON c.path = t.path WHERE c.isDominant AND t.category IN ('CL', 'ER', 'PU')""",
+    FROM ticks t JOIN catalog c ON c.path = t.path WHERE c.isDominant""",
     "ticks_by_id": CAT_TIMED
     + """SELECT InstrumentID, MarketID, LastPrice, LastVolume, UpdateTime, OpenInterest, round(Turnover, 4) AS Turnover,
       AvePrice, round(HighestPrice, 4) AS HighestPrice, round(LowestPrice, 4) AS LowestPrice, OpenPrice, seq,
@@ -319,7 +320,38 @@ ORACLES: dict[str, str] = {
     + " UNION ALL "
     + _bars_select("1d")
     + ")",
-    "load_kline": CAT_TIMED + _bars_select("1H") + " AND category IN ('CL', 'ER', 'PU')",
+    "load_kline": CAT_TIMED + _bars_select("1H"),
+    "bar_store": CAT_TIMED
+    + "SELECT InstrumentID, level, TradingTime, CASE WHEN level = '1H' THEN close ELSE 0.0::DOUBLE END AS close FROM ("
+    + _bars_select("1H")
+    + " AND category <> 'VI' UNION ALL "
+    + _bars_select("2H")
+    + ")",
+    "map_stored": _with(TICKS, WASHED)
+    + """SELECT path, seq, LastPrice, CASE WHEN MarketID <> 3 THEN mainID END AS mainID,
+      CASE WHEN MarketID = 3 THEN round(LastPrice - avg(LastPrice) OVER (PARTITION BY path), 8) END AS off_mean,
+      CASE WHEN twice THEN true END AS checked,
+      CASE WHEN twice THEN 45 WHEN MarketID = 3 THEN 43 END AS column_num,
+      CASE WHEN twice THEN 3 WHEN MarketID = 3 THEN 2 ELSE 1 END AS zip_ver
+    FROM (SELECT *, MarketID = 3 AND substr(day, 7, 2) = '20' AND n >= 5 AS twice
+      FROM labelled JOIN (SELECT path, count(*) AS n FROM ticks GROUP BY path) USING (path))""",
+    "retract_files": CAT_SPLITS_CATALOG
+    + """SELECT c.path, CASE WHEN NOT gone THEN zip_path END AS zip_path, zip_line_num,
+      CASE WHEN gone THEN false ELSE list_contains(tags, 'splited') END AS splited, t.n AS ticks, s.n AS sessions, slices
+    FROM (SELECT *, coalesce(list_contains(tags, 'dup_time'), false) AS gone FROM catalog) c
+    LEFT JOIN (SELECT path, count(*) AS n FROM washed GROUP BY path) t ON t.path = c.path AND NOT gone
+    LEFT JOIN (SELECT path, count(*) AS slices, sum(zip_line_num)::BIGINT AS n FROM splits GROUP BY path) s
+      ON s.path = c.path AND NOT gone
+    WHERE category <> 'VI'""",
+    "feature_job": CAT_SPLITS
+    + """SELECT path, split_day AS day, time_type,
+      CASE WHEN category = 'CL' THEN '' WHEN time_type = 'night' THEN 'highest|depth' ELSE 'highest' END AS features,
+      CASE WHEN category = 'CL' THEN 0 WHEN time_type = 'night' THEN 2 ELSE 1 END AS feature_num,
+      CASE WHEN time_type = 'night' THEN TIMESTAMP '2024-02-01 03:00:00' ELSE TIMESTAMP '2024-02-01 01:00:00' END
+        AS feature_time,
+      CASE WHEN category <> 'CL' THEN CASE WHEN time_type = 'night' THEN 2 * high ELSE high END END AS highest,
+      CASE WHEN category <> 'CL' AND time_type = 'night' THEN high END AS depth
+    FROM splits""",
     "load_1day_kline": _with(TICKS, MENDED, FILE_STATS, CATALOG)
     + "SELECT b.* EXCLUDE (level), c.isDominant FROM ("
     + _bars_select("1d")

@@ -8,11 +8,12 @@ from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.functions import ids, times
 from tickloom.operators import backtest, bars, catalog, filters, projections, quality, sampling, stats, userfuncs
-from tickloom.plans import importing, klines, sessions
-from tickloom.schema import CLEAN_TICK, LEVELS, RAW_TICK, RAW_TICK_LEGACY
+from tickloom.plans import importing, klines, rewriting, sessions
+from tickloom.schema import CATALOG, CLEAN_TICK, LEVELS, RAW_TICK, RAW_TICK_LEGACY
 from tickloom.session import move_only_file, shared_folder, staged
 from tickloom.sources import raw, shared_tables as tables, stores
 
@@ -115,7 +116,8 @@ def category_ticks(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def dominant_ticks(spark: SparkSession, sf: str) -> DataFrame:
     flagged = catalog.with_dominant_flag(tables.ticks(spark, sf), tables.catalog(spark, sf), F.col("day"))
-    own = stores.category_ticks(flagged, SOME_PRODUCTS, products(spark, sf), dominant=True)
+    every = products(spark, sf)
+    own = stores.category_ticks(flagged, every, every, dominant=True)
     return own.select("category", "InstrumentID", "UpdateTime", "seq", "LastPrice")
 
 
@@ -148,7 +150,20 @@ def _rounded_bars(made: DataFrame) -> DataFrame:
 @query
 def load_kline(spark: SparkSession, sf: str) -> DataFrame:
     stored = staged(_bars(spark, sf, "1H"))
-    return _rounded_bars(stores.load_bars(stored, SOME_PRODUCTS, "1H"))
+    return _rounded_bars(stores.load_bars(stored, products(spark, sf), "1H"))
+
+
+@query
+def bar_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars of two levels stored twice, the second time the hourly ones only. Contracts
+    of one product are named without new bars."""
+    ticks, folder = klines.bar_input(tables.ticks(spark, sf)), scratch_folder(spark, "bars")
+    made = staged(bars.bars_at_levels(ticks, ["1H", "2H"], seq_bound=tables.seq_bound(spark, sf)))
+    stores.write_bars(made.withColumn("close", F.lit(0.0)), folder)
+    named = made.filter(F.col("category").isin("ER", "VI")).select("InstrumentID").distinct().collect()
+    fresh = made.filter("level = '1H' AND category <> 'VI'")
+    stores.write_bars(fresh, folder, [r.InstrumentID for r in named], ["1H"])
+    return stores.read_bars(spark, folder).select("InstrumentID", "level", "TradingTime", "close")
 
 
 @query
@@ -231,6 +246,110 @@ def feature_store(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(folder).select("feature", "path", "day", "time_type", "value")
 
 
+def _stored(spark: SparkSession, sf: str) -> str:
+    """Folder with the shared ticks as a store and the shared catalog."""
+    root = scratch_folder(spark, "stored")
+    ticks = raw.with_file_columns(labelled(spark, sf))
+    stores.write_ticks(ticks.select(*[c for c in CLEAN_TICK.names if c in ticks.columns]), f"{root}/ticks")
+    files = tables.catalog(spark, sf)
+    columns = [
+        (F.col(f.name) if f.name in files.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in CATALOG
+    ]
+    stores.write_partitions(files.select(*columns), f"{root}/files", ["day"], ["path"])
+    return root
+
+
+def _stored_splits(spark: SparkSession, sf: str, root: str) -> None:
+    """The shared ticks' sessions and their catalog, stored too."""
+    ticks = sessions.labelled_ticks(filters.wash(tables.ticks(spark, sf)), strict=False)
+    stores.write_sessions(ticks.withColumn("file_day", F.col("day")), f"{root}/sessions", MIN_SLICE_ROWS)
+    rows = split_rows(spark, sf)
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in sessions.STORED_SPLIT]
+    stores.write_partitions(rows.select(*columns), f"{root}/splits", ["file_day"], ["path"])
+
+
+def _without_main(frame: pd.DataFrame) -> pd.DataFrame:
+    return frame.drop(columns="mainID").assign(off_mean=frame.LastPrice - frame.LastPrice.mean())
+
+
+def _checked(frame: pd.DataFrame) -> pd.DataFrame:
+    return frame.assign(checked=True)
+
+
+@query
+def map_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of a market mapped where they are stored, some of them twice."""
+    root = _stored(spark, sf)
+    ticks, files = f"{root}/ticks", f"{root}/files"
+    known = stores.tick_schema(spark, ticks)
+    without = [f for f in known if f.name != "mainID"]
+    own = staged(stores.read_or_empty(spark, files, CATALOG).filter("MarketID = 3"))
+    first = StructType(without).add("off_mean", "double")
+    rewriting.map_stored_files(spark, ticks, files, own, userfuncs.whole(_without_main), first)
+    some = own.filter(F.array_contains("tags", "dup_time"))
+    second = StructType(stores.tick_schema(spark, ticks).fields).add("checked", "boolean")
+    rewriting.map_stored_files(spark, ticks, files, some, userfuncs.whole(_checked), second)
+    versions = stores.read_or_empty(spark, files, CATALOG).select("path", "column_num", "zip_ver")
+    rows = stores.read_ticks(spark, ticks, stores.tick_schema(spark, ticks)).join(versions, "path")
+    return rounded(
+        rows.select("path", "seq", "LastPrice", "mainID", "off_mean", "checked", "column_num", "zip_ver"), "off_mean", digits=8
+    )
+
+
+@query
+def retract_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Some files retracted from all stores, those of a product with their rows."""
+    root = _stored(spark, sf)
+    _stored_splits(spark, sf, root)
+    folders = {"tick_folder": f"{root}/ticks", "catalog_folder": f"{root}/files"}
+    folders |= {"session_folder": f"{root}/sessions", "split_folder": f"{root}/splits"}
+    files = staged(stores.read_or_empty(spark, f"{root}/files", CATALOG))
+    rewriting.retract_files(spark, files.filter(F.array_contains("tags", "dup_time")), **folders)
+    left = rewriting.retract_files(spark, files.filter("category = 'VI'"), **folders, forget=True)
+
+    def counts(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("path").agg(F.count(F.lit(1)).alias(name))
+
+    rows = left.select("path", "zip_path", "zip_line_num", F.array_contains("tags", "splited").alias("splited"))
+    stored = stores.read_ticks(spark, f"{root}/ticks", CLEAN_TICK)
+    for df, name in (
+        (stored, "ticks"),
+        (spark.read.parquet(f"{root}/sessions"), "sessions"),
+        (sessions.read_splits(spark, f"{root}/splits"), "slices"),
+    ):
+        rows = rows.join(counts(df, name), "path", "full")
+    return rows
+
+
+@query
+def feature_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Two features saved and registered, one of them twice for some slices, and the
+    features of a product reset."""
+    root = _stored(spark, sf)
+    _stored_splits(spark, sf, root)
+    features, catalog_ = f"{root}/features", f"{root}/splits"
+    rows = staged(sessions.read_splits(spark, catalog_))
+    value = rows.select("path", "day", "time_type", F.col("high").alias("value"))
+    night = F.col("time_type") == "night"
+
+    def save(df: DataFrame, name: str, hour: int) -> None:
+        at = F.lit(f"2024-02-01 0{hour}:00:00").cast("timestamp_ntz")
+        rewriting.save_feature(spark, df, name, at, features, catalog_)
+
+    save(value, "highest", 1)
+    save(value.filter(night).withColumnRenamed("value", "depth"), "depth", 2)
+    save(value.filter(night).withColumn("value", 2 * F.col("value")), "highest", 3)
+    rewriting.reset_features(spark, rows.filter("category = 'CL'"), features, catalog_)
+    keys = stores.FEATURE_KEYS
+    stored = sessions.read_splits(spark, catalog_).select(
+        *keys, F.array_join("feature_files", "|").alias("features"), "feature_num", "feature_time"
+    )
+    for name in ("highest", "depth"):
+        own = spark.read.parquet(f"{features}/feature={name}")
+        stored = stored.join(own.withColumnRenamed("value", name).select(*keys, name), keys, "full")
+    return stored
+
+
 @query
 def first_match(spark: SparkSession, sf: str) -> DataFrame:
     files = tables.catalog(spark, sf).select("path", "category", "isDominant", "line_num")

@@ -10,15 +10,23 @@ from tickloom.functions import ids, times
 from tickloom.operators.catalog import FILE_VIEWS, remove_tag
 from tickloom.operators.filters import filter_by
 from tickloom.operators.projections import catalog_days, for_load, without_level
-from tickloom.schema import BAR, MIN_ROWS, STOCK_BAR, STORED_CATEGORIES
+from tickloom.schema import BAR, CLEAN_TICK, MIN_ROWS, STOCK_BAR, STORED_CATEGORIES, layout
 from tickloom.session import delete_folder, listed, scratch
 
 # Market, product and month of the file a tick came from; its row may say otherwise.
 TICK_PARTITIONS = ["market", "category", "month"]
+TICK_ORDER = ["InstrumentID", "UpdateTime", "seq"]
 STOCK_BUCKETS = 64
-BAR_PARTITIONS = ["level", "InstrumentID"]
+BAR_BUCKETS = 8
+BAR_PARTITIONS = ["level", "category", "bucket"]
+BAR_KEYS = ["level", "InstrumentID"]
 FEATURE_KEYS = ["path", "day", "time_type"]
 _STORED_STOCK = StructType(STOCK_BAR.fields).add("bucket", "string")
+_STORED_BAR = StructType(BAR.fields).add("bucket", "string")
+# Beside the partitions of a tick store, a list of the columns mapped files have
+# gained. Readers of the store skip folders with this first letter.
+_GAINED = "_gained_columns"
+_GAINED_SCHEMA = layout("string name type")
 
 
 def write_partitions(
@@ -59,7 +67,7 @@ def drop_partition(spark: SparkSession, folder: str, partition: dict[str, str])
 
 
 def write_ticks(ticks: DataFrame, folder: str, mode: str = "overwrite") -> None:
-    write_partitions(ticks, folder, TICK_PARTITIONS, ["InstrumentID", "UpdateTime", "seq"], mode)
+    write_partitions(ticks, folder, TICK_PARTITIONS, TICK_ORDER, mode)
 
 
 def append_ticks(ticks: DataFrame, folder: str, rejected_folder: str) -> None:
@@ -80,41 +88,85 @@ def partitions_of(paths: DataFrame) -> DataFrame:
     return parts.select("path", *TICK_PARTITIONS)
 
 
-def near(ticks: DataFrame, keys: DataFrame) -> DataFrame:
-    """Ticks in partitions whose markets, products and months a list of keys names,
-    so that a join with the list reads no others. There are as many values as
-    markets, products and months."""
-    shared = [c for c in TICK_PARTITIONS if c in ticks.columns and c in keys.columns]
-    if not shared:
-        return ticks
-    named = keys.agg(*[F.collect_set(c).alias(c) for c in shared]).first()
-    for column in shared:
-        ticks = ticks.filter(F.col(column).isin(*named[column]))
-    return ticks
+def _partition_key(partitions: list[str]) -> Column:
+    return F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in partitions])
+
+
+def near(rows: DataFrame, keys: DataFrame, partitions: list[str] = TICK_PARTITIONS) -> DataFrame:
+    """Stored rows of the partitions that a list of keys names, each by all its columns
+    together. The join with the list, one short row a partition, prunes the scan while
+    it runs: no other partition is read. Rows that do not have all partition columns
+    are returned as they are."""
+    if not set(partitions) <= set(rows.columns) & set(keys.columns):
+        return rows
+    named = listed(keys.select(_partition_key(partitions).alias("_near")).distinct())
+    # Spark prunes by a list that a comparison narrows; all keys pass this one.
+    named = named.filter(F.col("_near") >= "")
+    return rows.join(named, _partition_key(partitions) == F.col("_near"), "left_semi")
 
 
 def retract_ticks(spark: SparkSession, folder: str, schema: StructType, paths: DataFrame) -> None:
     """Delete the stored ticks of some files."""
     doomed = listed(partitions_of(paths))
     stored = near(read_or_empty(spark, folder, schema), doomed)
-    drop_rows(stored, folder, TICK_PARTITIONS, doomed, ["path"], ["InstrumentID", "UpdateTime", "seq"])
+    drop_rows(stored, folder, TICK_PARTITIONS, doomed, ["path"], TICK_ORDER)
 
 
 def drop_rows(
     stored: DataFrame, folder: str, partitions: list[str], doomed: DataFrame, keys: list[str], sort: list[str] = ()
 ) -> None:
     """Delete the stored rows with some keys. Only the partitions that hold any are
-    rewritten; those left with no rows go last."""
-    spark = stored.sparkSession
-    touched = listed(stored.join(doomed.select(*keys), keys, "left_semi").select(*partitions).distinct())
+    rewritten, all in one step; those left with no rows go last."""
+    doomed = doomed.select(*keys)
+    touched = listed(stored.join(doomed, keys, "left_semi").select(*partitions).distinct())
     if touched.isEmpty():
         return
-    whole = near(stored, touched).join(touched, partitions, "left_semi")
-    with scratch(whole.join(doomed.select(*keys), keys, "left_anti")) as kept:
-        write_partitions(kept.select(*stored.columns), folder, partitions, sort)
-        left = kept.select(*partitions).distinct()
-        for partition in touched.join(left, partitions, "left_anti").collect():
-            drop_partition(spark, folder, partition.asDict())
+    kept = near(stored, touched, partitions).join(doomed, keys, "left_anti").select(*stored.columns)
+    _overwrite(kept, touched, folder, partitions, sort)
+
+
+def _overwrite(
+    rows: DataFrame, touched: DataFrame | None, folder: str, partitions: list[str], sort: list[str]
+) -> None:
+    """Put rows in place of their partitions, which they may be read from: Spark replaces
+    these only once all rows are written elsewhere. Those of ``touched`` that get no rows
+    are deleted after that."""
+    emptied = []
+    if touched is not None:
+        emptied = touched.join(rows.select(*partitions).distinct(), partitions, "left_anti").collect()
+    write_partitions(rows, folder, partitions, sort)
+    for partition in emptied:
+        drop_partition(rows.sparkSession, folder, partition.asDict())
+
+
+def tick_schema(spark: SparkSession, folder: str) -> StructType:
+    """Columns of a tick store: those of an import, and what mapped files have gained.
+    A file that has no such column reads as null."""
+    gained = read_or_empty(spark, f"{folder}/{_GAINED}", _GAINED_SCHEMA).distinct().orderBy("name").collect()
+    return StructType([*CLEAN_TICK.fields, *[StructType.fromDDL(f"`{r.name}` {r.type}").fields[0] for r in gained]])
+
+
+def gain_columns(spark: SparkSession, folder: str, schema: StructType) -> StructType:
+    """Note the columns of ``schema`` that the store does not have yet; returns the
+    store's columns. A column that is stored with another type is an error."""
+    known = {f.name: f.dataType for f in tick_schema(spark, folder)}
+    other = sorted(f.name for f in schema if known.get(f.name, f.dataType) != f.dataType)
+    if other:
+        raise ValueError(f"stored with another type: {other}")
+    new = [(f.name, f.dataType.simpleString()) for f in schema if f.name not in known]
+    if new:
+        spark.createDataFrame(new, _GAINED_SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/{_GAINED}")
+    return tick_schema(spark, folder)
+
+
+def replace_ticks(ticks: DataFrame, folder: str) -> None:
+    """Ticks in place of those stored of the same files. Columns they do not have are
+    null, columns the store does not have are added to it."""
+    schema = gain_columns(ticks.sparkSession, folder, ticks.schema)
+    aligned = [
+        (F.col(f.name) if f.name in ticks.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+    ]
+    replace_rows(ticks.select(*aligned), folder, TICK_PARTITIONS, ["path"], TICK_ORDER)
 
 
 def load_for_catalog(ticks: DataFrame, files: DataFrame, clean: bool = True, sort: bool = True) -> DataFrame:
@@ -154,30 +206,54 @@ def category_ticks(
 # --- bars --------------------------------------------------------------------
 
 
+def _bar_bucket(instrument: Column) -> Column:
+    return F.pmod(F.xxhash64(instrument), F.lit(BAR_BUCKETS)).cast("string")
+
+
 def write_bars(bars: DataFrame, folder: str, instruments: list[str] = (), levels: list[str] = ()) -> None:
-    """Replace the bars of each contract and level. The contracts and levels
-    named lose their old bars even where there are no new ones."""
-    write_partitions(bars, folder, BAR_PARTITIONS, ["TradingTime"])
+    """Replace the bars of each contract and level. The contracts and levels named lose
+    their old bars even where there are no new ones.
+
+    Products share partitions with their level; contracts lie in a few buckets of
+    these, in order, so that there are few files and a contract is found by the extremes
+    of their blocks."""
+    rows = bars.select(*BAR.names).withColumn("bucket", _bar_bucket(F.col("InstrumentID")))
+    gone = None
     if instruments and levels:
-        named = F.col("InstrumentID").isin(*instruments) & F.col("level").isin(*levels)
-        found = bars.filter(named).select("level", "InstrumentID").distinct().collect()
-        gone = {(le, i) for le in levels for i in instruments} - {tuple(r) for r in found}
-        for level, instrument in sorted(gone):
-            drop_partition(bars.sparkSession, folder, {"level": level, "InstrumentID": instrument})
+        names = bars.sparkSession.createDataFrame([(i,) for i in instruments], "InstrumentID string")
+        gone = names.select(
+            F.explode(F.array(*[F.lit(level) for level in levels])).alias("level"),
+            ids.category(F.col("InstrumentID")).alias("category"),
+            _bar_bucket(F.col("InstrumentID")).alias("bucket"),
+            "InstrumentID",
+        )
+    replace_rows(rows, folder, BAR_PARTITIONS, BAR_KEYS, ["InstrumentID", "TradingTime"], gone)
 
 
 def read_bars(spark: SparkSession, folder: str) -> DataFrame:
-    return read_or_empty(spark, folder, BAR)
+    return read_or_empty(spark, folder, _STORED_BAR).select(*BAR.names)
+
+
+def bars_of(spark: SparkSession, folder: str, instrument: str, level: str) -> DataFrame:
+    """Stored bars of a contract, from its bucket only."""
+    category = ids.category(F.lit(instrument))
+    own = (F.col("level") == level) & (F.col("category") == category) & (F.col("InstrumentID") == instrument)
+    stored = read_or_empty(spark, folder, _STORED_BAR).filter(own & (F.col("bucket") == _bar_bucket(F.lit(instrument))))
+    return stored.select(*BAR.names)
 
 
 def write_daily(bars: DataFrame, folder: str, instruments: list[str] = ()) -> None:
     """Replace the daily bars of each contract, also of those named without any."""
-    write_partitions(without_level(bars), folder, ["InstrumentID"], ["TradingTime"])
+    rows = without_level(bars).withColumn("bucket", _bar_bucket(F.col("InstrumentID")))
+    gone = None
     if instruments:
-        named = bars.filter(F.col("InstrumentID").isin(*instruments))
-        found = {r.InstrumentID for r in named.select("InstrumentID").distinct().collect()}
-        for instrument in sorted(set(instruments) - found):
-            drop_partition(bars.sparkSession, folder, {"InstrumentID": instrument})
+        names = bars.sparkSession.createDataFrame([(i,) for i in instruments], "InstrumentID string")
+        gone = names.select(
+            ids.category(F.col("InstrumentID")).alias("category"),
+            _bar_bucket(F.col("InstrumentID")).alias("bucket"),
+            "InstrumentID",
+        )
+    replace_rows(rows, folder, BAR_PARTITIONS[1:], ["InstrumentID"], ["InstrumentID", "TradingTime"], gone)
 
 
 def load_bars(bars: DataFrame, categories: list[str], level: str) -> DataFrame:
@@ -202,16 +278,26 @@ def load_daily(daily: DataFrame, categories: list[str], main: bool = True) -> Da
 
 
 def replace_rows(
-    rows: DataFrame, folder: str, partitions: list[str], keys: list[str], sort: list[str] = ()
+    rows: DataFrame,
+    folder: str,
+    partitions: list[str],
+    keys: list[str],
+    sort: list[str] = (),
+    gone: DataFrame | None = None,
 ) -> None:
     """Store rows in place of those with the same keys. Other rows of the partitions
-    they fall into are kept, other partitions are not touched."""
+    they fall into are kept, other partitions are not touched. ``gone`` names further
+    keys, with their partitions, that lose their rows."""
+    columns = list(dict.fromkeys([*partitions, *keys]))
     with scratch(rows) as new:
-        names = new.select(*keys).distinct()
-        old = read_or_empty(rows.sparkSession, folder, new.schema)
-        shared = old.join(new.select(*partitions).distinct(), partitions, "left_semi")
-        with scratch(shared.join(names, keys, "left_anti").unionByName(new)) as merged:
-            write_partitions(merged, folder, partitions, sort)
+        names = new.select(*columns).distinct()
+        if gone is not None:
+            names = names.unionByName(gone.select(*columns)).distinct()
+        names = listed(names)
+        touched = names.select(*partitions).distinct()
+        old = near(read_or_empty(rows.sparkSession, folder, new.schema), touched, partitions)
+        kept = old.join(names.select(*keys).distinct(), keys, "left_anti").select(*new.columns)
+        _overwrite(kept.unionByName(new), None if gone is None else touched, folder, partitions, sort)
 
 
 def write_sessions(ticks: DataFrame, folder: str, min_rows: int = MIN_ROWS) -> None:
@@ -231,6 +317,17 @@ def write_feature(rows: DataFrame, folder: str, name: str, keys: list[str] = FEA
     replace_rows(rows.withColumn("feature", F.lit(name)), folder, ["feature"], ["feature", *keys])
 
 
+def retract_feature(spark: SparkSession, folder: str, name: str, slices: DataFrame) -> None:
+    """Delete the rows of some slices from a feature, if it is stored."""
+    try:
+        stored = spark.read.option("basePath", folder).parquet(f"{folder}/feature={name}")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return
+    drop_rows(stored, folder, ["feature"], slices, FEATURE_KEYS)
+
+
 def drop_feature(spark: SparkSession, folder: str, name: str) -> bool:
     return drop_partition(spark, folder, {"feature": name})
 
@@ -271,9 +368,7 @@ def read_stock(spark: SparkSession, folder: str, code: str) -> DataFrame:
 
 def drop_stock(spark: SparkSession, folder: str, stocks: DataFrame, code: str) -> DataFrame:
     """Delete a stock's bars; returns the list of stocks without its tag for them."""
-    left = read_stocks(spark, folder).filter(F.col("bucket") == _bucket(F.lit(code)))
-    partition = spark.range(1).select(_bucket(F.lit(code))).first()[0]
-    with scratch(left.filter(F.col("ts_code") != code)) as kept:
-        drop_partition(spark, folder, {"bucket": partition})
-        write_partitions(kept, folder, ["bucket"], ["ts_code", "day"])
+    own = read_stocks(spark, folder).filter(F.col("bucket") == _bucket(F.lit(code)))
+    doomed = spark.createDataFrame([(code,)], "ts_code string")
+    drop_rows(own, folder, ["bucket"], doomed, ["ts_code"], ["ts_code", "day"])
     return remove_tag(stocks, "got_1dK", F.col("ts_code") == code)
