@@ -17,6 +17,7 @@ from tickloom.session import staged
 WINDOW = 20
 PACKET = 1 << 20
 PART_BYTES = 8 << 20
+BUCKET_PARTS = 4
 # For each period positions whose differences are all residues of it.
 COVERS = {1: [0], 3: [0, 1], 7: [0, 1, 3], 13: [0, 1, 3, 9], 21: [3, 6, 7, 12, 14], 31: [1, 5, 11, 24, 25, 27]}
 WORDS = bytewords.Alphabet(bytewords.BETWEEN_BLANKS.word, fold=False)
@@ -27,7 +28,7 @@ OUTPUTS = ["n_words", "n_removed", "ranges", "kept"]
 PACKET_SCHEMA = (
     "part int, hashes binary, checks binary, docs binary, starts binary, ids binary, nulls binary, prints binary"
 )
-FOUND_SCHEMA = "id long, print long, places binary"
+DOC_SCHEMA = "id long, print long, places binary"
 
 
 def period_of(window: int) -> int:
@@ -48,9 +49,9 @@ class Found:
     nulls: np.ndarray
     prints: np.ndarray
 
-    def ranked(self) -> np.ndarray:
-        """Rank of document and place in one number; documents alike in id and print
-        are the same document, null ids come last."""
+    def doc_ranks(self) -> np.ndarray:
+        """Rank of each listed document; those alike in id and print are the same
+        document, null ids come last."""
         order = np.lexsort((self.prints, self.ids, self.nulls))
         keys = [a[order] for a in (self.nulls, self.ids, self.prints)]
         steps = np.zeros(len(order), bool)
@@ -58,7 +59,11 @@ class Found:
             steps[1:] |= key[1:] != key[:-1]
         rank = np.empty(len(order), np.uint64)
         rank[order] = np.cumsum(steps)
-        return (rank[self.doc] << np.uint64(32)) | self.place.astype(np.uint64)
+        return rank
+
+    def ranked(self) -> np.ndarray:
+        """Rank of document and place in one number."""
+        return (self.doc_ranks()[self.doc] << np.uint64(32)) | self.place.astype(np.uint64)
 
     def only(self, pick: np.ndarray) -> Found:
         return Found(
@@ -86,20 +91,25 @@ class Found:
         return rows.only(first), rows.only(several)
 
     def by_doc(self) -> pa.RecordBatch:
-        """A row for each document with its places."""
-        order = np.lexsort((self.place, self.doc))
-        doc, place = self.doc[order], self.place[order].astype(np.uint32)
-        first = np.flatnonzero(np.append(np.ones(min(1, len(doc)), bool), doc[1:] != doc[:-1]))
-        docs = doc[first]
+        """A row for each document with its different places."""
+        rank, at = np.unique(self.ranked(), return_index=True)
+        own = rank >> np.uint64(32)
+        first = np.flatnonzero(np.append(np.ones(min(1, len(own)), bool), own[1:] != own[:-1]))
+        docs = self.doc[at[first]]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(self.ids[docs], pa.int64(), mask=self.nulls[docs].astype(bool)),
                 pa.array(self.prints[docs], pa.int64()),
-                _pieces(place, np.append(first, len(doc))),
+                _pieces(self.place[at].astype(np.uint32), np.append(first, len(own))),
             ],
             names=["id", "print", "places"],
         )
 
+    def by_bucket(self, buckets: int) -> list[tuple[int, Found]]:
+        """Occurrences by a remainder of their document's print."""
+        bucket = (self.prints % buckets)[self.doc]
+        return [(int(k), self.only(bucket == k)) for k in np.unique(bucket)]
+
 
 def _pieces(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """Stretches of an array as binary values."""
@@ -142,12 +152,17 @@ def _sent(packet: Packet, parts: int, but_first: bool) -> pa.RecordBatch:
     rows = [(k, firsts.only(slice(bounds[k], bounds[k + 1]))) for k in range(parts) if bounds[k] < bounds[k + 1]]
     if len(known.hash):
         rows.append((-1 - int(known.prints[0] % parts), known))
+    return _packed(rows, but_first)
+
+
+def _packed(rows: list[tuple[int, Found]], checked: bool) -> pa.RecordBatch:
+    """Numbered occurrences as rows of arrays; hashes go along for numbers from 0."""
     columns = [[] for _ in range(8)]
     for number, own in rows:
         docs, doc = np.unique(own.doc, return_inverse=True)
         values = [
             own.hash if number >= 0 else own.hash[:0],
-            own.check if number >= 0 and but_first else own.check[:0],
+            own.check if number >= 0 and checked else own.check[:0],
             doc.astype(np.uint32),
             own.place,
             own.ids[docs],
@@ -164,6 +179,29 @@ def _sent(packet: Packet, parts: int, but_first: bool) -> pa.RecordBatch:
     )
 
 
+def _unpacked(group: pa.Table) -> Found:
+    columns = [[] for _ in range(7)]
+    n_docs = 0
+    for row in group.to_pylist():
+        doc = np.frombuffer(row["docs"], np.uint32).astype(np.int64) + n_docs
+        hashes = np.frombuffer(row["hashes"], np.uint64)
+        checks = np.frombuffer(row["checks"], np.uint32)
+        ids = np.frombuffer(row["ids"], np.int64)
+        n_docs += len(ids)
+        values = [
+            hashes if len(hashes) else np.zeros(len(doc), np.uint64),
+            checks if len(checks) else np.zeros(len(doc), np.uint32),
+            doc,
+            np.frombuffer(row["starts"], np.uint32),
+            ids,
+            np.frombuffer(row["nulls"], np.uint8),
+            np.frombuffer(row["prints"], np.int64),
+        ]
+        for column, value in zip(columns, values, strict=True):
+            column.append(value)
+    return Found(*[np.concatenate(c) for c in columns])
+
+
 def _sender(occurrences: Callable, parts: int, but_first: bool):
     """Pass on what ``occurrences`` finds in slices of texts, packet by packet."""
 
@@ -180,48 +218,33 @@ def _sender(occurrences: Callable, parts: int, but_first: bool):
     return run
 
 
-def _merger(but_first: bool):
-    """Compare the occurrences of one range of hashes; a class sends one occurrence
-    for each packet at most."""
+def _merger(parts: int, but_first: bool):
+    """Compare the occurrences of one range of hashes, where a class sends one for each
+    packet at most, and pass on the repeated ones in buckets of documents."""
 
     def run(group: pa.Table) -> pa.Table:
-        columns = [[] for _ in range(7)]
-        own, n_docs = False, 0
-        for row in group.to_pylist():
-            own = row["part"] < 0
-            doc = np.frombuffer(row["docs"], np.uint32).astype(np.int64) + n_docs
-            hashes = np.frombuffer(row["hashes"], np.uint64)
-            checks = np.frombuffer(row["checks"], np.uint32)
-            ids = np.frombuffer(row["ids"], np.int64)
-            n_docs += len(ids)
-            values = [
-                hashes if len(hashes) else np.zeros(len(doc), np.uint64),
-                checks if len(checks) else np.zeros(len(doc), np.uint32),
-                doc,
-                np.frombuffer(row["starts"], np.uint32),
-                ids,
-                np.frombuffer(row["nulls"], np.uint8),
-                np.frombuffer(row["prints"], np.int64),
-            ]
-            for column, value in zip(columns, values, strict=True):
-                column.append(value)
-        found = Found(*[np.concatenate(c) for c in columns])
-        if not own:
+        found = _unpacked(group)
+        if group.column("part")[0].as_py() >= 0:
             order = np.argsort(found.hash, kind="stable")
             same = found.hash[order][1:] == found.hash[order][:-1]
             twice = np.append(same, False) | np.insert(same, 0, False)
             _, found = found.only(order[twice[: len(order)]]).repeated(but_first)
-        return pa.Table.from_batches([found.by_doc()])
+        rows = [(-1 - bucket, own) for bucket, own in found.by_bucket(max(1, parts // BUCKET_PARTS))]
+        return pa.Table.from_batches([_packed(rows, False)])
 
     return run
 
 
+def _gather(group: pa.Table) -> pa.Table:
+    return pa.Table.from_batches([_unpacked(group).by_doc()])
+
+
 def _repeats(rows: DataFrame, occurrences: Callable, parts: int, but_first: bool) -> DataFrame:
     """``id``, ``print`` and ``places`` of the documents of ``rows`` that hold any
     repeated occurrence."""
     sent = rows.mapInArrow(_sender(occurrences, parts, but_first), PACKET_SCHEMA)
-    found = sent.groupBy("part").applyInArrow(_merger(but_first), FOUND_SCHEMA)
-    return staged(found.groupBy("id", "print").agg(F.collect_set("places").alias("places")))
+    found = sent.groupBy("part").applyInArrow(_merger(parts, but_first), PACKET_SCHEMA)
+    return staged(found.groupBy("part").applyInArrow(_gather, DOC_SCHEMA))
 
 
 def _words(batch: pa.RecordBatch) -> tuple[bytewords.Words, np.ndarray, np.ndarray]:
@@ -235,8 +258,8 @@ def _words(batch: pa.RecordBatch) -> tuple[bytewords.Words, np.ndarray, np.ndarr
 def _places(batch: pa.RecordBatch, head: np.ndarray) -> np.ndarray:
     """Numbers of all words that the rows' ``places`` name."""
     out = [np.zeros(0, np.int64)]
-    for row, lists in enumerate(batch.column("places").to_pylist()):
-        for raw in lists or []:
+    for row, raw in enumerate(batch.column("places").to_pylist()):
+        if raw:
             out.append(np.frombuffer(raw, np.uint32).astype(np.int64) + head[row])
     return np.concatenate(out)
 
