@@ -143,3 +143,16 @@ def test_scores_do_not_depend_on_the_batch():
     together, _ = toxicity.score_texts(model, pa.array(texts))
     alone = [toxicity.score_texts(model, pa.array([t]))[0][0] for t in texts]
     assert np.allclose(together, alone, atol=1e-5)
+
+
+def test_sample_takes_usable_rows_only(spark):
+    """Texts that are null or too long give their place to others of their label."""
+    rows = [(i, "long " * 40 if i % 4 else f"text {i}", "fr" if i % 3 else "en") for i in range(300)]
+    rows += [(i, None, "es") for i in range(300, 340)] + [(340, "hola", "es"), (340, "adios", "es"), (None, "null", "es")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for per_label in (1, 5, 10, 1000):
+        got = langid.sample(docs.repartition(20), docs, F.lit(True), "lang", per_label, limit=100)
+        counts = {k: sum(known == k for _, known in got) for k in ("en", "fr", "es")}
+        assert counts == {"en": min(25, per_label), "fr": min(50, per_label), "es": 1}
+        assert all(len(body) <= 100 for body, _ in got) and ("adios", "es") in got
+        assert got == langid.sample(docs, docs.repartition(3), F.lit(True), "lang", per_label, limit=100)

@@ -72,3 +72,31 @@ def test_odd_rows_pass_every_stage(spark, tmp_path):
         assert out.columns == docs.columns, name
         assert out.count() > 0 or name == "language ID", name  # too few texts to learn from
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
+
+
+def test_near_copies_by_row(spark):
+    """Ids that are repeated or missing lose no text that resembles no other."""
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    x, y, z = (" ".join(f"{k}{i}" for i in range(40)) for k in "xyz")
+    cases = [
+        ([(1, x), (1, y), (0, y)], {(1, x), (0, y)}),
+        ([(1, x), (1, y), (2, y)], {(1, x), (1, y)}),
+        ([(1, x), (1, x), (None, x + " more"), (3, z)], {(1, x), (3, z)}),
+        ([(None, x), (None, x), (None, y), (None, y + " more"), (4, None)], None),
+        ([(5, ""), (5, ""), (5, " ")], {(5, ""), (5, " ")}),
+    ]
+    for rows, want in cases:
+        docs = odd(spark, [(*r, "en", "a") for r in rows])
+        got = [(r["doc_id"], r["text"]) for r in stage(spark, docs, "").collect()]
+        if want is None:
+            assert len(got) == 3 and (None, x) in got and (4, None) in got and any(t and t.startswith(y) for _, t in got)
+        else:
+            assert set(got) == want and len(got) == len(want) + (rows[0][1] == "")
+
+
+def test_mixing_by_row(spark):
+    stage = dict(corpus_pipeline.STAGES)["mixing sources to target weights"]
+    rows = [(None, f"{'w ' * (5 * i + 1)}{i}", "en", "ab"[i % 2]) for i in range(60)]
+    got = [r["text"] for r in stage(spark, odd(spark, rows), "").collect()]
+    times = {t: got.count(t) for _, t, _, _ in rows}
+    assert set(got) <= set(times) and max(times.values()) <= 3 and len(set(times.values())) > 1

@@ -69,11 +69,17 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def carried(batch: pa.RecordBatch, column: str) -> pa.Array:
+    """Texts of a column, or of a field ``row.name`` of a struct."""
+    head, _, field = column.partition(".")
+    return batch.column(head).field(field) if field else batch.column(head)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str, budget: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that the texts of each stay within ``budget`` bytes, but for
     a single longer text."""
     for batch in batches:
-        _, offsets = text_buffers(batch.column(column))
+        _, offsets = text_buffers(carried(batch, column))
         at = 0
         while at < batch.num_rows:
             end = int(np.searchsorted(offsets, offsets[at] + budget, "right")) - 1

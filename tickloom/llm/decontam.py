@@ -13,7 +13,8 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from tickloom.llm import bytewords
 from tickloom.llm.bytewords import LETTERS_DIGITS
-from tickloom.llm.placing import packed, unpacked
+from tickloom.llm.placing import unpacked, with_text
+from tickloom.session import staged
 
 WINDOW = 13
 BLOCK_WINDOWS = 500_000
@@ -84,15 +85,16 @@ class Needles:
 
 
 def needle_blocks(benchmark: DataFrame, item: str, text: str, n: int, limit: int) -> Iterator[Needles]:
-    """Test items in blocks of about ``limit`` windows; one block is held at a time."""
-    block = Needles()
+    """Test items in blocks of about ``limit`` windows, at least one; the driver holds
+    one block at a time."""
+    block, made = Needles(), False
     rows = benchmark.select(F.col(f"`{item}`").cast("string"), F.col(f"`{text}`")).toLocalIterator()
     for name, body in rows:
-        block.add("" if name is None else name, body or "", n)
         if block.count >= limit:
             yield block.sealed()
-            block = Needles()
-    if block.count:
+            block, made = Needles(), True
+        block.add("" if name is None else name, body or "", n)
+    if block.count or not made:
         yield block.sealed()
 
 
@@ -110,9 +112,10 @@ def mark(
 
     Words are runs of a-z, 0-9 and non-ASCII characters once A-Z became a-z. A
     test window is ``n`` words in a row, or a whole shorter item. The windows are
-    broadcast as a hash set, in blocks of about ``block_windows``: a larger
-    benchmark takes more blocks, which the same scan passes one after the other.
-    Hashed hits are verified by their words.
+    broadcast as a hash set, in blocks of about ``block_windows``. Each block is a pass
+    of its own; what it finds is written down, and the block dropped, before the next
+    goes out, so that neither tasks nor driver hold two. Hashed hits are verified by
+    their words.
 
     Returns the kept columns and ``n_words``, ``n_hit`` (words hit), ``item_ids``
     (distinct, as text, in order), ``ranges`` (hit words, first and last) and
@@ -120,55 +123,62 @@ def mark(
     have no words and are never contaminated; items without words do nothing; a
     null item id counts as an empty one; repeated rows stay; an empty benchmark
     marks nothing."""
-    context = docs.sparkSession.sparkContext
-    rows = docs.select(packed(docs, keep).alias("row"), F.col(f"`{text}`").alias("body"))
-    rows = rows.select(
-        "row", "body", F.lit(None).cast("long").alias("n_words"),
-        F.array().cast(ArrayType(RANGE)).alias("ranges"), F.array().cast("array<string>").alias("item_ids"),
-    )
-    schema = StructType([rows.schema["row"], StructField("body", StringType()), *STATE])
-    blocks = [context.broadcast(b) for b in needle_blocks(benchmark, item, item_text, n, block_windows)]
-    for needles in blocks or [context.broadcast(Needles())]:
-        rows = rows.mapInArrow(_scanner(needles, schema), schema)
+    found = marked_rows(docs, benchmark, n, text, item, item_text, keep, block_windows)
+    return unpacked(found, "row", OUTPUTS)
+
+
+def marked_rows(
+    docs: DataFrame, benchmark: DataFrame, n: int, text: str, item: str, item_text: str, keep, block_windows: int
+) -> DataFrame:
+    """What ``mark`` returns, with the kept columns as a struct ``row``."""
+    columns, at = with_text(docs, keep, text, F.col(f"`{text}`").cast("string"))
+    rows = docs.select(*columns)
+    held = [f for f in rows.schema if f.name == "body"]
+    blocks = iter(needle_blocks(benchmark, item, item_text, n, block_windows))
+    needles = next(blocks)
+    while needles is not None:
+        following = next(blocks, None)
+        sent = docs.sparkSession.sparkContext.broadcast(needles)
+        schema = StructType([rows.schema["row"], *(held if following else []), *STATE])
+        rows = rows.mapInArrow(_scanner(sent, at, schema), schema)
+        if following:
+            rows = staged(rows)
+            sent.destroy()
+        needles = following
     hit = F.aggregate("ranges", F.lit(0).cast("long"), lambda s, r: s + r["last"] - r["first"] + 1)
-    counted = rows.drop("body").withColumn("n_hit", hit)
-    return unpacked(counted.withColumn("contaminated", contaminated()), "row", OUTPUTS)
+    return rows.withColumn("n_hit", hit).withColumn("contaminated", contaminated())
 
 
 def contaminated() -> Column:
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
-def _scanner(needles, schema: StructType):
+def _scanner(needles, column: str, schema: StructType):
     from pyspark.sql.pandas.types import to_arrow_type
 
     kinds = {f.name: to_arrow_type(f.dataType) for f in STATE}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bytewords.sliced(batches, "body"):
-            counts, ranges, items = _marked(batch, needles.value)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row"),
-                    batch.column("body"),
-                    pa.array(counts, kinds["n_words"]),
-                    pa.array(ranges, kinds["ranges"]),
-                    pa.array(items, kinds["item_ids"]),
-                ],
-                names=schema.names,
-            )
+        for batch in bytewords.sliced(batches, column):
+            values = _marked(batch, bytewords.carried(batch, column), needles.value)
+            made = {name: pa.array(v, kinds[name]) for name, v in zip(kinds, values, strict=True)}
+            columns = [made[name] if name in made else batch.column(name) for name in schema.names]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return scan
 
 
-def _marked(batch: pa.RecordBatch, needles: Needles):
+def _marked(batch: pa.RecordBatch, texts: pa.Array, needles: Needles):
     """Word counts, merged ranges of hit words and item ids of a batch's rows, with
     what earlier blocks have found."""
-    data, bounds = bytewords.text_buffers(batch.column("body"))
+    data, bounds = bytewords.text_buffers(texts)
     words = bytewords.words_in(data, bounds, LETTERS_DIGITS)
     counts = np.bincount(words.row, minlength=batch.num_rows)
     head = np.concatenate(([0], np.cumsum(counts)))
-    ranges, items = batch.column("ranges").to_pylist(), batch.column("item_ids").to_pylist()
+    before = "ranges" in batch.schema.names
+    ranges, items = (
+        batch.column(c).to_pylist() if before else [[] for _ in range(batch.num_rows)] for c in ("ranges", "item_ids")
+    )
     found = defaultdict(list)
     clean = bytewords.folded(data, LETTERS_DIGITS)
     for at, size, owners in needles.hits(words, clean):
@@ -193,12 +203,18 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def without_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def without_documents(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    n: int = WINDOW,
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    block_windows: int = BLOCK_WINDOWS,
+) -> DataFrame:
     """The documents that are not contaminated, in their own columns."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept")
-    marked = mark(docs.select(row, F.col(f"`{options.get('text', 'text')}`").alias("body")), benchmark,
-                  **{**options, "text": "body", "keep": ["kept"]})
-    return marked.filter(~F.col("contaminated")).select("kept.*")
+    marked = marked_rows(docs, benchmark, n, text, item, item_text, None, block_windows)
+    return marked.filter(~F.col("contaminated")).select("row.*")
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:

@@ -464,6 +464,19 @@ def cluster(
     than five words the whole text is the one shingle. Null ids are ignored in the
     choice of a name, so the component of rows with null ids only is null.
     Repeated rows belong together. An empty table gives no rows."""
+    component = F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("id"))
+    out = rooted(docs, percent, text, id, keep, frequent).select(
+        "row", F.col("n").alias("n_shingles"), component.alias("component_id")
+    )
+    return unpacked(out, "row", OUTPUTS)
+
+
+def rooted(
+    docs: DataFrame, percent: int, text: str, id: str, keep: list[str] | None, frequent: int = FREQUENT
+) -> DataFrame:
+    """What ``cluster`` works with: the kept columns as ``row``, the id, a hash of the
+    text (``print``), the size ``n`` of its set, and for sets with tokens the ``root`` set
+    of the component and its ``name``, the smallest id."""
     if not LEAST_PERCENT <= percent <= 100:
         raise ValueError(f"percent must be from {LEAST_PERCENT} to 100, not {percent}")
     body = F.col(f"`{text}`").cast("string")
@@ -477,13 +490,10 @@ def cluster(
     described = staged(rows.mapInArrow(_described, schema))
     roots = set_components(rows.drop("row"), described.drop("row"), percent, frequent)
     sets = described.filter("n > 0").groupBy("set").agg(F.min("id").alias("least"))
-    rooted = sets.join(roots.select(F.col("node").alias("set"), "root"), "set", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "set"))
-    names = rooted.groupBy("root").agg(F.min("least").alias("name"))
-    named = rooted.join(names, "root").select("set", "name")
-    out = described.join(named, "set", "left").select(
-        "row",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("id")).alias("component_id"),
+    hung = sets.join(roots.select(F.col("node").alias("set"), "root"), "set", "left")
+    hung = hung.withColumn("root", F.coalesce("root", "set"))
+    names = hung.groupBy("root").agg(F.min("least").alias("name"))
+    named = hung.join(names, "root").select("set", "root", "name")
+    return described.join(named, "set", "left").select(
+        "row", "id", F.col("text_key").alias("print"), "n", "root", "name"
     )
-    return unpacked(out, "row", OUTPUTS)

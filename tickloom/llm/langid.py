@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm import bytewords, gru
-from tickloom.llm.placing import packed, unpacked
+from tickloom.llm.placing import unpacked, with_text
+from tickloom.operators.sampling import lowest
 
 SAMPLE = 400
 SAMPLE_BYTES = 1 << 16
@@ -156,21 +157,27 @@ def identify(
     score 0, and so is everything if the model knows no language. Repeated rows
     stay; an empty table gives no rows; columns of the outputs' names are
     replaced."""
+    return unpacked(identified_rows(docs, model, text, keep), "row", OUTPUTS)
+
+
+def identified_rows(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """What ``identify`` returns, with the kept columns as a struct ``row``."""
     body = F.col(f"`{text}`").cast("string")
     known = F.lit(bool(model.langs)) & F.coalesce(body.rlike("\\p{L}"), F.lit(False))
-    rows = docs.select(packed(docs, keep).alias("row"), F.when(known, body).alias("body"))
-    schema = rows.drop("body").schema.add("lang_pred", "string").add("score", "double")
+    columns, at = with_text(docs, keep, text, F.when(known, body))
+    rows = docs.select(*columns, known.alias("known"))
+    schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double")
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return unpacked(rows.mapInArrow(_labeller(sent), schema), "row", OUTPUTS)
+    return rows.mapInArrow(_labeller(sent, at), schema)
 
 
-def _labeller(sent):
+def _labeller(sent, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for batch in bytewords.sliced(batches, "body"):
-            texts = batch.column("body")
+        for batch in bytewords.sliced(batches, column):
+            texts = bytewords.carried(batch, column)
             names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-            some = np.flatnonzero(texts.is_valid().to_numpy(zero_copy_only=False))
+            some = np.flatnonzero(batch.column("known").to_numpy(zero_copy_only=False))
             if len(some):
                 shares = pooled(model, texts.take(pa.array(some)))
                 for at, best, share in zip(some, shares.argmax(0), shares.max(0), strict=True):
@@ -193,17 +200,16 @@ def sample(
     limit: int = SAMPLE_BYTES,
 ) -> list[tuple[str, object]]:
     """Texts and labels to learn from: of each label the ``per_label`` ids with the
-    smallest hashes, if there is a text of at most ``limit`` bytes for them. Ids are
-    chosen first, so that no texts move but those of the sample; of several texts of
-    an id the least is taken."""
+    smallest hashes among those that have a text of at most ``limit`` bytes. Ids are
+    chosen first, in one scan, so that no texts move but those of the sample; of several
+    such texts of an id the least is taken."""
     known = F.col(f"`{label}`")
-    own = labels.filter(learn & known.isNotNull()).select(F.col(f"`{id}`").alias("id"), known.alias("known"))
-    order = Window.partitionBy("known").orderBy("draw", "id")
-    ranked = own.distinct().withColumn("draw", F.xxhash64("id")).withColumn("place", F.row_number().over(order))
-    chosen = ranked.filter(F.col("place") <= per_label).select("id", "known")
     texts = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("body"))
-    found = texts.filter(F.octet_length("body") <= limit).join(F.broadcast(chosen), "id")
-    rows = found.groupBy("id", "known").agg(F.min("body").alias("body")).collect()
+    short = texts.filter(F.octet_length("body") <= limit)
+    own = labels.filter(learn & known.isNotNull()).select(F.col(f"`{id}`").alias("id"), known.alias("known")).distinct()
+    usable = own.join(short.select("id").distinct(), "id").withColumn("draw", F.xxhash64("id"))
+    chosen = lowest(usable, per_label, ["draw", "id"], ["known"]).select("id", "known")
+    rows = short.join(F.broadcast(chosen), "id").groupBy("id", "known").agg(F.min("body").alias("body")).collect()
     return [(r["body"], r["known"]) for r in sorted(rows, key=lambda r: (r["id"], r["known"]))]
 
 

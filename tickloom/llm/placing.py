@@ -11,6 +11,15 @@ def packed(df: DataFrame, keep: list[str] | None = None) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in (df.columns if keep is None else keep)])
 
 
+def with_text(df: DataFrame, keep: list[str] | None, text: str, body: Column) -> tuple[list[Column], str]:
+    """The kept columns as ``row`` and, unless they hold the text, ``body``; and where
+    tasks find the text, so that none is sent twice."""
+    names = df.columns if keep is None else keep
+    if text in names and df.schema[text].dataType.typeName() == "string":
+        return [packed(df, keep).alias("row")], f"row.{text}"
+    return [packed(df, keep).alias("row"), body.alias("body")], "body"
+
+
 def unpacked(df: DataFrame, row: str, outputs: list[str]) -> DataFrame:
     """The struct's columns and the outputs; an output replaces a column of its
     name."""
