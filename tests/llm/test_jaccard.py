@@ -6,7 +6,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tickloom.llm import components, jaccard
+from pyspark.sql import functions as F
+
+from tickloom.llm import bytewords, components, jaccard
 from tests.llm.odd import ROWS, nothing, odd
 
 
@@ -110,22 +112,57 @@ def linked_pair(draw, low, high):
         b = c
 
 
-def test_linked_sets_share_a_combination():
-    draw = random.Random(4)
-    for low, high in ((4, 15), (15, 60), (60, 200)):
-        for _ in range(150):
-            a, b = linked_pair(draw, low, high)
-            if list(a) != list(b):
-                assert set(jaccard.combinations(a)) & set(jaccard.combinations(b))
-
-
-def test_linked_sets_share_enough_of_their_prefixes():
+def test_linked_sets_share_two_tokens_of_their_prefixes(spark):
     draw = random.Random(5)
-    prefixes = jaccard.Prefixes(75)
-    for _ in range(300):
-        a, b = linked_pair(draw, 4, 120)
-        heads = [set(x[: prefixes.extended(np.array([len(x)]))[0]]) for x in (a, b)]
-        assert len(heads[0] & heads[1]) >= max(prefixes.needed(np.array([len(a), len(b)])))
+    pairs = [linked_pair(draw, 2, 120) for _ in range(300)]
+    sizes = sorted({len(x) for pair in pairs for x in pair})
+    frame = spark.createDataFrame([(n,) for n in sizes], "n long")
+    length = {r[0]: r[1] for r in frame.select("n", jaccard.prefix_length(F.col("n"), 75)).collect()}
+    for a, b in pairs:
+        heads = [set(x[: length[len(x)]]) for x in (a, b)]
+        assert len(heads[0] & heads[1]) >= 2
+
+
+def test_marks_differ_in_no_more_bits_than_sets_in_tokens():
+    draw = random.Random(7)
+    for low, high in ((2, 30), (30, 400), (2000, 5000)):
+        for _ in range(20):
+            sets = linked_pair(draw, low, high)
+            row = np.repeat([0, 1], [len(x) for x in sets])
+            value = np.concatenate([bytewords.scrambled(x) for x in sets])
+            a, b = (np.array(m, np.int64).view(np.uint64) for m in jaccard.marks(row, value, 2).to_pylist())
+            differing = sum(int(x).bit_count() for x in a ^ b)
+            assert differing <= len(set(sets[0]) ^ set(sets[1])) <= (len(sets[0]) + len(sets[1])) / 7
+
+
+def test_sets_of_one_passage_meet_in_few_keys(spark):
+    """Sets of a common passage and enough of their own tokens are not compared, though
+    every one of them shares most of its tokens with all others."""
+    draw = random.Random(8)
+    passage = [f"p{i}" for i in range(74)]
+    rows = [(i, " ".join(passage + [f"o{draw.random():.8f}" for _ in range(30)]), "en", "a") for i in range(300)]
+    rows += [(300 + i, rows[i][1] + " more", "en", "a") for i in range(150)]
+    docs = odd(spark, rows).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_key"), F.col("text").alias("body"))
+    schema = "row struct<x:long>, id long, text_key long, n long, set long"
+    described = docs.select(F.struct(F.col("id").alias("x")).alias("row"), "*").mapInArrow(jaccard._described, schema)
+    sets = described.select("set", F.col("n").alias("common"))
+    tokens = jaccard._tokens_of(docs, described, sets)
+    met = jaccard._met(jaccard.index_keys(jaccard.prefixes(tokens, 75), 75, 16))
+    sizes = [r["count"] for r in met.groupBy("key").count().collect()]
+    assert sum(n * (n - 1) // 2 for n in sizes) < 450 * 20
+    assert found(odd(spark, rows)) == brute(rows)
+
+
+@pytest.mark.parametrize("few", [0, 1, 3, 100])
+def test_sets_of_many_frequent_tokens(spark, monkeypatch, few):
+    monkeypatch.setattr(jaccard, "FEW", few)
+    draw = random.Random(9)
+    base = [f"b{i}" for i in range(60)]
+    rows = [(i, changed(draw, base, draw.choice([0.005, 0.02, 0.03])), "en", "a") for i in range(120)]
+    rows += [(200 + i, changed(draw, base[: draw.randint(30, 60)], 0.01), "en", "a") for i in range(60)]
+    for frequent, turns in ((2, 0), (4, 1), (16, 3)):
+        monkeypatch.setattr(jaccard, "TURNS", turns)
+        assert found(odd(spark, rows), frequent=frequent) == brute(rows)
 
 
 def test_texts_of_all_lengths_have_the_brute_force_sets():
@@ -142,11 +179,3 @@ def test_components_of_paths_stars_and_rings(spark):
     want = {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 130)} | {201: 200, 202: 200}
     assert got == want
     assert components.components(frame.limit(0)).count() == 0
-
-
-def test_linked_sets_share_as_many_combinations_as_counted_on():
-    draw = random.Random(6)
-    for _ in range(200):
-        a, b = linked_pair(draw, 13, 200)
-        both = set(jaccard.combinations(a)) & set(jaccard.combinations(b))
-        assert len(both) >= max(max(1, len(x) // 4 - 2) for x in (a, b) if len(x) > 12)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,16 +16,17 @@ from tickloom.llm.placing import packed, unpacked
 from tickloom.session import staged
 
 SHINGLE = 5
-SHARE = 4
 PERCENT = 75
-COMBINED_FROM = 75
 LEAST_PERCENT = 20
 FREQUENT = 16
+FEW = 12
+TURNS = 3
+PIVOTS = 4
+MARKS = 32
 CLASS_SHIFT = 16
 PACKET_TOKENS = 1 << 21
+PART_TOKENS = 1 << 20
 BROADCAST_SETS = 1_000_000
-KEY_NAMES = ["key", "set", "n", "common"]
-KEYS = "key long, set long, n long, common long"
 OUTPUTS = ["n_shingles", "component_id"]
 
 
@@ -68,27 +68,20 @@ def fingerprints(row: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray
 # --- prefixes --------------------------------------------------------------------
 
 
-def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
-    """Two sets that link share one of the first so many tokens of each."""
-    return n + (-percent * n) // 100 + 1
+def overlap(n: int, percent: int) -> int:
+    """The least number of tokens that a set of ``n`` shares with one it links with."""
+    return -(-percent * n // 100)
 
 
-@dataclass(frozen=True)
-class Prefixes:
-    """Tokens are ordered by hash. A set's prefix is extended by ``common - 1`` so
-    that sets that link share at least ``needed`` tokens of their prefixes."""
+def combined(percent: int) -> int:
+    """Tokens of a combination: two, if all sets that link share as many."""
+    return 2 if overlap(2, percent) >= 2 else 1
 
-    percent: int
 
-    def common(self, n: np.ndarray) -> np.ndarray:
-        return np.maximum(1, prefix_length(n, self.percent) // SHARE)
-
-    def extended(self, n: np.ndarray) -> np.ndarray:
-        return np.minimum(n, prefix_length(n, self.percent) + self.common(n) - 1)
-
-    def needed(self, n: np.ndarray) -> np.ndarray:
-        """The least ``common`` of any set that can link with one of ``n`` tokens."""
-        return self.common(-(-self.percent * n // 100))
+def prefix_length(n: Column, percent: int) -> Column:
+    """Two sets that link share a combination among the first so many tokens of each,
+    in any order common to all."""
+    return n - F.ceil(percent * n / 100) + combined(percent)
 
 
 def _sent_classes(bits: int):
@@ -125,13 +118,21 @@ def _sent_classes(bits: int):
 
 
 def _packet(packet: int, held, prints: list[int], sizes: list[int], bits: int) -> pa.RecordBatch:
+    """A class goes out once, whatever the number of sets here that have it; if several
+    do, they are counted at once and the class goes without a place."""
     classes, places = (np.concatenate(x) for x in zip(*held, strict=True))
     order = np.argsort(classes)
     classes, places = classes[order], places[order]
+    same = np.zeros(len(classes) + 1, bool)
+    same[1:-1] = classes[1:] == classes[:-1]
+    several = same[1:] | same[:-1]
+    here = np.bincount(places[several], minlength=len(prints))
+    places[several] = len(prints)
+    classes, places = classes[~same[:-1]], places[~same[:-1]]
     part = (classes >> np.uint64(64 - CLASS_SHIFT - bits)).astype(np.int64)
     cuts = np.searchsorted(part, np.arange((1 << bits) + 1))
     parts = np.flatnonzero(np.diff(cuts))
-    blobs = [np.array([prints, sizes], np.int64).tobytes()]
+    blobs = [np.array([prints, sizes, here], np.int64).tobytes()]
     for low, high in zip(cuts[parts], cuts[parts + 1], strict=True):
         steps = np.diff(classes[low:high], prepend=np.uint64(0))
         blobs.append(planes(steps) + planes(places[low:high].astype(np.uint64)))
@@ -184,37 +185,28 @@ def _shared_places(table: pa.Table) -> pa.Table:
 
 def _shared_counts(table: pa.Table) -> pa.Table:
     """Sets of one packet with the number of their tokens that another set has."""
-    prints = sizes = None
-    places = []
+    prints = sizes = here = None
+    places = [np.zeros(0, np.uint32)]
     for part, blob in zip(table.column("part").to_pylist(), table.column("blob").to_pylist(), strict=True):
         if part < 0:
-            prints, sizes = np.frombuffer(blob, np.int64).reshape(2, -1)
+            prints, sizes, here = np.frombuffer(blob, np.int64).reshape(3, -1)
         else:
             places.append(np.frombuffer(blob, np.uint32))
-    counts = np.bincount(np.concatenate([np.zeros(0, np.uint32), *places]), minlength=len(prints))
-    return pa.table({"set": prints, "n": sizes, "common": counts})
+    counts = np.bincount(np.concatenate(places), minlength=len(prints) + 1)[: len(prints)]
+    return pa.table({"set": prints, "n": sizes, "common": here + counts})
 
 
-def _postings(prefixes: Prefixes):
-    """Token and set of every token of the extended prefixes of candidate sets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = batch.column("n").to_numpy()
-            kept = prefixes.extended(sizes)
-            values = [np.frombuffer(t.as_py(), np.int64)[:k] for t, k in zip(batch.column("tokens"), kept, strict=True)]
-            if values:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(values)),
-                        pa.array(np.repeat(batch.column("set").to_numpy(), kept)),
-                        pa.array(np.repeat(sizes, kept)),
-                        pa.array(np.repeat(batch.column("common").to_numpy(), kept)),
-                    ],
-                    names=KEY_NAMES,
-                )
-
-    return run
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every token of the sets."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            values = [np.frombuffer(t.as_py(), np.int64) for t in part.column("tokens")]
+            sizes = [len(v) for v in values]
+            rest = [pa.array(np.repeat(part.column(c).to_numpy(), sizes)) for c in ("set", "n", "common")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(values)), *rest], names=["key", "set", "n", "common"]
+            )
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,46 +225,37 @@ def _with_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.cumsum(sizes)
         tokens = [value[e - s : e].tobytes() for s, e in zip(sizes, ends, strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(prints), pa.array(sizes), pa.array(tokens, pa.binary())], names=["set", "n", "tokens"]
+            [pa.array(prints), pa.array(sizes), pa.array(tokens, pa.binary()), marks(row, value, batch.num_rows)],
+            names=["set", "n", "tokens", "marks"],
         )
 
 
-def combinations(tokens: np.ndarray) -> np.ndarray:
-    """Keys of three tokens that follow each other in a whole set, and for small sets
-    of two."""
-    a, b = tokens[:-1] * np.uint64(0x9E3779B97F4A7C15), tokens[1:]
-    pairs = scrambled(a + b)
-    keys = []
-    if len(tokens) >= 9:
-        keys.append(scrambled(pairs[:-1] * np.uint64(0xD6E8FEB86659FD93) + tokens[2:]))
-    if len(tokens) <= 12:
-        keys.append(pairs)
-    return np.concatenate(keys)
-
-
-def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = [combinations(np.frombuffer(t.as_py(), np.uint64)) for t in batch.column("tokens")]
-        if keys:
-            times = [len(k) for k in keys]
-            rest = [pa.array(np.repeat(batch.column(c).to_numpy(), times)) for c in KEY_NAMES[1:]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), *rest], names=KEY_NAMES
-            )
+def marks(row: np.ndarray, value: np.ndarray, n: int) -> pa.Array:
+    """For each set a row of bits, each the parity of the tokens that fall to it. Two
+    sets differ in at most as many bits as there are tokens that only one has."""
+    bits = 64 * MARKS
+    out = np.zeros((n, MARKS), np.int64)
+    cell = (value >> np.uint64(40)).astype(np.int64) % bits
+    for low in range(0, n, 256):
+        high = min(n, low + 256)
+        a, b = np.searchsorted(row, [low, high])
+        odd = np.bincount((row[a:b] - low) * bits + cell[a:b], minlength=(high - low) * bits) & 1
+        out[low:high] = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(-1, MARKS)
+    return pa.ListArray.from_arrays(np.arange(0, n * MARKS + 1, MARKS, dtype=np.int32), pa.array(out.ravel()))
 
 
 # --- join --------------------------------------------------------------------------
 
 
-def candidate_sets(docs: DataFrame, percent: int) -> DataFrame:
+def candidate_sets(docs: DataFrame, percent: int, tokens: int) -> DataFrame:
     """Fingerprints of the sets that can have a partner: of their tokens at least
     ``percent`` of a hundred are in some other set as well. ``common`` says how many.
 
     Tokens are compared by range of classes, wherever their sets are: a few bytes a
-    token go out, and two bytes come back for a token that is shared. No range or
-    packet is larger than a task's share of the input."""
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = min(24, parts.bit_length())
+    token go out, and two bytes come back for a token that is shared. Ranges follow from
+    the number of ``tokens``, and a packet sends a class once, so neither a range nor a
+    frequent token makes a task larger than its share."""
+    bits = min(24, max(2, (tokens // PART_TOKENS).bit_length()))
     row = "packet long, part long, blob binary"
     sent = docs.mapInArrow(_sent_classes(bits), row)
     back = sent.groupBy("part").applyInArrow(_shared_places, row)
@@ -280,70 +263,49 @@ def candidate_sets(docs: DataFrame, percent: int) -> DataFrame:
     return counted.filter(100 * F.col("common") >= percent * F.col("n")).select("set", "common").distinct()
 
 
-def shared_tokens(tokens: DataFrame, prefixes: Prefixes) -> DataFrame:
-    """Candidate sets with the ``shared`` tokens of their extended prefixes, those that
-    other candidates' prefixes hold too, each with its count."""
-    rows = tokens.mapInArrow(_postings(prefixes), KEYS)
+def prefixes(tokens: DataFrame, percent: int) -> DataFrame:
+    """Candidate sets with the tokens of their extended prefixes that other candidates
+    have too (``shared``), each with its count, the rarest first.
+
+    Tokens are ordered by the number of candidates that have them, so a prefix is full
+    of what is the set's own before it comes to what many sets quote."""
+    rows = tokens.mapInArrow(_postings, "key long, set long, n long, common long")
     counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("count")).filter("count > 1")
-    token = F.struct("count", "key").alias("token")
     met = rows.join(counts, "key").groupBy("set", "n", "common")
-    gathered = met.agg(F.array_sort(F.collect_list(token)).alias("shared"))
-    return gathered.filter(F.size("shared") >= _needed(prefixes.percent))
-
-
-def _needed(percent: int):
-    """``Prefixes.needed`` of column ``n``."""
-    least = F.ceil(percent * F.col("n") / 100)
-    length = least - F.ceil(percent * least / 100) + 1
-    return F.greatest(F.lit(1), F.floor(length / SHARE))
-
-
-def index_keys(candidates: DataFrame, tokens: DataFrame, prefixes: Prefixes, frequent: int) -> DataFrame:
-    """``key``, ``set`` with its size and common tokens: sets that link meet in a key.
-
-    A set must share ``needed`` tokens, so one of its first ``size - needed + 1``
-    shared tokens, rarest first. If these are all rare, they are its keys. If not,
-    its keys are all its rare tokens and the combinations of three tokens that
-    follow each other in the whole set, in order of their hashes.
-
-    Sets of a and b tokens with t in common have t - 1 gaps between these, and
-    (a - 1) + (b - 1) steps to fill them with; t is at least 3/7 of a + b. At least
-    2/3 t - 1 gaps are then a single step in both sets, more than half of them from
-    t = 7 on, so two in a row: a combination of three that both have. Where sets of
-    less than nine tokens may take part, combinations of two do the same.
-
-    All this counts on ``percent`` of ``COMBINED_FROM`` at least. Below that the first
-    shared tokens are the keys, however frequent they are."""
-    first = F.size("shared") - _needed(prefixes.percent) + 1
-    if prefixes.percent < COMBINED_FROM:
-        tokens_only = candidates.select(*KEY_NAMES[1:], F.explode(F.slice("shared", 1, first)).alias("t"))
-        return tokens_only.withColumn("key", F.col("t.key")).select(*KEY_NAMES)
+    gathered = met.agg(F.array_sort(F.collect_list(F.struct("count", "key"))).alias("met"))
+    alone = F.col("n") - F.size("met")
+    length = (prefix_length(F.col("n"), percent) - alone).cast("int")
+    first = F.slice("met", F.lit(1), F.greatest(length, F.lit(0)))
+    return gathered.filter(length > 0).select("set", "n", "common", first.alias("shared"))
+
+
+def index_keys(candidates: DataFrame, percent: int, frequent: int) -> DataFrame:
+    """Sets by the keys they meet in: ``key``, ``set`` with its size and common tokens,
+    and ``few``.
+
+    Sets that link share two tokens of their extended prefixes. If one of these is
+    rare, with fewer than ``frequent`` sets, it is a key of both. If all are frequent,
+    both sets have a pair of them: all pairs of a set's frequent tokens are its keys, as
+    long as it has at most ``FEW``. Sets of more have too many pairs; the frequent tokens
+    themselves are their keys, and those of the sets of few as well, to meet them. There
+    ``few`` marks the latter, which need not be compared with each other.
+
+    Where sets that link may share a single token, each token is a key."""
+    base = ["set", "n", "common"]
+    if combined(percent) == 1:
+        single = candidates.select(*base, F.explode("shared").alias("t"))
+        return single.select(F.col("t.key").alias("key"), *base, F.lit(False).alias("few"))
     rare = F.filter("shared", lambda t: t["count"] < frequent)
-    enough = F.size(rare) >= first
-    chosen = F.explode(F.when(enough, F.slice("shared", 1, first)).otherwise(rare)).alias("t")
-    single = candidates.select(*KEY_NAMES[1:], chosen).withColumn("key", F.col("t.key"))
-    mostly_frequent = candidates.filter(~enough).select("set")
-    combined = tokens.join(mostly_frequent, "set", "left_semi").mapInArrow(_combined, KEYS)
-    return single.select(*KEY_NAMES).unionByName(rarest_combinations(combined))
-
-
-def rarest_combinations(combined: DataFrame) -> DataFrame:
-    """Of the combinations of each set those it must meet a linked set in.
-
-    Counting on from ``index_keys``: with at least 2/3 t - 1 single steps among t - 1
-    gaps, at least t/3 - 2 times two of them follow each other, so linked sets of n
-    tokens or more than three quarters of that share n/4 - 2 combinations. One of
-    these is among the first of a set's shared ones, rarest first, when as many less
-    one are left out at the end. Combinations that many sets have for what they all
-    quote are left out this way. Sets small enough to have combinations of two keep
-    all."""
-    counts = combined.groupBy("key").agg(F.count(F.lit(1)).alias("count")).filter("count > 1")
-    own = combined.join(counts, "key").groupBy("set", "n", "common")
-    gathered = own.agg(F.array_sort(F.collect_list(F.struct("count", "key"))).alias("met"))
-    sure = F.when(F.col("n") > 12, F.greatest(F.lit(1), F.floor(F.col("n") / 4) - 2)).otherwise(1)
-    length = (F.size("met") - sure + 1).cast("int")
-    first = gathered.filter(length > 0).select(*KEY_NAMES[1:], F.explode(F.slice("met", F.lit(1), length)).alias("t"))
-    return first.withColumn("key", F.col("t.key")).select(*KEY_NAMES)
+    parted = candidates.select(*base, rare.alias("rare"), F.filter("shared", lambda t: t["count"] >= frequent).alias("often"))
+    few = F.size("often") <= FEW
+    rares = parted.select(F.explode("rare").alias("t"), *base, F.lit(False).alias("few"))
+    often = parted.filter(F.size("often") > 1)
+    singles = rares.unionByName(often.select(F.explode("often").alias("t"), *base, few.alias("few")))
+    firsts = often.filter(few).select(*base, "often", F.posexplode("often").alias("at", "t"))
+    behind = F.slice("often", F.col("at") + 2, F.size("often"))
+    pairs = firsts.select(*base, "t", F.explode(behind).alias("u"))
+    pairs = pairs.select(F.xxhash64("t.key", "u.key").alias("key"), *base, F.lit(False).alias("few"))
+    return singles.select(F.col("t.key").alias("key"), *base, "few").unionByName(pairs)
 
 
 def possible(percent: int, n: Column, common: Column, other_n: Column, other_common: Column) -> Column:
@@ -377,31 +339,51 @@ def _verifier(percent: int):
 def set_components(docs: DataFrame, described: DataFrame, percent: int, frequent: int) -> DataFrame:
     """``node``, ``root``: components of sets that link, for all but the roots.
 
-    First every set of a key is compared with the key's least set only; near copies
-    hang together then. What is left are keys whose sets are still apart, and only
-    pairs from different components of these are compared too."""
-    prefixes = Prefixes(percent)
-    found = staged(candidate_sets(docs.select("body"), percent))
+    In a few turns every set of a key is compared with one set of the key only, another
+    one each turn, unless both hang together already. Near copies hang together then.
+    What is left are keys whose sets are still apart, and only pairs from different
+    components of these, which can link by their sizes and marks, are compared too."""
+    total = described.agg(F.sum("n")).first()[0] or 0
+    found = staged(candidate_sets(docs.select("body"), percent, total))
     tokens = staged(_tokens_of(docs, described, found))
-    candidates = staged(shared_tokens(tokens, prefixes))
-    keys = index_keys(candidates, tokens, prefixes, frequent).distinct()
-    met = staged(_met(keys))
-    near = possible(percent, F.col("n"), F.col("common"), F.col("pivot.n"), F.col("pivot.common"))
-    stars = met.filter(near & (F.col("set") != F.col("pivot.set")))
-    stars = stars.select(F.col("pivot.set").alias("a"), F.col("set").alias("b")).distinct()
-    first = staged(linked(stars, tokens, percent))
-    roots = components(first)
+    met = staged(_met(index_keys(prefixes(tokens, percent), percent, frequent)))
+    edges = docs.sparkSession.createDataFrame([], "a long, b long")
+    roots = edges.toDF("node", "root")
+    for turn in range(TURNS):
+        apart = staged(_apart(met, roots))
+        stars = staged(_stars(apart, percent, turn))
+        if stars.isEmpty():
+            return roots
+        edges = roots.toDF("a", "b").unionByName(linked(stars, tokens, percent))
+        roots = components(edges)
     apart = staged(_apart(met, roots))
-    rest = linked(_crossed(apart, percent), tokens, percent)
-    joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest)
-    return components(joined)
+    rest = linked(_crossed(apart, tokens.select("set", "marks"), percent), tokens, percent)
+    return components(roots.toDF("a", "b").unionByName(rest))
 
 
 def _met(keys: DataFrame) -> DataFrame:
-    """Members of keys that more than one set has, with the least of these sets."""
-    least = F.min(F.struct("set", "n", "common")).alias("pivot")
-    ends = keys.groupBy("key").agg(least, F.max("set").alias("last"))
-    return keys.join(ends.filter("pivot.set < last").select("key", "pivot"), "key")
+    """Members of keys that more than one set has, unless all of them are ``few``."""
+    ends = keys.groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high"), F.min("few").alias("all_few"))
+    return keys.join(ends.filter("low < high AND NOT all_few").select("key"), "key", "left_semi")
+
+
+def _apart(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of keys whose sets lie in more than one component, with these."""
+    of_set = roots.select(F.col("node").alias("set"), "root")
+    rooted = met.join(of_set, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    return rooted.join(split.select("key"), "key", "left_semi")
+
+
+def _stars(apart: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs of a set and the pivot of one of its keys, in different components. The
+    first turn takes the least set of a key; later ones draw, and the keys of a group
+    draw a few different sets between them."""
+    draw = F.xxhash64("set", F.pmod("key", F.lit(PIVOTS)), F.lit(turn)) if turn else F.col("set")
+    pivot = F.min_by(F.struct("set", "n", "common", "root"), F.struct("few", draw)).alias("pivot")
+    near = possible(percent, F.col("n"), F.col("common"), F.col("pivot.n"), F.col("pivot.common"))
+    both = apart.join(apart.groupBy("key").agg(pivot), "key").filter((F.col("root") != F.col("pivot.root")) & near)
+    return both.select(F.least("set", "pivot.set").alias("a"), F.greatest("set", "pivot.set").alias("b")).distinct()
 
 
 def _tokens_of(docs: DataFrame, described: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -416,28 +398,28 @@ def _tokens_of(docs: DataFrame, described: DataFrame, candidates: DataFrame) ->
     few = chosen.count() <= BROADCAST_SETS
     own = docs["id"].eqNullSafe(chosen["id"]) & (docs["text_key"] == chosen["text_key"])
     texts = docs.join(F.broadcast(chosen) if few else chosen.hint("shuffle_hash"), own, "left_semi").select("body")
-    found = texts.mapInArrow(_with_tokens, "set long, n long, tokens binary")
+    found = texts.mapInArrow(_with_tokens, "set long, n long, tokens binary, marks array<long>")
     return found.dropDuplicates(["set"]).join(candidates, "set")
 
 
-def _apart(met: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of keys whose sets lie in more than one component."""
-    of_set = roots.select(F.col("node").alias("set"), "root")
-    rooted = met.join(of_set, "set", "left").withColumn("root", F.coalesce("root", "set"))
-    split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    return rooted.join(split.select("key"), "key", "left_semi")
-
-
-def _crossed(apart: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a key from different components that can link and have not been
-    compared yet."""
-    rest = apart.filter(F.col("set") != F.col("pivot.set")).select(*KEY_NAMES, "root")
-    x, y = (rest.select("key", *[F.col(c).alias(f"{c}_{side}") for c in rest.columns[1:]]) for side in "ab")
+def _crossed(apart: DataFrame, marked: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a key from different components that can link."""
+    rest = apart.join(marked, "set")
+    x, y = (rest.select("key", *[F.col(c).alias(f"{c}_{side}") for c in rest.columns if c != "key"]) for side in "ab")
     near = possible(percent, F.col("n_a"), F.col("common_a"), F.col("n_b"), F.col("common_b"))
-    pairs = x.join(y, "key").filter((F.col("root_a") != F.col("root_b")) & (F.col("set_a") < F.col("set_b")) & near)
+    other = (F.col("root_a") != F.col("root_b")) & (F.col("set_a") < F.col("set_b")) & ~(F.col("few_a") & F.col("few_b"))
+    pairs = x.join(y, "key").filter(other & near & alike(percent))
     return pairs.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct()
 
 
+def alike(percent: int) -> Column:
+    """Whether the marks of two sets leave room for a link: of the tokens of sets that
+    link at most (100 - percent) of (100 + percent) are in one of them only, and the
+    marks differ in no more bits than that."""
+    apart = [F.bit_count(F.col("marks_a")[i].bitwiseXOR(F.col("marks_b")[i])) for i in range(MARKS)]
+    return (100 + percent) * sum(apart[1:], apart[0]) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+
+
 def cluster(
     docs: DataFrame,
     percent: int = PERCENT,
@@ -456,9 +438,8 @@ def cluster(
     bits each. Sets are told apart by 64-bit fingerprints (a false copy is to be
     expected from about four billion different sets on).
 
-    Extended prefixes need sets that link to share a fifth of their tokens, so a
-    ``percent`` below 20 is an error. Below 75 frequent tokens are keys themselves, which
-    takes more comparisons than the combinations used from 75 on.
+    A ``percent`` below 20 is an error. Up to 50 sets that link may share a single token,
+    and frequent tokens are keys themselves, which takes more comparisons.
 
     Null, empty and blank texts have size 0 and are a component each; with fewer
     than five words the whole text is the one shingle. Null ids are ignored in the
