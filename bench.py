@@ -61,7 +61,7 @@ def storage(spark, folder: str) -> tuple[dict[str, float], dict[str, float]]:
     def scan():
         return raw.with_file_columns(raw.scan(spark, spt, "*/*/*/*/*/*/*.spt/*.csv").drop(FAILED))
 
-    seconds = {"scan_raw": best(lambda: consume(scan()))}
+    seconds = {"scan_raw_file": best(lambda: consume(scan()))}
     # The file is a folder of parts, so its path says less than a raw file's does.
     scanned = scan().withColumns({"month": F.lit("202401"), "market": F.lit(4)}).persist()
     rows = scanned.count()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.operators import bars, userfuncs
-from tickloom.plans import rewriting, sessions
+from tickloom.plans import counting, rewriting, sessions
 from tickloom.plans.queries import _stored, _stored_splits
 from tickloom.schema import BAR, CATALOG
 from tickloom.session import staged
@@ -176,3 +176,62 @@ def test_bars_share_few_files(spark, tmp_path):
     one = stores.bars_of(spark, folder, "CL2401", "1H")
     assert one.count() == made.filter("InstrumentID = 'CL2401' AND level = '1H'").count() > 0
     assert scanned(one, folder)[0][0] == 1
+
+
+# --- count tables ---------------------------------------------------------------
+
+
+def counts(spark, folder):
+    return {name: {tuple(r) for r in counting.read_counts(spark, folder, name).collect()} for name in counting.TABLES}
+
+
+def recounted(rows):
+    out = {}
+    for name, keys in counting.TABLES.items():
+        counted = rows if name not in counting.NAMED else rows.filter(F.coalesce(F.col(name), F.lit("")) != "")
+        out[name] = {tuple(r) for r in counted.groupBy(*keys).count().collect()}
+    return out
+
+
+def test_counts_by_changes_equal_a_recount(spark, tmp_path):
+    folder = str(tmp_path / "counts")
+    rows = staged(tables.annotations(spark, SF).withColumn("source", F.when(F.col("dataset") != 3, F.col("source"))))
+    few, more = rows.filter("dataset < 4"), rows.filter("dataset >= 2")
+    counting.count_changes(spark, folder, "a", few)
+    assert counts(spark, folder) == recounted(few)
+    counting.count_changes(spark, folder, "b", more, few)
+    assert counts(spark, folder) == recounted(more)
+    counting.count_changes(spark, folder, "c", removed=more)
+    assert counts(spark, folder) == {name: set() for name in counting.TABLES}
+    counting.count_changes(spark, folder, "d", few)
+    counting.count_changes(spark, folder, "d", few)
+    assert counts(spark, folder) == recounted(few)
+
+
+def test_a_broken_change_is_completed(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "counts")
+    rows = staged(tables.annotations(spark, SF))
+    write, left = stores.write_partitions, [2]
+
+    def breaks(df, *args, **kwargs):
+        left[0] -= 1
+        if left[0] < 0:
+            raise OSError("lost")
+        write(df.filter("bucket < '5'") if left[0] == 0 else df, *args, **kwargs)
+
+    monkeypatch.setattr(stores, "write_partitions", breaks)
+    with pytest.raises(OSError, match="lost"):
+        counting.count_changes(spark, folder, "a", rows)
+    monkeypatch.setattr(stores, "write_partitions", write)
+    counting.count_changes(spark, folder, "a", rows)
+    assert counts(spark, folder) == recounted(rows)
+
+
+def test_rows_that_were_never_there_are_not_taken_away(spark, tmp_path):
+    folder = str(tmp_path / "counts")
+    rows = staged(tables.annotations(spark, SF))
+    counting.count_changes(spark, folder, "a", rows.limit(10))
+    before = counts(spark, folder)
+    with pytest.raises(ValueError, match="taken away"):
+        counting.count_changes(spark, folder, "b", removed=rows)
+    assert counts(spark, folder)["source"] == before["source"]

@@ -321,6 +321,15 @@ ORACLES: dict[str, str] = {
     + _bars_select("1d")
     + ")",
     "load_kline": CAT_TIMED + _bars_select("1H"),
+    "count_deltas": CAT_NOTED
+    + """SELECT CASE WHEN grouping(subsource) = 0 AND grouping(category) = 0 THEN 'src_cat_stat'
+        WHEN grouping(subsource) = 0 THEN 'src_stat' WHEN grouping(subcategory) = 0 THEN 'cat_stat'
+        WHEN grouping(source) = 0 THEN 'source' ELSE 'category' END AS name,
+      source, subsource, category, subcategory, input_tag, count(*) AS count
+    FROM annotations WHERE dataset <> 0
+    GROUP BY GROUPING SETS ((source), (category), (source, subsource), (category, subcategory, input_tag),
+      (source, subsource, category, subcategory, input_tag))
+    HAVING NOT (name = 'source' AND coalesce(source, '') = '') AND NOT (name = 'category' AND coalesce(category, '') = '')""",
     "bar_store": CAT_TIMED
     + "SELECT InstrumentID, level, TradingTime, CASE WHEN level = '1H' THEN close ELSE 0.0::DOUBLE END AS close FROM ("
     + _bars_select("1H")

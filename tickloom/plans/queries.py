@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from tickloom.functions import ids, times
 from tickloom.operators import backtest, bars, catalog, filters, projections, quality, sampling, stats, userfuncs
-from tickloom.plans import importing, klines, rewriting, sessions
+from tickloom.plans import counting, importing, klines, rewriting, sessions
 from tickloom.schema import CATALOG, CLEAN_TICK, LEVELS, RAW_TICK, RAW_TICK_LEGACY
 from tickloom.session import move_only_file, shared_folder, staged
 from tickloom.sources import raw, shared_tables as tables, stores
@@ -824,6 +824,23 @@ def related_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return stats.concat([df.withColumn("tab", F.lit(name)) for name, df in new.items()])
 
 
+@query
+def count_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    """Count tables stored, then changed by rows that come and go, one change run twice."""
+    rows, folder = staged(tables.annotations(spark, sf)), scratch_folder(spark, "counts")
+    counting.count_changes(spark, folder, "first", rows.filter("dataset < 6"))
+    later, gone = rows.filter("dataset >= 4"), rows.filter("dataset IN (0, 4, 5)")
+    for _ in range(2):
+        counting.count_changes(spark, folder, "second", later, gone)
+    counts = [
+        counting.read_counts(spark, folder, name).select(
+            F.lit(name).alias("name"), *[F.col(k) if k in keys else F.lit(None).cast("string").alias(k) for k in stats.SRC_CAT], "count"
+        )
+        for name, keys in counting.TABLES.items()
+    ]
+    return stats.concat(counts)
+
+
 @query
 def append_fake_stats(spark: SparkSession, sf: str) -> DataFrame:
     rows = tables.annotations(spark, sf)

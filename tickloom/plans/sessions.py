@@ -45,16 +45,19 @@ def labelled_ticks(
     strict: bool = True,
     max_repeats: int = MAX_REPEATS,
     keys: list[str] = ["path"],
+    verdicts: DataFrame | None = None,
 ) -> DataFrame:
     """Ticks ready to split: parts of a second rounded, the first tick of each
     instant, sessions from the clock. ``strict`` leaves out the files that cannot
-    be split; otherwise only their ticks without a session.
+    be split, by their ``verdicts`` if these are known; otherwise only their ticks
+    without a session.
 
     Keeping one tick an instant takes care of copies, which need removing only
     to judge a file by its repeats."""
     usable = ticks
     if strict:
-        verdicts = split_verdicts(quality.dedupe_rows(ticks), max_repeats, keys)
+        if verdicts is None:
+            verdicts = split_verdicts(quality.dedupe_rows(ticks), max_repeats, keys)
         usable = quality.passing(ticks, verdicts, keys)
     once = quality.dedupe_time(_rounded(usable), keys)
     known, _ = quality.set_aside(
@@ -119,7 +122,7 @@ def split_files(
     files = stores.read_or_empty(spark, catalog_folder, CATALOG)
     verdicts = listed(split_verdicts(quality.dedupe_rows(ticks), max_repeats))
     own = files.join(verdicts.select("path"), "path", "left_semi")
-    labelled = labelled_ticks(ticks, True, max_repeats).withColumn("file_day", F.col("day"))
+    labelled = labelled_ticks(ticks, True, max_repeats, verdicts=verdicts).withColumn("file_day", F.col("day"))
     with scratch(labelled) as usable, scratch(own) as judged:
         found = split_rows(usable, judged, min_rows).select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in STORED_SPLIT]
