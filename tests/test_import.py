@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from tests import ticks as made
 from tests.ticks import MORNING
-from tickloom.functions import ids
-from tickloom.operators import catalog, quality
+from tickloom.functions import ids, times
+from tickloom.operators import bars, catalog, quality
 from tickloom.plans import importing, sessions
 from tickloom.schema import CATALOG, CLEAN_TICK, RAW_TICK
 from tickloom.sources import raw, stores
 from tickloom.streaming.incremental import import_arrivals
+from tickloom.streaming.live_bars import import_bars
 
 
 @pytest.fixture
@@ -285,3 +286,40 @@ def test_split_job(spark, root, tmp_path):
     assert spark.read.parquet(slices).count() == 230
     left = {r.InstrumentID: (r.tags, r.doc_num) for r in spark.read.schema(CATALOG).parquet(files).collect()}
     assert left["AG1906"] == ([], 0) and left["AL1906"] == (["splited"], 1)
+
+
+def test_late_ticks_change_bars_within_the_watermark(spark, root, tmp_path):
+    folders = str(tmp_path / "bars"), str(tmp_path / "progress")
+
+    def arrive(day, *lines):
+        made.write(root, list(lines), day=day)
+        import_bars(spark, str(root), *folders, "15min", delay="1 hour")
+        stored = stores.read_bars(spark, folders[0]).orderBy("TradingTime").collect()
+        return {(r.TradingTime - timedelta(hours=6)).strftime("%H:%M"): (r.open, r.close, r.high, r.TotalVolume) for r in stored}
+
+    def at(hour, minute, price, second=0):
+        return made.line(datetime(2019, 3, 26, hour, minute, second), price=price, volume=2)
+
+    first = arrive("20190326", at(9, 1, 100.0), at(9, 5, 101.0), at(9, 20, 102.0))
+    assert first == {"09:00": (100.0, 101.0, 101.0, 4.0), "09:15": (102.0, 102.0, 102.0, 2.0)}
+    late = arrive("20190327", at(9, 40, 99.0), at(9, 0, 98.0), at(9, 7, 105.0))
+    assert late["09:00"] == (98.0, 105.0, 105.0, 8.0) and late["09:30"] == (99.0, 99.0, 99.0, 2.0)
+    assert late["09:15"] == first["09:15"]
+    moved = arrive("20190328", at(11, 0, 97.0))
+    assert moved["11:00"] == (97.0, 97.0, 97.0, 2.0) and moved["09:00"] == late["09:00"]
+    beyond = arrive("20190329", at(9, 2, 1.0), at(10, 50, 96.0), at(10, 1, 95.0))
+    assert beyond["09:00"] == late["09:00"]
+    assert beyond["10:45"] == (96.0, 96.0, 96.0, 2.0) and beyond["10:00"] == (95.0, 95.0, 95.0, 2.0)
+
+
+def test_streamed_bars_equal_batch_bars(spark, root, tmp_path):
+    for i, name in enumerate(("AG1906", "CU1906", "ZN1906")):
+        made.write(root, made.every_half_second(4000, instrument=name, start=made.MORNING + timedelta(minutes=7 * i)), name)
+    folders = str(tmp_path / "bars"), str(tmp_path / "progress")
+    import_bars(spark, str(root), *folders, "5min", files_per_batch=1)
+    ticks = raw.scan(spark, str(root)).withColumn("TradingTime", times.bar_time(F.col("UpdateTime")))
+    batch = bars.bars(ticks, "5min")
+    stored = stores.read_bars(spark, folders[0])
+    exact = [c for c in batch.columns if c not in ("volume_std", "Turnover_new")]
+    assert stored.count() == batch.count() > 15
+    assert stored.select(exact).exceptAll(batch.select(exact)).isEmpty()

@@ -656,3 +656,23 @@ def test_row_function_hooks(spark, tmp_path):
     assert seen == 500
     assert len(started.read_text()) == 2 and len(batches.read_text()) >= 5
     assert (tmp_path / "once").read_text() == "x" and (tmp_path / "page1").exists()
+
+
+@pytest.mark.parametrize("level", [1.0, 1e3, 1e9])
+def test_spread_of_large_volumes(spark, level):
+    """The spread of a day's volumes of any size, rolled up from its minutes."""
+    n = F.col("id")
+    ticks = spark.range(5000).select(
+        F.when(n % 3 == 0, F.lit("AG2401")).otherwise(F.lit("CU2401")).alias("InstrumentID"),
+        F.lit(4).alias("MarketID"),
+        F.timestamp_micros(1_704_067_200_000_000 + n * 7_000_000).cast("timestamp_ntz").alias("TradingTime"),
+        n.alias("seq"),
+        (F.lit(level) + F.pmod(F.hash("id"), F.lit(1000)) / 8).alias("LastVolume"),
+        *[F.lit(1.0).alias(c) for c in ("LastPrice", "AvePrice", "HighestPrice", "LowestPrice", "OpenPrice", "Turnover")],
+        F.lit(1).cast("long").alias("OpenInterest"),
+    )
+    frame = ticks.toPandas()
+    for r in bars.bars_at_levels(ticks, ["15min", "1H", "1d"], seq_bound=5000).collect():
+        width = pd.Timedelta({"15min": "15min", "1H": "1h", "1d": "1D"}[r.level])
+        own = frame[(frame.InstrumentID == r.InstrumentID) & (frame.TradingTime.dt.floor(width) == r.TradingTime)]
+        assert r.volume_std == pytest.approx((own.LastVolume - level).std(), rel=1e-9)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions import ids, times
 from tickloom.schema import BAR, LEVELS, MULTIPLIER
+from tickloom.session import listed, staged
 
 GROUP = ["InstrumentID", "MarketID"]
 
@@ -57,33 +58,40 @@ def bar_states(
 ) -> DataFrame:
     """One mergeable state per contract and bin of ``level``."""
     width = _width(level)
-    price, volume = F.col("LastPrice"), F.col("LastVolume")
-    key = F.col("_order")
     at = times.micros(F.col(time))
     binned = ticks.filter(F.col(time).isNotNull()).withColumn("bin", times.bin_start(at, width))
-    return (
-        binned.withColumn("_order", tick_order(at, F.col("seq"), F.col("bin"), width, seq_bound))
-        .groupBy(*GROUP, "bin")
-        .agg(
-            _first(price, key).alias("open"),
-            F.max(price).alias("high"),
-            F.min(price).alias("low"),
-            _last(price, key).alias("close"),
-            F.count(volume).alias("volumes"),
-            F.coalesce(F.sum(volume), F.lit(0.0)).alias("volume"),
-            F.coalesce(F.var_pop(volume) * F.count(volume), F.lit(0.0)).alias("spread"),
-            F.coalesce(F.sum(price * volume * F.lit(float(multiplier))), F.lit(0.0)).alias("Turnover_new"),
-            F.count("Turnover").alias("tick_num"),
-            *[_first(F.col(c), key).alias(c) for c in FIRST],
-            *[_last(F.col(c), key).alias(c) for c in LAST],
-        )
-    )
+    ordered = binned.withColumn("_order", tick_order(at, F.col("seq"), F.col("bin"), width, seq_bound))
+    return ordered.groupBy(*GROUP, "bin").agg(*state_columns(F.col("_order"), multiplier))
+
+
+def state_columns(key: Column, multiplier: float = MULTIPLIER) -> list[Column]:
+    """Aggregates of the ticks of a bin that make up its state; ``key`` orders them."""
+    price, volume = F.col("LastPrice"), F.col("LastVolume")
+    return [
+        _first(price, key).alias("open"),
+        F.max(price).alias("high"),
+        F.min(price).alias("low"),
+        _last(price, key).alias("close"),
+        F.count(volume).alias("volumes"),
+        F.coalesce(F.sum(volume), F.lit(0.0)).alias("volume"),
+        F.coalesce(F.var_pop(volume) * F.count(volume), F.lit(0.0)).alias("spread"),
+        F.coalesce(F.sum(price * volume * F.lit(float(multiplier))), F.lit(0.0)).alias("Turnover_new"),
+        F.count("Turnover").alias("tick_num"),
+        *[_first(F.col(c), key).alias(c) for c in FIRST],
+        *[_last(F.col(c), key).alias(c) for c in LAST],
+    ]
 
 
 def roll_up(states: DataFrame, levels: list[str]) -> DataFrame:
-    """States of several coarser levels, all in one shuffle, with their level."""
+    """States of several coarser levels, all in one shuffle, with their level.
+
+    Sums of volumes are taken from the contract's mean volume on, so that the squares
+    that make up the spread between states do not drown it."""
     key = F.col("bin")
-    volumes, volume = F.col("volumes"), F.col("volume")
+    volumes = F.col("volumes")
+    middle = listed(states.groupBy(*GROUP).agg(F.try_divide(F.sum("volume"), F.sum(volumes)).alias("_middle")))
+    off = F.col("volume") - F.coalesce(volumes * F.col("_middle"), F.lit(0.0))
+    states = states.join(middle, GROUP, "left").withColumn("_off", off).drop("_middle")
     level = F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.lit(_width(n)).alias("width")) for n in levels]))
     wide = states.select("*", level.alias("_l")).select(
         *GROUP,
@@ -91,14 +99,15 @@ def roll_up(states: DataFrame, levels: list[str]) -> DataFrame:
         (key - F.pmod(key, F.col("_l.width"))).alias("start"),
         *[c for c in states.columns if c not in GROUP],
     )
-    mean_square = F.when(volumes > 0, volume * volume / volumes)
+    mean_square = F.when(volumes > 0, F.col("_off") * F.col("_off") / volumes)
     merged = wide.groupBy(*GROUP, "level", "start").agg(
         _first(F.col("open"), key).alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
         _last(F.col("close"), key).alias("close"),
         F.sum(volumes).alias("volumes"),
-        F.sum(volume).alias("volume"),
+        F.sum("volume").alias("volume"),
+        F.sum("_off").alias("_off"),
         F.sum("spread").alias("_within"),
         F.coalesce(F.sum(mean_square), F.lit(0.0)).alias("_means"),
         F.sum("Turnover_new").alias("Turnover_new"),
@@ -106,11 +115,11 @@ def roll_up(states: DataFrame, levels: list[str]) -> DataFrame:
         *[_first(F.col(c), key).alias(c) for c in FIRST],
         *[_last(F.col(c), key).alias(c) for c in LAST],
     )
-    between = F.col("_means") - F.when(volumes > 0, volume * volume / volumes).otherwise(0.0)
+    between = F.col("_means") - F.coalesce(mean_square, F.lit(0.0))
     return (
         merged.withColumn("spread", F.col("_within") + F.greatest(between, F.lit(0.0)))
         .withColumnRenamed("start", "bin")
-        .drop("_within", "_means")
+        .drop("_within", "_means", "_off")
     )
 
 
@@ -158,7 +167,7 @@ def bars_at_levels(
     multiplier: float = MULTIPLIER,
 ) -> DataFrame:
     """Bars of many levels from one scan of the ticks."""
-    states = bar_states(ticks, "1min", time, seq_bound, multiplier)
+    states = staged(bar_states(ticks, "1min", time, seq_bound, multiplier))
     return finished(roll_up(states, levels or list(LEVELS)))
 
 

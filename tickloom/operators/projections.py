@@ -44,16 +44,26 @@ def catalog_days(files: DataFrame) -> DataFrame:
     return files.drop(*CATALOG_BOOKKEEPING)
 
 
-def for_bars(ticks: DataFrame, instruments: list[str] | None = None, min_rows: int = 2) -> DataFrame:
+def contract_facts(ticks: DataFrame, instruments: list[str] | None = None) -> DataFrame:
+    """Rows and spread of the open interest of each contract, a short list."""
+    own = ticks if instruments is None else ticks.filter(F.col("InstrumentID").isin(*instruments))
+    facts = [F.count(F.lit(1)).alias("rows"), F.stddev_samp("OpenInterest").alias("oi_std")]
+    return listed(own.groupBy("InstrumentID").agg(*facts))
+
+
+def for_bars(
+    ticks: DataFrame, instruments: list[str] | None = None, min_rows: int = 2, facts: DataFrame | None = None
+) -> DataFrame:
     """What a bar computation reads of the contracts, with the time bars are cut
-    by. Contracts with fewer than ``min_rows`` ticks are left out."""
+    by. Contracts with fewer than ``min_rows`` ticks are left out; ``facts`` are the
+    contracts' (see ``contract_facts``) if they are known."""
     own = ticks if instruments is None else ticks.filter(F.col("InstrumentID").isin(*instruments))
-    sizes = own.groupBy("InstrumentID").agg(F.count(F.lit(1)).alias("n"))
-    few = listed(sizes.filter(F.col("n") < min_rows).select("InstrumentID"))
+    known = contract_facts(ticks, instruments) if facts is None else facts
+    few = known.filter(F.col("rows") < min_rows).select("InstrumentID")
     chosen = own.select("InstrumentID", "MarketID", *BAR_INPUT, "seq")
-    return chosen.join(few, "InstrumentID", "left_anti").withColumn(
-        "TradingTime", times.bar_time(F.col("UpdateTime"))
-    )
+    if not few.isEmpty():
+        chosen = chosen.join(few, "InstrumentID", "left_anti")
+    return chosen.withColumn("TradingTime", times.bar_time(F.col("UpdateTime")))
 
 
 def without_level(bars: DataFrame) -> DataFrame:

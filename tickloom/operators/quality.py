@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 from tickloom.functions import times
 from tickloom.operators import ordered
 from tickloom.operators.filters import has_volume, in_dates
+from tickloom.operators.projections import contract_facts
 from tickloom.schema import (
     MAX_DATE,
     MAX_REPEATS,
@@ -169,31 +170,29 @@ def repair_open_interest(
     std_limit: float = OPEN_INTEREST_STD,
     time: str = "UpdateTime",
     max_group_rows: int = ordered.MAX_GROUP_ROWS,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """Where the open interest of a contract spreads beyond the limit, values
     above twice the spread take the last value before them.
 
     Only contracts beyond the limit enter the ordered pass; their list, one row
-    each, is written down first."""
+    each, comes from the contracts' ``facts`` or is found first. Ticks of the others are
+    read apart only if there are any."""
     key = ["InstrumentID"]
     value = F.col("OpenInterest")
-    spread = listed(
-        ticks.groupBy(*key)
-        .agg(F.stddev_samp(value).alias("_std"), F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_std") > std_limit)
-    )
-    extent = spread.agg(F.max("_rows")).first()[0]
+    known = contract_facts(ticks) if facts is None else facts
+    beyond = F.coalesce(F.col("oi_std") > std_limit, F.lit(False)) & F.col("InstrumentID").isNotNull()
+    extent, others = known.agg(F.max(F.when(beyond, F.col("rows"))), F.count_if(~beyond)).first()
     if extent is None:
         return ticks
+    spread = known.filter(beyond).select(*key, F.col("oi_std").alias("_std"))
     wild = ticks.join(spread, key)
-    calm = ticks.join(spread, key, "left_anti")
     seen = F.when(value > 2 * F.col("_std"), F.lit(None)).otherwise(value)
     mended = ordered.running(
         wild, key, [time, "seq"], {"_filled": ("last", seen)}, max_group_rows, extent
     )
-    return calm.unionByName(
-        mended.withColumn("OpenInterest", F.col("_filled")).select(*ticks.columns)
-    )
+    mended = mended.withColumn("OpenInterest", F.col("_filled")).select(*ticks.columns)
+    return ticks.join(spread, key, "left_anti").unionByName(mended) if others else mended
 
 
 def describe(ticks: DataFrame, columns: list[str], key: str = "InstrumentID") -> DataFrame:

@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.operators import bars, quality
-from tickloom.operators.projections import for_bars
+from tickloom.operators.projections import contract_facts, for_bars
 from tickloom.schema import LEVELS, OPEN_INTEREST_STD
 from tickloom.session import scratch
 from tickloom.sources import stores
 
+MIN_TICKS = 2
+
 
 def bar_input(
     ticks: DataFrame, instruments: list[str] | None = None, std_limit: float = OPEN_INTEREST_STD
 ) -> DataFrame:
-    """Ticks as bars are computed from: projected, timed, open interest mended."""
-    return quality.repair_open_interest(for_bars(ticks, instruments), std_limit, "TradingTime")
+    """Ticks as bars are computed from: projected, timed, open interest mended. What has
+    to be known of the contracts before comes from one aggregate."""
+    facts = contract_facts(ticks, instruments)
+    enough = facts.filter(F.col("rows") >= MIN_TICKS)
+    chosen = for_bars(ticks, instruments, MIN_TICKS, facts)
+    return quality.repair_open_interest(chosen, std_limit, "TradingTime", facts=enough)
 
 
 def refresh_bars(

@@ -66,25 +66,27 @@ def shaped(lines: DataFrame, layout: T.StructType, bad_rows: str = "skip") -> Da
     Short lines keep what they have. Long lines are dropped, or fail their file
     with ``bad_rows="fail_file"``; so do times that do not parse, which otherwise
     become null."""
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return typed(lines, layout, bad_rows).withColumn("seq", F.col("_block") + row).select(
+        *layout.names, "path", "seq", FAILED
+    )
+
+
+def typed(lines: DataFrame, layout: T.StructType, bad_rows: str = "skip") -> DataFrame:
+    """Ticks of lines with all that ``with_origin`` adds, without positions."""
     if bad_rows not in ("skip", "fail_file"):
         raise ValueError(f"unknown bad_rows: {bad_rows}")
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     # The reader wants a data column used beside the bad line: the first stands in.
     line = F.coalesce(_BAD, layout.names[0])
     fields = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit(""))) + 1
     too_long = F.coalesce(fields > len(layout), F.lit(False))
-    numbered = lines.withColumn("seq", F.col("_block") + row).withColumn("_long", too_long)
     t = F.col("UpdateTime").try_cast("timestamp_ntz")
     if bad_rows == "skip":
-        numbered = numbered.filter(~F.col("_long"))
+        lines = lines.filter(~too_long)
         failed = F.lit(False)
     else:
-        failed = F.col("_long") | (t.isNull() & F.col("UpdateTime").isNotNull())
-    return (
-        numbered.withColumn(FAILED, failed)
-        .withColumn("UpdateTime", t)
-        .select(*layout.names, "path", "seq", FAILED)
-    )
+        failed = too_long | (t.isNull() & F.col("UpdateTime").isNotNull())
+    return lines.withColumn(FAILED, failed).withColumn("UpdateTime", t)
 
 
 def scan(

@@ -230,6 +230,12 @@ def write_bars(bars: DataFrame, folder: str, instruments: list[str] = (), levels
     replace_rows(rows, folder, BAR_PARTITIONS, BAR_KEYS, ["InstrumentID", "TradingTime"], gone)
 
 
+def merge_bars(bars: DataFrame, folder: str) -> None:
+    """Put bars in place of those of the same contract, level and time; all others stay."""
+    rows = bars.select(*BAR.names).withColumn("bucket", _bar_bucket(F.col("InstrumentID")))
+    replace_rows(rows, folder, BAR_PARTITIONS, [*BAR_KEYS, "TradingTime"], ["InstrumentID", "TradingTime"])
+
+
 def read_bars(spark: SparkSession, folder: str) -> DataFrame:
     return read_or_empty(spark, folder, _STORED_BAR).select(*BAR.names)
 
