@@ -17,8 +17,13 @@ from tickloom.llm.placing import packed, unpacked
 SAMPLE = 1500
 EDGES = 15
 STEPS = 200
+ROUND = 20
+HALVINGS = 14
+AGREED = 0.9
 RATE = 0.05
 SHRINK = 1e-3
+TIES = ("before", "after", "step")
+TIE_SHRINK = 5e-2
 THRESHOLD = 0.7
 SLICE = 4 << 20
 OUTPUTS = ["score", "n_lines", "predicted"]
@@ -174,43 +179,88 @@ def cut_points(measure: np.ndarray) -> np.ndarray:
     return np.unique(np.quantile(values, np.linspace(0, 1, EDGES + 2)[1:-1]))
 
 
+def line_weights(lines: Lines) -> tuple[np.ndarray, np.ndarray]:
+    """The text of each line, and its share of the text by length."""
+    text = np.repeat(np.arange(len(lines.counts)), lines.counts)
+    weight = lines.length + 1.0
+    return text, weight / np.bincount(text, weight, len(lines.counts))[text]
+
+
+def clamped(e: np.ndarray, lines: Lines, step: np.ndarray, labels: np.ndarray):
+    """What ``marginals`` returns once every text agrees with its label: the labellings
+    of its lines are weighed anew, as little as possible, until good lines make up at
+    least ``AGREED`` of a good text's length, or bad ones of a bad text's. That adds the
+    same multiple of a line's share to the evidence of all lines of a text; the multiple
+    is found by bisection."""
+    text, share = line_weights(lines)
+    sign = np.where(labels == 1, 1.0, -1.0)
+    low, high = np.zeros(len(labels)), 50.0 * lines.counts
+    pull = np.zeros(len(labels))
+    for _ in range(HALVINGS):
+        good, _, _ = marginals(e + (sign * pull)[text] * share, lines.counts, step)
+        agreed = np.bincount(text, share * np.where(sign[text] > 0, good, 1 - good), len(labels)) >= AGREED
+        low, high = np.where(agreed, low, pull), np.where(agreed, pull, high)
+        pull = (low + high) / 2
+        pull[high == 0] = 0
+    return marginals(e + (sign * high)[text] * share, lines.counts, step)
+
+
 def train(texts: list[str], labels: np.ndarray, share_good: float) -> Model:
-    """Maximum likelihood of the texts' labels as labels of all their lines. Every
-    text of a label counts the same; ``share_good`` is what the good ones count."""
+    """Maximum likelihood of the texts' labels with the labels of their lines hidden.
+    Every text of a label counts the same; ``share_good`` is what the good ones count.
+
+    The first half takes a text's label for all its lines and learns from the lines
+    alone. After that the labellings that agree with the text's label are weighed
+    (``clamped``) every few steps and learnt from, together with the neighbours and the
+    steps between labels, so a good text may have bad lines. What ties lines together is
+    held small: where all lines of a text look alike, stronger ties would explain its
+    label as well, and no line could differ from its text."""
     lines = lines_of(pa.array(texts, pa.string()))
     edges = [cut_points(m) for m in lines.measures]
     binned = bins(edges, lines.measures)
     weights = initial(len(edges))
-    text = np.repeat(np.arange(len(texts)), lines.counts)
+    text, _ = line_weights(lines)
     number = {0: max(1, int((labels == 0).sum())), 1: max(1, int((labels == 1).sum()))}
     part = np.where(labels == 1, share_good / number[1], (1 - share_good) / number[0])
     share = part[text] / lines.counts[text]
-    target = labels[text]
     before, after = neighbours(lines.counts)
+    later = np.flatnonzero(before)
+    target = labels[text]
+    seen = np.zeros((2, 2, len(later)))
+    seen[target[later - 1].astype(int), target[later].astype(int), np.arange(len(later))] = 1
     adam = gru.Adam(weights, RATE)
-    for _ in range(STEPS):
-        good, later, joint = marginals(evidence(weights, binned, lines.counts), lines.counts, weights["step"])
+    for turn in range(STEPS):
+        e = evidence(weights, binned, lines.counts)
+        if turn >= STEPS // 2 and turn % ROUND == 0:
+            target, _, seen = clamped(e, lines, weights["step"], labels)
+        good, _, joint = marginals(e, lines.counts, weights["step"])
         miss = (good - target) * share
         slopes = {"shift": np.array([miss.sum()])}
         for name, shift, has in (("own", 0, None), ("before", -1, before), ("after", 1, after)):
             moved = miss if has is None else np.roll(np.where(has, miss, 0), shift)
             slopes[name] = np.stack([np.bincount(b, moved, EDGES + 1) for b in binned])
-        seen = np.zeros((2, 2, len(later)))
-        seen[target[later - 1].astype(int), target[later].astype(int), np.arange(len(later))] = 1
         slopes["step"] = ((joint - seen) * share[later]).sum(2)
-        adam.update({k: g + SHRINK * weights[k] for k, g in slopes.items()})
+        if turn < STEPS // 2:
+            slopes |= {k: np.zeros_like(weights[k]) for k in TIES}
+        adam.update({k: g + (TIE_SHRINK if k in TIES else SHRINK) * weights[k] for k, g in slopes.items()})
     return Model(edges, weights)
 
 
+def line_labels(model: Model, texts: pa.Array) -> list[np.ndarray]:
+    """The probability of good of each line of each text."""
+    lines = lines_of(texts)
+    e = evidence(model.weights, bins(model.edges, lines.measures), lines.counts)
+    good, _, _ = marginals(e, lines.counts, model.weights["step"])
+    return np.split(good, np.cumsum(lines.counts)[:-1])
+
+
 def score_texts(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Share of good in each text, lines weighing by their length, and their number."""
     lines = lines_of(texts)
     e = evidence(model.weights, bins(model.edges, lines.measures), lines.counts)
     good, _, _ = marginals(e, lines.counts, model.weights["step"])
-    text = np.repeat(np.arange(len(texts)), lines.counts)
-    weight = lines.length + 1.0
-    total = np.bincount(text, weight * good, len(texts)) / np.bincount(text, weight, len(texts))
-    return np.clip(total, 0, 1), lines.counts
+    text, share = line_weights(lines)
+    return np.clip(np.bincount(text, share * good, len(texts)), 0, 1), lines.counts
 
 
 def fit(
