@@ -2,9 +2,10 @@
 
 A lane codes one block with tables of its own that start empty. For every id two
 predictors look up what followed the last two ids (order 2) and the last id (order
-1); hits are coded as yes or no with adaptive odds, mixed from what each order's
-confidence has been worth so far. An id that both miss is looked for in a table of
-ids seen in the block (order 0), and else coded as it is. Whole numbers throughout,
+1); hits are coded as yes or no with odds that adapt, taken from two records in fixed
+parts of 3 and 1. An id that both miss is looked for in a table of ids seen in the block
+(order 0), whose places all have the same odds, and else coded as it is, all ids of the
+vocabulary alike. Whole numbers throughout,
 so coder and decoder agree on any machine."""
 
 from __future__ import annotations
