@@ -323,3 +323,18 @@ def test_streamed_bars_equal_batch_bars(spark, root, tmp_path):
     exact = [c for c in batch.columns if c not in ("volume_std", "Turnover_new")]
     assert stored.count() == batch.count() > 15
     assert stored.select(exact).exceptAll(batch.select(exact)).isEmpty()
+
+
+def test_import_of_some_months(spark, root, tmp_path):
+    for day in ("20190328", "20190401", "20190530", "20190603", "20200102"):
+        start = datetime.strptime(day + "0900", "%Y%m%d%H%M")
+        made.write(root, made.every_half_second(220, start=start), day=day)
+    folders = str(tmp_path / "ticks"), str(tmp_path / "files")
+    pattern = raw.months_glob("201904", "201905")
+    assert pattern == "*/*/*/*/*/{201904,201905}/*.spt"
+    assert {r.day for r in raw.list_files(spark, str(root), pattern).collect()} == {"20190401", "20190530"}
+    importing.import_files(spark, str(root), *folders, pattern=pattern)
+    files = importing.import_files(spark, str(root), *folders, pattern=raw.months_glob("201912", "202002"))
+    assert {r.day for r in files.collect()} == {"20190401", "20190530", "20200102"}
+    with pytest.raises(ValueError, match="is after"):
+        raw.months_glob("202001", "201912")

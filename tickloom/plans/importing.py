@@ -102,7 +102,8 @@ def import_files(
     """Import the matching files that are not stored yet, or with ``force`` all;
     returns the catalog.
 
-    Narrow ``pattern`` to a year, market or product to narrow what is read. Ticks
+    Narrow ``pattern`` to a year, market, product or some months (``raw.months_glob``) to
+    narrow what is listed and read; files outside it stay as they are. Ticks
     are stored before their files are registered; what a broken run has stored
     without registering is deleted by the next."""
     files = stores.read_or_empty(spark, catalog_folder, CATALOG)

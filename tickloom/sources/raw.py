@@ -20,6 +20,17 @@ HighestPrice LowestPrice OpenPrice
 """.split()
 
 
+def months_glob(first: str, last: str) -> str:
+    """Pattern of the files of the months (yyyymm) from ``first`` to ``last``. A listing by
+    it does not look into the folders of any other month, so a regular import need not
+    list the archive."""
+    start, end = (int(m[:4]) * 12 + int(m[4:]) - 1 for m in (first, last))
+    if start > end:
+        raise ValueError(f"{first} is after {last}")
+    months = ",".join(f"{m // 12:04d}{m % 12 + 1:02d}" for m in range(start, end + 1))
+    return f"*/*/*/*/*/{{{months}}}/*.spt"
+
+
 def relative_path(uri: Column) -> Column:
     """The last seven segments of a file address."""
     return F.array_join(F.slice(F.split(uri, "/"), -7, 7), "/")
