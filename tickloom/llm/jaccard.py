@@ -265,7 +265,7 @@ def candidate_sets(docs: DataFrame, percent: int, tokens: int) -> DataFrame:
 
 def prefixes(tokens: DataFrame, percent: int) -> DataFrame:
     """Candidate sets with the tokens of their extended prefixes that other candidates
-    have too (``shared``), each with its count, the rarest first.
+    have too (``shared``), each with its count and its place in the set, the rarest first.
 
     Tokens are ordered by the number of candidates that have them, so a prefix is full
     of what is the set's own before it comes to what many sets quote."""
@@ -276,12 +276,13 @@ def prefixes(tokens: DataFrame, percent: int) -> DataFrame:
     alone = F.col("n") - F.size("met")
     length = (prefix_length(F.col("n"), percent) - alone).cast("int")
     first = F.slice("met", F.lit(1), F.greatest(length, F.lit(0)))
-    return gathered.filter(length > 0).select("set", "n", "common", first.alias("shared"))
+    placed = F.transform(first, lambda t, i: F.struct(t["count"].alias("count"), t["key"].alias("key"), (alone + i).alias("at")))
+    return gathered.filter(length > 0).select("set", "n", "common", placed.alias("shared"))
 
 
 def index_keys(candidates: DataFrame, percent: int, frequent: int) -> DataFrame:
     """Sets by the keys they meet in: ``key``, ``set`` with its size and common tokens,
-    and ``few``.
+    ``at``, the place of the key's first token in the set, and ``few``.
 
     Sets that link share two tokens of their extended prefixes. If one of these is
     rare, with fewer than ``frequent`` sets, it is a key of both. If all are frequent,
@@ -294,7 +295,7 @@ def index_keys(candidates: DataFrame, percent: int, frequent: int) -> DataFrame:
     base = ["set", "n", "common"]
     if combined(percent) == 1:
         single = candidates.select(*base, F.explode("shared").alias("t"))
-        return single.select(F.col("t.key").alias("key"), *base, F.lit(False).alias("few"))
+        return single.select(F.col("t.key").alias("key"), *base, "t.at", F.lit(False).alias("few"))
     rare = F.filter("shared", lambda t: t["count"] < frequent)
     parted = candidates.select(*base, rare.alias("rare"), F.filter("shared", lambda t: t["count"] >= frequent).alias("often"))
     few = F.size("often") <= FEW
@@ -304,8 +305,8 @@ def index_keys(candidates: DataFrame, percent: int, frequent: int) -> DataFrame:
     firsts = often.filter(few).select(*base, "often", F.posexplode("often").alias("at", "t"))
     behind = F.slice("often", F.col("at") + 2, F.size("often"))
     pairs = firsts.select(*base, "t", F.explode(behind).alias("u"))
-    pairs = pairs.select(F.xxhash64("t.key", "u.key").alias("key"), *base, F.lit(False).alias("few"))
-    return singles.select(F.col("t.key").alias("key"), *base, "few").unionByName(pairs)
+    pairs = pairs.select(F.xxhash64("t.key", "u.key").alias("key"), *base, "t.at", F.lit(False).alias("few"))
+    return singles.select(F.col("t.key").alias("key"), *base, "t.at", "few").unionByName(pairs)
 
 
 def possible(percent: int, n: Column, common: Column, other_n: Column, other_common: Column) -> Column:
@@ -346,7 +347,8 @@ def set_components(docs: DataFrame, described: DataFrame, percent: int, frequent
     total = described.agg(F.sum("n")).first()[0] or 0
     found = staged(candidate_sets(docs.select("body"), percent, total))
     tokens = staged(_tokens_of(docs, described, found))
-    met = staged(_met(index_keys(prefixes(tokens, percent), percent, frequent)))
+    candidates = staged(prefixes(tokens, percent))
+    met = staged(_met(index_keys(candidates, percent, frequent)))
     edges = docs.sparkSession.createDataFrame([], "a long, b long")
     roots = edges.toDF("node", "root")
     for turn in range(TURNS):
@@ -403,12 +405,18 @@ def _tokens_of(docs: DataFrame, described: DataFrame, candidates: DataFrame) ->
 
 
 def _crossed(apart: DataFrame, marked: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a key from different components that can link."""
+    """Pairs of a key from different components that can link.
+
+    A pair counts at the key of its first common token, in the order of prefixes, and is
+    left out at later keys as far as places tell: from its first common token on, sets
+    that link have all they share, so neither may have less than that left."""
     rest = apart.join(marked, "set")
     x, y = (rest.select("key", *[F.col(c).alias(f"{c}_{side}") for c in rest.columns if c != "key"]) for side in "ab")
     near = possible(percent, F.col("n_a"), F.col("common_a"), F.col("n_b"), F.col("common_b"))
     other = (F.col("root_a") != F.col("root_b")) & (F.col("set_a") < F.col("set_b")) & ~(F.col("few_a") & F.col("few_b"))
-    pairs = x.join(y, "key").filter(other & near & alike(percent))
+    left = (100 + percent) * F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    enough = left >= percent * (F.col("n_a") + F.col("n_b"))
+    pairs = x.join(y, "key").filter(other & near & enough & alike(percent))
     return pairs.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct()
 
 
