@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import ticks as made
+from tests.plans import scanned
 from tickloom.functions import ids, text, times
 from tickloom.operators import backtest, bars, catalog, filters, projections, quality, stats, userfuncs
 from tickloom.plans import klines, sessions
@@ -223,10 +224,12 @@ def test_batch_load_reads_the_partitions_it_needs(spark, tmp_path):
     assert loaded.count() == ticks.filter("category = 'CL'").count()
     plan = loaded._jdf.queryExecution().executedPlan().toString()
     assert any(
-        "= CL)" in line.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+        "dynamicpruning" in line.split("PartitionFilters: [")[1].split("PushedFilters")[0]
         for line in plan.splitlines()
         if "PartitionFilters: [" in line
     )
+    named = stores.partitions_of(files.filter("category = 'CL'")).select(*stores.TICK_PARTITIONS).distinct().count()
+    assert [partitions for partitions, _ in scanned(loaded, str(tmp_path / "t"))] == [named]
 
 
 def test_reports(spark):

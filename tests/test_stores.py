@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tests.plans import scanned
 from tickloom.operators import bars, userfuncs
 from tickloom.plans import counting, rewriting, sessions
 from tickloom.plans.queries import _stored, _stored_splits
@@ -30,27 +31,6 @@ def catalog(spark, root):
     return stores.read_or_empty(spark, f"{root}/files", CATALOG)
 
 
-def scanned(df, folder):
-    """Partitions and files that the scan of a folder has read."""
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan()
-    todo, found = [plan], []
-    while todo:
-        node = todo.pop()
-        name = node.getClass().getSimpleName()
-        if name == "AdaptiveSparkPlanExec":
-            todo.append(node.executedPlan())
-        elif name.endswith("QueryStageExec"):
-            todo.append(node.plan())
-        elif name == "FileSourceScanExec" and folder in node.relation().location().rootPaths().head().toString():
-            metrics = node.metrics()
-            found.append((metrics.apply("numPartitions").value(), metrics.apply("numFiles").value()))
-        else:
-            children = node.children()
-            todo += [children.apply(i) for i in range(children.size())]
-    return found
-
-
 def test_only_the_partitions_named_are_read(spark, tmp_path):
     """Market, product and month of a file are taken together: the months of one product
     are not read of another."""
