@@ -13,7 +13,7 @@ from tickloom.llm import bytewords
 from tickloom.llm.bytewords import BETWEEN_BLANKS, scrambled
 from tickloom.llm.components import components
 from tickloom.llm.placing import packed, unpacked
-from tickloom.session import staged
+from tickloom.session import small_batches, staged
 
 SHINGLE = 5
 PERCENT = 75
@@ -24,7 +24,8 @@ TURNS = 3
 PIVOTS = 4
 MARKS = 32
 CLASS_SHIFT = 16
-PACKET_TOKENS = 1 << 21
+SLICE_BYTES = 1 << 18
+PACKET_TOKENS = 1 << 20
 PART_TOKENS = 1 << 20
 BROADCAST_SETS = 1_000_000
 OUTPUTS = ["n_shingles", "component_id"]
@@ -95,10 +96,10 @@ def _sent_classes(bits: int):
         seen: set[int] = set()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         prints, sizes, size = [], [], 0
-        for batch in bytewords.sliced(batches, "body"):
+        for batch in bytewords.sliced(batches, "body", SLICE_BYTES):
             row, value = shingle_sets(batch.column("body"))
             count, mark = fingerprints(row, value, batch.num_rows)
-            place = np.full(batch.num_rows, -1)
+            place = np.full(batch.num_rows, -1, np.int32)
             for at, (n, own) in enumerate(zip(count.tolist(), mark.tolist(), strict=True)):
                 if n > 1 and own not in seen:
                     seen.add(own)
@@ -121,8 +122,10 @@ def _packet(packet: int, held, prints: list[int], sizes: list[int], bits: int) -
     """A class goes out once, whatever the number of sets here that have it; if several
     do, they are counted at once and the class goes without a place."""
     classes, places = (np.concatenate(x) for x in zip(*held, strict=True))
+    held.clear()
     order = np.argsort(classes)
     classes, places = classes[order], places[order]
+    del order
     same = np.zeros(len(classes) + 1, bool)
     same[1:-1] = classes[1:] == classes[:-1]
     several = same[1:] | same[:-1]
@@ -210,7 +213,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in bytewords.sliced(batches, "body"):
+    for batch in bytewords.sliced(batches, "body", SLICE_BYTES):
         sizes, prints = fingerprints(*shingle_sets(batch.column("body")), batch.num_rows)
         yield pa.RecordBatch.from_arrays(
             [batch.column("row"), batch.column("id"), batch.column("text_key"), pa.array(sizes), pa.array(prints)],
@@ -219,7 +222,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in bytewords.sliced(batches, "body"):
+    for batch in bytewords.sliced(batches, "body", SLICE_BYTES):
         row, value = shingle_sets(batch.column("body"))
         sizes, prints = fingerprints(row, value, batch.num_rows)
         ends = np.cumsum(sizes)
@@ -469,6 +472,7 @@ def rooted(
     if not LEAST_PERCENT <= percent <= 100:
         raise ValueError(f"percent must be from {LEAST_PERCENT} to 100, not {percent}")
     body = F.col(f"`{text}`").cast("string")
+    small_batches(docs.sparkSession)
     rows = docs.select(
         packed(docs, keep).alias("row"),
         F.col(f"`{id}`").cast("long").alias("id"),

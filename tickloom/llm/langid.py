@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tickloom.llm import bytewords, gru
 from tickloom.llm.placing import unpacked, with_text
 from tickloom.operators.sampling import lowest
+from tickloom.session import small_batches
 
 SAMPLE = 400
 SAMPLE_BYTES = 1 << 16
@@ -167,6 +168,7 @@ def identified_rows(docs: DataFrame, model: Model, text: str = "text", keep: lis
     columns, at = with_text(docs, keep, text, F.when(known, body))
     rows = docs.select(*columns, known.alias("known"))
     schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double")
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return rows.mapInArrow(_labeller(sent, at), schema)
 

@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_BYTES = "4m"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Tick times carry no zone, so the session zone is pinned to UTC and no
@@ -19,6 +21,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send long texts to Python a few MB at a time. A batch is held by the JVM, by the
+    stream between and by Python, and by default is as large as 10,000 rows make it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def build(master: str = "local[*]", app: str = "tickloom", **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.master(master)
