@@ -215,3 +215,20 @@ def test_rows_that_were_never_there_are_not_taken_away(spark, tmp_path):
     with pytest.raises(ValueError, match="taken away"):
         counting.count_changes(spark, folder, "b", removed=rows)
     assert counts(spark, folder)["source"] == before["source"]
+
+
+def test_stored_stocks_are_not_copied(spark, tmp_path, monkeypatch):
+    """Daily bars that lie in files already, and those of a new folder, go to their
+    buckets without being written anywhere else."""
+    days = [(f"{i}.SZ", f"2024010{d}", float(i), float(v)) for i in range(40) for d, v in ((1, i), (2, i), (2, i))]
+    trades = spark.createDataFrame([(*r, k) for k, r in enumerate(days)], "ts_code string, day string, price double, volume double, seq long")
+    daily = stores.stock_daily(trades)
+    folder, kept = str(tmp_path / "stocks"), staged(daily)
+    monkeypatch.setattr(stores, "scratch", None)
+    stores.write_stocks(daily.filter("ts_code < '2'"), folder)
+    zeros = kept.withColumn("close", F.lit(0.0))
+    stores.write_stocks(zeros.filter("ts_code >= '15'"), folder, stored=True)
+    stores.write_stocks(zeros.limit(0), folder, stored=True)
+    got = stores.read_stocks(spark, folder).select(*daily.columns).collect()
+    want = [*daily.filter("ts_code < '15'").collect(), *zeros.filter("ts_code >= '15'").collect()]
+    assert sorted(got) == sorted(want) and len(got) == 80

@@ -201,9 +201,9 @@ def stock_store(spark: SparkSession, sf: str) -> DataFrame:
     """Stocks saved in turns, one of them twice; each save replaces its own only."""
     daily, folder = staged(stores.stock_daily(tables.stock_trades(spark, sf))), scratch_folder(spark, "stocks")
     odd = F.pmod(F.xxhash64("ts_code"), F.lit(2)) == 1
-    stores.write_stocks(daily.filter(odd).withColumn("close", F.lit(0.0)), folder)
-    stores.write_stocks(daily.filter(~odd), folder)
-    stores.write_stocks(daily.filter(odd), folder)
+    stores.write_stocks(daily.filter(odd).withColumn("close", F.lit(0.0)), folder, stored=True)
+    stores.write_stocks(daily.filter(~odd), folder, stored=True)
+    stores.write_stocks(daily.filter(odd), folder, stored=True)
     return stores.read_stocks(spark, folder).drop("bucket")
 
 

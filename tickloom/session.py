@@ -57,6 +57,11 @@ def _file_system(spark: SparkSession, folder: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    files, path = _file_system(spark, folder)
+    return bool(files.exists(path))
+
+
 def delete_folder(spark: SparkSession, folder: str) -> bool:
     """Delete a folder of any file system; false if there is none."""
     files, path = _file_system(spark, folder)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -11,7 +13,7 @@ from tickloom.operators.catalog import FILE_VIEWS, remove_tag
 from tickloom.operators.filters import filter_by
 from tickloom.operators.projections import catalog_days, for_load, without_level
 from tickloom.schema import BAR, CLEAN_TICK, MIN_ROWS, STOCK_BAR, STORED_CATEGORIES, layout
-from tickloom.session import delete_folder, listed, scratch
+from tickloom.session import delete_folder, folder_exists, listed, scratch
 
 # Market, product and month of the file a tick came from; its row may say otherwise.
 TICK_PARTITIONS = ["market", "category", "month"]
@@ -290,12 +292,19 @@ def replace_rows(
     keys: list[str],
     sort: list[str] = (),
     gone: DataFrame | None = None,
+    stored: bool = False,
 ) -> None:
     """Store rows in place of those with the same keys. Other rows of the partitions
     they fall into are kept, other partitions are not touched. ``gone`` names further
-    keys, with their partitions, that lose their rows."""
+    keys, with their partitions, that lose their rows.
+
+    Rows are written down first, since they are used twice, unless they are ``stored``:
+    a selection from files outside ``folder``. A new folder has nothing to replace."""
+    if not folder_exists(rows.sparkSession, folder):
+        write_partitions(rows, folder, partitions, sort)
+        return
     columns = list(dict.fromkeys([*partitions, *keys]))
-    with scratch(rows) as new:
+    with nullcontext(rows) if stored else scratch(rows) as new:
         names = new.select(*columns).distinct()
         if gone is not None:
             names = names.unionByName(gone.select(*columns)).distinct()
@@ -355,11 +364,12 @@ def _bucket(code: Column) -> Column:
     return F.pmod(F.xxhash64(code), F.lit(STOCK_BUCKETS)).cast("string")
 
 
-def write_stocks(daily: DataFrame, folder: str) -> None:
+def write_stocks(daily: DataFrame, folder: str, stored: bool = False) -> None:
     """Daily bars in place of those of the same stocks. Stocks share buckets: there
-    are too many for a folder each."""
+    are too many for a folder each. Bars that are ``stored`` elsewhere are not written
+    down first."""
     rows = daily.select(*STOCK_BAR.names).withColumn("bucket", _bucket(F.col("ts_code")))
-    replace_rows(rows, folder, ["bucket"], ["bucket", "ts_code"], ["ts_code", "day"])
+    replace_rows(rows, folder, ["bucket"], ["bucket", "ts_code"], ["ts_code", "day"], stored=stored)
 
 
 def read_stocks(spark: SparkSession, folder: str) -> DataFrame:
