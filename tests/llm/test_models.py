@@ -203,3 +203,21 @@ def test_clamped_labellings_agree_with_their_text():
     free = quality.marginals(sure, lines.counts, step)
     held = quality.clamped(sure, lines, step, np.array([1.0, 0.0, 1.0, 0.0]))
     assert np.allclose(free[0], held[0], atol=1e-2) and np.allclose(free[2], held[2], atol=1e-2)
+
+
+def test_language_slices_stay_small():
+    """Peak of numpy's memory while 2 MB of texts are labelled: 33 MB before. Slices do
+    not change what is found."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    model = langid.initial(["a", "b", "c"], 8, 1)
+    texts = pa.array([f"text number {k} " * 400 for k in range(330)])
+    row = pa.StructArray.from_arrays([texts], ["text"])
+    batch = pa.RecordBatch.from_arrays([row, pa.array([True] * len(texts))], names=["row", "known"])
+    run = langid._labeller(SimpleNamespace(value=model), "row.text")
+    tracemalloc.start()
+    found = [s for b in run(iter([batch])) for s in b.column("score").to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == langid.pooled(model, texts).max(0).clip(max=1).tolist() and peak < 16e6

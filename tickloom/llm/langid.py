@@ -16,6 +16,7 @@ from tickloom.session import small_batches
 
 SAMPLE = 400
 SAMPLE_BYTES = 1 << 16
+SLICE_BYTES = 1 << 18
 WINDOWS = 16
 STEPS = 64
 HIDDEN = 8
@@ -176,7 +177,7 @@ def identified_rows(docs: DataFrame, model: Model, text: str = "text", keep: lis
 def _labeller(sent, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for batch in bytewords.sliced(batches, column):
+        for batch in bytewords.sliced(batches, column, SLICE_BYTES):
             texts = bytewords.carried(batch, column)
             names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
             some = np.flatnonzero(batch.column("known").to_numpy(zero_copy_only=False))
