@@ -1,235 +1,327 @@
 """Adaptive range coding of blocks of token ids, many blocks in step.
 
-A lane codes one block with tables of its own that start empty. For every id two
-predictors look up what followed the last two ids (order 2) and the last id (order
-1); hits are coded as yes or no with odds that adapt, taken from two records in fixed
-parts of 3 and 1. An id that both miss is looked for in a table of ids seen in the block
-(order 0), whose places all have the same odds, and else coded as it is, all ids of the
-vocabulary alike. Whole numbers throughout,
-so coder and decoder agree on any machine."""
+Every block is coded with tables of its own that start empty, so it can be decoded
+alone. For an id three predictions are mixed: the id that last followed the two before
+it (order 2), the one that last followed the one before it (order 1), and the
+frequencies of the ids the block has had (order 0), counted anew whenever these have
+doubled. The shares of the three in the mix, and of ids that are new to the block, are
+learned by how often both followers have been right in a row and whether they agree. An
+id is coded as the prediction it is taken from and, for order 0, by its frequency; a new
+one as it is, all ids of the vocabulary alike. Whole numbers throughout, so coder and
+decoder agree on any machine.
+
+A block is cut into ``LANES`` stretches of equal length, coded side by side with the
+tables of the block; where lanes write to one cell, the last one counts. Ranges hold 33
+to 48 bits and a step takes 16 of them at most, so a lane passes on no more than a word a
+step. Carries are added to the words when all are known."""
 
 from __future__ import annotations
 
 import numpy as np
 
-TOP, BOTTOM = np.uint32(1 << 24), np.uint32(1 << 16)
-ODDS_BITS, RATE = 12, 4
-LEAST = 1 << 5
-SLOT_BITS, SEEN_BITS = 11, 10
-NO_ID = np.uint32(0xFFFFFFFF)
-BYTES_PER_ID = 8
+LANES = 8
+WORD, AHEAD = 16, 3
+BOTTOM, TOP = 1 << 32, 1 << 48
+ORDER_2, ORDER_1, ORDER_0, NEW = range(4)
+SLOT_BITS, TRUST, MOST_TRUST = 11, 1 << 16, 3 << 16
+PLACES = 32  # trust of order 2 and of order 1, and whether they agree
+FIRST_COUNT, MOST_COUNTED = 2, (1 << 15) // LANES
+
+# where the shares of the four kinds begin, as four fields of a number
+SHARE_BITS, FIELD, RATE, LEAST = 15, 0xFFFF, 4, 32
+SHIFTS = np.arange(0, 64, 16)
+KEPT = sum((FIELD >> RATE) << shift for shift in range(0, 64, 16))
+LAST_END = np.int64(-1 << 63)
+
+
+def _fields(begins: list[int]) -> int:
+    return sum(begin << shift for begin, shift in zip(begins, range(0, 64, 16), strict=True))
+
+
+EVEN = _fields([k << (SHARE_BITS - 2) for k in range(4)])
+STEPS = np.array(
+    [
+        _fields([(k * LEAST if k <= kind else (1 << SHARE_BITS) - (4 - k) * LEAST) >> RATE for k in range(4)])
+        for kind in range(4)
+    ]
+)
 
 
 class Encoder:
     def __init__(self, lanes: int, longest: int) -> None:
-        self.low = np.zeros(lanes, np.uint32)
-        self.range = np.full(lanes, 0xFFFFFFFF, np.uint32)
-        self.out = np.zeros((lanes, longest * BYTES_PER_ID + 8), np.uint8)
-        self.size = np.zeros(lanes, np.int64)
-
-    def code(self, idx: np.ndarray, start: np.ndarray, width: np.ndarray, total: int) -> None:
-        """Narrow the lanes to [start, start + width) of total."""
-        part = self.range[idx] // np.uint32(total)
-        self.low[idx] += part * start
-        self.range[idx] = part * width
-        self._settle(idx)
-
-    def _settle(self, idx: np.ndarray) -> None:
-        while len(idx):
-            idx, low, width = unsettled(self.low, self.range, idx)
-            if not len(idx):
-                return
-            self.out[idx, self.size[idx]] = low >> np.uint32(24)
-            self.size[idx] += 1
-            self.low[idx] = low << np.uint32(8)
-            self.range[idx] = width << np.uint32(8)
-
-    def finish(self) -> list[bytes]:
-        for shift in (24, 16, 8, 0):
-            self.out[np.arange(len(self.low)), self.size] = self.low >> np.uint32(shift)
-            self.size += 1
-        return [row[:n].tobytes() for row, n in zip(self.out, self.size, strict=True)]
+        self.low = np.zeros(lanes, np.int64)
+        self.range = np.full(lanes, TOP, np.int64)
+        self.words = np.zeros((lanes, 2 * longest + 1), np.uint32)
+        self.flat = self.words.reshape(-1)
+        self.first = np.arange(lanes) * self.words.shape[1]
+        self.at = self.first.copy()
+
+    def code(self, lane, part: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
+        """Narrow lanes (a slice from 0, or their numbers) to [start, start + width) of
+        as many parts."""
+        low, span = self.low[lane] + part * start, part * width
+        go = (span < BOTTOM).nonzero()[0]
+        passed, out = go if isinstance(lane, slice) else lane[go], low[go]
+        at = self.at[passed]
+        self.flat[at] = out >> 32
+        self.at[passed] = at + 1
+        low[go] = (out & (BOTTOM - 1)) << WORD
+        span[go] <<= WORD
+        self.low[lane], self.range[lane] = low, span
+
+    def finish(self) -> tuple[np.ndarray, np.ndarray]:
+        """The words of all lanes, one lane after the other, and their numbers."""
+        self.flat[self.at] = (self.low + (BOTTOM - 1)) >> 32
+        sizes = self.at + 1 - self.first
+        words = self.words[:, : sizes.max()]
+        while (carry := words >> WORD).any():
+            words &= (1 << WORD) - 1
+            words[:, :-1] += carry[:, 1:]
+        return words[np.arange(words.shape[1]) < sizes[:, None]].astype("<u2"), sizes
 
 
 class Decoder:
-    def __init__(self, blobs: list[bytes]) -> None:
-        longest = max(map(len, blobs)) + 8
-        self.data = np.zeros((len(blobs), longest), np.uint8)
-        for row, blob in zip(self.data, blobs, strict=True):
-            row[: len(blob)] = np.frombuffer(blob, np.uint8)
-        self.low = np.zeros(len(blobs), np.uint32)
-        self.range = np.full(len(blobs), 0xFFFFFFFF, np.uint32)
-        self.head = self.data[:, :4].astype(np.uint32) @ np.array([1 << 24, 1 << 16, 1 << 8, 1], np.uint32)
-        self.at = np.full(len(blobs), 4)
-
-    def target(self, idx: np.ndarray, total: int) -> np.ndarray:
-        part = self.range[idx] // np.uint32(total)
-        self.range[idx] = part
-        return np.minimum((self.head[idx] - self.low[idx]) // part, np.uint32(total - 1))
-
-    def take(self, idx: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
-        part = self.range[idx]
-        self.low[idx] += part * start
-        self.range[idx] = part * width
-        while len(idx):
-            idx, low, width = unsettled(self.low, self.range, idx)
-            if not len(idx):
-                return
-            self.head[idx] = (self.head[idx] << np.uint32(8)) | self.data[idx, self.at[idx]]
-            self.at[idx] += 1
-            self.low[idx] = low << np.uint32(8)
-            self.range[idx] = width << np.uint32(8)
-
-
-def unsettled(low: np.ndarray, width: np.ndarray, idx: np.ndarray):
-    """Lanes whose next byte is certain, or whose range has to be cut to make it so."""
-    a, b = low[idx], width[idx]
-    certain = (a ^ (a + b)) < TOP
-    narrow = ~certain & (b < BOTTOM)
-    b = np.where(narrow, (np.uint32(0) - a) & (BOTTOM - np.uint32(1)), b)
-    go = certain | narrow
-    return idx[go], a[go], b[go]
-
-
-class Predictors:
-    """Tables of all lanes: followers by order 2 and order 1 with a confidence of 0 to
-    3, ids seen, and odds (of 4096) for every confidence."""
-
-    def __init__(self, lanes: int) -> None:
-        self.follower = np.full((2, lanes << SLOT_BITS), NO_ID, np.uint32)
-        self.trust = np.zeros((2, lanes << SLOT_BITS), np.uint8)
-        self.seen = np.full(lanes << SEEN_BITS, NO_ID, np.uint32)
-        self.odds = np.full((5, lanes * 8), 1 << (ODDS_BITS - 1), np.int32)
-        self.last = np.zeros((2, lanes), np.uint32)
-
-    def look(self, lane: np.ndarray) -> None:
-        """Predictions of the lanes for their next id."""
-        before, last = self.last[0, lane], self.last[1, lane]
-        both = (before * np.uint32(0x9E3779B1) ^ last) * np.uint32(0x85EBCA6B)
-        base = lane << SLOT_BITS
-        self.place = (
-            base + (both >> np.uint32(32 - SLOT_BITS)),
-            base + ((last * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)),
+    def __init__(self, words: np.ndarray, sizes: np.ndarray) -> None:
+        """``words`` of all lanes as written; those after the last of a lane are 0."""
+        gaps = np.arange(len(sizes)) * (AHEAD - 1)
+        self.words = np.zeros(len(words) + len(sizes) * (AHEAD - 1), np.uint16)
+        self.words[np.arange(len(words)) + np.repeat(gaps, sizes)] = words
+        self.at = np.cumsum(sizes) - sizes + gaps
+        self.head = np.zeros(len(sizes), np.int64)
+        for _ in range(AHEAD):
+            self.head = self.head << WORD | self.words[self.at]
+            self.at += 1
+        self.range = np.full(len(sizes), TOP, np.int64)
+
+    def take(self, lane, part: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
+        head, span = self.head[lane] - part * start, part * width
+        go = (span < BOTTOM).nonzero()[0]
+        passed = go if isinstance(lane, slice) else lane[go]
+        at = self.at[passed]
+        head[go] = head[go] << WORD | self.words[at]
+        self.at[passed] = at + 1
+        span[go] <<= WORD
+        self.head[lane], self.range[lane] = head, span
+
+
+class Followers:
+    """What followed in each block: ids by order 2 and order 1, with a trust of 0 to 3,
+    and the shares of the mix for every trust."""
+
+    def __init__(self, blocks: int) -> None:
+        self.table = np.zeros(2 * blocks << SLOT_BITS, np.int32)
+        block = np.repeat(np.arange(blocks), LANES)
+        self.base = np.stack([block, block + blocks]) << SLOT_BITS
+        self.shares = np.full(blocks * PLACES, EVEN)
+        self.own = block * PLACES
+        self.last = np.zeros((2, blocks * LANES), np.uint32)
+
+    def look(self, n: int) -> None:
+        """Guesses and shares of the first lanes for their next id."""
+        before, last = self.last[:, :n]
+        key = np.empty((2, n), np.uint32)
+        np.multiply(before * np.uint32(0x9E3779B1) ^ last, np.uint32(0x85EBCA6B), out=key[0])
+        np.multiply(last, np.uint32(0x9E3779B1), out=key[1])
+        key >>= np.uint32(32 - SLOT_BITS)
+        self.place = (self.base[:, :n] + key).reshape(-1)
+        self.guess = self.table.take(self.place).reshape(2, n)
+        trust = self.guess >> 16
+        self.guess &= TRUST - 1
+        self.trust = trust << 16
+        trust[0] *= 4
+        trust[0] += trust[1]
+        self.cell = self.own[:n] + (trust[0] * 2 + (self.guess[0] == self.guess[1]))
+        self.share = self.shares.take(self.cell)
+
+    def spans(self, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the shares of the kinds start and how wide they are."""
+        shift = SHIFTS.take(kind)
+        start = (self.share >> shift) & FIELD
+        return start, (((self.share >> 16 | LAST_END) >> shift) & FIELD) - start
+
+    def kinds(self, target: np.ndarray) -> np.ndarray:
+        """The kinds whose shares hold the targets."""
+        first = target >= (self.share >> 16) & FIELD
+        second = target >= (self.share >> 32) & FIELD
+        third = target >= self.share >> 48
+        return first.view(np.int8) + second.view(np.int8) + third.view(np.int8)
+
+    def learn(self, kind: np.ndarray, ids: np.ndarray) -> None:
+        n = len(ids)
+        self.shares[self.cell] = self.share - ((self.share >> RATE) & KEPT) + STEPS.take(kind)
+        self.trust += TRUST
+        np.minimum(self.trust, MOST_TRUST, out=self.trust)
+        self.trust *= self.guess == ids
+        self.trust += ids
+        self.table[self.place] = self.trust.reshape(-1)
+        self.last[0, :n] = self.last[1, :n]
+        self.last[1, :n] = ids
+
+
+class Frequencies:
+    """How often each block has had its ids, as of the last count. The ids counted are
+    thought in order, so that each has a run with a start and a length. New ids are runs
+    of one among all ids."""
+
+    def __init__(self, vocabulary: int) -> None:
+        self.vocabulary = vocabulary
+        self.next, self.total = FIRST_COUNT, 0
+
+    def recent(self, t: int) -> slice:
+        """The steps to count before step ``t``, each with ``LANES`` ids a block."""
+        self.next += min(self.next, MOST_COUNTED)
+        steps = slice(max(0, t - MOST_COUNTED), t)
+        self.total = (steps.stop - steps.start) * LANES
+        return steps
+
+
+class Written(Frequencies):
+    """Counts for coding: ids are numbered within their block first."""
+
+    def __init__(self, ids: np.ndarray, vocabulary: int) -> None:
+        super().__init__(vocabulary)
+        steps, lanes = ids.shape
+        self.number = np.empty((lanes // LANES, steps * LANES), np.int32)
+        self.most = 1
+        for at in range(0, len(self.number), 64):
+            chunk = _by_block(ids[:, at * LANES : (at + 64) * LANES])
+            order = np.argsort(chunk, axis=1, kind="stable")
+            sorted_ = np.take_along_axis(chunk, order, 1)
+            new = np.zeros(chunk.shape, np.int32)
+            np.not_equal(sorted_[:, 1:], sorted_[:, :-1], out=new[:, 1:], casting="unsafe")
+            new = new.cumsum(axis=1, dtype=np.int32)
+            np.put_along_axis(self.number[at : at + 64], order, new, 1)
+            self.most = max(self.most, int(new[:, -1].max(initial=0)) + 1)
+        blocks = len(self.number)
+        self.number += (np.arange(blocks, dtype=np.int32) * self.most)[:, None]
+        self.number = np.ascontiguousarray(
+            self.number.reshape(blocks, steps, LANES).transpose(1, 0, 2).reshape(steps, lanes)
         )
-        self.guess = tuple(self.follower[k][self.place[k]] for k in (0, 1))
-        self.sure = tuple(self.trust[k][self.place[k]].astype(np.int64) for k in (0, 1))
-        self.agree = self.guess[0] == self.guess[1]
-
-    def mixed(self, lane: np.ndarray, of: np.ndarray, order: int) -> tuple[np.ndarray, tuple]:
-        """Odds that the guess of an order is right, mixed from both orders' records.
-        ``of`` picks the lanes among those looked at."""
-        own = lane[of] * 8
-        if order == 0:
-            cells = (0, own + self.sure[0][of]), (1, own + self.sure[1][of] + 4 * self.agree[of])
-        else:
-            cells = (2, own + self.sure[1][of]), (3, own + self.sure[0][of])
-        odds = (self.odds[cells[0][0]][cells[0][1]] * 3 + self.odds[cells[1][0]][cells[1][1]]) >> 2
-        return odds, cells
-
-    def learn(self, cells: tuple, hit: np.ndarray) -> None:
-        for table, cell in cells:
-            now = self.odds[table][cell]
-            now += ((hit.astype(np.int32) << ODDS_BITS) - now) >> RATE
-            self.odds[table][cell] = np.clip(now, LEAST, (1 << ODDS_BITS) - LEAST)
-
-    def seen_place(self, lane: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        return (lane << SEEN_BITS) + ((ids * np.uint32(0x9E3779B1)) >> np.uint32(32 - SEEN_BITS))
-
-    def update(self, lane: np.ndarray, ids: np.ndarray) -> None:
-        for k in (0, 1):
-            place, right, sure = self.place[k], self.guess[k] == ids, self.sure[k]
-            replace = ~right & (sure == 0)
-            self.follower[k][place[replace]] = ids[replace]
-            self.trust[k][place] = np.where(right, np.minimum(sure + 1, 3), np.maximum(sure - 1, 0))
-        self.seen[self.seen_place(lane, ids)] = ids
-        self.last[0, lane] = self.last[1, lane]
-        self.last[1, lane] = ids
-
-
-def bit_bounds(hit: np.ndarray, odds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    start = np.where(hit, 0, odds)
-    return start.astype(np.uint32), np.where(hit, odds, (1 << ODDS_BITS) - odds).astype(np.uint32)
+        self.runs = np.zeros(blocks * self.most, np.int64)
+
+    def count(self, t: int, lanes: int) -> None:
+        blocks = lanes // LANES
+        found = self.number[self.recent(t), :lanes].reshape(-1)
+        lengths = np.bincount(found, minlength=blocks * self.most).reshape(blocks, self.most)
+        self.runs = ((lengths.cumsum(axis=1) - lengths) << 32 | lengths).reshape(-1)
+
+    def spans(self, t: int, lane: np.ndarray, ids: np.ndarray):
+        """Whether the ids have been counted, and the start and width to code of each."""
+        runs = self.runs.take(self.number[t].take(lane))
+        width = runs & (BOTTOM - 1)
+        had = width > 0
+        return had, np.where(had, runs >> 32, ids), np.maximum(width, 1)
+
+
+class Read(Frequencies):
+    """Counts for decoding: a run for every place it covers, then all ids by themselves."""
+
+    def __init__(self, vocabulary: int) -> None:
+        super().__init__(vocabulary)
+        every = np.arange(vocabulary)
+        self.every = every | every << 16 | 1 << 40
+        self.spots, self.plain = self.every, 0
+
+    def count(self, ids: np.ndarray, t: int) -> None:
+        ids = _by_block(ids[self.recent(t)])
+        ids.sort(axis=1, kind="stable")
+        first = np.ones(ids.shape, bool)
+        np.not_equal(ids[:, 1:], ids[:, :-1], out=first[:, 1:])
+        start = first.reshape(-1).nonzero()[0]
+        lengths = np.diff(start, append=ids.size)
+        runs = ids.reshape(-1)[start] | start % self.total << 16 | lengths << 40
+        self.spots, self.plain = np.concatenate([np.repeat(runs, lengths), self.every]), ids.size
+
+    def take(self, coder: Decoder, lane: np.ndarray, had: np.ndarray) -> np.ndarray:
+        """Ids of the lanes that no follower has guessed."""
+        part = coder.range[lane] // np.where(had, self.total, self.vocabulary)
+        base = np.where(had, lane // LANES * self.total, self.plain)
+        runs = self.spots.take(base + coder.head[lane] // part)
+        coder.take(lane, part, (runs >> 16) & 0xFFFFFF, runs >> 40)
+        return runs & FIELD
+
+
+def _by_block(ids: np.ndarray) -> np.ndarray:
+    """Rows of blocks from rows of steps."""
+    steps, lanes = ids.shape
+    return ids.astype(np.uint16).reshape(steps, lanes // LANES, LANES).transpose(1, 0, 2).reshape(-1, steps * LANES)
 
 
 def encode(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
     """Code every block of ids (below ``vocabulary``) by itself."""
-    return _walk(blocks, [len(b) for b in blocks], vocabulary, None)
+    if not blocks:
+        return []
+    order, steps, active = _plan([len(b) for b in blocks], vocabulary)
+    ids = np.zeros((int(steps[0]), len(blocks) * LANES), np.int32)
+    for k, at in enumerate(order):
+        padded = np.zeros(int(steps[k]) * LANES, np.int32)
+        padded[: len(blocks[at])] = blocks[at]
+        ids[: steps[k], k * LANES : (k + 1) * LANES] = padded.reshape(LANES, -1).T
+    followers, counts = Followers(len(blocks)), Written(ids, vocabulary)
+    coder = Encoder(ids.shape[1], len(ids))
+    for t, n in enumerate(active):
+        if t == counts.next:
+            counts.count(t, n)
+        now = ids[t, :n]
+        followers.look(n)
+        missed = followers.guess != now
+        kind = missed[0].view(np.int8) + (missed[0] & missed[1])
+        rest = (kind == ORDER_0).nonzero()[0]
+        had, start, width = counts.spans(t, rest, now[rest])
+        kind[rest] = np.where(had, ORDER_0, NEW)
+        lanes = slice(0, n)
+        coder.code(lanes, coder.range[lanes] >> SHARE_BITS, *followers.spans(kind))
+        coder.code(rest, coder.range[rest] // np.where(had, counts.total, vocabulary), start, width)
+        followers.learn(kind, now)
+    words, sizes = coder.finish()
+    sizes = sizes.reshape(-1, LANES)
+    ends = np.cumsum(sizes.sum(axis=1))
+    coded = [
+        size.astype(_size_type(step)).tobytes() + words[end - size.sum() : end].tobytes()
+        for size, step, end in zip(sizes, steps, ends, strict=True)
+    ]
+    return [coded[k] for k in np.argsort(order)]
 
 
 def decode(blobs: list[bytes], sizes: list[int], vocabulary: int) -> list[np.ndarray]:
     """The ids of coded blocks, given their numbers."""
-    return _walk(None, sizes, vocabulary, blobs)
-
-
-def _walk(blocks, sizes, vocabulary: int, blobs):
-    """One step per id, for all blocks that have one left."""
-    count = len(sizes)
-    if not count:
+    if not blobs:
         return []
+    order, steps, active = _plan(sizes, vocabulary)
+    heads = [np.frombuffer(blobs[at], _size_type(step), LANES) for at, step in zip(order, steps, strict=True)]
+    words = b"".join(blobs[at][head.nbytes :] for at, head in zip(order, heads, strict=True))
+    coder = Decoder(np.frombuffer(words, "<u2"), np.concatenate(heads).astype(np.int64))
+    ids = np.zeros((int(steps[0]), len(blobs) * LANES), np.int32)
+    followers, counts = Followers(len(blobs)), Read(vocabulary)
+    for t, n in enumerate(active):
+        if t == counts.next:
+            counts.count(ids[:, :n], t)
+        followers.look(n)
+        lanes = slice(0, n)
+        part = coder.range[lanes] >> SHARE_BITS
+        kind = followers.kinds(coder.head[lanes] // part)
+        coder.take(lanes, part, *followers.spans(kind))
+        now = np.where(kind == ORDER_2, *followers.guess)
+        rest = (kind >= ORDER_0).nonzero()[0]
+        now[rest] = counts.take(coder, rest, kind[rest] == ORDER_0)
+        ids[t, :n] = now
+        followers.learn(kind, now)
+    found = [
+        ids[:step, k * LANES : (k + 1) * LANES].T.reshape(-1)[: sizes[at]].astype(np.uint32)
+        for k, (at, step) in enumerate(zip(order, steps, strict=True))
+    ]
+    return [found[k] for k in np.argsort(order)]
+
+
+def _plan(sizes: list[int], vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Blocks by falling size, their steps, and how many lanes have one left at each."""
     if not 0 < vocabulary < 1 << 16:
         raise ValueError("ids must be below 65,535")
     order = np.argsort(-np.asarray(sizes), kind="stable")
-    size = np.asarray(sizes)[order]
-    ids = np.zeros((int(size[0]), count), np.uint32)
-    if blocks is not None:
-        for lane, at in enumerate(order):
-            ids[: size[lane], lane] = blocks[at]
-    model = Predictors(count)
-    coder = Encoder(count, int(size[0])) if blobs is None else Decoder([blobs[at] for at in order])
-    active = np.searchsorted(-size, -np.arange(int(size[0])), "left")
-    lanes = np.arange(count)
-    for t, n in enumerate(active):
-        lane = lanes[:n]
-        model.look(lane)
-        _one(model, coder, lane, ids[t, :n], vocabulary, blobs is None)
-        model.update(lane, ids[t, :n])
-    back = np.argsort(order)
-    if blobs is None:
-        coded = coder.finish()
-        return [coded[k] for k in back]
-    return [ids[: size[k], k].copy() for k in back]
-
-
-def _one(model: Predictors, coder, lane: np.ndarray, ids: np.ndarray, vocabulary: int, writing: bool) -> None:
-    """Code one id of every lane, or decode it into ``ids``."""
-    left = lane
-    for k in (0, 1):
-        if k:
-            left = left[~model.agree[left]]
-            passed = rest[model.agree[rest]]
-        hit = _flag(coder, left, *model.mixed(lane, left, k), model.guess[k][left] == ids[left], writing, model)
-        if not writing:
-            ids[left[hit]] = model.guess[k][left[hit]]
-        rest = left[~hit]
-        left = rest
-    left = np.sort(np.concatenate([rest, passed]))
-    place = model.seen_place(left, ids[left])
-    own = left * 8
-    odds = model.odds[4][own]
-    hit = _flag(coder, left, odds, ((4, own),), model.seen[place] == ids[left], writing, model)
-    _number(coder, left[hit], 1 << SEEN_BITS, place[hit] & ((1 << SEEN_BITS) - 1), writing, ids, model)
-    _number(coder, left[~hit], vocabulary, ids[left[~hit]], writing, ids, None)
-
-
-def _flag(coder, idx, odds, cells, hit, writing: bool, model: Predictors) -> np.ndarray:
-    if not writing:
-        hit = coder.target(idx, 1 << ODDS_BITS) < odds
-    start, width = bit_bounds(hit, odds)
-    if writing:
-        coder.code(idx, start, width, 1 << ODDS_BITS)
-    else:
-        coder.take(idx, start, width)
-    model.learn(cells, hit)
-    return hit
-
-
-def _number(coder, idx, total: int, values, writing: bool, ids, model: Predictors | None) -> None:
-    """A number below ``total``, all alike; with a model it is a place among the ids
-    seen."""
-    one = np.ones(len(idx), np.uint32)
-    if writing:
-        coder.code(idx, values.astype(np.uint32), one, total)
-        return
-    values = coder.target(idx, total)
-    coder.take(idx, values, one)
-    ids[idx] = values if model is None else model.seen[(idx << SEEN_BITS) + values]
+    steps = -(-np.asarray(sizes)[order] // LANES)
+    return order, steps, LANES * np.searchsorted(-steps, -np.arange(int(steps[0])), "left")
+
+
+def _size_type(steps: int) -> str:
+    """How numbers of words of a block's lanes are written."""
+    return "<u2" if 2 * steps + 1 < 1 << 16 else "<u4"
